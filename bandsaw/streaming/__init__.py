@@ -1,0 +1 @@
+"""The feature set has no streaming operators; all jobs are batch jobs."""
