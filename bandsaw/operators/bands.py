@@ -123,6 +123,27 @@ def band_count(height: int, width: int, rows: int | None, halo: int) -> int:
     return max(1, height // rows)
 
 
+def cut_rows(image_id: int, pixels: np.ndarray, rows: int | None, halo: int) -> dict:
+    """The bands of one decoded image as output columns."""
+    height, width = pixels.shape[:2]
+    n = band_count(height, width, rows, halo)
+    edge = [i * height // n for i in range(n + 1)]
+    e0 = [max(0, y - halo) for y in edge[:-1]]
+    e1 = [min(height, y + halo) for y in edge[1:]]
+    return {
+        "image_id": [image_id] * n,
+        "band": list(range(n)),
+        "bands": [n] * n,
+        "height": [height] * n,
+        "width": [width] * n,
+        "y0": edge[:-1],
+        "y1": edge[1:],
+        "e0": e0,
+        "e1": e1,
+        "data": [pixels[s:e].tobytes() for s, e in zip(e0, e1)],
+    }
+
+
 def to_bands(images: DataFrame, rows: int | None = None, halo: int = HALO, as_gray: bool = False) -> DataFrame:
     """Cut images into bands where they are decoded, without any shuffle.
 
@@ -131,33 +152,31 @@ def to_bands(images: DataFrame, rows: int | None = None, halo: int = HALO, as_gr
     """
 
     def cut(row: dict) -> dict:
-        height, width, channels = row["height"], row["width"], row["n_channels"]
-        a = np.frombuffer(row["data"], np.uint8).reshape(height, width, channels)
+        channels = row["n_channels"]
+        a = np.frombuffer(row["data"], np.uint8).reshape(row["height"], row["width"], channels)
         if as_gray:
             a = a[..., 0] if channels == 1 else gray(a[..., :3])
         else:
             a = np.repeat(a, 3, axis=2) if channels == 1 else a[..., :3]
-        n = band_count(height, width, rows, halo)
-        edge = [i * height // n for i in range(n + 1)]
-        e0 = [max(0, y - halo) for y in edge[:-1]]
-        e1 = [min(height, y + halo) for y in edge[1:]]
-        return {
-            "image_id": [row["image_id"]] * n,
-            "band": list(range(n)),
-            "bands": [n] * n,
-            "height": [height] * n,
-            "width": [width] * n,
-            "y0": edge[:-1],
-            "y1": edge[1:],
-            "e0": e0,
-            "e1": e1,
-            "data": [a[s:e].tobytes() for s, e in zip(e0, e1)],
-        }
+        return cut_rows(row["image_id"], a, rows, halo)
 
     source = images.select("image_id", "height", "width", "n_channels", "data")
     return map_rows(source, cut, BANDS)
 
 
+def with_per_image(bands: DataFrame, per_image: DataFrame) -> DataFrame:
+    """Join a one-row-per-image table to the bands on (image, band).
+
+    The small row is repeated once per band, so the pixel bytes keep their
+    partitioning and a large image does not gather on its id.
+    """
+    counts = bands.filter("band = 0").select("image_id", "bands")
+    rows = per_image.join(counts, "image_id").withColumn(
+        "band", F.explode(F.sequence(F.lit(0), F.col("bands") - 1))
+    )
+    return bands.join(rows.drop("bands").hint("shuffle_hash"), KEY)
+
+
 def spread(bands: DataFrame, partitions: int | None = None) -> DataFrame:
     """The one shuffle of pixel data: hash on (image, band).
 
@@ -199,16 +218,17 @@ def _band_of(y: Column, height: Column, n: Column) -> Column:
 
 
 def from_pixels(
-    pixels: DataFrame, sizes: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), rows: int = 64, halo: int = HALO
+    pixels: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), rows: int | None = None, halo: int = HALO
 ) -> DataFrame:
-    """Bands from pixel rows. ``sizes`` has image_id, height, width.
+    """Bands from pixel rows (image_id, height, width, y, x, channels).
 
     Pixels near a seam go to both bands; each group is one band.
     """
+    rows = rows or 64
     if rows < halo:
         raise ValueError(f"bands of {rows} rows cannot have a halo of {halo}")
     n = F.greatest(F.lit(1), F.floor(F.col("height") / rows).cast("int"))
-    sized = pixels.join(sizes.select("image_id", "height", "width", n.alias("bands")), "image_id")
+    sized = pixels.withColumn("bands", n)
     lowest = _band_of(F.greatest(F.col("y") - halo, F.lit(0)), F.col("height"), F.col("bands"))
     highest = _band_of(F.least(F.col("y") + halo, F.col("height") - 1), F.col("height"), F.col("bands"))
     placed = sized.withColumn("band", F.explode(F.sequence(lowest, highest)))

@@ -174,11 +174,11 @@ def _across_bands(masks: DataFrame, value: int, keep: str, aggregates: list) ->
     return per_band
 
 
-def _with_choice(masks: DataFrame, per_band: DataFrame | None) -> DataFrame:
+def with_choice(bands: DataFrame, per_band: DataFrame | None, name: str = "chosen") -> DataFrame:
     """Bring the small per-band lists to the bands; the pixel bytes are not sorted or moved."""
     if per_band is None:
-        return masks.withColumn("chosen", F.lit(None).cast("array<bigint>"))
-    return masks.join(per_band.hint("shuffle_hash"), KEY, "left")
+        return bands.withColumn(name, F.lit(None).cast("array<bigint>"))
+    return bands.join(per_band.withColumnRenamed("chosen", name).hint("shuffle_hash"), KEY, "left")
 
 
 def seam_holes(masks: DataFrame) -> DataFrame | None:
@@ -186,13 +186,13 @@ def seam_holes(masks: DataFrame) -> DataFrame | None:
     return _across_bands(masks, BACKGROUND, "NOT frame", [F.max("frame").alias("frame")])
 
 
-def with_holes(bands: DataFrame, masks: DataFrame) -> DataFrame:
-    """``bands`` with the column ``chosen`` that ``fill_block`` needs."""
-    return _with_choice(bands, seam_holes(masks))
+def seam_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame | None:
+    """Foreground components that cross bands and whose whole area is above the limit."""
+    return _across_bands(masks, FOREGROUND, f"area2 > {2 * min_area}", [F.sum("area2").alias("area2")])
 
 
 def fill_block(row: dict, mask: np.ndarray) -> np.ndarray:
-    """0/1 mask with every hole filled."""
+    """0/1 mask with every hole filled; ``chosen`` lists the holes that cross bands."""
     parts = parts_of(row, mask, BACKGROUND)
     hole = np.where(parts.shared, np.isin(parts.first, row["chosen"] or []), ~parts.frame)
     take = hole[parts.of_run]
@@ -200,50 +200,33 @@ def fill_block(row: dict, mask: np.ndarray) -> np.ndarray:
     return ((mask != 0) | (filled != 0)).astype(np.uint8)
 
 
-def fill_holes(masks: DataFrame) -> DataFrame:
+def area_test(row: dict, mask: np.ndarray, min_area: float) -> np.ndarray:
+    """0/1 mask of the components above ``min_area``; ``chosen`` lists those that cross bands."""
+    parts = parts_of(row, mask, FOREGROUND)
+    own = _area_per_part(row, mask, parts) > 2 * min_area
+    large = np.where(parts.shared, np.isin(parts.first, row["chosen"] or []), own)
+    take = large[parts.of_run]
+    return paint_runs(mask.shape, parts.y[take] - row["e0"], parts.x0[take], parts.x1[take])
+
+
+def fill_holes(masks: DataFrame, holes: DataFrame | None = None) -> DataFrame:
     """Fill every hole, as drawing all external contours filled does."""
 
     def fill(row: dict) -> dict:
         return geometry(row) | {"data": [(fill_block(row, block(row)) * np.uint8(255)).tobytes()]}
 
-    return map_rows(with_holes(masks, masks), fill, BANDS)
+    return map_rows(with_choice(masks, seam_holes(masks) if holes is None else holes), fill, BANDS)
 
 
 def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
     """Keep components whose contour area is above ``min_area``. Gives core rows only."""
-    twice = 2 * min_area
-    per_band = _across_bands(masks, FOREGROUND, f"area2 > {twice}", [F.sum("area2").alias("area2")])
 
     def keep(row: dict) -> dict:
         _halo_rows(row)
-        mask = block(row)
-        parts = parts_of(row, mask, FOREGROUND)
-        area2 = _area_per_part(row, mask, parts)
-        large = np.where(parts.shared, np.isin(parts.first, row["chosen"] or []), area2 > twice)
-        take = large[parts.of_run]
-        kept = paint_runs(mask.shape, parts.y[take] - row["e0"], parts.x0[take], parts.x1[take])
-        core = trim(row, kept) * np.uint8(255)
+        core = trim(row, area_test(row, block(row), min_area)) * np.uint8(255)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [core.tobytes()]}
 
-    return map_rows(_with_choice(masks, per_band), keep, BANDS)
-
-
-def components(masks: DataFrame) -> DataFrame:
-    """One row per connected component: first pixel, contour area, size, bounding box.
-
-    ``comp_id`` is the component's first pixel in row order, ``y * width + x``.
-    """
-    inside = F.size("anchors") == 0
-    crossing = band_components(masks.filter("bands > 1")).filter(~inside)
-    local = band_components(masks).filter(inside).withColumn("root", F.col("node"))
-    rooted = _rooted(crossing).unionByName(local)
-    return rooted.groupBy("image_id", "root").agg(
-        F.min("first").alias("comp_id"),
-        (F.sum("area2") / 2.0).alias("area"),
-        F.sum("n_pixels").alias("n_pixels"),
-        *[F.min(c).alias(c) for c in ("x0", "y0")],
-        *[F.max(c).alias(c) for c in ("x1", "y1")],
-    ).drop("root")
+    return map_rows(with_choice(masks, seam_large(masks, min_area)), keep, BANDS)
 
 
 def external_components(masks: DataFrame) -> DataFrame:

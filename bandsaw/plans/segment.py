@@ -1,0 +1,240 @@
+"""The segmentation job: images in, four artefacts, centres and status out."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bandsaw.operators import cluster
+from bandsaw.operators.bands import (
+    BANDS,
+    GEOMETRY,
+    GEOMETRY_NAMES,
+    at_frame,
+    block,
+    geometry,
+    map_rows,
+    shrink,
+    spread,
+    to_bands,
+    trim,
+    with_per_image,
+)
+from bandsaw.operators.components import (
+    MIN_AREA,
+    area_test,
+    fill_block,
+    fill_holes,
+    seam_holes,
+    seam_large,
+    with_choice,
+)
+from bandsaw.operators.kernels import dilate5, erode5, gaussian5, gray, lab, lab_to_bgr, nearest_centre
+from bandsaw.operators.neighborhood import threshold
+
+ROI_LEVEL = 127
+SELECTED_LEVEL = 1
+KINDS = ("original", "segmented_kmeans", "selected_cluster", "ground_truth_mask")
+
+
+def valid(images: DataFrame) -> DataFrame:
+    """Images that were decoded, with a channel count that can be normalised."""
+    return images.filter(decoded())
+
+
+def decoded():
+    size = F.col("height").cast("long") * F.col("width") * F.col("n_channels")
+    known = F.col("n_channels").isin(1, 3, 4)
+    return (F.col("height") > 0) & (F.col("width") > 0) & known & (F.length("data") == size)
+
+
+def roi_bands(bands: DataFrame, holes: DataFrame | None) -> DataFrame:
+    """Keep the pixels inside the filled outline of everything brighter than the level."""
+
+    def keep(row: dict) -> dict:
+        a = block(row)
+        inside = fill_block(row, gray(a) > ROI_LEVEL)
+        return geometry(row) | {"data": [(a * inside[..., None]).tobytes()]}
+
+    return map_rows(with_choice(bands, holes), keep, BANDS)
+
+
+def region_of_interest(bands: DataFrame) -> DataFrame:
+    """ROI masking as an operator of its own."""
+    return roi_bands(bands, seam_holes(threshold(bands, ROI_LEVEL)))
+
+
+def _prepared(bands: DataFrame, preprocess: bool) -> DataFrame:
+    """Bands with the original pixels and their L*a*b* values after ROI and blur."""
+    schema = BANDS + ", lab binary"
+
+    def plain(row: dict) -> dict:
+        a = block(row)
+        return geometry(row) | {"data": [row["data"]], "lab": [lab(a).tobytes()]}
+
+    def full(row: dict) -> dict:
+        a = block(row)
+        inside = fill_block(row, gray(a) > ROI_LEVEL)
+        out = shrink(row, 2)
+        blurred = gaussian5(a * inside[..., None], *at_frame(row))
+        kept = a[out["e0"] - row["e0"] : out["e1"] - row["e0"]]
+        return geometry(out) | {"data": [kept.tobytes()], "lab": [lab(blurred).tobytes()]}
+
+    if not preprocess:
+        return map_rows(bands.select(*GEOMETRY_NAMES, "data"), plain, schema)
+    holes = seam_holes(threshold(bands, ROI_LEVEL))
+    return map_rows(with_choice(bands, holes), full, schema)
+
+
+def _centres(row: dict, k: int) -> np.ndarray:
+    values = [row[f"k{i}_{j}"] for i in range(k) for j in range(3)]
+    return np.array([np.inf if v is None else v for v in values]).reshape(k, 3)
+
+
+def _selected(row: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and the selected cluster's original pixels, for all rows held."""
+    labels = nearest_centre(block(row, "lab"), _centres(row, k))
+    return labels, block(row) * (labels == row["best"])[..., None]
+
+
+def clean_mask(mask: np.ndarray, top: bool, bottom: bool) -> np.ndarray:
+    """Opening, then closing, of a 0/255 mask; uses eight halo rows."""
+    for step in (erode5, dilate5, dilate5, erode5):
+        mask = step(mask, top, bottom)
+    return mask
+
+
+def _closed(row: dict, selected: np.ndarray) -> tuple[dict, np.ndarray]:
+    mask = np.where(gray(selected) > SELECTED_LEVEL, np.uint8(255), np.uint8(0))
+    return shrink(row, 8), clean_mask(mask, *at_frame(row))
+
+
+def postprocess(bands: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
+    """Selected-cluster bands to the cleaned mask: open, close, fill, keep large components."""
+
+    def close(row: dict) -> dict:
+        out, mask = _closed(row, block(row))
+        return geometry(out) | {"data": [mask.tobytes()]}
+
+    closed = map_rows(bands.select(*GEOMETRY_NAMES, "data"), close, BANDS)
+    holes, large = _across_seams(closed, min_area)
+    return _finish(closed, holes, large, min_area)
+
+
+def _across_seams(closed: DataFrame, min_area: float) -> tuple[DataFrame | None, DataFrame | None]:
+    multi = closed.filter("bands > 1").persist(StorageLevel.MEMORY_AND_DISK)
+    holes = seam_holes(multi)
+    large = None if holes is None else seam_large(fill_holes(multi, holes), min_area)
+    multi.unpersist()
+    return holes, large
+
+
+def _with_seams(bands: DataFrame, holes: DataFrame | None, large: DataFrame | None) -> DataFrame:
+    return with_choice(with_choice(bands, holes, "holes"), large, "large")
+
+
+def _final(row: dict, closed: np.ndarray, min_area: float) -> np.ndarray:
+    """Filled mask of the large components, core rows, 0/255."""
+    filled = fill_block({**row, "chosen": row["holes"]}, closed)
+    kept = area_test({**row, "chosen": row["large"]}, filled, min_area)
+    return trim(row, kept) * np.uint8(255)
+
+
+def _finish(closed: DataFrame, holes: DataFrame | None, large: DataFrame | None, min_area: float) -> DataFrame:
+    def last(row: dict) -> dict:
+        mask = _final(row, block(row), min_area)
+        return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()]}
+
+    return map_rows(_with_seams(closed, holes, large), last, BANDS)
+
+
+@dataclass
+class Segmentation:
+    """Result of :func:`segment`.
+
+    ``bands``    geometry (core rows) and original, segmented, selected, mask
+    ``centres``  image_id, k{i}_{j}, converged, best
+    """
+
+    bands: DataFrame
+    centres: DataFrame
+    held: list[DataFrame]
+
+    def masks(self) -> DataFrame:
+        """The cleaned masks as bands."""
+        return self.bands.select(*GEOMETRY_NAMES, F.col("mask").alias("data"))
+
+    def artifacts(self) -> DataFrame:
+        """Four rows per band, one per kind."""
+        return artifact_rows(self.bands)
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+
+
+def artifact_rows(bands: DataFrame) -> DataFrame:
+    """Fan the four results of a band out into rows (kind, n_channels, content)."""
+    columns = zip(KINDS, ("original", "segmented", "selected", "mask"), (3, 3, 3, 1))
+    kinds = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("n_channels"), F.col(c).alias("content"))
+        for kind, c, n in columns
+    ]
+    rest = ["image_id", "band", "bands", "height", "width", "y0", "y1"]
+    return bands.select(*rest, F.explode(F.array(*kinds)).alias("a")).select(*rest, "a.*")
+
+
+def segment(
+    images: DataFrame,
+    k: int = 3,
+    band_rows: int | None = None,
+    preprocess: bool = True,
+    cluster_index: int | None = None,
+    as_bgr: bool = False,
+    min_area: float = MIN_AREA,
+    n_init: int = 20,
+    max_iter: int = 300,
+    partitions: int | None = None,
+) -> Segmentation:
+    """Segment every image of ``images`` (image_id, height, width, n_channels, data).
+
+    Pixel bytes are shuffled once, on (image, band). After that only small
+    tables move: hole lists of images with several bands, colour histograms and
+    centres. ``segmented`` holds truncated centres in L*a*b*, or converted back
+    with ``as_bgr``.
+    """
+    held = spread(to_bands(valid(images), band_rows), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = _prepared(held, preprocess).persist(StorageLevel.MEMORY_AND_DISK)
+    colours = cluster.band_histogram(ready, "lab").persist(StorageLevel.MEMORY_AND_DISK)
+    centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
+    if cluster_index is not None:
+        centres = centres.withColumn("best", F.lit(cluster_index))
+    centres = centres.persist(StorageLevel.MEMORY_AND_DISK)
+    placed = with_per_image(ready, centres.drop("converged"))
+
+    def close(row: dict) -> dict:
+        out, mask = _closed(row, _selected(row, k)[1])
+        return geometry(out) | {"data": [mask.tobytes()]}
+
+    holes, large = _across_seams(map_rows(placed.filter("bands > 1"), close, BANDS), min_area)
+
+    def finish(row: dict) -> dict:
+        labels, selected = _selected(row, k)
+        painted = np.floor(_centres(row, k)).clip(0, 255).astype(np.uint8)[trim(row, labels)]
+        if as_bgr:
+            painted = lab_to_bgr(painted)
+        out, closed = _closed(row, selected)
+        return geometry(row, e0=row["y0"], e1=row["y1"]) | {
+            "original": [trim(row, block(row)).tobytes()],
+            "segmented": [painted.tobytes()],
+            "selected": [trim(row, selected).tobytes()],
+            "mask": [_final(out, closed, min_area).tobytes()],
+        }
+
+    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary"
+    bands = map_rows(_with_seams(placed, holes, large), finish, schema)
+    return Segmentation(bands, centres, [held, ready, colours, centres])
