@@ -144,11 +144,19 @@ def cut_rows(image_id: int, pixels: np.ndarray, rows: int | None, halo: int) ->
     }
 
 
-def to_bands(images: DataFrame, rows: int | None = None, halo: int = HALO, as_gray: bool = False) -> DataFrame:
+def to_bands(
+    images: DataFrame,
+    rows: int | None = None,
+    halo: int = HALO,
+    as_gray: bool = False,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """Cut images into bands where they are decoded, without any shuffle.
 
     Channels are normalised on the way: gray is replicated to B, G, R and alpha
-    is dropped. ``as_gray`` gives one channel instead (mask files).
+    is dropped. ``as_gray`` gives one channel instead (mask files). ``carry``
+    names string columns of ``images`` to repeat on every band, which saves a
+    join of pixel data later.
     """
 
     def cut(row: dict) -> dict:
@@ -158,10 +166,15 @@ def to_bands(images: DataFrame, rows: int | None = None, halo: int = HALO, as_gr
             a = a[..., 0] if channels == 1 else gray(a[..., :3])
         else:
             a = np.repeat(a, 3, axis=2) if channels == 1 else a[..., :3]
-        return cut_rows(row["image_id"], a, rows, halo)
+        out = cut_rows(row["image_id"], a, rows, halo)
+        return out | {c: [row[c]] * len(out["band"]) for c in carry}
+
+    source = images.select("image_id", "height", "width", "n_channels", "data", *carry)
+    return map_rows(source, cut, BANDS + carried(carry))
 
-    source = images.select("image_id", "height", "width", "n_channels", "data")
-    return map_rows(source, cut, BANDS)
+
+def carried(carry: tuple[str, ...]) -> str:
+    return "".join(f", {c} string" for c in carry)
 
 
 def with_per_image(bands: DataFrame, per_image: DataFrame) -> DataFrame:
@@ -186,15 +199,21 @@ def spread(bands: DataFrame, partitions: int | None = None) -> DataFrame:
     return bands.repartition(partitions or shuffle_partitions(bands.sparkSession), *KEY)
 
 
-def map_block(bands: DataFrame, fn: Callable[[np.ndarray, bool, bool], np.ndarray], reach: int = 0) -> DataFrame:
+def map_block(
+    bands: DataFrame,
+    fn: Callable[[np.ndarray, bool, bool], np.ndarray],
+    reach: int = 0,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """Replace the pixels of every band by ``fn(block, top, bottom)``."""
 
     def step(row: dict) -> dict:
         out = shrink(row, reach)
         top, bottom = at_frame(row)
-        return geometry(out) | {"data": [fn(block(row), top, bottom).tobytes()]}
+        pixels = fn(block(row), top, bottom)
+        return geometry(out) | {"data": [pixels.tobytes()]} | {c: [row[c]] for c in carry}
 
-    return map_rows(bands.select(*GEOMETRY_NAMES, "data"), step, BANDS)
+    return map_rows(bands.select(*GEOMETRY_NAMES, "data", *carry), step, BANDS + carried(carry))
 
 
 def to_pixels(bands: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), column: str = "data") -> DataFrame:

@@ -229,6 +229,25 @@ def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
     return map_rows(with_choice(masks, seam_large(masks, min_area)), keep, BANDS)
 
 
+def components(masks: DataFrame) -> DataFrame:
+    """One row per connected component: first pixel, contour area, size, bounding box.
+
+    ``comp_id`` is the component's first pixel in row order, ``y * width + x``.
+    """
+    inside = F.size("anchors") == 0
+    local = band_components(masks).filter(inside).withColumn("root", F.col("node"))
+    multi = masks.filter("bands > 1")
+    if not multi.isEmpty():
+        local = local.unionByName(_rooted(band_components(multi).filter(~inside)))
+    return local.groupBy("image_id", "root").agg(
+        F.min("first").alias("comp_id"),
+        (F.sum("area2") / 2.0).alias("area"),
+        F.sum("n_pixels").alias("n_pixels"),
+        *[F.min(c).alias(c) for c in ("x0", "y0")],
+        *[F.max(c).alias(c) for c in ("x1", "y1")],
+    ).drop("root")
+
+
 def external_components(masks: DataFrame) -> DataFrame:
     """Components as external contours give them: holes are filled first."""
     return components(fill_holes(masks))

@@ -123,4 +123,5 @@ def rollup_summary(scored: DataFrame, by: str = "category") -> DataFrame:
 
 def sample_results(scored: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
     """A repeatable random sample of up to ``n`` results."""
-    return scored.orderBy(F.xxhash64(F.lit(seed), "image_id"), "image_id").limit(n)
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("image_id").cast("string")).cast("binary"))
+    return scored.orderBy(order, "image_id").limit(n)

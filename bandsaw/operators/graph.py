@@ -1,13 +1,17 @@
-"""Connected components of an edge table by alternating star contraction."""
+"""Connected components of edge tables: small graphs in groups, large ones by star contraction."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandsaw.operators.bands import map_rows
+from bandsaw.operators.kernels import smallest_index
 from bandsaw.session import cut_lineage
 
 SALTS = 8
+LOCAL_EDGES = 1 << 16
 
 
 def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
@@ -39,12 +43,11 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected_components(edges: DataFrame, key: str = "image_id") -> DataFrame:
-    """(key, node, root) for every node of ``edges`` (key, u, v).
+def star_components(edges: DataFrame, key: str = "image_id") -> DataFrame:
+    """Components by star contraction, for graphs of any size.
 
-    ``root`` is the smallest node of the component. Rounds grow with the
-    logarithm of the component size; each round is written to the shared folder,
-    so a lost executor costs one round at most.
+    Rounds grow with the logarithm of the component size; each round is written
+    to the shared folder, so a lost executor costs one round at most.
     """
     oriented = edges.select(key, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     stars = cut_lineage(oriented.filter("u <> v").distinct())
@@ -58,3 +61,34 @@ def connected_components(edges: DataFrame, key: str = "image_id") -> DataFrame:
     leaves = stars.select(key, F.col("u").alias("node"), F.col("v").alias("root"))
     centres = stars.select(key, F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return leaves.unionByName(centres)
+
+
+def _group_components(edges: DataFrame, key: str) -> DataFrame:
+    """Components of one small graph per key."""
+
+    def label(row: dict) -> dict:
+        nodes, ends = np.unique(np.array([row["u"], row["v"]]), return_inverse=True)
+        ends = ends.reshape(2, -1)
+        return {
+            key: np.full(nodes.size, row[key], np.int64),
+            "node": nodes,
+            "root": nodes[smallest_index(nodes.size, ends[0], ends[1])],
+        }
+
+    graphs = edges.groupBy(key).agg(F.collect_list("u").alias("u"), F.collect_list("v").alias("v"))
+    return map_rows(graphs, label, f"{key} bigint, node bigint, root bigint")
+
+
+def connected_components(edges: DataFrame, key: str = "image_id", local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """(key, node, root) for every node of ``edges`` (key, u, v); root is the smallest node.
+
+    A key with at most ``local_edges`` edges is one bounded group; larger graphs
+    go through star contraction.
+    """
+    edges = cut_lineage(edges.select(key, "u", "v"))
+    sizes = edges.groupBy(key).agg(F.count("*").alias("n"))
+    large = cut_lineage(sizes.filter(F.col("n") > local_edges).select(key))
+    if large.isEmpty():
+        return _group_components(edges, key)
+    small = _group_components(edges.join(large, key, "left_anti"), key)
+    return small.unionByName(star_components(edges.join(large, key, "left_semi"), key))

@@ -134,28 +134,17 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return y, x0, end - 1
 
 
-def label_runs(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, width: int, reach: int) -> np.ndarray:
-    """Component of each run, as the index of the component's first run.
-
-    ``reach`` is 1 when diagonal neighbours connect and 0 when they do not.
-    Overlapping runs of adjacent rows are found by binary search; labels then
-    shrink to the smallest index by hooking and pointer jumping.
-    """
-    label = np.arange(y.size)
-    stride = width + 4
-    first = np.searchsorted(y * stride + x1, (y + 1) * stride + x0 - reach)
-    last = np.searchsorted(y * stride + x0, (y + 1) * stride + x1 + reach, side="right")
-    degree = np.maximum(last - first, 0)
-    u = np.repeat(label, degree)
-    v = np.arange(degree.sum()) - np.repeat(np.cumsum(degree) - degree, degree) + np.repeat(first, degree)
+def smallest_index(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Per node 0..n-1 the smallest node connected to it, by hooking and pointer jumping."""
+    label = np.arange(n)
     while u.size:
         low = np.minimum(label[u], label[v])
         high = np.maximum(label[u], label[v])
-        open_edge = low != high
-        if not open_edge.any():
+        apart = low != high
+        if not apart.any():
             break
-        u, v = u[open_edge], v[open_edge]
-        np.minimum.at(label, high[open_edge], low[open_edge])
+        u, v = u[apart], v[apart]
+        np.minimum.at(label, high[apart], low[apart])
         while True:
             jumped = label[label]
             if (jumped == label).all():
@@ -164,6 +153,21 @@ def label_runs(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, width: int, reach:
     return label
 
 
+def label_runs(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, width: int, reach: int) -> np.ndarray:
+    """Component of each run, as the index of the component's first run.
+
+    ``reach`` is 1 when diagonal neighbours connect and 0 when they do not.
+    Overlapping runs of adjacent rows are found by binary search.
+    """
+    stride = width + 4
+    first = np.searchsorted(y * stride + x1, (y + 1) * stride + x0 - reach)
+    last = np.searchsorted(y * stride + x0, (y + 1) * stride + x1 + reach, side="right")
+    degree = np.maximum(last - first, 0)
+    upper = np.repeat(np.arange(y.size), degree)
+    lower = np.arange(degree.sum()) - np.repeat(np.cumsum(degree) - degree, degree) + np.repeat(first, degree)
+    return smallest_index(y.size, upper, lower)
+
+
 def paint_runs(shape: tuple[int, int], y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
     """The 0/1 mask that is set on the given runs."""
     rows, width = shape

@@ -16,6 +16,7 @@ from bandsaw.operators.bands import (
     GEOMETRY_NAMES,
     at_frame,
     block,
+    carried,
     geometry,
     map_rows,
     shrink,
@@ -38,6 +39,7 @@ from bandsaw.operators.neighborhood import threshold
 
 ROI_LEVEL = 127
 SELECTED_LEVEL = 1
+CARRY = ("category", "rel_path")
 KINDS = ("original", "segmented_kmeans", "selected_cluster", "ground_truth_mask")
 
 
@@ -68,26 +70,29 @@ def region_of_interest(bands: DataFrame) -> DataFrame:
     return roi_bands(bands, seam_holes(threshold(bands, ROI_LEVEL)))
 
 
-def _prepared(bands: DataFrame, preprocess: bool) -> DataFrame:
-    """Bands with the original pixels and their L*a*b* values after ROI and blur."""
-    schema = BANDS + ", lab binary"
+def _prepare(row: dict, preprocess: bool) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Geometry, original pixels and L*a*b* values after ROI masking and blur."""
+    a = block(row)
+    if not preprocess:
+        return row, a, lab(a)
+    inside = fill_block({**row, "chosen": row["roi_holes"]}, gray(a) > ROI_LEVEL)
+    out = shrink(row, 2)
+    blurred = gaussian5(a * inside[..., None], *at_frame(row))
+    return out, a[out["e0"] - row["e0"] : out["e1"] - row["e0"]], lab(blurred)
 
-    def plain(row: dict) -> dict:
-        a = block(row)
-        return geometry(row) | {"data": [row["data"]], "lab": [lab(a).tobytes()]}
 
-    def full(row: dict) -> dict:
-        a = block(row)
-        inside = fill_block(row, gray(a) > ROI_LEVEL)
-        out = shrink(row, 2)
-        blurred = gaussian5(a * inside[..., None], *at_frame(row))
-        kept = a[out["e0"] - row["e0"] : out["e1"] - row["e0"]]
-        return geometry(out) | {"data": [kept.tobytes()], "lab": [lab(blurred).tobytes()]}
+def preprocessed(bands: DataFrame, preprocess: bool = True) -> DataFrame:
+    """The L*a*b* bands that are clustered."""
+    holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
+    return _lab_bands(with_choice(bands, holes, "roi_holes"), preprocess)
 
-    if not preprocess:
-        return map_rows(bands.select(*GEOMETRY_NAMES, "data"), plain, schema)
-    holes = seam_holes(threshold(bands, ROI_LEVEL))
-    return map_rows(with_choice(bands, holes), full, schema)
+
+def _lab_bands(bands: DataFrame, preprocess: bool) -> DataFrame:
+    def step(row: dict) -> dict:
+        out, _, values = _prepare(row, preprocess)
+        return geometry(out) | {"data": [values.tobytes()]}
+
+    return map_rows(bands.select(*GEOMETRY_NAMES, "data", "roi_holes"), step, BANDS)
 
 
 def _centres(row: dict, k: int) -> np.ndarray:
@@ -95,10 +100,11 @@ def _centres(row: dict, k: int) -> np.ndarray:
     return np.array([np.inf if v is None else v for v in values]).reshape(k, 3)
 
 
-def _selected(row: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and the selected cluster's original pixels, for all rows held."""
-    labels = nearest_centre(block(row, "lab"), _centres(row, k))
-    return labels, block(row) * (labels == row["best"])[..., None]
+def _select(row: dict, preprocess: bool, k: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+    """Geometry, original pixels, labels, and the pixels of the chosen cluster."""
+    out, pixels, values = _prepare(row, preprocess)
+    labels = nearest_centre(values, _centres(row, k))
+    return out, pixels, labels, pixels * (labels == row["best"])[..., None]
 
 
 def clean_mask(mask: np.ndarray, top: bool, bottom: bool) -> np.ndarray:
@@ -126,6 +132,7 @@ def postprocess(bands: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
 
 
 def _across_seams(closed: DataFrame, min_area: float) -> tuple[DataFrame | None, DataFrame | None]:
+    """Hole and large-component lists of the images with several bands."""
     multi = closed.filter("bands > 1").persist(StorageLevel.MEMORY_AND_DISK)
     holes = seam_holes(multi)
     large = None if holes is None else seam_large(fill_holes(multi, holes), min_area)
@@ -156,12 +163,15 @@ def _finish(closed: DataFrame, holes: DataFrame | None, large: DataFrame | None,
 class Segmentation:
     """Result of :func:`segment`.
 
-    ``bands``    geometry (core rows) and original, segmented, selected, mask
+    ``bands``    geometry (core rows), original, segmented, selected, mask, and
+                 the category and rel_path of the image where it has them
     ``centres``  image_id, k{i}_{j}, converged, best
+    ``done``     image_id of the images that were segmented
     """
 
     bands: DataFrame
     centres: DataFrame
+    done: DataFrame
     held: list[DataFrame]
 
     def masks(self) -> DataFrame:
@@ -184,7 +194,7 @@ def artifact_rows(bands: DataFrame) -> DataFrame:
         F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("n_channels"), F.col(c).alias("content"))
         for kind, c, n in columns
     ]
-    rest = ["image_id", "band", "bands", "height", "width", "y0", "y1"]
+    rest = ["image_id", "band", "bands", "height", "width", "y0", "y1", *[c for c in CARRY if c in bands.columns]]
     return bands.select(*rest, F.explode(F.array(*kinds)).alias("a")).select(*rest, "a.*")
 
 
@@ -202,39 +212,47 @@ def segment(
 ) -> Segmentation:
     """Segment every image of ``images`` (image_id, height, width, n_channels, data).
 
-    Pixel bytes are shuffled once, on (image, band). After that only small
-    tables move: hole lists of images with several bands, colour histograms and
-    centres. ``segmented`` holds truncated centres in L*a*b*, or converted back
-    with ``as_bgr``.
+    Pixel bytes are shuffled once, on (image, band), and kept; everything that
+    follows reads those bands where they are. Only small tables move: hole lists
+    of images with several bands, colour histograms and centres. Region of
+    interest, blur and colour conversion run once for the histogram and once
+    more for the result, which is cheaper than storing them. ``segmented`` holds
+    truncated centres in L*a*b*, or converted back with ``as_bgr``.
     """
-    held = spread(to_bands(valid(images), band_rows), partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    ready = _prepared(held, preprocess).persist(StorageLevel.MEMORY_AND_DISK)
-    colours = cluster.band_histogram(ready, "lab").persist(StorageLevel.MEMORY_AND_DISK)
+    carry = tuple(c for c in CARRY if c in images.columns)
+    cut = to_bands(valid(images), band_rows, carry=carry)
+    held = spread(cut, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if preprocess else None
+    bands = with_choice(held, roi_holes, "roi_holes")
+    colours = cluster.band_histogram(_lab_bands(bands, preprocess)).persist(StorageLevel.MEMORY_AND_DISK)
     centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
     if cluster_index is not None:
         centres = centres.withColumn("best", F.lit(cluster_index))
     centres = centres.persist(StorageLevel.MEMORY_AND_DISK)
-    placed = with_per_image(ready, centres.drop("converged"))
+    placed = with_per_image(bands, centres.drop("converged"))
 
     def close(row: dict) -> dict:
-        out, mask = _closed(row, _selected(row, k)[1])
+        out, _, _, selected = _select(row, preprocess, k)
+        out, mask = _closed(out, selected)
         return geometry(out) | {"data": [mask.tobytes()]}
 
     holes, large = _across_seams(map_rows(placed.filter("bands > 1"), close, BANDS), min_area)
 
     def finish(row: dict) -> dict:
-        labels, selected = _selected(row, k)
-        painted = np.floor(_centres(row, k)).clip(0, 255).astype(np.uint8)[trim(row, labels)]
+        out, pixels, labels, selected = _select(row, preprocess, k)
+        painted = np.floor(_centres(row, k)).clip(0, 255).astype(np.uint8)[trim(out, labels)]
         if as_bgr:
             painted = lab_to_bgr(painted)
-        out, closed = _closed(row, selected)
+        narrow, closed = _closed(out, selected)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {
-            "original": [trim(row, block(row)).tobytes()],
+            "original": [trim(out, pixels).tobytes()],
             "segmented": [painted.tobytes()],
-            "selected": [trim(row, selected).tobytes()],
-            "mask": [_final(out, closed, min_area).tobytes()],
+            "selected": [trim(out, selected).tobytes()],
+            "mask": [_final(narrow, closed, min_area).tobytes()],
+            **{c: [row[c]] for c in carry},
         }
 
-    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary"
-    bands = map_rows(_with_seams(placed, holes, large), finish, schema)
-    return Segmentation(bands, centres, [held, ready, colours, centres])
+    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary" + carried(carry)
+    result = map_rows(_with_seams(placed, holes, large), finish, schema)
+    done = held.filter("band = 0").select("image_id")
+    return Segmentation(result, centres, done, [held, colours, centres])

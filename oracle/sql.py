@@ -406,7 +406,7 @@ def resize_steps(name: str, height: int, width: int, method: str) -> str:
         f"{name}_cols",
         f"SELECT s.image_id, s.y, t.t AS x, {clip('b')}, {clip('g')}, {clip('r')} FROM px s JOIN {name}_tx t ON t.s = s.x GROUP BY ALL",
     )
-    return compose(
+    return (
         f"""SELECT s.image_id, CAST(t.t AS INT) AS y, CAST(s.x AS INT) AS x, {clip('b')}, {clip('g')}, {clip('r')}
 FROM {name}_cols s JOIN {name}_ty t ON t.s = s.y GROUP BY ALL"""
     )
