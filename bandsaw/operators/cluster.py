@@ -289,7 +289,9 @@ def kmeans_groups(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: i
         values = [None if np.isnan(v) else float(v) for v in centres.ravel()]
         return {"image_id": [row["image_id"]]} | {n: [v] for n, v in zip(names, values)} | {"converged": [converged]}
 
-    packed = colours.groupBy("image_id").agg(
+    # an explicit count, because little data here means much work per row
+    placed = colours.repartition(shuffle_partitions(colours.sparkSession), "image_id")
+    packed = placed.groupBy("image_id").agg(
         F.collect_list(_packed()).alias("packed"), F.collect_list("w").alias("w")
     )
     schema = "image_id bigint, " + ", ".join(f"{n} double" for n in names) + ", converged boolean"
@@ -308,10 +310,11 @@ def kmeans(
     if k < 2:
         raise ValueError("k must be at least 2")
     sizes = colours.groupBy("image_id").agg(F.count("*").alias("n"))
-    large = cut_lineage(sizes.filter(F.col("n") > local_colours).select("image_id"))
+    large = sizes.filter(F.col("n") > local_colours).select("image_id")
     settings = (k, max_iter, n_init, seed)
     if large.isEmpty():
         return kmeans_groups(colours, *settings)
+    large = cut_lineage(large)
     by_groups = kmeans_groups(colours.join(large, "image_id", "left_anti"), *settings)
     by_rounds = kmeans_rounds(colours.join(large, "image_id", "left_semi"), *settings)
     return by_groups.unionByName(by_rounds)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, KEY, block, geometry, map_rows, trim
+from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, KEY, block, geometry, map_rows, spread, trim
 from bandsaw.operators.graph import connected_components, salted_lookup
 from bandsaw.operators.kernels import corner_area, label_runs, paint_runs, runs
 from bandsaw.session import cut_lineage
@@ -156,15 +156,19 @@ def _rooted(parts: DataFrame) -> DataFrame:
     return joined.withColumn("root", F.coalesce("root", "node"))
 
 
+def has_seams(bands: DataFrame) -> bool:
+    """Does any image have more than one band?"""
+    return not bands.filter("bands > 1").isEmpty()
+
+
 def _across_bands(masks: DataFrame, value: int, keep: str, aggregates: list) -> DataFrame | None:
     """Per band, the ``first`` pixels of shared components that satisfy ``keep``.
 
     ``None`` when no image has more than one band.
     """
-    multi = masks.filter("bands > 1")
-    if multi.isEmpty():
+    if not has_seams(masks):
         return None
-    parts = band_components(multi, value).filter(F.size("anchors") > 0).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = band_components(masks.filter("bands > 1"), value).filter(F.size("anchors") > 0).persist(StorageLevel.MEMORY_AND_DISK)
     rooted = _rooted(parts)
     whole = rooted.groupBy("image_id", "root").agg(*aggregates).filter(keep)
     nodes = rooted.select("image_id", "band", "first", "root")
@@ -210,12 +214,18 @@ def area_test(row: dict, mask: np.ndarray, min_area: float) -> np.ndarray:
 
 
 def fill_holes(masks: DataFrame, holes: DataFrame | None = None) -> DataFrame:
-    """Fill every hole, as drawing all external contours filled does."""
+    """Fill every hole, as drawing all external contours filled does.
+
+    With ``holes`` given, ``masks`` should be spread on (image, band) already.
+    """
 
     def fill(row: dict) -> dict:
         return geometry(row) | {"data": [(fill_block(row, block(row)) * np.uint8(255)).tobytes()]}
 
-    return map_rows(with_choice(masks, seam_holes(masks) if holes is None else holes), fill, BANDS)
+    if holes is None:
+        holes = seam_holes(masks)
+        masks = masks if holes is None else spread(masks)
+    return map_rows(with_choice(masks, holes), fill, BANDS)
 
 
 def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
@@ -226,7 +236,8 @@ def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
         core = trim(row, area_test(row, block(row), min_area)) * np.uint8(255)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [core.tobytes()]}
 
-    return map_rows(with_choice(masks, seam_large(masks, min_area)), keep, BANDS)
+    large = seam_large(masks, min_area)
+    return map_rows(with_choice(masks if large is None else spread(masks), large), keep, BANDS)
 
 
 def components(masks: DataFrame) -> DataFrame:
@@ -236,9 +247,8 @@ def components(masks: DataFrame) -> DataFrame:
     """
     inside = F.size("anchors") == 0
     local = band_components(masks).filter(inside).withColumn("root", F.col("node"))
-    multi = masks.filter("bands > 1")
-    if not multi.isEmpty():
-        local = local.unionByName(_rooted(band_components(multi).filter(~inside)))
+    if has_seams(masks):
+        local = local.unionByName(_rooted(band_components(masks.filter("bands > 1")).filter(~inside)))
     return local.groupBy("image_id", "root").agg(
         F.min("first").alias("comp_id"),
         (F.sum("area2") / 2.0).alias("area"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,18 +69,26 @@ def _paired(predicted: DataFrame, truth: DataFrame) -> DataFrame:
     return joined.drop("t_height", "t_width", "t_y0", "t_y1")
 
 
-def confusion_of_masks(predicted: DataFrame, truth: DataFrame, rows: int | None = None) -> DataFrame:
+def confusion_of_masks(
+    predicted: DataFrame, truth: DataFrame, rows: int | None = None, sizes: DataFrame | None = None
+) -> DataFrame:
     """Counts per image from mask bands.
 
     Bands of equal images are cut alike and meet on (image, band). Predictions
     whose size differs from their true mask are resized to it first (nearest).
+    ``sizes`` (image_id, height, width of the predictions) saves a pass.
     """
     shape = ["image_id", "height", "width"]
-    sizes = truth.filter("band = 0").select(*shape)
-    own = predicted.filter("band = 0").select(*shape)
-    odd = cut_lineage(sizes.join(own, shape, "left_anti").join(own.select("image_id"), "image_id", "left_semi"))
+    truth = truth.persist(StorageLevel.MEMORY_AND_DISK)
+    if sizes is None:
+        predicted = predicted.persist(StorageLevel.MEMORY_AND_DISK)
+        sizes = predicted.filter("band = 0").select(*shape)
+    wanted = truth.filter("band = 0").select(*shape)
+    known = sizes.select("image_id", F.col("height").alias("p_height"), F.col("width").alias("p_width"))
+    odd = wanted.join(known, "image_id").filter("height <> p_height OR width <> p_width").select(*shape)
     if odd.isEmpty():
         return _band_counts(_paired(predicted, truth))
+    odd = cut_lineage(odd)
     odd_ids = odd.select("image_id")
     equal = _band_counts(_paired(predicted, truth.join(odd_ids, "image_id", "left_anti")))
     resized = resize_to(predicted.join(odd_ids, "image_id", "left_semi"), odd, "nearest", rows, channels=1)

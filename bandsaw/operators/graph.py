@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,10 +86,11 @@ def connected_components(edges: DataFrame, key: str = "image_id", local_edges: i
     A key with at most ``local_edges`` edges is one bounded group; larger graphs
     go through star contraction.
     """
-    edges = cut_lineage(edges.select(key, "u", "v"))
+    edges = edges.select(key, "u", "v").persist(StorageLevel.MEMORY_AND_DISK)
     sizes = edges.groupBy(key).agg(F.count("*").alias("n"))
-    large = cut_lineage(sizes.filter(F.col("n") > local_edges).select(key))
+    large = sizes.filter(F.col("n") > local_edges).select(key)
     if large.isEmpty():
         return _group_components(edges, key)
+    large = cut_lineage(large)
     small = _group_components(edges.join(large, key, "left_anti"), key)
     return small.unionByName(star_components(edges.join(large, key, "left_semi"), key))

@@ -44,7 +44,7 @@ def evaluate_dataset(spark: SparkSession, source: str, named_set: str = "images"
     images, masks = read_labelled(spark, source, named_set)
     result = segment(images, **options)
     truth = to_bands(valid(masks), options.get("band_rows"), as_gray=True)
-    scored = score(confusion_of_masks(result.masks(), truth, options.get("band_rows")))
+    scored = score(confusion_of_masks(result.masks, truth, options.get("band_rows"), result.done))
     files = list_files(spark, source, named_set=named_set)
     return scored.join(files.select(F.xxhash64("rel_path").alias("image_id"), "category"), "image_id")
 

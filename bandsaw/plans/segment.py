@@ -30,6 +30,7 @@ from bandsaw.operators.components import (
     area_test,
     fill_block,
     fill_holes,
+    has_seams,
     seam_holes,
     seam_large,
     with_choice,
@@ -67,7 +68,8 @@ def roi_bands(bands: DataFrame, holes: DataFrame | None) -> DataFrame:
 
 def region_of_interest(bands: DataFrame) -> DataFrame:
     """ROI masking as an operator of its own."""
-    return roi_bands(bands, seam_holes(threshold(bands, ROI_LEVEL)))
+    holes = seam_holes(threshold(bands, ROI_LEVEL))
+    return roi_bands(bands if holes is None else spread(bands), holes)
 
 
 def _prepare(row: dict, preprocess: bool) -> tuple[dict, np.ndarray, np.ndarray]:
@@ -84,6 +86,7 @@ def _prepare(row: dict, preprocess: bool) -> tuple[dict, np.ndarray, np.ndarray]
 def preprocessed(bands: DataFrame, preprocess: bool = True) -> DataFrame:
     """The L*a*b* bands that are clustered."""
     holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
+    bands = bands if holes is None else spread(bands)
     return _lab_bands(with_choice(bands, holes, "roi_holes"), preprocess)
 
 
@@ -126,17 +129,21 @@ def postprocess(bands: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
         out, mask = _closed(row, block(row))
         return geometry(out) | {"data": [mask.tobytes()]}
 
-    closed = map_rows(bands.select(*GEOMETRY_NAMES, "data"), close, BANDS)
+    closed = spread(map_rows(bands.select(*GEOMETRY_NAMES, "data"), close, BANDS))
+    closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
     holes, large = _across_seams(closed, min_area)
     return _finish(closed, holes, large, min_area)
 
 
 def _across_seams(closed: DataFrame, min_area: float) -> tuple[DataFrame | None, DataFrame | None]:
-    """Hole and large-component lists of the images with several bands."""
-    multi = closed.filter("bands > 1").persist(StorageLevel.MEMORY_AND_DISK)
+    """Hole and large-component lists of the images with several bands; ``closed`` is kept and spread."""
+    if not has_seams(closed):
+        return None, None
+    multi = closed.filter("bands > 1")
     holes = seam_holes(multi)
-    large = None if holes is None else seam_large(fill_holes(multi, holes), min_area)
-    multi.unpersist()
+    filled = fill_holes(multi, holes).persist(StorageLevel.MEMORY_AND_DISK)
+    large = seam_large(filled, min_area)
+    filled.unpersist()
     return holes, large
 
 
@@ -165,19 +172,17 @@ class Segmentation:
 
     ``bands``    geometry (core rows), original, segmented, selected, mask, and
                  the category and rel_path of the image where it has them
+    ``masks``    the cleaned masks alone, as bands
     ``centres``  image_id, k{i}_{j}, converged, best
-    ``done``     image_id of the images that were segmented
+    ``done``     image_id, height, width of the images that were segmented
     """
 
     bands: DataFrame
+    masks: DataFrame
     centres: DataFrame
     done: DataFrame
     held: list[DataFrame]
 
-    def masks(self) -> DataFrame:
-        """The cleaned masks as bands."""
-        return self.bands.select(*GEOMETRY_NAMES, F.col("mask").alias("data"))
-
     def artifacts(self) -> DataFrame:
         """Four rows per band, one per kind."""
         return artifact_rows(self.bands)
@@ -222,7 +227,8 @@ def segment(
     carry = tuple(c for c in CARRY if c in images.columns)
     cut = to_bands(valid(images), band_rows, carry=carry)
     held = spread(cut, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if preprocess else None
+    seams = has_seams(held)
+    roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if seams and preprocess else None
     bands = with_choice(held, roi_holes, "roi_holes")
     colours = cluster.band_histogram(_lab_bands(bands, preprocess)).persist(StorageLevel.MEMORY_AND_DISK)
     centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
@@ -236,7 +242,12 @@ def segment(
         out, mask = _closed(out, selected)
         return geometry(out) | {"data": [mask.tobytes()]}
 
-    holes, large = _across_seams(map_rows(placed.filter("bands > 1"), close, BANDS), min_area)
+    holes = large = None
+    if seams:
+        closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS), partitions)
+        closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
+        holes, large = _across_seams(closed, min_area)
+        closed.unpersist()
 
     def finish(row: dict) -> dict:
         out, pixels, labels, selected = _select(row, preprocess, k)
@@ -252,7 +263,14 @@ def segment(
             **{c: [row[c]] for c in carry},
         }
 
+    def finish_mask(row: dict) -> dict:
+        narrow, closed = _closed(*_select(row, preprocess, k)[::3])
+        mask = _final(narrow, closed, min_area)
+        return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()]}
+
     schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary" + carried(carry)
-    result = map_rows(_with_seams(placed, holes, large), finish, schema)
-    done = held.filter("band = 0").select("image_id")
-    return Segmentation(result, centres, done, [held, colours, centres])
+    ready = _with_seams(placed, holes, large)
+    done = held.filter("band = 0").select("image_id", "height", "width")
+    return Segmentation(
+        map_rows(ready, finish, schema), map_rows(ready, finish_mask, BANDS), centres, done, [held, colours, centres]
+    )

@@ -619,7 +619,7 @@ def sample_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_scores(spark: SparkSession, sf_dir: str, rows: int | None) -> DataFrame:
     result = segment(fixture_images(spark, sf_dir), band_rows=rows)
     truth = to_bands(fixture_masks(spark, sf_dir), rows, as_gray=True)
-    return evaluate.score(evaluate.confusion_of_masks(result.masks(), truth, rows))
+    return evaluate.score(evaluate.confusion_of_masks(result.masks, truth, rows, result.done))
 
 
 PIPELINE = f"SELECT tp, fp, fn, tn, same_raw, {SCORE} FROM final_scores"
