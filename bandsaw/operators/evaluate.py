@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandsaw.functions import scores
-from bandsaw.operators.bands import GEOMETRY_NAMES, KEY, block, map_rows, recut, trim
+from bandsaw.operators.bands import GEOMETRY_NAMES, KEY, block, map_rows, recut, spread, trim
 from bandsaw.operators.resize import resize_to
 from bandsaw.session import cut_lineage
 
@@ -65,7 +65,8 @@ def _paired(predicted: DataFrame, truth: DataFrame) -> DataFrame:
     )
     same = (F.col("height") == F.col("t_height")) & (F.col("width") == F.col("t_width"))
     aligned = same & (F.col("y0") == F.col("t_y0")) & (F.col("y1") == F.col("t_y1"))
-    joined = predicted.select(*GEOMETRY_NAMES, "data").join(other, KEY).filter(aligned)
+    # both sides hold pixel bytes: a merge join spills, and it keeps the plan from starting over
+    joined = predicted.select(*GEOMETRY_NAMES, "data").join(other.hint("merge"), KEY).filter(aligned)
     return joined.drop("t_height", "t_width", "t_y0", "t_y1")
 
 
@@ -79,7 +80,7 @@ def confusion_of_masks(
     ``sizes`` (image_id, height, width of the predictions) saves a pass.
     """
     shape = ["image_id", "height", "width"]
-    truth = truth.persist(StorageLevel.MEMORY_AND_DISK)
+    truth = spread(truth).persist(StorageLevel.MEMORY_AND_DISK)
     if sizes is None:
         predicted = predicted.persist(StorageLevel.MEMORY_AND_DISK)
         sizes = predicted.filter("band = 0").select(*shape)

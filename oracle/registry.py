@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from bandsaw.functions import paths, scores
 from bandsaw.functions import pixels as px
 from bandsaw.operators import cluster, components, evaluate, naming, neighborhood, resize
-from bandsaw.operators.bands import from_pixels, recut, to_bands, to_pixels
+from bandsaw.operators.bands import from_pixels, map_rows, recut, to_bands, to_pixels
+from bandsaw.plans import jobs
 from bandsaw.plans.segment import artifact_rows, postprocess, preprocessed, region_of_interest, segment
+from bandsaw.sources.artifacts import ingest_images, status_summary
+from bandsaw.sources.files import append_manifest, list_files, read_manifest
+from bandsaw.sources.images import read_images
 from oracle import sql as O
+from oracle import trees
 from oracle.images import SIDE, category_of, fixture_images, fixture_masks
 from oracle.listing import LISTING, ROOT, fixture_files
 
@@ -246,8 +251,6 @@ def pixels_to_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def normalise_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gray files become three channels; a fourth channel is dropped."""
-    from bandsaw.operators.bands import map_rows
-
     def add_alpha(row: dict) -> dict:
         import numpy as np
 
@@ -662,8 +665,6 @@ UNION ALL SELECT image_id, 'ground_truth_mask', 1, 4096, CAST(sum(m) AS BIGINT)
 )
 def artifacts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four artefacts per image with size and sum of values."""
-    from bandsaw.operators.bands import map_rows
-
     def total(row: dict) -> dict:
         import numpy as np
 
@@ -674,3 +675,109 @@ def artifacts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = artifact_rows(segmented(spark, sf_dir, None))
     schema = "image_id bigint, kind string, n_channels int, bytes int, total bigint"
     return map_rows(rows.select("image_id", "kind", "n_channels", "content"), total, schema)
+
+
+# --- files ----------------------------------------------------------------------------------
+FILE_NAME = f"concat({O.CATEGORY}, '/scan ', image_id, '.png')"
+
+
+@register("png_roundtrip", f"SELECT {FILE_NAME} AS rel_path, y, x, b, g, r FROM px")
+def png_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All images written as PNG files, read back and decoded by the image source."""
+    images = read_images(spark, trees.write_tree(spark, sf_dir))
+    pixels = to_pixels(to_bands(images, ROWS))
+    return pixels.join(images.select("image_id", "rel_path"), "image_id").drop("image_id")
+
+
+@register(
+    "file_listing",
+    f"SELECT {FILE_NAME} AS rel_path, {O.CATEGORY} AS category, concat('scan ', image_id) AS stem, '.png' AS ext FROM (SELECT DISTINCT image_id FROM px)",
+)
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive listing of a tree of files, without content."""
+    root = trees.write_tree(spark, sf_dir)
+    return list_files(spark, root, named_set="images").select("rel_path", "category", "stem", "ext")
+
+
+@register(
+    "ingest",
+    f"SELECT {O.CATEGORY} AS category, count(*) AS n FROM (SELECT DISTINCT image_id FROM px) GROUP BY ALL",
+)
+def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy a tree of files into a table partitioned by class."""
+    table = ingest_images(spark, trees.write_tree(spark, sf_dir), trees.new_folder(spark))
+    return table.filter(F.length("content") == F.col("length")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@register(
+    "status_summary",
+    """SELECT CASE WHEN image_id % 10 = 0 THEN 'decode' ELSE 'write' END AS stage, image_id % 10 <> 0 AS ok, count(*) AS n
+FROM (SELECT DISTINCT image_id FROM px) GROUP BY ALL""",
+)
+def status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segmentation job over files of which every tenth is damaged."""
+    source = trees.write_damaged_tree(spark, sf_dir)
+    return status_summary(jobs.segment_dataset(spark, source, trees.new_folder(spark)))
+
+
+@register(
+    "dataset_artifacts",
+    f"""SELECT {O.CATEGORY} AS category, kind, count(*) AS n FROM (SELECT DISTINCT image_id FROM px),
+(VALUES ('original'), ('segmented_kmeans'), ('selected_cluster'), ('ground_truth_mask')) AS k(kind) GROUP BY ALL""",
+)
+def dataset_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment a tree of files, write the artefacts as PNG files, and list those."""
+    target = trees.new_folder(spark)
+    jobs.segment_dataset(spark, trees.write_tree(spark, sf_dir), target, as_files=True)
+    files = list_files(spark, f"{target}/files", named_set="images")
+    kind = F.regexp_extract("stem", "^scan [0-9]+_(.*)$", 1).alias("kind")
+    return files.groupBy("category", kind).agg(F.count("*").alias("n"))
+
+
+@register(
+    "evaluate_files",
+    f"""SELECT {O.CATEGORY} AS category, tp, fp, fn, tn, iou, dice, "precision", recall, pixel_accuracy
+FROM final_scores WHERE image_id % 7 <> 0""",
+)
+def evaluate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment a labelled tree of files and score it; images without a mask are left out."""
+    scored = jobs.evaluate_dataset(spark, trees.write_labelled_tree(spark, sf_dir))
+    return scored.drop("image_id", "same_raw", "pixel_accuracy_raw")
+
+
+@register("grayscale_files", f"SELECT concat('processed_scan ', image_id, '.png') AS name, CAST(sum(v) AS BIGINT) AS total FROM grays WHERE image_id % 10 <> 0 GROUP BY image_id")
+def grayscale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grayscale job over a flat directory with damaged files."""
+    table = jobs.grayscale_dataset(spark, trees.write_damaged_tree(spark, sf_dir), trees.new_folder(spark))
+    return byte_totals(table)
+
+
+O.step("rz_job_px", O.resize_steps("rz_job", 32, 32, "bicubic"))
+
+
+@register(
+    "resize_files",
+    f"""SELECT concat('resized_scan ', image_id, '.png') AS name, CAST(sum(b + g + r) AS BIGINT) AS total FROM rz_job_px
+WHERE image_id IN (SELECT CAST(s_suppkey AS BIGINT) FROM supplier WHERE s_acctbal > 0) GROUP BY image_id""",
+)
+def resize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resize job over the files that a manifest names (suppliers in credit)."""
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_acctbal > 0")
+    manifest = supplier.select(
+        F.col("s_name").alias("old_name"), F.format_string("scan %d.png", "s_suppkey").alias("new_name")
+    )
+    folder = trees.new_folder(spark)
+    append_manifest(manifest, folder)
+    named = read_manifest(spark, folder)
+    source = trees.write_tree(spark, sf_dir)
+    return byte_totals(jobs.resize_dataset(spark, source, trees.new_folder(spark), 32, 32, manifest=named))
+
+
+def byte_totals(table: DataFrame) -> DataFrame:
+    def total(row: dict) -> dict:
+        import numpy as np
+
+        return {"name": [row["name"]], "total": [int(np.frombuffer(row["content"], np.uint8).sum())]}
+
+    sums = map_rows(table.select("name", "content"), total, "name string, total bigint")
+    return sums.groupBy("name").agg(F.sum("total").alias("total"))
