@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, KEY, block, geometry, map_rows, spread, trim
-from bandsaw.operators.graph import connected_components, salted_lookup
+from bandsaw.operators.graph import connected_components
 from bandsaw.operators.kernels import corner_area, label_runs, paint_runs, runs
+from bandsaw.operators.skew import salted_lookup
 from bandsaw.session import cut_lineage
 
 FOREGROUND, BACKGROUND = 1, 0
@@ -292,7 +293,7 @@ def runs_from_pixels(pixels: DataFrame, flag: str) -> DataFrame:
     return grouped.agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("island")
 
 
-def touching_runs(run_rows: DataFrame, reach: int = 1, bucket: int = 256) -> DataFrame:
+def touching_runs(run_rows: DataFrame, reach: int = 1, bucket: int = 16) -> DataFrame:
     """Pairs of foreground runs in adjacent rows that touch.
 
     Runs are spread over x buckets first, so a crowded row never pairs all its

@@ -9,22 +9,12 @@ from pyspark.sql import functions as F
 
 from bandsaw.operators.bands import map_rows
 from bandsaw.operators.kernels import smallest_index
+from bandsaw.operators.skew import salted_lookup
 from bandsaw.session import cut_lineage
 
-SALTS = 8
 LOCAL_EDGES = 1 << 16
 
 
-def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
-    """Join ``rows`` to the one-row-per-key ``table`` when one key may own most rows.
-
-    Rows get a salt from the column ``spread``; the table is repeated per salt.
-    """
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "salt"], how).drop("salt")
-
-
 def _large_star(edges: DataFrame, key: str) -> DataFrame:
     both = edges.unionByName(edges.select(key, F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy(key, "u").agg(F.least(F.col("u"), F.min("v")).alias("m"))

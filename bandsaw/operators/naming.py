@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bandsaw.functions import paths
+from bandsaw.operators.skew import salted_lookup, semi_join
 from bandsaw.session import cut_lineage, shuffle_partitions
 
 _INDEX_BITS = 33  # of monotonically_increasing_id
@@ -55,7 +56,8 @@ def clean_names(files: DataFrame) -> DataFrame:
     """(path, clean_path, collides): spaces become underscores, in directories too."""
     cleaned = files.select("path", paths.underscored(F.col("path")).alias("clean_path"))
     taken = cleaned.groupBy("clean_path").agg(F.count("*").alias("n")).filter("n > 1")
-    joined = cleaned.join(taken.select("clean_path", F.lit(True).alias("hit")), "clean_path", "left")
+    hits = taken.select("clean_path", F.lit(True).alias("hit"))
+    joined = salted_lookup(cleaned, hits, ["clean_path"], "path", "left")
     return joined.select("path", "clean_path", F.coalesce("hit", F.lit(False)).alias("collides"))
 
 
@@ -88,12 +90,12 @@ def images_without_mask(files: DataFrame, root: str, named_set: str = "images")
 def in_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files whose name the manifest lists as a new name.
 
-    Names are joined as a set; Spark broadcasts it when it is small and splits
-    skewed names otherwise.
+    Many directories may hold a file of the same name, so frequent names are
+    handled apart.
     """
     wanted = manifest.select(F.col("new_name").alias("name")).distinct()
     named = files.withColumn("name", paths.file_name(F.col("path")))
-    return named.join(wanted, "name", "left_semi").drop("name")
+    return semi_join(named, wanted, "name").drop("name")
 
 
 def listing_summary(files: DataFrame, root: str) -> DataFrame:

@@ -62,7 +62,7 @@ def grayscale_dataset(spark: SparkSession, source: str, target: str, named_set:
         }
     )
     write_artifacts(rows, target)
-    return spark.read.parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
 
 
 def resize_dataset(
@@ -90,5 +90,6 @@ def resize_dataset(
         paths.prefixed(F.col("rel_path"), "resized").alias("name"),
     )
     rows = bands.drop("e0", "e1").withColumnRenamed("data", "content").join(names, "image_id")
-    write_artifacts(rows.withColumns({"kind": F.lit("resized"), "n_channels": F.lit(3)}), target)
-    return spark.read.parquet(target)
+    rows = rows.withColumns({"kind": F.lit("resized"), "n_channels": F.lit(3)})
+    write_artifacts(rows, target)
+    return spark.read.schema(rows.schema).parquet(target)

@@ -42,7 +42,7 @@ def ingest_images(spark: SparkSession, source: str, target: str, named_set: str
     files = read_files(spark, source, named_set=named_set)
     kept = files.select("path", "rel_path", "category", "stem", "ext", "modificationTime", "length", "content")
     kept.write.mode("overwrite").partitionBy("category").parquet(target)
-    return spark.read.parquet(target)
+    return spark.read.schema(kept.schema).parquet(target)  # no files are written for no rows
 
 
 def file_rows(artifacts: DataFrame) -> DataFrame:

@@ -349,7 +349,7 @@ def runs_from_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 ON a.image_id = b.image_id AND b.y = a.y + 1 AND b.x0 <= a.x1 + 1 AND b.x1 >= a.x0 - 1 WHERE a.v = 1 AND b.v = 1""",
 )
 def touching_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components.touching_runs(components.run_table(bright_of(spark, sf_dir)), bucket=16)
+    return components.touching_runs(components.run_table(bright_of(spark, sf_dir)))
 
 
 COMPONENT = "image_id, comp_id, area, n_pixels, x0, y0, x1, y1"
