@@ -45,21 +45,37 @@ def _lab_colours(b: np.ndarray, g: np.ndarray, r: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(lab + 0.5), 0, 255).astype(np.uint8)
 
 
+class PerTask(dict):
+    """A cache that travels empty, so that a job never carries the driver's entries."""
+
+    def __reduce__(self):
+        return PerTask, ()
+
+
+_SCRATCH = PerTask()
+
+
+def _colour_table() -> np.ndarray:
+    """Scratch space with one entry per colour; entries are written before they are read."""
+    if "colours" not in _SCRATCH:
+        _SCRATCH["colours"] = np.empty(1 << 24, np.int32)
+    return _SCRATCH["colours"]
+
+
 def _distinct_colours(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct packed colours of a block and, per pixel, the index of its colour."""
-    packed = block[..., 0].astype(np.uint32) << 16
-    packed |= block[..., 1].astype(np.uint32) << 8
-    packed |= block[..., 2]
-    flat = packed.ravel()
-    if flat.size < 65536:
-        return np.unique(flat, return_inverse=True)
-    # A presence table beats sorting once there are more pixels than a few thousand.
-    seen = np.zeros(1 << 24, np.bool_)
-    seen[flat] = True
-    colours = np.flatnonzero(seen).astype(np.uint32)
-    position = np.empty(1 << 24, np.int32)
-    position[colours] = np.arange(colours.size, dtype=np.int32)
-    return colours, position[flat]
+    """Sorted distinct packed colours of a block and, per pixel, the index of its colour.
+
+    Each colour keeps the last pixel that has it, which picks one pixel per
+    colour without sorting the pixels.
+    """
+    flat = block[..., 0].astype(np.int32).ravel() << 16
+    flat |= block[..., 1].astype(np.int32).ravel() << 8
+    flat |= block[..., 2].ravel()
+    table, index = _colour_table(), np.arange(flat.size, dtype=np.int32)
+    table[flat] = index
+    colours = np.sort(flat[table[flat] == index])
+    table[colours] = np.arange(colours.size, dtype=np.int32)
+    return colours, table[flat]
 
 
 def lab(bgr: np.ndarray) -> np.ndarray:

@@ -7,7 +7,6 @@ own rows' share, so the result does not depend on how the image was cut.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import ceil, pi, sin
 
 import numpy as np
@@ -24,6 +23,7 @@ from bandsaw.operators.bands import (
     trim,
     with_per_image,
 )
+from bandsaw.operators.kernels import PerTask
 
 BITS = 22
 
@@ -48,9 +48,20 @@ FILTERS = {
 }
 
 
-@lru_cache(maxsize=64)
+_WEIGHTS = PerTask()
+
+
 def weights(source: int, target: int, method: str) -> np.ndarray:
     """(target, taps, 2): source index and integer weight of each tap."""
+    key = (source, target, method)
+    if key not in _WEIGHTS:
+        if len(_WEIGHTS) >= 64:
+            _WEIGHTS.clear()
+        _WEIGHTS[key] = _weights(*key)
+    return _WEIGHTS[key]
+
+
+def _weights(source: int, target: int, method: str) -> np.ndarray:
     if method == "nearest":
         at = np.arange(target) * source // target
         return np.stack([at, np.full(target, 1 << BITS)], axis=-1)[:, None, :]
