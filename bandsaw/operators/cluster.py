@@ -42,21 +42,25 @@ def _names(i: int) -> list[str]:
     return [f"k{i}_{j}" for j in range(3)]
 
 
-def band_histogram(bands: DataFrame, column: str = "data") -> DataFrame:
+def colour_columns(image_id: int, c0, c1, c2, w) -> dict:
+    """Output columns of a partial histogram."""
+    columns = {"image_id": np.full(len(w), image_id, np.int64)}
+    columns |= {name: np.asarray(c, np.int32) for name, c in zip(CHANNELS, (c0, c1, c2))}
+    return columns | {"w": np.asarray(w, np.int64)}
+
+
+def summed(partial: DataFrame) -> DataFrame:
+    """Add up partial histograms of bands."""
+    return partial.groupBy("image_id", *CHANNELS).agg(F.sum("w").alias("w"))
+
+
+def band_histogram(bands: DataFrame) -> DataFrame:
     """Distinct colours per image with pixel counts; counted per band first."""
 
     def count(row: dict) -> dict:
-        c0, c1, c2, w = histogram(trim(row, block(row, column)))
-        return {
-            "image_id": np.full(c0.size, row["image_id"], np.int64),
-            "c0": c0.astype(np.int32),
-            "c1": c1.astype(np.int32),
-            "c2": c2.astype(np.int32),
-            "w": w.astype(np.int64),
-        }
-
-    partial = map_rows(bands.select(*GEOMETRY_NAMES, column), count, COLOURS)
-    return partial.groupBy("image_id", *CHANNELS).agg(F.sum("w").alias("w"))
+        return colour_columns(row["image_id"], *histogram(trim(row, block(row))))
+
+    return summed(map_rows(bands.select(*GEOMETRY_NAMES, "data"), count, COLOURS))
 
 
 def _quantile_start(colours: DataFrame, k: int) -> DataFrame:

@@ -78,10 +78,20 @@ def _distinct_colours(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return colours, table[flat]
 
 
+def _lab_of(packed: np.ndarray) -> np.ndarray:
+    return _lab_colours(packed >> 16, (packed >> 8) & 255, packed & 255)
+
+
 def lab(bgr: np.ndarray) -> np.ndarray:
     """8-bit L*a*b*, worked out once per distinct colour."""
     colours, where = _distinct_colours(bgr)
-    return _lab_colours(colours >> 16, (colours >> 8) & 255, colours & 255)[where].reshape(bgr.shape)
+    return _lab_of(colours)[where].reshape(bgr.shape)
+
+
+def lab_histogram(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """L*a*b* values of the distinct colours and their counts; values may repeat."""
+    colours, where = _distinct_colours(bgr)
+    return _lab_of(colours), np.bincount(where, minlength=colours.size)
 
 
 def lab_to_bgr(lab8: np.ndarray) -> np.ndarray:
@@ -108,12 +118,12 @@ def histogram(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return colours >> 16, (colours >> 8) & 255, colours & 255, counts
 
 
-def nearest_centre(block: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Index of the nearest centre per pixel; ties go to the lower index."""
-    colours, where = _distinct_colours(block)
-    channels = [(colours >> 16).astype(float), ((colours >> 8) & 255).astype(float), (colours & 255).astype(float)]
+def lab_labels(bgr: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Index of the nearest L*a*b* centre per pixel; ties go to the lower index."""
+    colours, where = _distinct_colours(bgr)
+    channels = _lab_of(colours).T.astype(float)
     distance = [sum((v - c) * (v - c) for v, c in zip(channels, centre)) for centre in centres]
-    return np.argmin(np.stack(distance), axis=0).astype(np.uint8)[where].reshape(block.shape[:2])
+    return np.argmin(np.stack(distance), axis=0).astype(np.uint8)[where].reshape(bgr.shape[:2])
 
 
 def gaussian5(block: np.ndarray, top: bool, bottom: bool) -> np.ndarray:

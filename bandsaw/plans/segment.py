@@ -35,7 +35,7 @@ from bandsaw.operators.components import (
     seam_large,
     with_choice,
 )
-from bandsaw.operators.kernels import dilate5, erode5, gaussian5, gray, lab, lab_to_bgr, nearest_centre
+from bandsaw.operators.kernels import dilate5, erode5, gaussian5, gray, lab_histogram, lab_labels, lab_to_bgr
 from bandsaw.operators.neighborhood import threshold
 
 ROI_LEVEL = 127
@@ -73,29 +73,32 @@ def region_of_interest(bands: DataFrame) -> DataFrame:
 
 
 def _prepare(row: dict, preprocess: bool) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Geometry, original pixels and L*a*b* values after ROI masking and blur."""
+    """Geometry, original pixels, and the pixels to cluster (after ROI masking and blur)."""
     a = block(row)
     if not preprocess:
-        return row, a, lab(a)
+        return row, a, a
     inside = fill_block({**row, "chosen": row["roi_holes"]}, gray(a) > ROI_LEVEL)
     out = shrink(row, 2)
     blurred = gaussian5(a * inside[..., None], *at_frame(row))
-    return out, a[out["e0"] - row["e0"] : out["e1"] - row["e0"]], lab(blurred)
+    return out, a[out["e0"] - row["e0"] : out["e1"] - row["e0"]], blurred
 
 
-def preprocessed(bands: DataFrame, preprocess: bool = True) -> DataFrame:
-    """The L*a*b* bands that are clustered."""
-    holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
-    bands = bands if holes is None else spread(bands)
-    return _lab_bands(with_choice(bands, holes, "roi_holes"), preprocess)
+def _lab_colours(bands: DataFrame, preprocess: bool) -> DataFrame:
+    """L*a*b* histogram per image of the pixels to cluster."""
+
+    def count(row: dict) -> dict:
+        out, _, pixels = _prepare(row, preprocess)
+        values, w = lab_histogram(trim(out, pixels))
+        return cluster.colour_columns(row["image_id"], *values.T, w)
 
+    return cluster.summed(map_rows(bands.select(*GEOMETRY_NAMES, "data", "roi_holes"), count, cluster.COLOURS))
 
-def _lab_bands(bands: DataFrame, preprocess: bool) -> DataFrame:
-    def step(row: dict) -> dict:
-        out, _, values = _prepare(row, preprocess)
-        return geometry(out) | {"data": [values.tobytes()]}
 
-    return map_rows(bands.select(*GEOMETRY_NAMES, "data", "roi_holes"), step, BANDS)
+def lab_colours(bands: DataFrame, preprocess: bool = True) -> DataFrame:
+    """The weighted colours that k-means gets: L*a*b*, after ROI masking and blur."""
+    holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
+    bands = bands if holes is None else spread(bands)
+    return _lab_colours(with_choice(bands, holes, "roi_holes"), preprocess)
 
 
 def _centres(row: dict, k: int) -> np.ndarray:
@@ -105,8 +108,8 @@ def _centres(row: dict, k: int) -> np.ndarray:
 
 def _select(row: dict, preprocess: bool, k: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
     """Geometry, original pixels, labels, and the pixels of the chosen cluster."""
-    out, pixels, values = _prepare(row, preprocess)
-    labels = nearest_centre(values, _centres(row, k))
+    out, pixels, prepared = _prepare(row, preprocess)
+    labels = lab_labels(prepared, _centres(row, k))
     return out, pixels, labels, pixels * (labels == row["best"])[..., None]
 
 
@@ -230,7 +233,7 @@ def segment(
     seams = has_seams(held)
     roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if seams and preprocess else None
     bands = with_choice(held, roi_holes, "roi_holes")
-    colours = cluster.band_histogram(_lab_bands(bands, preprocess)).persist(StorageLevel.MEMORY_AND_DISK)
+    colours = _lab_colours(bands, preprocess).persist(StorageLevel.MEMORY_AND_DISK)
     centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
     if cluster_index is not None:
         centres = centres.withColumn("best", F.lit(cluster_index))
@@ -242,12 +245,11 @@ def segment(
         out, mask = _closed(out, selected)
         return geometry(out) | {"data": [mask.tobytes()]}
 
-    holes = large = None
+    holes = large = closed = None
     if seams:
         closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS), partitions)
         closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
         holes, large = _across_seams(closed, min_area)
-        closed.unpersist()
 
     def finish(row: dict) -> dict:
         out, pixels, labels, selected = _select(row, preprocess, k)
@@ -269,8 +271,10 @@ def segment(
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()]}
 
     schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary" + carried(carry)
-    ready = _with_seams(placed, holes, large)
-    done = held.filter("band = 0").select("image_id", "height", "width")
-    return Segmentation(
-        map_rows(ready, finish, schema), map_rows(ready, finish_mask, BANDS), centres, done, [held, colours, centres]
-    )
+    result = map_rows(_with_seams(placed, holes, large), finish, schema)
+    masks = map_rows(_with_seams(placed.filter("bands = 1"), None, None), finish_mask, BANDS)
+    kept = [held, colours, centres]
+    if closed is not None:
+        masks = masks.unionByName(_finish(closed, holes, large, min_area))
+        kept.append(closed)
+    return Segmentation(result, masks, centres, held.filter("band = 0").select("image_id", "height", "width"), kept)

@@ -12,7 +12,7 @@ from bandsaw.functions import pixels as px
 from bandsaw.operators import cluster, components, evaluate, naming, neighborhood, resize
 from bandsaw.operators.bands import from_pixels, map_rows, recut, to_bands, to_pixels
 from bandsaw.plans import jobs
-from bandsaw.plans.segment import artifact_rows, postprocess, preprocessed, region_of_interest, segment
+from bandsaw.plans.segment import artifact_rows, lab_colours, postprocess, region_of_interest, segment
 from bandsaw.sources.artifacts import ingest_images, status_summary
 from bandsaw.sources.files import append_manifest, list_files, read_manifest
 from bandsaw.sources.images import read_images
@@ -430,7 +430,7 @@ def resize_100(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- clustering -----------------------------------------------------------------------------
 def lab_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Colours of the ROI-masked and blurred images."""
-    return cluster.band_histogram(preprocessed(bands_of(spark, sf_dir)))
+    return lab_colours(bands_of(spark, sf_dir))
 
 
 CENTRE = "image_id, cluster, c0, c1, c2"
@@ -451,7 +451,7 @@ def kmeans_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plain_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-means on L*a*b* of the raw image."""
     bands = bands_of(spark, sf_dir)
-    return cluster.centre_rows(cluster.kmeans(cluster.band_histogram(preprocessed(bands, False)).persist()))
+    return cluster.centre_rows(cluster.kmeans(lab_colours(bands, False).persist()))
 
 
 @register("table_kmeans", f"SELECT {CENTRE} FROM tab_centre")
