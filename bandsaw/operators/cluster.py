@@ -31,7 +31,7 @@ from bandsaw.session import cut_lineage, shuffle_partitions
 CHANNELS = ("c0", "c1", "c2")
 COLOURS = "image_id bigint, c0 int, c1 int, c2 int, w bigint"
 SLOTS = 8
-ROUNDS_PER_JOB = 5
+ROUNDS_PER_JOB = 2
 # An image with at most this many colours is one small group.
 LOCAL_COLOURS = 1 << 16
 # Modulus and multipliers of the repeatable draw for k-means++.
