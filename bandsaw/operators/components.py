@@ -224,6 +224,7 @@ def fill_holes(masks: DataFrame, holes: DataFrame | None = None) -> DataFrame:
         return geometry(row) | {"data": [(fill_block(row, block(row)) * np.uint8(255)).tobytes()]}
 
     if holes is None:
+        masks = masks.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: seams first, then all
         holes = seam_holes(masks)
         masks = masks if holes is None else spread(masks)
     return map_rows(with_choice(masks, holes), fill, BANDS)
@@ -237,6 +238,7 @@ def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
         core = trim(row, area_test(row, block(row), min_area)) * np.uint8(255)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [core.tobytes()]}
 
+    masks = masks.persist(StorageLevel.MEMORY_AND_DISK)
     large = seam_large(masks, min_area)
     return map_rows(with_choice(masks if large is None else spread(masks), large), keep, BANDS)
 
@@ -246,6 +248,7 @@ def components(masks: DataFrame) -> DataFrame:
 
     ``comp_id`` is the component's first pixel in row order, ``y * width + x``.
     """
+    masks = masks.persist(StorageLevel.MEMORY_AND_DISK)
     inside = F.size("anchors") == 0
     local = band_components(masks).filter(inside).withColumn("root", F.col("node"))
     if has_seams(masks):

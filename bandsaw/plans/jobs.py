@@ -12,7 +12,7 @@ from bandsaw.operators.evaluate import confusion_of_masks, score
 from bandsaw.operators.kernels import gray
 from bandsaw.operators.resize import resize
 from bandsaw.plans.segment import segment, valid
-from bandsaw.sources.artifacts import file_rows, ingest_images, status_of, write_artifacts
+from bandsaw.sources.artifacts import file_rows, ingest_images, read_table, status_of, write_artifacts
 from bandsaw.sources.files import list_files
 from bandsaw.sources.images import read_images, read_labelled
 from bandsaw.sources.png import write_png_tree
@@ -30,9 +30,11 @@ def segment_dataset(
     """
     ingest_images(spark, source, f"{target}/originals", named_set)
     result = segment(read_images(spark, source, named_set), **options)
-    write_artifacts(result.artifacts(), f"{target}/artifacts")
+    artifacts = result.artifacts()
+    write_artifacts(artifacts, f"{target}/artifacts")
     if as_files:
-        write_png_tree(file_rows(result.artifacts()), f"{target}/files")
+        written = read_table(spark, f"{target}/artifacts", artifacts.schema)
+        write_png_tree(file_rows(written), f"{target}/files")
     files = list_files(spark, source, named_set=named_set)
     status_of(files, result.done).write.mode("overwrite").parquet(f"{target}/status")
     result.release()
@@ -62,7 +64,7 @@ def grayscale_dataset(spark: SparkSession, source: str, target: str, named_set:
         }
     )
     write_artifacts(rows, target)
-    return spark.read.schema(rows.schema).parquet(target)
+    return read_table(spark, target, rows.schema)
 
 
 def resize_dataset(
@@ -92,4 +94,4 @@ def resize_dataset(
     rows = bands.drop("e0", "e1").withColumnRenamed("data", "content").join(names, "image_id")
     rows = rows.withColumns({"kind": F.lit("resized"), "n_channels": F.lit(3)})
     write_artifacts(rows, target)
-    return spark.read.schema(rows.schema).parquet(target)
+    return read_table(spark, target, rows.schema)

@@ -68,6 +68,7 @@ def roi_bands(bands: DataFrame, holes: DataFrame | None) -> DataFrame:
 
 def region_of_interest(bands: DataFrame) -> DataFrame:
     """ROI masking as an operator of its own."""
+    bands = bands.persist(StorageLevel.MEMORY_AND_DISK)
     holes = seam_holes(threshold(bands, ROI_LEVEL))
     return roi_bands(bands if holes is None else spread(bands), holes)
 
@@ -96,6 +97,7 @@ def _lab_colours(bands: DataFrame, preprocess: bool) -> DataFrame:
 
 def lab_colours(bands: DataFrame, preprocess: bool = True) -> DataFrame:
     """The weighted colours that k-means gets: L*a*b*, after ROI masking and blur."""
+    bands = bands.persist(StorageLevel.MEMORY_AND_DISK)
     holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
     bands = bands if holes is None else spread(bands)
     return _lab_colours(with_choice(bands, holes, "roi_holes"), preprocess)

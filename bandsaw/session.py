@@ -29,4 +29,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """How many partitions to ask for by number: the session's setting, or two per core."""
+    chosen = spark.conf.get("spark.sql.shuffle.partitions", None)
+    return int(chosen) if chosen else 2 * spark.sparkContext.defaultParallelism

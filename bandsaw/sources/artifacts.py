@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bandsaw.functions import paths
 from bandsaw.sources.files import read_files
@@ -37,12 +38,19 @@ def write_artifacts(artifacts: DataFrame, path: str, one_class: bool = False) ->
     writer.partitionBy("category", "kind").parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table written above. The schema is given, because no files are written for no rows and
+    because a class named ``001`` is still text; the class of files at the root is empty, not null."""
+    table = spark.read.schema(schema).parquet(path)
+    return table.withColumn("category", F.coalesce("category", F.lit("")))
+
+
 def ingest_images(spark: SparkSession, source: str, target: str, named_set: str | None = "images") -> DataFrame:
     """Copy a tree of image files into a table partitioned by class; gives the table."""
     files = read_files(spark, source, named_set=named_set)
     kept = files.select("path", "rel_path", "category", "stem", "ext", "modificationTime", "length", "content")
     kept.write.mode("overwrite").partitionBy("category").parquet(target)
-    return spark.read.schema(kept.schema).parquet(target)  # no files are written for no rows
+    return read_table(spark, target, kept.schema)
 
 
 def file_rows(artifacts: DataFrame) -> DataFrame:

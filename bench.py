@@ -14,11 +14,11 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-ENLARGED = "segment_pipeline_512"
+ENLARGED = "segment_scores_512"
 HEADLINE = [
-    "segment_pipeline",
+    "segment_scores",
     ENLARGED,
-    "segment_pipeline_banded",
+    "segment_scores_banded",
     "segment_mask",
     "roi",
     "gaussian_blur",
@@ -84,7 +84,7 @@ def main() -> None:
         spark.catalog.clearCache()
         return took
 
-    small = str(Path(sf_dir).parent / "sf0.001")
+    small = str(Path(sf_dir).parent / "sf0.01")
     chosen = names.split(",") if names else HEADLINE
     if Path(small).exists():
         run(chosen[0], small)  # start the JVM's and Python's workers once
@@ -100,8 +100,8 @@ def main() -> None:
         "images": images,
         "pixels": images * SIDE * SIDE,
     }
-    if "segment_pipeline" in times:
-        result["pixels_per_second"] = round(images * SIDE * SIDE / times["segment_pipeline"])
+    if "segment_scores" in times:
+        result["pixels_per_second"] = round(images * SIDE * SIDE / times["segment_scores"])
     if ENLARGED in times:
         result["pixels_per_second_512"] = round(images * 512 * 512 / times[ENLARGED])
     print(json.dumps(result))

@@ -619,25 +619,25 @@ def sample_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- whole jobs -----------------------------------------------------------------------------
-def pipeline_scores(spark: SparkSession, sf_dir: str, rows: int | None) -> DataFrame:
+def scored_segments(spark: SparkSession, sf_dir: str, rows: int | None) -> DataFrame:
     result = segment(fixture_images(spark, sf_dir), band_rows=rows)
     truth = to_bands(fixture_masks(spark, sf_dir), rows, as_gray=True)
     return evaluate.score(evaluate.confusion_of_masks(result.masks, truth, rows, result.done))
 
 
-PIPELINE = f"SELECT tp, fp, fn, tn, same_raw, {SCORE} FROM final_scores"
+SEGMENT_SCORES = f"SELECT tp, fp, fn, tn, same_raw, {SCORE} FROM final_scores"
 
 
-@register("segment_pipeline", PIPELINE)
-def segment_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("segment_scores", SEGMENT_SCORES)
+def segment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: every image from pixels to scored mask."""
-    return pipeline_scores(spark, sf_dir, None)
+    return scored_segments(spark, sf_dir, None)
 
 
-@register("segment_pipeline_banded", PIPELINE)
-def segment_pipeline_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("segment_scores_banded", SEGMENT_SCORES)
+def segment_scores_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with every image spread over four bands."""
-    return pipeline_scores(spark, sf_dir, ROWS)
+    return scored_segments(spark, sf_dir, ROWS)
 
 
 @register("segment_mask", "SELECT image_id, y, x, m FROM final_mask")
@@ -651,7 +651,7 @@ def segment_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT *, {O.CATEGORY} AS category FROM final_scores) GROUP BY ROLLUP (category))""",
 )
 def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = pipeline_scores(spark, sf_dir, None).withColumn("category", category_of())
+    scored = scored_segments(spark, sf_dir, None).withColumn("category", category_of())
     return _rounded(evaluate.rollup_summary(scored))
 
 
