@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandsaw.llm import repair, segment_bpe
+from bandsaw.llm import langid, line_windows, permutation_index, repair, segment_bpe, superminhash, templates, warc
 
 END_ID = 2
 
@@ -23,11 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return superminhash.components(docs, k=4).withColumnRenamed("key", "doc_id")
+
+
+def op3_error_correcting_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predicted(table(spark, sf_dir, "documents"))
+
+
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return repair.tokenized(spark, docs, vocabulary("byte_bpe_50k.json"), END_ID)
 
 
+def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_windows.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op8_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaked_items(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
 def op10_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,9 +69,18 @@ def op10_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
+        op2_superminhash,
+        op3_error_correcting_codes,
         op5_repair_ids,
+        op6_line_windows,
+        op7_permutation_index,
+        op8_benchmark_templates,
+        op9_warc,
         op10_segment_tree_bpe,
     ]
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_line_windows": line_windows.SQL,
+    "op9_warc": warc.SQL,
+}
