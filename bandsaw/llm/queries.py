@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandsaw.llm import langid, line_windows, permutation_index, repair, segment_bpe, superminhash, templates, warc
+from bandsaw.llm import edit_counts, langid, line_windows, permutation_index, repair, segment_bpe, superminhash, templates, url_templates, warc
 
 END_ID = 2
 
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = url_templates.page_labels(table(spark, sf_dir, "labels"))
+    return url_templates.judged(table(spark, sf_dir, "pages"), labels)
+
+
 def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return superminhash.components(docs, k=4).withColumnRenamed("key", "doc_id")
@@ -32,6 +37,10 @@ def op3_error_correcting_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted(table(spark, sf_dir, "documents"))
 
 
+def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.recounted(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return repair.tokenized(spark, docs, vocabulary("byte_bpe_50k.json"), END_ID)
@@ -69,8 +78,10 @@ def op10_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
+        op1_url_templates,
         op2_superminhash,
         op3_error_correcting_codes,
+        op4_edit_counts,
         op5_repair_ids,
         op6_line_windows,
         op7_permutation_index,
@@ -81,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_url_templates": url_templates.SQL,
     "op6_line_windows": line_windows.SQL,
     "op9_warc": warc.SQL,
 }

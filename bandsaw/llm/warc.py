@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandsaw.llm.shards import create, new_folder, opened, saved
+from bandsaw.session import shuffle_partitions
 
 # The version line, the profile of identical payloads, and the ends of lines and heads.
 VERSION = "WARC/1.1"
@@ -235,7 +236,9 @@ def read_warc(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                     if rows:
                         yield batch_of(rows)
 
-    return manifest.select("file").repartition("file").mapInArrow(run, schema)
+    # a number of its own: the few rows would else be gathered in one task
+    parts = shuffle_partitions(manifest.sparkSession)
+    return manifest.select("file").repartition(parts, "file").mapInArrow(run, schema)
 
 
 def resolved(records: DataFrame) -> DataFrame:
