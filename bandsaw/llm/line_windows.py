@@ -44,7 +44,7 @@ def later_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW) ->
     ``same_text`` is a hash of the text: rows that share an id are the same
     document only if they share the text too, and copies of a row stay alike.
     """
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("same_text"), content_lines(F.col(text)).alias("lines"))
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("same_text"), content_lines(F.coalesce(F.col(text), F.lit(""))).alias("lines"))
     windows = rows.select("key", "same_text", F.posexplode(_windows(F.col("lines"), window)).alias("position", "w")).select(
         "key", "same_text", "position", "w.w1", "w.w2"
     )

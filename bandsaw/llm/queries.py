@@ -30,7 +30,7 @@ def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return superminhash.components(docs, k=4).withColumnRenamed("key", "doc_id")
+    return superminhash.components(docs, k=4).drop("same_text").withColumnRenamed("key", "doc_id")
 
 
 def op3_error_correcting_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

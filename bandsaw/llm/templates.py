@@ -79,12 +79,10 @@ class Canonical:
         number = digit[ends] > digit[starts]
         kind = np.where(number, NUMBER, PLAIN)
         if starts.size:
-            # a sentence begins a text, or follows a stop or a line's end
+            # a sentence begins a text or follows a stop; lines may be broken anywhere
             first = np.concatenate([[True], self.row[1:] != self.row[:-1]])
-            line_end = np.concatenate([[0], np.cumsum(buffer == 10)])
-            between = np.concatenate([[0], line_end[starts[1:]] - line_end[ends[:-1]]]) > 0
             stop = np.concatenate([[False], _STOP[buffer[np.maximum(raw_end[:-1] - 1, 0)]] & (raw_end[:-1] > ends[:-1])])
-            begins = first | between | stop
+            begins = first | stop
             upper = (buffer[starts] >= 65) & (buffer[starts] <= 90)
             second = buffer[np.minimum(starts + 1, buffer.size - 1)]
             title = upper & (ends - starts > 1) & (((second >= 97) & (second <= 122)) | (second >= 128))
