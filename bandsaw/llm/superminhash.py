@@ -7,9 +7,11 @@ at once, and a text is ready when no slot holds j + 1 or more, which later stage
 could lower. Bands of ``ROWS`` slots make buckets.
 
 Equal sets are one node. In a bucket members are first compared with its smallest
-node; members that stay apart from the largest group found so far are compared with
-one of it, and at last with every member of another group, so that no link between
-two members of a bucket is lost and copies are not expanded into pairs.
+node, then those that stay apart from the largest group with one of that group. What
+is still apart is checked against all members of other groups in blocks: a task
+holds an inverted index of one block of full sets and probes it with a block of
+outsiders, so that no link between two members of a bucket is lost while pairs
+never become rows.
 """
 
 from __future__ import annotations
@@ -24,23 +26,28 @@ from pyspark.sql import functions as F
 from bandsaw.llm.shards import saved
 from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 from bandsaw.operators.graph import star_components
+from bandsaw.session import shuffle_partitions
 
 SHINGLE = 5
 SHARE = (4, 5)  # a link needs SHARE[1] * intersection >= SHARE[0] * union
 SIZE = 128
 ROWS = 4
 EXTRA_ROUNDS = 1
-ROW_BITS = 12
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2048  # about, of a block of members or of outsiders
+PIECE_ROWS, PIECE_BYTES = 2048, 8 << 20
+ROW_BITS = 14
 ELEMENT_BITS = np.uint64(64 - ROW_BITS)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row << 52 | 52-bit element, ascending and distinct; elements per row) of at most 4,096 texts."""
+    """(row << 50 | 50-bit element, ascending and distinct; elements per row) of at most 2^14 texts."""
     buffer, row_starts, _ = joined(column)
     buffer = lowered(buffer)
     starts, ends = words(buffer)
     n = row_starts.size
+    if n > 1 << ROW_BITS:
+        raise ValueError(f"more than {1 << ROW_BITS} texts at once")
     row = rows_of(starts, row_starts)
     word = segment_hashes(buffer, starts, ends)
     first, count = per_row(row, n)
@@ -114,14 +121,14 @@ def set_ids(keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _parts(batch: pa.RecordBatch, *texts: str) -> Iterator[pa.RecordBatch]:
-    """Slices of bounded bytes and at most 4,096 rows."""
+    """Slices of bounded bytes and rows."""
     for part in chunks(batch, texts[0]):
         for other in chunks(part, texts[-1]):
             for first in range(0, other.num_rows, 1 << ROW_BITS):
                 yield other.slice(first, 1 << ROW_BITS)
 
 
-SIGNED = "key bigint, n_shingles bigint, node bigint, check bigint, bands array<bigint>"
+SIGNED = "key bigint, same_text bigint, n_shingles bigint, node bigint, check bigint, bands array<bigint>"
 
 
 def signed(docs: DataFrame, key: str, text: str, k: int, size: int = SIZE, rows: int = ROWS) -> DataFrame:
@@ -137,11 +144,11 @@ def signed(docs: DataFrame, key: str, text: str, k: int, size: int = SIZE, rows:
                 made = made[count > 0]
                 lists = np.concatenate([[0], np.cumsum(np.where(count > 0, size // rows, 0))]).astype(np.int32)
                 one, two = set_ids(keys, count)
-                columns = [part.column("key"), pa.array(count), pa.array(one), pa.array(two)]
+                columns = [part.column("key"), part.column("same_text"), pa.array(count), pa.array(one), pa.array(two)]
                 columns.append(pa.ListArray.from_arrays(pa.array(lists), pa.array(made.ravel())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).mapInArrow(run, SIGNED)
+    return docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("same_text"), F.col(text).alias("text")).mapInArrow(run, SIGNED)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
@@ -207,12 +214,112 @@ def _open_members(members: DataFrame) -> DataFrame:
     return members.join(several.filter("labels > 1").drop("labels"), "bucket")
 
 
+def _meetings(open_: DataFrame, labelled: DataFrame, texts: DataFrame) -> DataFrame:
+    """(k, i, j, probe, node, label, text): blocks of the outsiders of group ``k`` and blocks of all it must be checked against.
+
+    An outsider of ``k`` is a node of another label in a bucket whose main label is
+    ``k``. Of two members of a bucket with different labels one at least is an
+    outsider of the main label, and the other is one too or of that label.
+    """
+    outside = open_.filter("label <> main").select(F.col("main").alias("k"), "node", "label").distinct()
+    groups = outside.select("k").distinct()
+    inside = labelled.join(groups, F.col("label") == F.col("k")).select("k", "node", "label")
+    rows = outside.withColumn("outsider", F.lit(True)).unionByName(inside.withColumn("outsider", F.lit(False)))
+    rows = saved(rows.join(texts, "node").withColumn("n", F.octet_length("text")), "meeting")
+    sizes = rows.groupBy("k").agg(
+        F.ceil((F.sum("n") + 1) / BLOCK_BYTES + F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"),
+        F.ceil((F.sum(F.when(F.col("outsider"), F.col("n"))) + 1) / BLOCK_BYTES + F.count_if("outsider") / BLOCK_ROWS).cast("int").alias("probes"),
+    )
+    rows = rows.join(sizes, "k")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["k", "i", "j", "probe", "node", "label", "text"]
+    held = rows.withColumn("j", place("blocks")).withColumn("i", spread("probes")).withColumn("probe", F.lit(False))
+    asked = rows.filter("outsider").withColumn("i", place("probes")).withColumn("j", spread("blocks")).withColumn("probe", F.lit(True))
+    return held.select(*columns).unionByName(asked.select(*columns))
+
+
+def _linked(probe: np.ndarray, member: np.ndarray, sets: list[np.ndarray], node: np.ndarray, label: np.ndarray, share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links of each probe to members of other labels, one for every label, by an inverted index of the members."""
+    if not probe.size or not member.size:
+        return []
+    element = np.concatenate([sets[m] for m in member])
+    size = np.array([sets[m].size for m in member])
+    owner = np.repeat(np.arange(member.size), size)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    out = []
+    for p in probe.tolist():
+        low = np.searchsorted(element, sets[p], side="left")
+        n = np.searchsorted(element, sets[p], side="right") - low
+        found = owner[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        met = np.bincount(found, minlength=member.size)
+        near = np.flatnonzero((share[1] * met >= share[0] * (size + sets[p].size - met)) & (label[member] != label[p]))
+        for one in {int(label[member[q]]): int(member[q]) for q in near.tolist()}.values():
+            out.append((int(node[p]), int(node[one])))
+    return out
+
+
+def _probed(meetings: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
+    """The links (u, v) found in the meetings."""
+    parts = shuffle_partitions(meetings.sparkSession)
+    ordered = meetings.repartition(parts, "k", "i", "j").sortWithinPartitions("k", "i", "j")
+
+    def solve(piece: pa.Table) -> pa.RecordBatch:
+        keys, count = shingle_sets(piece.column("text").combine_chunks(), k)
+        element = keys & ((np.uint64(1) << ELEMENT_BITS) - np.uint64(1))
+        sets = np.split(element, np.cumsum(count)[:-1])
+        node, label, probe = (piece.column(c).to_numpy() for c in ("node", "label", "probe"))
+        out: list[tuple[int, int]] = []
+        edges = _edges(piece)
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            rows = np.arange(a, b)
+            out += _linked(rows[probe[a:b]], rows[~probe[a:b]], sets, node, label, share)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # whole groups and the unfinished last one
+        rows = size = 0
+        for batch in batches:
+            edges = _edges(batch)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(a, b - a)
+                if held and (rows >= PIECE_ROWS or size >= PIECE_BYTES) and _key(held[-1], -1) != _key(part, 0):
+                    yield solve(pa.Table.from_batches(held))
+                    held, rows, size = [], 0, 0
+                held.append(part)
+                rows += b - a
+                size += pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0
+        if held:
+            yield solve(pa.Table.from_batches(held))
+
+    return ordered.mapInArrow(run, "u bigint, v bigint")
+
+
+def _key(rows: pa.RecordBatch, at: int) -> list:
+    at = at % rows.num_rows
+    return [rows.column(c)[at].as_py() for c in ("k", "i", "j")]
+
+
+def _edges(rows: pa.RecordBatch | pa.Table) -> list[int]:
+    """Where groups begin, and the end."""
+    n = rows.num_rows
+    if not n:
+        return [0]
+    new = np.zeros(n, bool)
+    new[0] = True
+    for c in ("k", "i", "j"):
+        values = rows.column(c).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(c).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return [*np.flatnonzero(new).tolist(), n]
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, share: tuple[int, int] = SHARE, size: int = SIZE, rows: int = ROWS) -> DataFrame:
-    """(key, n_shingles, component_id, kept), one row per row of ``docs``.
+    """(key, same_text, n_shingles, component_id, kept), one row per row of ``docs``; ``same_text`` is a hash of the text.
 
     ``component_id`` is the smallest id reachable over links. Texts that are null,
     empty or without words have no set and stand alone. Rows of one id and text are
@@ -234,24 +341,25 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     links = saved(verified(tested, texts, k, share), "links")
     labels = grouped(links)
     for _ in range(EXTRA_ROUNDS):
-        open_ = _open_members(_labelled(members, labels))
-        mains = open_.filter("label = main").groupBy("bucket").agg(F.max("node").alias("v"))
+        open_ = saved(_open_members(_labelled(members, labels)), "open")
+        # the member that shares most open buckets is nearest to the others
+        degree = open_.groupBy("node").agg(F.count("*").alias("degree"))
+        mains = open_.filter("label = main").join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("v"))
         more = _ordered(open_.filter("label <> main").join(mains, "bucket").select(F.col("node").alias("u"), "v"))
         more = saved(more.join(tested, ["u", "v"], "left_anti"), "pairs")
         tested = tested.unionByName(more)
         links = links.unionByName(saved(verified(more, texts, k, share), "links"))
         labels = grouped(links)
-    open_ = saved(_open_members(_labelled(members, labels)), "open")
-    aside = open_.filter("label <> main").select("bucket", F.col("node").alias("u"), F.col("label").alias("lu"))
-    rest = aside.join(open_.select("bucket", F.col("node").alias("v"), F.col("label").alias("lv")), "bucket").filter("lu <> lv").select("u", "v")
-    rest = saved(_ordered(rest).join(tested, ["u", "v"], "left_anti"), "pairs")
-    links = links.unionByName(saved(verified(rest, texts, k, share), "links"))
+    labelled = _labelled(members, labels)
+    open_ = saved(_open_members(labelled), "open")
+    meetings = _meetings(open_, labelled.select("node", "label").distinct(), texts)
+    links = links.unionByName(saved(_probed(meetings, k, share), "links"))
     labels = grouped(links)
     rooted = nodes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     smallest = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "label").select("node", "component_id")
     return table.join(named, "node", "left").select(
-        "key", "n_shingles",
+        "key", "same_text", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
     ).withColumn("kept", F.col("key").eqNullSafe(F.col("component_id")))
 
