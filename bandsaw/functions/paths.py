@@ -12,6 +12,7 @@ EXTENSIONS = {
     "images_exact": ("jpg", "jpeg", "png", "bmp", "tiff"),
     "images_web": ("jpg", "jpeg", "png", "bmp", "gif"),
     "jpg_exact": ("jpg",),
+    "png": ("png",),
 }
 CASE_SENSITIVE = {"images_exact", "jpg_exact"}
 MASK_SUFFIX = "_mask"
@@ -99,6 +100,18 @@ def suffixed(path: Column, kind: str) -> Column:
     return F.concat(stem(path), F.lit("_" + kind), extension(path))
 
 
+def png_named(path: Column, kind: Column) -> Column:
+    """``{stem}_{kind}.png`` for a file ``{stem}.png``; others keep their extension before ``.png``, so that names stay distinct."""
+    ext = extension(path)
+    return F.concat(stem(path), F.lit("_"), kind, F.when(ext == ".png", F.lit("")).otherwise(ext), F.lit(".png"))
+
+
+def png_prefixed(path: Column, kind: str) -> Column:
+    """``{kind}_{name}``, followed by ``.png`` unless it ends so."""
+    name = prefixed(path, kind)
+    return F.when(F.endswith(name, F.lit(".png")), name).otherwise(F.concat(name, F.lit(".png")))
+
+
 def prefixed(path: Column, kind: str) -> Column:
     """``{kind}_{name}``"""
     return F.concat(F.lit(kind + "_"), file_name(path))

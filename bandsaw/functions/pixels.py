@@ -23,16 +23,6 @@ def masked(channel: Column, mask: Column) -> Column:
     return F.when(mask > 0, channel).otherwise(0)
 
 
-def selected(channel: Column, label: Column, wanted: Column) -> Column:
-    """The channel where the label is the wanted one, else 0."""
-    return F.when(label == wanted, channel).otherwise(0)
-
-
-def truncated(value: Column) -> Column:
-    """Cut a centre coordinate down to an 8-bit value."""
-    return F.floor(value).cast("int")
-
-
 def _linear(c: Column) -> Column:
     v = c / F.lit(255.0)
     return F.when(v > 0.04045, F.pow((v + F.lit(0.055)) / F.lit(1.055), F.lit(2.4))).otherwise(v / F.lit(12.92))

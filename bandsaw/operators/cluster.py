@@ -13,7 +13,11 @@ rules and give the same centres:
 * start 0 takes evenly spaced distinct colours, further starts are k-means++;
 * a colour goes to the nearest centre, on ties to the lower index;
 * an empty cluster keeps its centre; sums are integers, divided once;
-* the cheapest start wins, on ties the lower one.
+* a draw for k-means++ is the least of u / weight, plain division of exact numbers;
+* the cheapest start wins, on ties the lower one. The cost is the sum of w |c|^2, the
+  same for all starts, minus the sum of |s|^2 / w over the clusters, s being their
+  sums. The latter is compared in whole 1024ths, cut off per cluster and channel:
+  integers, which do not depend on the order of sums.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from bandsaw.session import cut_lineage, shuffle_partitions
 
 CHANNELS = ("c0", "c1", "c2")
 COLOURS = "image_id bigint, c0 int, c1 int, c2 int, w bigint"
-SLOTS = 8
+SLOT_COLOURS = 1 << 13  # colours of the largest image that share a slot, about
+MOST_SLOTS = 1024
+MOST_CLUSTERS = 256
 ROUNDS_PER_JOB = 2
 # An image with at most this many colours is one small group.
 LOCAL_COLOURS = 1 << 16
@@ -101,19 +107,24 @@ def _quantile_start(colours: DataFrame, k: int) -> DataFrame:
 
 def _draw(packed, start, i, seed: int):
     """Repeatable draw in (0, 1); written so that columns and arrays both work."""
-    h = ((packed + (start * 16 + i) * 16777216) * DRAW_FACTOR + seed) % DRAW_MODULUS
+    h = ((packed + (start * MOST_CLUSTERS + i) * 16777216) * DRAW_FACTOR + seed) % DRAW_MODULUS
     return ((h * (h % DRAW_FOLD + 1)) % DRAW_MODULUS + 1) / 2147483648.0
 
 
 def _packed() -> Column:
-    return F.col("c0").cast("long") * 65536 + F.col("c1") * 256 + F.col("c2")
+    inside = F.lit(True)
+    for c in CHANNELS:
+        inside = inside & F.col(c).between(0, 255)
+    packed = F.col("c0").cast("long") * 65536 + F.col("c1") * 256 + F.col("c2")
+    return F.when(inside, packed).otherwise(F.raise_error(F.lit("channels must be 0 to 255")).cast("bigint"))
 
 
-def _plus_plus_starts(slotted: DataFrame, k: int, starts: int, seed: int) -> DataFrame:
+def _plus_plus_starts(slotted: DataFrame, k: int, starts: int, seed: int, slots: int) -> DataFrame:
     """k-means++ for starts 1..``starts`` of every image, one aggregate per centre.
 
-    The weighted draw is an exponential race, the smallest ``-ln(u) / weight``
-    wins, so it needs only a partial aggregate and no window over an image.
+    The weighted draw is a race, the smallest ``u / weight`` wins (among many
+    colours, as likely as its weight), so it needs only a partial aggregate and no
+    window over an image, and no logarithm, which libraries round differently.
     """
     rows = slotted.withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(starts))))
     rows = rows.withColumn("packed", _packed())
@@ -123,11 +134,12 @@ def _plus_plus_starts(slotted: DataFrame, k: int, starts: int, seed: int) -> Dat
             placed, weight, have = rows, F.col("w").cast("double"), []
         else:
             have = [n for j in range(i) for n in _names(j)]
-            placed = rows.join(_at_slots(centres), ["image_id", "start", "slot"])
+            placed = rows.join(_at_slots(centres, slots), ["image_id", "start", "slot"])
             weight = F.col("w") * F.least(*[_distance(j) for j in range(i)], F.lit(float("inf")))
         u = _draw(F.col("packed"), F.col("start").cast("long"), F.lit(i), seed)
-        placed = placed.withColumn("weight", weight).withColumn("race", -F.log(u) / F.nullif("weight", F.lit(0.0)))
-        pick = F.min_by("packed", "race").alias("pick")
+        placed = placed.withColumn("weight", weight).withColumn("race", u / F.nullif("weight", F.lit(0.0)))
+        ranked = F.when(F.col("race").isNotNull(), F.struct("race", "packed"))
+        pick = F.min_by("packed", ranked).alias("pick")
         grouped = placed.groupBy("image_id", "start").agg(pick, *[F.max(n).alias(n) for n in have])
         parts = [F.shiftright("pick", 16), F.shiftright("pick", 8).bitwiseAND(255), F.col("pick").bitwiseAND(255)]
         new = [p.cast("double").alias(n) for p, n in zip(parts, _names(i))]
@@ -151,32 +163,56 @@ def nearest(k: int) -> Column:
     return choice
 
 
-def _slotted(colours: DataFrame) -> DataFrame:
+def _slots_for(colours: DataFrame) -> int:
+    """Slots per image, from the image with the most colours."""
+    sizes = colours.groupBy("image_id").agg(F.count("*").alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    return min(MOST_SLOTS, max(8, most // SLOT_COLOURS))
+
+
+def _slotted(colours: DataFrame, slots: int) -> DataFrame:
     """Colours hashed over (image, slot): an image with most of the rows is spread too."""
-    slot = F.pmod(F.xxhash64(*CHANNELS), F.lit(SLOTS)).cast("int")
+    slot = F.pmod(F.xxhash64(*CHANNELS), F.lit(slots)).cast("int")
     n = shuffle_partitions(colours.sparkSession)
     return colours.withColumn("slot", slot).repartition(n, "image_id", "slot").sortWithinPartitions("image_id", "slot")
 
 
-def _at_slots(centres: DataFrame) -> DataFrame:
-    return centres.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+def _at_slots(centres: DataFrame, slots: int) -> DataFrame:
+    return centres.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+
+
+def _cluster_sums(k: int) -> list[Column]:
+    """Weight and channel sums of each cluster, as w{i} and s{i}_{j}."""
+    sums = []
+    for i in range(k):
+        mine = F.col("cluster") == i
+        sums.append(F.sum(F.when(mine, F.col("w"))).alias(f"w{i}"))
+        sums += [F.sum(F.when(mine, F.col("w") * F.col(c))).alias(f"s{i}_{j}") for j, c in enumerate(CHANNELS)]
+    return sums
+
+
+def _gain(k: int) -> Column:
+    """floor(1024 s^2 / w) summed over clusters and channels, in 64 bits: s = a w + b with b < w (below 3e9 pixels)."""
+    total = F.lit(0).cast("bigint")
+    for i in range(k):
+        for j in range(3):
+            w, s = f"w{i}", f"s{i}_{j}"
+            a, b = f"({s} div {w})", f"({s} % {w})"
+            term = f"1024 * ({a} * {a} * {w} + 2 * {a} * {b}) + 1024 * ({b} * {b} div {w}) + (1024 * ({b} * {b} % {w})) div {w}"
+            total = total + F.when(F.col(w) > 0, F.expr(term)).otherwise(F.lit(0))
+    return total
 
 
-def _lloyd(slotted: DataFrame, centres: DataFrame, k: int) -> DataFrame:
+def _lloyd(slotted: DataFrame, centres: DataFrame, k: int, slots: int) -> DataFrame:
     """One round: assign, then average. An empty cluster keeps its centre.
 
     Sums are integers and are divided once, so the order of rows does not matter.
     """
     names = [n for i in range(k) for n in _names(i)]
-    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names)), ["image_id", "slot"])
+    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names), slots), ["image_id", "slot"])
     placed = placed.withColumn("cluster", nearest(k))
-    sums = []
-    for i in range(k):
-        mine = F.col("cluster") == i
-        sums.append(F.sum(F.when(mine, F.col("w"))).alias(f"w{i}"))
-        sums += [F.sum(F.when(mine, F.col("w") * F.col(c))).alias(f"s{i}_{j}") for j, c in enumerate(CHANNELS)]
     old = [F.max(n).alias(f"old_{n}") for n in names]
-    grouped = placed.groupBy("image_id", "start").agg(*sums, *old)
+    grouped = placed.groupBy("image_id", "start").agg(*_cluster_sums(k), *old)
     new = [
         F.when(F.col(f"w{i}") > 0, F.col(f"s{i}_{j}") / F.col(f"w{i}")).otherwise(F.col(f"old_k{i}_{j}")).alias(f"k{i}_{j}")
         for i in range(k)
@@ -189,13 +225,13 @@ def _lloyd(slotted: DataFrame, centres: DataFrame, k: int) -> DataFrame:
     return moved.withColumn("converged", still).drop(*[f"old_{n}" for n in names])
 
 
-def _best_start(slotted: DataFrame, centres: DataFrame, k: int) -> DataFrame:
+def _best_start(slotted: DataFrame, centres: DataFrame, k: int, slots: int) -> DataFrame:
     """The start with the least within-cluster cost per image."""
     names = [n for i in range(k) for n in _names(i)]
-    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names)), ["image_id", "slot"])
-    least = F.least(*[F.coalesce(_distance(i), F.lit(float("inf"))) for i in range(k)])
-    cost = placed.groupBy("image_id", "start").agg(F.sum(F.col("w") * least).alias("cost"))
-    best = cost.groupBy("image_id").agg(F.min_by("start", F.struct("cost", "start")).alias("start"))
+    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names), slots), ["image_id", "slot"])
+    sums = placed.withColumn("cluster", nearest(k)).groupBy("image_id", "start").agg(*_cluster_sums(k))
+    gains = sums.select("image_id", "start", _gain(k).alias("gain"))
+    best = gains.groupBy("image_id").agg(F.max_by("start", F.struct("gain", -F.col("start"))).alias("start"))
     return centres.join(best, ["image_id", "start"])
 
 
@@ -213,24 +249,25 @@ def kmeans_rounds(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: i
 
     Images that have converged leave the loop.
     """
-    slotted = _slotted(colours).persist(StorageLevel.MEMORY_AND_DISK)
+    slots = _slots_for(colours)
+    slotted = _slotted(colours, slots).persist(StorageLevel.MEMORY_AND_DISK)
     centres = _quantile_start(slotted, k)
     if n_init > 1:
-        centres = centres.unionByName(_plus_plus_starts(slotted, k, n_init - 1, seed))
+        centres = centres.unionByName(_plus_plus_starts(slotted, k, n_init - 1, seed, slots))
     active = cut_lineage(centres.withColumn("converged", F.lit(False)))
     finished = active.limit(0)
     done = 0
     while done < max_iter:
         steps = min(ROUNDS_PER_JOB, max_iter - done)
         for _ in range(steps):
-            active = _lloyd(slotted, active, k)
+            active = _lloyd(slotted, active, k, slots)
         done += steps
         active = cut_lineage(active)
         finished = finished.unionByName(active.filter("converged"))
         active = active.filter("NOT converged")
         if active.isEmpty():
             break
-    best = cut_lineage(_in_order(_best_start(slotted, finished.unionByName(active), k), k))
+    best = cut_lineage(_in_order(_best_start(slotted, finished.unionByName(active), k, slots), k))
     slotted.unpersist()
     return best
 
@@ -257,7 +294,7 @@ def _cluster_one(packed: np.ndarray, w: np.ndarray, k: int, max_iter: int, n_ini
             nearest_so_far = np.nanmin(distance(centres[1:, :i]), axis=1)
             weight = w * nearest_so_far
         with np.errstate(divide="ignore"):
-            race = np.where(weight > 0, -np.log(_draw(packed, start, i, seed)) / weight, np.inf)
+            race = np.where(weight > 0, _draw(packed, start, i, seed) / weight, np.inf)
         found = race.argmin(axis=1)
         some = np.isfinite(race.min(axis=1))
         centres[1:, i] = np.where(some[:, None], colours[:, found].T, np.nan)
@@ -277,8 +314,13 @@ def _cluster_one(packed: np.ndarray, w: np.ndarray, k: int, max_iter: int, n_ini
         centres = mean
         if converged.all():
             break
-    cost = (w * np.nan_to_num(distance(centres), nan=np.inf, posinf=np.inf).min(axis=1)).sum(axis=1)
-    best = int(cost.argmin())
+    d = np.nan_to_num(distance(centres), nan=np.inf, posinf=np.inf)
+    cell = (d.argmin(axis=1) + offset).ravel()
+    size = np.bincount(cell, np.tile(w, n_init), n_init * k).astype(np.int64).reshape(n_init, k).tolist()
+    total = np.stack([np.bincount(cell, np.tile(w * c, n_init), n_init * k) for c in colours], axis=-1)
+    total = total.astype(np.int64).reshape(n_init, k, 3).tolist()
+    gain = [sum(1024 * s * s // m for m, t in zip(*x, strict=True) if m for s in t) for x in zip(size, total, strict=True)]
+    best = gain.index(max(gain))
     rows = centres[best]
     rows = rows[np.lexsort(rows.T[::-1])]  # missing centres sort last
     return rows, bool(converged[best])
@@ -311,8 +353,8 @@ def kmeans(
     local_colours: int = LOCAL_COLOURS,
 ) -> DataFrame:
     """Centres of every image, one row per image: image_id, k{i}_{j}, converged."""
-    if k < 2:
-        raise ValueError("k must be at least 2")
+    if not 2 <= k <= MOST_CLUSTERS:
+        raise ValueError(f"k must be 2 to {MOST_CLUSTERS}")
     sizes = colours.groupBy("image_id").agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > local_colours).select("image_id")
     settings = (k, max_iter, n_init, seed)
@@ -342,5 +384,6 @@ def with_best(centres: DataFrame, k: int = 3) -> DataFrame:
 def label_colours(colours: DataFrame, centres: DataFrame, k: int = 3) -> DataFrame:
     """Cluster of every distinct colour."""
     names = [n for i in range(k) for n in _names(i)]
-    placed = _slotted(colours).join(_at_slots(centres.select("image_id", *names)), ["image_id", "slot"])
+    slots = _slots_for(colours)
+    placed = _slotted(colours, slots).join(_at_slots(centres.select("image_id", *names), slots), ["image_id", "slot"])
     return placed.select("image_id", *CHANNELS, "w", nearest(k).alias("cluster"))

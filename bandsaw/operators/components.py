@@ -19,8 +19,8 @@ from pyspark.sql.window import Window
 from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, KEY, block, geometry, map_rows, spread, trim
 from bandsaw.operators.graph import connected_components
 from bandsaw.operators.kernels import corner_area, label_runs, paint_runs, runs
-from bandsaw.operators.skew import salted_lookup
-from bandsaw.session import cut_lineage
+from bandsaw.operators.skew import lookup
+from bandsaw.session import cached, cut_lineage
 
 FOREGROUND, BACKGROUND = 1, 0
 MIN_AREA = 500.0
@@ -173,7 +173,7 @@ def _across_bands(masks: DataFrame, value: int, keep: str, aggregates: list) ->
     rooted = _rooted(parts)
     whole = rooted.groupBy("image_id", "root").agg(*aggregates).filter(keep)
     nodes = rooted.select("image_id", "band", "first", "root")
-    chosen = salted_lookup(nodes, whole.select("image_id", "root"), ["image_id", "root"], "first")
+    chosen = lookup(nodes, whole.select("image_id", "root"), ["image_id", "root"])
     per_band = cut_lineage(chosen.groupBy(*KEY).agg(F.collect_set("first").alias("chosen")))
     parts.unpersist()
     return per_band
@@ -224,7 +224,7 @@ def fill_holes(masks: DataFrame, holes: DataFrame | None = None) -> DataFrame:
         return geometry(row) | {"data": [(fill_block(row, block(row)) * np.uint8(255)).tobytes()]}
 
     if holes is None:
-        masks = masks.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: seams first, then all
+        masks = cached(masks)  # read twice: seams first, then all
         holes = seam_holes(masks)
         masks = masks if holes is None else spread(masks)
     return map_rows(with_choice(masks, holes), fill, BANDS)
@@ -238,7 +238,7 @@ def keep_large(masks: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
         core = trim(row, area_test(row, block(row), min_area)) * np.uint8(255)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [core.tobytes()]}
 
-    masks = masks.persist(StorageLevel.MEMORY_AND_DISK)
+    masks = cached(masks)
     large = seam_large(masks, min_area)
     return map_rows(with_choice(masks if large is None else spread(masks), large), keep, BANDS)
 
@@ -248,7 +248,7 @@ def components(masks: DataFrame) -> DataFrame:
 
     ``comp_id`` is the component's first pixel in row order, ``y * width + x``.
     """
-    masks = masks.persist(StorageLevel.MEMORY_AND_DISK)
+    masks = cached(masks)
     inside = F.size("anchors") == 0
     local = band_components(masks).filter(inside).withColumn("root", F.col("node"))
     if has_seams(masks):
@@ -311,5 +311,6 @@ def touching_runs(run_rows: DataFrame, reach: int = 1, bucket: int = 16) -> Data
     lower = lower.withColumn("cell", F.explode(F.sequence(bucket_of(F.col("lx0")), bucket_of(F.col("lx1")))))
     touch = (F.col("lx0") <= F.col("ux1") + reach) & (F.col("lx1") >= F.col("ux0") - reach)
     start = bucket_of(F.greatest(F.col("ux0") - reach, F.col("lx0")))
-    pairs = upper.join(lower, ["image_id", "y", "cell"]).filter(touch & (F.col("cell") == start))
+    # estimates cannot see how many runs a band holds
+    pairs = upper.join(lower.hint("merge"), ["image_id", "y", "cell"]).filter(touch & (F.col("cell") == start))
     return pairs.select("image_id", "y", "ux0", "ux1", "lx0", "lx1")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandsaw.functions import scores
 from bandsaw.operators.bands import GEOMETRY_NAMES, KEY, block, map_rows, recut, spread, trim
 from bandsaw.operators.resize import resize_to
-from bandsaw.session import cut_lineage
+from bandsaw.session import cached, cut_lineage
 
 COUNTS = ("tp", "fp", "fn", "tn")
 
@@ -27,12 +26,18 @@ def confusion(rows: DataFrame, by: list[str], truth: Column, predicted: Column)
 
 
 def pixel_pairs(truth: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Join two pixel tables of masks (image_id, y, x, m) on the pixel."""
-    return truth.join(predicted.withColumnRenamed("m", "p"), ["image_id", "y", "x"])
+    """Join two pixel tables of masks (image_id, y, x, m) on the pixel.
+
+    ``confusion_of_masks`` compares bands and moves a thousandth of the rows.
+    """
+    # estimates cannot see how many pixels a file holds
+    return truth.join(predicted.withColumnRenamed("m", "p").hint("merge"), ["image_id", "y", "x"])
 
 
 def _band_counts(pairs: DataFrame) -> DataFrame:
     def count(row: dict) -> dict:
+        if any(row[n] != row[f"t_{n}"] for n in ("height", "width", "y0", "y1")):
+            raise ValueError(f"bands of image {row['image_id']} are cut differently")
         held = {**row, "e0": row["te0"], "e1": row["te1"]}
         t = trim(held, block(held, "truth"))
         p = trim(row, block(row)) > 0
@@ -45,11 +50,15 @@ def _band_counts(pairs: DataFrame) -> DataFrame:
             "fn": [n_true - tp],
             "tn": [p.size - n_true - n_pred + tp],
             "same_raw": [int((t == p).sum())],
+            "pixels": [row["height"] * row["width"]],
         }
 
-    schema = "image_id bigint, tp bigint, fp bigint, fn bigint, tn bigint, same_raw bigint"
+    schema = "image_id bigint, tp bigint, fp bigint, fn bigint, tn bigint, same_raw bigint, pixels bigint"
     counted = map_rows(pairs, count, schema)
-    return counted.groupBy("image_id").agg(*[F.sum(c).alias(c) for c in (*COUNTS, "same_raw")])
+    sums = counted.groupBy("image_id").agg(*[F.sum(c).alias(c) for c in (*COUNTS, "same_raw")], F.max("pixels").alias("pixels"))
+    whole = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn") == F.col("pixels")
+    lost = F.raise_error(F.format_string("image %d: a band has no partner", "image_id")).cast("bigint")
+    return sums.withColumn("tp", F.when(whole, F.col("tp")).otherwise(lost)).drop("pixels")
 
 
 def _paired(predicted: DataFrame, truth: DataFrame) -> DataFrame:
@@ -63,11 +72,9 @@ def _paired(predicted: DataFrame, truth: DataFrame) -> DataFrame:
         F.col("e1").alias("te1"),
         F.col("data").alias("truth"),
     )
-    same = (F.col("height") == F.col("t_height")) & (F.col("width") == F.col("t_width"))
-    aligned = same & (F.col("y0") == F.col("t_y0")) & (F.col("y1") == F.col("t_y1"))
-    # both sides hold pixel bytes: a merge join spills, and it keeps the plan from starting over
-    joined = predicted.select(*GEOMETRY_NAMES, "data").join(other.hint("merge"), KEY).filter(aligned)
-    return joined.drop("t_height", "t_width", "t_y0", "t_y1")
+    # on the key alone, which both sides are spread by; geometry is compared in the map.
+    # Both sides hold pixel bytes: a merge join spills, and it keeps the plan from starting over
+    return predicted.select(*GEOMETRY_NAMES, "data").join(other.hint("merge"), KEY)
 
 
 def confusion_of_masks(
@@ -75,26 +82,34 @@ def confusion_of_masks(
 ) -> DataFrame:
     """Counts per image from mask bands.
 
-    Bands of equal images are cut alike and meet on (image, band). Predictions
-    whose size differs from their true mask are resized to it first (nearest).
-    ``sizes`` (image_id, height, width of the predictions) saves a pass.
+    Bands of equal images that are cut alike meet on (image, band). Images cut
+    otherwise are cut again, both sides by ``rows``; predictions whose size
+    differs from their true mask are resized to it first (nearest). Every pixel
+    must find its partner, or the job fails. ``sizes`` (image_id, height, width,
+    bands of the predictions) saves a pass.
     """
-    shape = ["image_id", "height", "width"]
-    truth = spread(truth).persist(StorageLevel.MEMORY_AND_DISK)
+    shape = ["image_id", "height", "width", "bands"]
+    truth = cached(spread(truth))
     if sizes is None:
-        predicted = predicted.persist(StorageLevel.MEMORY_AND_DISK)
+        predicted = cached(predicted)
         sizes = predicted.filter("band = 0").select(*shape)
     wanted = truth.filter("band = 0").select(*shape)
-    known = sizes.select("image_id", F.col("height").alias("p_height"), F.col("width").alias("p_width"))
-    odd = wanted.join(known, "image_id").filter("height <> p_height OR width <> p_width").select(*shape)
-    if odd.isEmpty():
+    known = sizes.select("image_id", *[F.col(c).alias(f"p_{c}") for c in shape[1:]])
+    other_size = F.expr("height <> p_height OR width <> p_width")
+    odd = wanted.join(known, "image_id").filter(other_size | F.expr("bands <> p_bands"))
+    odd = cut_lineage(odd.select("image_id", "height", "width", other_size.alias("other_size")))
+    found = {r.other_size for r in odd.select("other_size").distinct().collect()}
+    if not found:
         return _band_counts(_paired(predicted, truth))
-    odd = cut_lineage(odd)
     odd_ids = odd.select("image_id")
-    equal = _band_counts(_paired(predicted, truth.join(odd_ids, "image_id", "left_anti")))
-    resized = resize_to(predicted.join(odd_ids, "image_id", "left_semi"), odd, "nearest", rows, channels=1)
-    odd_truth = recut(truth.join(odd_ids, "image_id", "left_semi"), rows, 0)
-    return equal.unionByName(_band_counts(_paired(resized, odd_truth)))
+    counts = _band_counts(_paired(predicted, truth.join(odd_ids, "image_id", "left_anti")))
+    for resized in sorted(found):
+        some = odd.filter(F.col("other_size") == resized)
+        ids = some.select("image_id")
+        mine = predicted.join(ids, "image_id", "left_semi")
+        mine = resize_to(mine, some, "nearest", rows, channels=1) if resized else recut(mine, rows, 0)
+        counts = counts.unionByName(_band_counts(_paired(mine, recut(truth.join(ids, "image_id", "left_semi"), rows, 0))))
+    return counts
 
 
 def score(counts: DataFrame, undefined: str = "null") -> DataFrame:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandsaw.operators.bands import map_rows
 from bandsaw.operators.kernels import smallest_index
-from bandsaw.operators.skew import salted_lookup
+from bandsaw.operators.skew import lookup
 from bandsaw.session import cut_lineage
 
 LOCAL_EDGES = 1 << 16
@@ -18,22 +17,18 @@ LOCAL_EDGES = 1 << 16
 def _large_star(edges: DataFrame, key: str) -> DataFrame:
     both = edges.unionByName(edges.select(key, F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy(key, "u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    joined = salted_lookup(both, smallest, [key, "u"], "v").filter("v > u")
+    joined = lookup(both, smallest, [key, "u"]).filter("v > u")
     return joined.select(key, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame, key: str) -> DataFrame:
     smallest = edges.groupBy(key, "u").agg(F.min("v").alias("m"))
-    joined = salted_lookup(edges, smallest, [key, "u"], "v").filter("v <> m")
+    joined = lookup(edges, smallest, [key, "u"]).filter("v <> m")
     moved = joined.select(key, F.col("v").alias("u"), F.col("m").alias("v"))
     kept = smallest.select(key, "u", F.col("m").alias("v"))
     return moved.unionByName(kept).distinct()
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
 def star_components(edges: DataFrame, key: str = "image_id") -> DataFrame:
     """Components by star contraction, for graphs of any size.
 
@@ -42,13 +37,14 @@ def star_components(edges: DataFrame, key: str = "image_id") -> DataFrame:
     """
     oriented = edges.select(key, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     stars = cut_lineage(oriented.filter("u <> v").distinct())
-    before = _signature(stars)
-    while before[0]:
+    n = stars.count()
+    while n:
+        before, n_before = stars, n
         stars = cut_lineage(_small_star(_large_star(stars, key), key))
-        after = _signature(stars)
-        if after == before:
+        n = stars.count()
+        # both are sets, so they are equal if they are as large and none is new
+        if n == n_before and stars.join(before, [key, "u", "v"], "left_anti").isEmpty():
             break
-        before = after
     leaves = stars.select(key, F.col("u").alias("node"), F.col("v").alias("root"))
     centres = stars.select(key, F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return leaves.unionByName(centres)
@@ -76,7 +72,7 @@ def connected_components(edges: DataFrame, key: str = "image_id", local_edges: i
     A key with at most ``local_edges`` edges is one bounded group; larger graphs
     go through star contraction.
     """
-    edges = edges.select(key, "u", "v").persist(StorageLevel.MEMORY_AND_DISK)
+    edges = cut_lineage(edges.select(key, "u", "v"))
     sizes = edges.groupBy(key).agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > local_edges).select(key)
     if large.isEmpty():

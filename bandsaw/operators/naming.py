@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bandsaw.functions import paths
-from bandsaw.operators.skew import salted_lookup, semi_join
+from bandsaw.operators.skew import lookup, semi_join
 from bandsaw.session import cut_lineage, shuffle_partitions
 
 _INDEX_BITS = 33  # of monotonically_increasing_id
@@ -57,7 +57,7 @@ def clean_names(files: DataFrame) -> DataFrame:
     cleaned = files.select("path", paths.underscored(F.col("path")).alias("clean_path"))
     taken = cleaned.groupBy("clean_path").agg(F.count("*").alias("n")).filter("n > 1")
     hits = taken.select("clean_path", F.lit(True).alias("hit"))
-    joined = salted_lookup(cleaned, hits, ["clean_path"], "path", "left")
+    joined = lookup(cleaned, hits, ["clean_path"], "left")
     return joined.select("path", "clean_path", F.coalesce("hit", F.lit(False)).alias("collides"))
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from bandsaw.operators.bands import (
     BANDS,
     GEOMETRY_NAMES,
+    band_count,
     block,
-    cut_rows,
-    from_pixels,
+    carried,
     map_rows,
     trim,
     with_per_image,
@@ -115,55 +115,68 @@ def resize_to(
 ) -> DataFrame:
     """Resize every image to its own target; ``sizes`` has image_id, height, width.
 
-    One-band images are finished where they are. Larger ones send target cells,
-    already summed per band, and Spark adds them up per cell.
+    A band is resampled where it is and sends pieces of the target's bands: final
+    pixels if it is the whole image, else sums that add up over the bands. The
+    input is read once for both.
     """
     targets = sizes.select("image_id", F.col("height").alias("t_height"), F.col("width").alias("t_width"))
-    return _resize(with_per_image(bands, targets), method, rows, channels)
+    return _resize(with_per_image(bands, targets), method, rows, channels, ())
 
 
 def resize(
-    bands: DataFrame, height: int, width: int, method: str = "bicubic", rows: int | None = None, channels: int = 3
+    bands: DataFrame,
+    height: int,
+    width: int,
+    method: str = "bicubic",
+    rows: int | None = None,
+    channels: int = 3,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Resize every image to one fixed size, ignoring the aspect ratio."""
     sized = bands.withColumns({"t_height": F.lit(height), "t_width": F.lit(width)})
-    return _resize(sized, method, rows, channels)
+    return _resize(sized, method, rows, channels, carry)
 
 
-def _resize(sized: DataFrame, method: str, rows: int | None, channels: int) -> DataFrame:
+def _resize(sized: DataFrame, method: str, rows: int | None, channels: int, carry: tuple[str, ...]) -> DataFrame:
     if method != "nearest" and method not in FILTERS:
         raise ValueError(f"unknown resize method {method!r}")
-    sized = sized.select(*GEOMETRY_NAMES, "data", "t_height", "t_width")
-    sums_names = [f"s{i}" for i in range(channels)]
-    names = [f"v{i}" for i in range(channels)]
+    sized = sized.select(*GEOMETRY_NAMES, "data", "t_height", "t_width", *carry)
+    piece = "image_id bigint, part int, height int, width int, first int, whole boolean, data binary" + carried(carry)
 
-    def columns(row: dict) -> np.ndarray:
-        core = trim(row, block(row))
-        return _columns(core.reshape(*core.shape[:2], channels), row["t_width"], method)
-
-    def whole(row: dict) -> dict:
+    def pieces(row: dict) -> dict:
         height, width = row["t_height"], row["t_width"]
-        _, sums = _row_sums(columns(row), 0, row["height"], height, method)
-        return cut_rows(row["image_id"], _rounded(sums), rows, 0)
-
-    def share(row: dict) -> dict:
-        first, sums = _row_sums(columns(row), row["y0"], row["height"], row["t_height"], method)
-        n, width = sums.shape[:2]
-        flat = sums.reshape(-1, channels)
-        return {
-            "image_id": np.full(n * width, row["image_id"], np.int64),
-            "height": np.full(n * width, row["t_height"], np.int32),
-            "width": np.full(n * width, width, np.int32),
-            "y": np.repeat(np.arange(first, first + n, dtype=np.int32), width),
-            "x": np.tile(np.arange(width, dtype=np.int32), n),
-        } | {name: flat[:, i] for i, name in enumerate(sums_names)}
-
-    cell = "image_id bigint, height int, width int, y int, x int, " + ", ".join(f"{c} bigint" for c in sums_names)
-    done = map_rows(sized.filter("bands = 1"), whole, BANDS)
-    shares = map_rows(sized.filter("bands > 1"), share, cell)
-    values = []
-    for total, name in zip(sums_names, names):
-        rounded = F.shiftright(F.sum(total) + (1 << (BITS - 1)), BITS)
-        values.append(F.least(F.greatest(rounded, F.lit(0)), F.lit(255)).cast("int").alias(name))
-    cells = shares.groupBy("image_id", "height", "width", "y", "x").agg(*values)
-    return done.unionByName(from_pixels(cells, tuple(names), rows, 0))
+        core = trim(row, block(row))
+        columns = _columns(core.reshape(*core.shape[:2], channels), width, method)
+        whole = row["bands"] == 1
+        first, sums = _row_sums(columns, 0 if whole else row["y0"], row["height"], height, method)
+        values = _rounded(sums) if whole else sums
+        n = band_count(height, width, rows, 0)
+        out: dict[str, list] = {name: [] for name in ("image_id", "part", "height", "width", "first", "whole", "data", *carry)}
+        for part in range(n):
+            y0, y1 = part * height // n, (part + 1) * height // n
+            start, stop = max(first, y0), min(first + len(values), y1)
+            if start < stop:
+                data = values[start - first : stop - first].tobytes()
+                for name, value in zip(out, [row["image_id"], part, height, width, start, whole, data, *[row[c] for c in carry]], strict=True):
+                    out[name].append(value)
+        return out
+
+    def join(pdf):
+        import pandas as pd
+
+        one = pdf.iloc[0]
+        height, width, part = int(one["height"]), int(one["width"]), int(one["part"])
+        n = band_count(height, width, rows, 0)
+        y0, y1 = part * height // n, (part + 1) * height // n
+        if one["whole"]:
+            data = one["data"]
+        else:
+            total = np.zeros((y1 - y0, width, channels), np.int64)
+            for first, held in zip(pdf["first"], pdf["data"], strict=True):
+                share = np.frombuffer(held, np.int64).reshape(-1, width, channels)
+                total[first - y0 : first - y0 + len(share)] += share
+            data = _rounded(total).tobytes()
+        values = [int(one["image_id"]), part, n, height, width, y0, y1, y0, y1, data, *[one[c] for c in carry]]
+        return pd.DataFrame([values], columns=[*GEOMETRY_NAMES, "data", *carry])
+
+    return map_rows(sized, pieces, piece).groupBy("image_id", "part").applyInPandas(join, BANDS + carried(carry))

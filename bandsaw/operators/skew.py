@@ -3,37 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from bandsaw.session import cut_lineage
 
-SALTS = 16
-# A key with more rows than this is hot. There are at most (rows / HOT_ROWS) hot keys.
-HOT_ROWS = 1_000_000
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` to the one-row-per-key ``table``.
 
-
-def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
-    """Join ``rows`` to the one-row-per-key ``table``, each key split over several tasks.
-
-    Rows get a salt from the column ``spread``; the table is repeated per salt.
+    A merge join spills and can be split: Spark reads a partition with a hot key
+    as several slices of ``rows``, each beside the table's few rows
+    (``spark.sql.adaptive.skewJoin``).
     """
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "salt"], how).drop("salt")
+    return rows.join(table.hint("merge"), keys, how)
 
 
-def semi_join(rows: DataFrame, wanted: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose key is in ``wanted`` (distinct keys).
-
-    Hot keys are counted first. They are few by definition, so the wanted ones
-    among them are broadcast and their rows stay where they are; all other rows
-    meet ``wanted`` in an ordinary join.
-    """
-    hot = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(key)
-    if hot.isEmpty():
-        return rows.join(wanted, key, "left_semi")
-    hot = cut_lineage(hot)
-    hot_wanted = cut_lineage(hot.join(wanted, key, "left_semi"))
-    often = rows.join(F.broadcast(hot_wanted), key, "left_semi")
-    seldom = rows.join(F.broadcast(hot), key, "left_anti").join(wanted, key, "left_semi")
-    return often.unionByName(seldom)
+def semi_join(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in ``wanted`` (distinct keys), split in the same way."""
+    return lookup(rows, wanted, [key], "left_semi")

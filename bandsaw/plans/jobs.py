@@ -1,4 +1,9 @@
-"""Batch jobs over directory trees."""
+"""Batch jobs over directory trees.
+
+Every job writes ``target/artifacts`` (a table, partitioned by category and kind) and
+``target/status`` (a row per file), and with ``as_files`` PNG files in ``target/files``.
+The status is read off what was written. Caches are released when a job ends.
+"""
 
 from __future__ import annotations
 
@@ -11,60 +16,85 @@ from bandsaw.operators.bands import map_block, to_bands
 from bandsaw.operators.evaluate import confusion_of_masks, score
 from bandsaw.operators.kernels import gray
 from bandsaw.operators.resize import resize
-from bandsaw.plans.segment import segment, valid
-from bandsaw.sources.artifacts import file_rows, ingest_images, read_table, status_of, write_artifacts
+from bandsaw.plans.segment import KINDS, segment, valid
+from bandsaw.session import cut_lineage, keeping
+from bandsaw.sources.artifacts import file_rows, ingest_images, read_table, status_of, write_artifacts, written_images
 from bandsaw.sources.files import list_files
-from bandsaw.sources.images import read_images, read_labelled
+from bandsaw.sources.headers import problem, with_headers
+from bandsaw.sources.images import MOST_NAMES, read_images, read_labelled
 from bandsaw.sources.png import write_png_tree
 
+CARRY = ("category", "rel_path")
+
+
+def too_large(files: DataFrame) -> list[str]:
+    """Paths, up to ``MOST_NAMES``, of files that would overrun the decoder's memory.
+
+    Beyond that number such files are left to the decoder, which refuses them one by one.
+    """
+    heads = with_headers(files.select("path", "length"))
+    return [r.path for r in heads.filter(problem() == "too large to decode").select("path").limit(MOST_NAMES).collect()]
+
+
+def _finish(spark: SparkSession, artifacts: DataFrame, files: DataFrame, target: str, as_files: bool, kinds: int) -> DataFrame:
+    """Write the table, the files and the status; gives the table as written."""
+    write_artifacts(artifacts, f"{target}/artifacts")
+    written = read_table(spark, f"{target}/artifacts", artifacts.schema)
+    if as_files:
+        rows = written if "name" in written.columns else file_rows(written)
+        write_png_tree(rows.withColumn("rel_dir", F.col("category")), f"{target}/files")
+    status_of(files, written_images(written, kinds)).write.mode("overwrite").parquet(f"{target}/status")
+    return written
+
 
 def segment_dataset(
     spark: SparkSession, source: str, target: str, as_files: bool = False, named_set: str | None = "images", **options
 ) -> DataFrame:
     """Segment a tree of images; gives the status table.
 
-    Writes ``target/artifacts`` (partitioned by category and kind),
-    ``target/originals`` (every input file as it is, readable or not) and
-    ``target/status``; ``as_files`` writes PNG files in ``target/files`` too.
-    Files that cannot be decoded get a status row and never stop the job.
+    ``target/originals`` holds every input file as it is, readable or not. Files
+    that cannot be decoded get a status row and never stop the job.
     """
-    ingest_images(spark, source, f"{target}/originals", named_set)
-    result = segment(read_images(spark, source, named_set), **options)
-    artifacts = result.artifacts()
-    write_artifacts(artifacts, f"{target}/artifacts")
-    if as_files:
-        written = read_table(spark, f"{target}/artifacts", artifacts.schema)
-        write_png_tree(file_rows(written), f"{target}/files")
-    files = list_files(spark, source, named_set=named_set)
-    status_of(files, result.done).write.mode("overwrite").parquet(f"{target}/status")
-    result.release()
+    with keeping():
+        ingest_images(spark, source, f"{target}/originals", named_set)
+        files = list_files(spark, source, named_set=named_set)
+        images = read_images(spark, source, named_set, without=too_large(files))
+        result = segment(images, **options)
+        _finish(spark, result.artifacts(), files, target, as_files, len(KINDS))
     return spark.read.parquet(f"{target}/status")
 
 
 def evaluate_dataset(spark: SparkSession, source: str, named_set: str = "images", **options) -> DataFrame:
     """Segment a labelled tree and score it against its masks: one row per image with a mask."""
-    images, masks = read_labelled(spark, source, named_set)
-    result = segment(images, **options)
-    truth = to_bands(valid(masks), options.get("band_rows"), as_gray=True)
-    scored = score(confusion_of_masks(result.masks, truth, options.get("band_rows"), result.done))
+    with keeping():
+        images, masks = read_labelled(spark, source, named_set)
+        result = segment(images, **options)
+        truth = to_bands(valid(masks), options.get("band_rows"), as_gray=True)
+        # a row per image, computed while the caches are there
+        scored = cut_lineage(score(confusion_of_masks(result.masks, truth, options.get("band_rows"), result.done)))
     files = list_files(spark, source, named_set=named_set)
     return scored.join(files.select(F.xxhash64("rel_path").alias("image_id"), "category"), "image_id")
 
 
-def grayscale_dataset(spark: SparkSession, source: str, target: str, named_set: str | None = "images") -> DataFrame:
-    """Gray versions of the images directly in ``source``, named ``processed_{name}``."""
-    carry = ("category", "rel_path")
-    images = valid(read_images(spark, source, named_set, recursive=False))
-    bands = map_block(to_bands(images, halo=0, carry=carry), lambda a, top, bottom: gray(a), carry=carry)
-    rows = bands.drop("e0", "e1").withColumnRenamed("data", "content").withColumns(
+def grayscale_dataset(
+    spark: SparkSession, source: str, target: str, named_set: str | None = "images", as_files: bool = False
+) -> DataFrame:
+    """Gray versions of the images directly in ``source``, named ``processed_{name}``; gives the table."""
+    files = list_files(spark, source, False, named_set)
+    images = valid(read_images(spark, source, named_set, recursive=False, without=too_large(files)))
+    bands = map_block(to_bands(images, halo=0, carry=CARRY), lambda a, top, bottom: gray(a), carry=CARRY)
+    rows = _named(bands, "gray", 1, "processed")
+    return _finish(spark, rows, files, target, as_files, 1)
+
+
+def _named(bands: DataFrame, kind: str, channels: int, prefix: str) -> DataFrame:
+    return bands.drop("e0", "e1").withColumnRenamed("data", "content").withColumns(
         {
-            "kind": F.lit("gray"),
-            "n_channels": F.lit(1),
-            "name": paths.prefixed(F.col("rel_path"), "processed"),
+            "kind": F.lit(kind),
+            "n_channels": F.lit(channels),
+            "name": paths.png_prefixed(F.col("rel_path"), prefix),
         }
     )
-    write_artifacts(rows, target)
-    return read_table(spark, target, rows.schema)
 
 
 def resize_dataset(
@@ -76,22 +106,22 @@ def resize_dataset(
     method: str = "bicubic",
     manifest: DataFrame | None = None,
     named_set: str | None = "images",
+    as_files: bool = False,
 ) -> DataFrame:
-    """Resize a tree of images, or only the files that a manifest names.
+    """Resize a tree of images, or only the files that a manifest names; gives the table.
 
-    Results have a fixed size, so naming them by a join on the image is cheap.
+    A manifest of up to ``MOST_NAMES`` names selects files before they are opened;
+    a longer one is joined. Both give the same rows.
     """
-    images = valid(read_images(spark, source, named_set))
     files = list_files(spark, source, named_set=named_set)
-    if manifest is not None:
-        images, files = (naming.in_manifest(t, manifest) for t in (images, files))
-    bands = resize(to_bands(images, halo=0), height, width, method)
-    names = files.select(
-        F.xxhash64("rel_path").alias("image_id"),
-        "category",
-        paths.prefixed(F.col("rel_path"), "resized").alias("name"),
-    )
-    rows = bands.drop("e0", "e1").withColumnRenamed("data", "content").join(names, "image_id")
-    rows = rows.withColumns({"kind": F.lit("resized"), "n_channels": F.lit(3)})
-    write_artifacts(rows, target)
-    return read_table(spark, target, rows.schema)
+    if manifest is None:
+        images = read_images(spark, source, named_set, without=too_large(files))
+    else:
+        files = naming.in_manifest(files, manifest)
+        names = [r.new_name for r in manifest.select("new_name").distinct().limit(MOST_NAMES + 1).collect()]
+        if len(names) <= MOST_NAMES:
+            images = read_images(spark, source, named_set, names=names)
+        else:
+            images = naming.in_manifest(read_images(spark, source, named_set), manifest)
+    bands = resize(to_bands(valid(images), halo=0, carry=CARRY), height, width, method, carry=CARRY)
+    return _finish(spark, _named(bands, "resized", 3, "resized"), files, target, as_files, 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +36,7 @@ from bandsaw.operators.components import (
 )
 from bandsaw.operators.kernels import dilate5, erode5, gaussian5, gray, lab_histogram, lab_labels, lab_to_bgr
 from bandsaw.operators.neighborhood import threshold
+from bandsaw.session import cached
 
 ROI_LEVEL = 127
 SELECTED_LEVEL = 1
@@ -68,7 +68,7 @@ def roi_bands(bands: DataFrame, holes: DataFrame | None) -> DataFrame:
 
 def region_of_interest(bands: DataFrame) -> DataFrame:
     """ROI masking as an operator of its own."""
-    bands = bands.persist(StorageLevel.MEMORY_AND_DISK)
+    bands = cached(bands)
     holes = seam_holes(threshold(bands, ROI_LEVEL))
     return roi_bands(bands if holes is None else spread(bands), holes)
 
@@ -97,7 +97,7 @@ def _lab_colours(bands: DataFrame, preprocess: bool) -> DataFrame:
 
 def lab_colours(bands: DataFrame, preprocess: bool = True) -> DataFrame:
     """The weighted colours that k-means gets: L*a*b*, after ROI masking and blur."""
-    bands = bands.persist(StorageLevel.MEMORY_AND_DISK)
+    bands = cached(bands)
     holes = seam_holes(threshold(bands, ROI_LEVEL)) if preprocess else None
     bands = bands if holes is None else spread(bands)
     return _lab_colours(with_choice(bands, holes, "roi_holes"), preprocess)
@@ -135,7 +135,7 @@ def postprocess(bands: DataFrame, min_area: float = MIN_AREA) -> DataFrame:
         return geometry(out) | {"data": [mask.tobytes()]}
 
     closed = spread(map_rows(bands.select(*GEOMETRY_NAMES, "data"), close, BANDS))
-    closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
+    closed = cached(closed)
     holes, large = _across_seams(closed, min_area)
     return _finish(closed, holes, large, min_area)
 
@@ -146,7 +146,7 @@ def _across_seams(closed: DataFrame, min_area: float) -> tuple[DataFrame | None,
         return None, None
     multi = closed.filter("bands > 1")
     holes = seam_holes(multi)
-    filled = fill_holes(multi, holes).persist(StorageLevel.MEMORY_AND_DISK)
+    filled = cached(fill_holes(multi, holes))
     large = seam_large(filled, min_area)
     filled.unpersist()
     return holes, large
@@ -179,7 +179,7 @@ class Segmentation:
                  the category and rel_path of the image where it has them
     ``masks``    the cleaned masks alone, as bands
     ``centres``  image_id, k{i}_{j}, converged, best
-    ``done``     image_id, height, width of the images that were segmented
+    ``done``     image_id, height, width, bands of the images that were segmented
     """
 
     bands: DataFrame
@@ -231,15 +231,15 @@ def segment(
     """
     carry = tuple(c for c in CARRY if c in images.columns)
     cut = to_bands(valid(images), band_rows, carry=carry)
-    held = spread(cut, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    held = cached(spread(cut, partitions))
     seams = has_seams(held)
     roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if seams and preprocess else None
     bands = with_choice(held, roi_holes, "roi_holes")
-    colours = _lab_colours(bands, preprocess).persist(StorageLevel.MEMORY_AND_DISK)
+    colours = cached(_lab_colours(bands, preprocess))
     centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
     if cluster_index is not None:
         centres = centres.withColumn("best", F.lit(cluster_index))
-    centres = centres.persist(StorageLevel.MEMORY_AND_DISK)
+    centres = cached(centres)
     placed = with_per_image(bands, centres.drop("converged"))
 
     def close(row: dict) -> dict:
@@ -250,7 +250,7 @@ def segment(
     holes = large = closed = None
     if seams:
         closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS), partitions)
-        closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
+        closed = cached(closed)
         holes, large = _across_seams(closed, min_area)
 
     def finish(row: dict) -> dict:
@@ -279,4 +279,4 @@ def segment(
     if closed is not None:
         masks = masks.unionByName(_finish(closed, holes, large, min_area))
         kept.append(closed)
-    return Segmentation(result, masks, centres, held.filter("band = 0").select("image_id", "height", "width"), kept)
+    return Segmentation(result, masks, centres, held.filter("band = 0").select("image_id", "height", "width", "bands"), kept)

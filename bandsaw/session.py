@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[DataFrame]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the session (``spark.checkpoint.dir``).
@@ -32,3 +37,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     """How many partitions to ask for by number: the session's setting, or two per core."""
     chosen = spark.conf.get("spark.sql.shuffle.partitions", None)
     return int(chosen) if chosen else 2 * spark.sparkContext.defaultParallelism
+
+
+@contextmanager
+def keeping() -> Iterator[list[DataFrame]]:
+    """Release what operators keep in caches when the block ends."""
+    held: list[DataFrame] = []
+    _SCOPES.append(held)
+    try:
+        yield held
+    finally:
+        _SCOPES.remove(held)
+        for df in held:
+            df.unpersist()
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """Cache an input that is read more than once, until the block of ``keeping`` ends.
+
+    Without such a block the cache stays until ``spark.catalog.clearCache()``.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _SCOPES:
+        _SCOPES[-1].append(df)
+    return df
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the session's default file system if it has none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()

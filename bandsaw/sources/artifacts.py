@@ -8,23 +8,28 @@ from pyspark.sql.types import StructType
 
 from bandsaw.functions import paths
 from bandsaw.sources.files import read_files
+from bandsaw.sources.headers import problem, with_headers
 
 
-def status_of(files: DataFrame, done: DataFrame) -> DataFrame:
+def written_images(artifacts: DataFrame, kinds: int) -> DataFrame:
+    """(image_id, whole) from an artefact table: whole if every band of all kinds is there. Reads no pixels."""
+    per_kind = artifacts.groupBy("image_id", "kind").agg(F.count("*").alias("n"), F.max("bands").alias("bands"))
+    return per_kind.groupBy("image_id").agg((F.count_if(F.col("n") == F.col("bands")) == kinds).alias("whole"))
+
+
+def status_of(files: DataFrame, written: DataFrame) -> DataFrame:
     """One row per file: path, ok, stage, message. Failures are data, not exceptions.
 
-    ``done`` has the image_id of every image that was segmented.
+    ``written`` is what ``written_images`` found in the result. Files without a
+    result are looked at again, at their first bytes, to tell why.
     """
-    marked = files.withColumn("image_id", F.xxhash64("rel_path")).join(
-        done.select("image_id", F.lit(True).alias("hit")), "image_id", "left"
-    )
-    ok = F.coalesce("hit", F.lit(False))
-    return marked.select(
-        "path",
-        ok.alias("ok"),
-        F.when(ok, "write").otherwise("decode").alias("stage"),
-        F.when(ok, "segmented").otherwise("not a readable image of 1, 3 or 4 channels").alias("message"),
-    )
+    marked = files.withColumn("image_id", F.xxhash64("rel_path")).join(written, "image_id", "left")
+    done = marked.filter("whole").select("path", F.lit(True).alias("ok"), F.lit("write").alias("stage"), F.lit("written").alias("message"))
+    cut = marked.filter("NOT whole").select("path", F.lit(False).alias("ok"), F.lit("write").alias("stage"), F.lit("results are missing").alias("message"))
+    failed = with_headers(marked.filter("whole IS NULL").select("path", "length"))
+    message = F.coalesce(problem(), F.lit("not a readable image of 1, 3 or 4 channels"))
+    failed = failed.select("path", F.lit(False).alias("ok"), F.lit("decode").alias("stage"), message.alias("message"))
+    return done.unionByName(cut).unionByName(failed)
 
 
 def status_summary(status: DataFrame) -> DataFrame:
@@ -54,10 +59,5 @@ def ingest_images(spark: SparkSession, source: str, target: str, named_set: str
 
 
 def file_rows(artifacts: DataFrame) -> DataFrame:
-    """Directory and name for every artefact band: ``{stem}_{kind}.png`` beside its image."""
-    return artifacts.withColumns(
-        {
-            "rel_dir": F.col("category"),
-            "name": F.concat(paths.stem(F.col("rel_path")), F.lit("_"), F.col("kind"), F.lit(".png")),
-        }
-    )
+    """Directory and name for every artefact band: beside its image, under a name that no other file's result has."""
+    return artifacts.withColumns({"rel_dir": F.col("category"), "name": paths.png_named(F.col("rel_path"), F.col("kind"))})

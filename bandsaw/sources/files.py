@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandsaw.functions import paths
+from bandsaw.session import cut_lineage, qualified, shuffle_partitions
+from bandsaw.sources.store import opened, prefix
 
 MANIFEST = "old_name string, new_name string"
+LISTING = "path string, is_folder boolean, length bigint, modificationTime timestamp"
+# Fixed value: the largest content of a row.
+MOST_BYTES = 2**31 - 16
 
 
 def extension_glob(named_set: str) -> str:
@@ -36,12 +44,45 @@ def read_files(spark: SparkSession, root: str, recursive: bool = True, named_set
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if named_set:
         reader = reader.option("pathGlobFilter", extension_glob(named_set))
-    return _with_parts(reader.load(root), root)
+    # files that do not fit a row are not even opened
+    return _with_parts(reader.load(root).filter(F.col("length") <= MOST_BYTES), root)
 
 
 def list_files(spark: SparkSession, root: str, recursive: bool = True, named_set: str | None = None) -> DataFrame:
-    """The same without content; the source then reads no bytes."""
-    return read_files(spark, root, recursive, named_set).drop("content")
+    """Path, time and length of every file, also of empty and hidden ones, which Spark's file sources leave out.
+
+    Tasks list folders, level by level; a folder is listed by one task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                store, path = opened(folder)
+                found = store.get_file_info(fs.FileSelector(path, recursive=False))
+                for first in range(0, len(found), 10_000):
+                    some = found[first : first + 10_000]
+                    columns = [
+                        pa.array([prefix(folder) + f.path for f in some], pa.string()),
+                        pa.array([f.type == fs.FileType.Directory for f in some], pa.bool_()),
+                        pa.array([f.size for f in some], pa.int64()),
+                        pa.array([f.mtime for f in some], pa.timestamp("us", "UTC")),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "is_folder", "length", "modificationTime"])
+
+    level = spark.createDataFrame([(qualified(spark, root),)], "folder string")
+    files = None
+    while True:
+        rows = cut_lineage(level.repartition(shuffle_partitions(spark), "folder").mapInArrow(run, LISTING))
+        here = rows.filter("NOT is_folder").drop("is_folder")
+        files = here if files is None else files.unionByName(here)
+        level = rows.filter("is_folder").select(F.col("path").alias("folder"))
+        if not recursive or level.isEmpty():
+            break
+    if named_set:
+        files = files.filter(paths.has_extension(F.col("path"), named_set))
+    return _with_parts(files.select("path", "modificationTime", "length"), root)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,40 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandsaw.functions import paths
 from bandsaw.sources.files import extension_glob
+from bandsaw.sources.headers import header
+from bandsaw.sources.store import opened
+
+MOST_NAMES = 10_000
+
+
+def _forms(path: str) -> list[str]:
+    """How a path may be spelled: with one slash or three, percent-encoded or not."""
+    scheme, _, rest = path.partition(":")
+    plain = "/" + rest.lstrip("/") if scheme == "file" else rest
+    spelled = [plain, "//" + plain] if scheme == "file" else [plain]
+    return [f"{scheme}:{s}" for x in spelled for s in (x, quote(x))]
+
+
+def _is_deep(paths_: pd.Series) -> pd.Series:
+    """Whether a gray file has more than 8 bits, of which the decoder keeps the low ones; null paths are not opened."""
+
+    def deep(path: str | None) -> bool:
+        if path is None:
+            return False
+        store, name = opened(path)
+        with store.open_input_file(name) as source:
+            return (header(source.read(64))[4] or 8) > 8
+
+    return paths_.map(deep).astype(bool)
+
 
 def read_images(
     spark: SparkSession,
@@ -14,28 +43,38 @@ def read_images(
     named_set: str | None = "images",
     recursive: bool = True,
     only: str | None = None,
+    names: list[str] | None = None,
+    without: list[str] | None = None,
 ) -> DataFrame:
     """Decode a tree of image files on the executors.
 
-    A file that cannot be decoded keeps its row with height -1. ``only`` may be
-    "images" or "masks"; it filters on the file name before files are read.
+    A file that cannot be decoded keeps its row with height -1, and so does gray
+    of more than 8 bits; a file that makes the decoder throw has no row. ``only``
+    may be "images" or "masks"; ``names`` are file names and ``without`` paths, at most
+    ``MOST_NAMES``. All three filter before files are opened.
     """
-    reader = spark.read.format("image").option("recursiveFileLookup", recursive)
+    reader = spark.read.format("image").option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", True)
     if named_set:
         reader = reader.option("pathGlobFilter", extension_glob(named_set))
     files = reader.load(root)
     if only:
         mask = paths.is_mask(F.col("_metadata.file_name"))
         files = files.filter(mask if only == "masks" else ~mask)
+    if names is not None:
+        files = files.filter(F.col("_metadata.file_name").isin(names + [quote(n) for n in names]))
+    if without:
+        files = files.filter(~F.col("_metadata.file_path").isin([form for path in without for form in _forms(path)]))
     # a plus sign in a file name must survive unescaping
     origin = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
     relative = paths.relative_path(origin, root)
+    gray_png = (F.col("image.nChannels") == 1) & paths.has_extension(origin, "png")
+    deep = F.pandas_udf(_is_deep, "boolean")(F.when(gray_png, origin))
     return files.select(
         F.xxhash64(relative).alias("image_id"),
         paths.path_only(origin).alias("path"),
         relative.alias("rel_path"),
         paths.category(relative).alias("category"),
-        F.col("image.height").alias("height"),
+        F.when(deep, -1).otherwise(F.col("image.height")).alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("n_channels"),
         F.col("image.mode").alias("mode"),
@@ -43,11 +82,6 @@ def read_images(
     )
 
 
-def image_info(images: DataFrame) -> DataFrame:
-    """Size and channel layout per image, without the pixels."""
-    return images.select("image_id", "height", "width", "n_channels", "mode")
-
-
 def read_labelled(spark: SparkSession, root: str, named_set: str = "images") -> tuple[DataFrame, DataFrame]:
     """(images, masks) of a tree with one folder per class.
 

@@ -1,9 +1,10 @@
 """PNG files as a Spark sink: ``df.write.format("png_tree").save(root)``.
 
-Rows are bands (rel_dir, name, width, height, n_channels, band, content). Each
-file is streamed by one task, band after band, so a task never holds an image.
-Files are written under a temporary name and renamed, so that a repeated or
-speculative task leaves a whole file.
+Rows are bands (image_id, rel_dir, name, width, height, n_channels, band, content).
+Each file is streamed by one task, band after band, so a task never holds an image.
+A file is written under a hidden temporary name and takes its own name, in place of
+an older file, when it is whole, so that a repeated or speculative task leaves a
+whole file. Two images of one name are an error.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from bandsaw.session import qualified
+from bandsaw.sources.store import opened
+
 # The PNG signature and the colour type per channel count.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 COLOUR_TYPE = {1: 0, 3: 2}
@@ -58,34 +62,51 @@ class PngTreeWriter(DataSourceWriter):
 
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(self.root)
+        store, base = opened(self.root)
         token = uuid.uuid4().hex
-        sink = packer = current = None
+        sink = packer = current = draft = None
         count = 0
 
         def close() -> None:
             sink.write(_chunk(b"IDAT", packer.flush()) + _chunk(b"IEND", b""))
             sink.close()
-            store.move(f"{current}.{token}", current)
-
-        for row in iterator:
-            folder = f"{base}/{row.rel_dir}" if row.rel_dir else base
-            target = f"{folder}/{row.name}"
-            if target != current:
-                if current:
-                    close()
-                store.create_dir(folder, recursive=True)
-                current, packer = target, zlib.compressobj(6)
-                sink = store.open_output_stream(f"{target}.{token}")
-                sink.write(png_head(row.width, row.height, row.n_channels))
-                count += 1
-            body = packer.compress(png_lines(row.content, row.width, row.n_channels))
-            if body:
-                sink.write(_chunk(b"IDAT", body))
-        if current:
-            close()
+            target = current[0]
+            if store.get_file_info(target).type != fs.FileType.NotFound:
+                store.delete_file(target)  # some stores do not rename onto a file
+            store.move(draft, target)
+
+        try:
+            for row in iterator:
+                folder = f"{base}/{row.rel_dir}" if row.rel_dir else base
+                wanted = (f"{folder}/{row.name}", row.image_id)
+                if wanted != current:
+                    if current:
+                        if current[0] == wanted[0]:
+                            raise ValueError(f"two images are to be written to {current[0]}")
+                        close()
+                        draft = None
+                    store.create_dir(folder, recursive=True)
+                    current, packer = wanted, zlib.compressobj(6)
+                    draft = f"{folder}/.{row.name}.{token}"
+                    sink = store.open_output_stream(draft)
+                    sink.write(png_head(row.width, row.height, row.n_channels))
+                    count += 1
+                body = packer.compress(png_lines(row.content, row.width, row.n_channels))
+                if body:
+                    sink.write(_chunk(b"IDAT", body))
+            if current:
+                close()
+                draft = None
+        finally:
+            if draft:  # the task failed: its unfinished file goes
+                sink.close()
+                if store.get_file_info(draft).type != fs.FileType.NotFound:
+                    store.delete_file(draft)
         return FilesWritten(count)
 
+    def abort(self, messages):
+        """Nothing is left to remove: failed tasks remove their drafts, finished files are whole."""
+
 
 class PngTree(DataSource):
     @classmethod
@@ -93,18 +114,19 @@ class PngTree(DataSource):
         return "png_tree"
 
     def writer(self, schema, overwrite):
-        root = self.options["path"]
-        return PngTreeWriter(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        return PngTreeWriter(self.options["path"])
 
 
 def write_png_tree(rows: DataFrame, root: str) -> None:
     """Write band rows as PNG files below ``root``, keeping each file's directory.
 
-    The file name and directory are the sort key; a file's bands stay together.
+    The file name and directory are the sort key; a file's bands stay together. A
+    ``root`` without a scheme lies in the session's default file system.
     """
     spark = rows.sparkSession
     spark.dataSource.register(PngTree)
-    columns = ["rel_dir", "name", "band", "width", "height", "n_channels", "content"]
+    columns = ["image_id", "rel_dir", "name", "band", "width", "height", "n_channels", "content"]
     # by file, not by directory: one directory may hold most files
     placed = rows.select(*columns).repartition(F.col("rel_dir"), F.col("name"))
-    placed.sortWithinPartitions("rel_dir", "name", "band").write.format("png_tree").mode("append").save(root)
+    ordered = placed.sortWithinPartitions("rel_dir", "name", "image_id", "band")
+    ordered.write.format("png_tree").mode("append").save(qualified(spark, root))

@@ -13,7 +13,9 @@ from bandsaw.operators import cluster, components, evaluate, naming, neighborhoo
 from bandsaw.operators.bands import from_pixels, map_rows, recut, to_bands, to_pixels
 from bandsaw.plans import jobs
 from bandsaw.plans.segment import artifact_rows, lab_colours, postprocess, region_of_interest, segment
-from bandsaw.sources.artifacts import ingest_images, status_summary
+from bandsaw.session import cut_lineage
+from bandsaw.sources import headers
+from bandsaw.sources.artifacts import ingest_images, read_table, status_summary, write_artifacts
 from bandsaw.sources.files import append_manifest, list_files, read_manifest
 from bandsaw.sources.images import read_images
 from oracle import sql as O
@@ -265,9 +267,14 @@ def normalise_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_pixels(to_bands(fixture_masks(spark, sf_dir).unionByName(with_alpha), ROWS))
 
 
-@register("image_info", f"SELECT CAST(s_suppkey AS BIGINT) AS image_id, {SIDE} AS height, {SIDE} AS width, 3 AS n_channels, {SIDE * SIDE * 3} AS bytes FROM supplier")
+@register(
+    "image_info",
+    f"""SELECT concat('scan ', s_suppkey, x.ext) AS rel_path, x.format, {SIDE} AS height, {SIDE} AS width, 3 AS n_channels, 8 AS bits
+FROM supplier, (VALUES ('.png', 'png'), ('.bmp', 'bmp')) AS x(ext, format)""",
+)
 def image_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_images(spark, sf_dir).select("image_id", "height", "width", "n_channels", F.length("data").alias("bytes"))
+    """Format and size from the first bytes of files."""
+    return headers.info(list_files(spark, trees.write_twin_tree(spark, sf_dir), named_set="images")).drop("path")
 
 
 @register("grayscale", "SELECT image_id, y, x, v FROM grays")
@@ -286,7 +293,10 @@ def threshold_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_pixels(bright_of(spark, sf_dir), ("m",))
 
 
-@register("mask_apply", "SELECT p.image_id, p.y, p.x, p.b*v.v AS b, p.g*v.v AS g, p.r*v.v AS r FROM px p JOIN bright v USING (image_id, y, x)")
+@register(
+    "mask_apply",
+    "SELECT image_id, y, x, " + ", ".join(f"CASE WHEN {O.GRAY} > 127 THEN {c} ELSE 0 END AS {c}" for c in "bgr") + " FROM px",
+)
 def mask_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     mask = px.above(px.gray(F.col("b"), F.col("g"), F.col("r")), 127)
     return pixels_of(spark, sf_dir).select("image_id", "y", "x", *[px.masked(F.col(c), mask).alias(c) for c in "bgr"])
@@ -528,6 +538,19 @@ def confusion_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_of_masks(bright_of(spark, sf_dir), truth, ROWS)
 
 
+@register(
+    "confusion_recut",
+    "SELECT image_id, tp, fp, fn, tn, same_raw FROM cut_counts UNION ALL SELECT image_id + 1000000, tp, fp, fn, tn, same_raw FROM cut_counts",
+)
+def confusion_recut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions in bands of 16 and of 13 rows, true masks in bands of 32."""
+    truth = to_bands(fixture_masks(spark, sf_dir), 32, as_gray=True)
+    fine = neighborhood.threshold(to_bands(fixture_images(spark, sf_dir), 13), 127)
+    counts = evaluate.confusion_of_masks(bright_of(spark, sf_dir), truth, 32)
+    others = evaluate.confusion_of_masks(fine, truth, 32).withColumn("image_id", F.col("image_id") + 1000000)
+    return counts.unionByName(others)
+
+
 O.step(
     "half_counts",
     "SELECT "
@@ -551,7 +574,7 @@ SCORE = 'image_id, iou, dice, "precision", recall, pixel_accuracy, pixel_accurac
 
 
 def cut_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.score(cut_counts(spark, sf_dir))
+    return evaluate.score(confusion_bands(spark, sf_dir))
 
 
 for _name, _columns in {
@@ -684,9 +707,10 @@ FILE_NAME = f"concat({O.CATEGORY}, '/scan ', image_id, '.png')"
 @register("png_roundtrip", f"SELECT {FILE_NAME} AS rel_path, y, x, b, g, r FROM px")
 def png_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All images written as PNG files, read back and decoded by the image source."""
-    images = read_images(spark, trees.write_tree(spark, sf_dir))
-    pixels = to_pixels(to_bands(images, ROWS))
-    return pixels.join(images.select("image_id", "rel_path"), "image_id").drop("image_id")
+    root = trees.write_tree(spark, sf_dir)
+    pixels = to_pixels(to_bands(read_images(spark, root), ROWS))
+    names = list_files(spark, root).select(F.xxhash64("rel_path").alias("image_id"), "rel_path")
+    return pixels.join(names, "image_id").drop("image_id")
 
 
 @register(
@@ -748,8 +772,9 @@ def evaluate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("grayscale_files", f"SELECT concat('processed_scan ', image_id, '.png') AS name, CAST(sum(v) AS BIGINT) AS total FROM grays WHERE image_id % 10 <> 0 GROUP BY image_id")
 def grayscale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grayscale job over a flat directory with damaged files."""
-    table = jobs.grayscale_dataset(spark, trees.write_damaged_tree(spark, sf_dir), trees.new_folder(spark))
-    return byte_totals(table)
+    target = trees.new_folder(spark)
+    jobs.grayscale_dataset(spark, trees.write_damaged_tree(spark, sf_dir), target, as_files=True)
+    return file_totals(spark, f"{target}/files")
 
 
 O.step("rz_job_px", O.resize_steps("rz_job", 32, 32, "bicubic"))
@@ -770,14 +795,74 @@ def resize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_manifest(manifest, folder)
     named = read_manifest(spark, folder)
     source = trees.write_tree(spark, sf_dir)
-    return byte_totals(jobs.resize_dataset(spark, source, trees.new_folder(spark), 32, 32, manifest=named))
+    target = trees.new_folder(spark)
+    jobs.resize_dataset(spark, source, target, 32, 32, manifest=named, as_files=True)
+    return file_totals(spark, f"{target}/files")
 
 
-def byte_totals(table: DataFrame) -> DataFrame:
+def file_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Name and sum of values of every image file below ``root``."""
     def total(row: dict) -> dict:
         import numpy as np
 
-        return {"name": [row["name"]], "total": [int(np.frombuffer(row["content"], np.uint8).sum())]}
+        return {"name": [row["name"]], "total": [int(np.frombuffer(row["data"], np.uint8).sum())]}
+
+    images = read_images(spark, root).select(paths.file_name(F.col("rel_path")).alias("name"), "data")
+    return map_rows(images, total, "name string, total bigint")
+
+
+@register(
+    "same_stem_files",
+    "SELECT concat('scan ', image_id) AS stem, 8 AS n_files, CAST(sum(b + g + r) AS BIGINT) AS png_total, CAST(3 * sum(m) AS BIGINT) AS bmp_total FROM px GROUP BY image_id",
+)
+def same_stem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files of one stem in one folder keep all their results, as files of different names."""
+    target = trees.new_folder(spark)
+    jobs.segment_dataset(spark, trees.write_twin_tree(spark, sf_dir), target, as_files=True)
+    files = file_totals(spark, f"{target}/files").withColumn("stem", F.regexp_extract("name", "^(scan [0-9]+)_", 1))
+    one = lambda ending: F.sum(F.when(F.endswith("name", F.lit(ending)), F.col("total")))
+    return files.groupBy("stem").agg(
+        F.count("*").cast("int").alias("n_files"), one("_original.png").alias("png_total"), one("_original.bmp.png").alias("bmp_total")
+    )
+
+
+@register(
+    "status_stages",
+    """SELECT concat(CASE WHEN i % 7 = 4 THEN '_' ELSE '' END, 'scan ', i, CASE WHEN i % 7 = 5 THEN '.jpg' ELSE '.png' END) AS name,
+i % 7 IN (0, 5) AS ok, CASE WHEN i % 7 IN (0, 5) THEN 'write' ELSE 'decode' END AS stage,
+CASE i % 7 WHEN 0 THEN 'written' WHEN 5 THEN 'written' WHEN 1 THEN 'more than 8 bits of gray' WHEN 2 THEN 'not a readable image of 1, 3 or 4 channels'
+WHEN 3 THEN 'empty file' WHEN 4 THEN 'hidden name' ELSE 'too large to decode' END AS message FROM (SELECT s_suppkey AS i FROM supplier)""",
+)
+def status_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One status row for every file of a tree with files of seven sorts."""
+    status = jobs.segment_dataset(spark, trees.write_mixed_tree(spark, sf_dir), trees.new_folder(spark))
+    return status.select(paths.file_name(F.col("path")).alias("name"), "ok", "stage", "message")
+
 
-    sums = map_rows(table.select("name", "content"), total, "name string, total bigint")
-    return sums.groupBy("name").agg(F.sum("total").alias("total"))
+@register("originals", f"SELECT concat('scan ', image_id, '.png') AS name, '' AS category, image_id % 10 <> 0 AS whole FROM (SELECT DISTINCT image_id FROM px)")
+def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input files as they are, readable or not, in the job's table of originals."""
+    target = trees.new_folder(spark)
+    jobs.segment_dataset(spark, trees.write_damaged_tree(spark, sf_dir), target)
+    end = F.expr("right(hex(content), 16)") == "49454E44AE426082"  # the last chunk's name and checksum
+    return spark.read.parquet(f"{target}/originals").select(
+        paths.file_name(F.col("path")).alias("name"), F.coalesce(F.col("category"), F.lit("")).alias("category"), end.alias("whole")
+    )
+
+
+@register("empty_tree", "SELECT 'write' AS stage, true AS ok, image_id AS n FROM px WHERE false")
+def empty_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree without images gives empty tables."""
+    return status_summary(jobs.segment_dataset(spark, trees.write_text_tree(spark, sf_dir), trees.new_folder(spark)))
+
+
+@register("one_class", f"SELECT image_id, category, kind, CASE WHEN category = 'benign' THEN -total ELSE total END AS total FROM (SELECT image_id, {O.CATEGORY} AS category, 'original' AS kind, CAST(sum(b + g + r) AS BIGINT) AS total FROM px GROUP BY ALL)")
+def one_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One class of a table is written again; the others stay."""
+    px_rows = pixels_of(spark, sf_dir).groupBy("image_id").agg(F.sum(F.col("b") + F.col("g") + F.col("r")).alias("total"))
+    rows = px_rows.select("image_id", "total", category_of().alias("category"), F.lit("original").alias("kind"))
+    target = trees.new_folder(spark)
+    write_artifacts(rows, target)
+    again = read_table(spark, target, rows.schema).filter("category = 'benign'").withColumn("total", -F.col("total"))
+    write_artifacts(cut_lineage(again), target, one_class=True)
+    return read_table(spark, target, rows.schema)

@@ -258,9 +258,9 @@ FROM {hist}""",
                 f"{name}_p{i}",
                 f"""SELECT image_id, start, {', '.join(have + ['']) }
        (pick >> 16)::DOUBLE AS {new[0]}, ((pick >> 8) & 255)::DOUBLE AS {new[1]}, (pick & 255)::DOUBLE AS {new[2]}
-FROM (SELECT image_id, start, {keep + ', ' if keep else ''}arg_min(packed, -ln((({fold}) + 1)/2147483648.0::DOUBLE)/weight) AS pick
+FROM (SELECT image_id, start, {keep + ', ' if keep else ''}arg_min(packed, ((({fold}) + 1)/2147483648.0::DOUBLE)/weight) AS pick
       FROM (SELECT h.image_id, s.start, h.packed, {''.join('s.' + c + ', ' for c in have)}{weight} AS weight,
-                   ((h.packed + (s.start*16 + {i})*16777216)*48271 + 42) % 2147483647 AS a FROM {source}) s
+                   ((h.packed + (s.start*256 + {i})*16777216)*48271 + 42) % 2147483647 AS a FROM {source}) s
       WHERE weight > 0 GROUP BY image_id, start)""",
             )
             have = have + new
@@ -290,13 +290,21 @@ FROM (SELECT it, image_id, start, {sums}, {olds}
         recursive=True,
     )
     step(f"{name}_end", f"SELECT * FROM {name}_it QUALIFY row_number() OVER (PARTITION BY image_id, start ORDER BY it DESC) = 1")
-    least = "least(" + ", ".join(f"coalesce({dist(i)}, {inf})" for i in range(3)) + ")"
+    gains = " + ".join(
+        f"coalesce(1024*CAST(sum(CASE WHEN c = {i} THEN w*c{j} END) AS HUGEINT)*CAST(sum(CASE WHEN c = {i} THEN w*c{j} END) AS HUGEINT)"
+        f"//CAST(sum(CASE WHEN c = {i} THEN w END) AS HUGEINT), 0)"
+        for i in range(3)
+        for j in range(3)
+    )
     step(
         f"{name}_best",
         f"""SELECT s.* FROM {name}_end s JOIN
-(SELECT s.image_id, s.start, sum(h.w*{least}) AS cost FROM {name}_end s JOIN {name}_h h ON h.image_id = s.image_id GROUP BY ALL) c
+(SELECT image_id, start, {gains} AS gain
+ FROM (SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS c
+       FROM (SELECT s.image_id, s.start, h.c0, h.c1, h.c2, h.w, {ds} FROM {name}_end s JOIN {name}_h h ON h.image_id = s.image_id))
+ GROUP BY image_id, start) c
 ON c.image_id = s.image_id AND c.start = s.start
-QUALIFY row_number() OVER (PARTITION BY s.image_id ORDER BY c.cost, s.start) = 1""",
+QUALIFY row_number() OVER (PARTITION BY s.image_id ORDER BY c.gain DESC, s.start) = 1""",
     )
     rows = " UNION ALL ".join(f"SELECT image_id, k{i}_0 AS c0, k{i}_1 AS c1, k{i}_2 AS c2 FROM {name}_best" for i in range(3))
     step(

@@ -11,8 +11,9 @@ from bandsaw.operators.bands import to_bands
 from bandsaw.plans import jobs
 from bandsaw.sources.artifacts import ingest_images, status_summary
 from bandsaw.sources.files import append_manifest, list_files, read_files, read_manifest
-from bandsaw.sources.images import image_info, read_images, read_labelled
-from bandsaw.sources.png import encode_png
+from bandsaw.sources.headers import header, info
+from bandsaw.sources.images import read_images, read_labelled
+from bandsaw.sources.png import encode_png, write_png_tree
 from tests.helpers import rebuild
 
 RNG = np.random.default_rng(3)
@@ -60,8 +61,6 @@ def test_listing(spark, tree):
     images = list_files(spark, tree, named_set="images")
     assert images.count() == 7
     assert list_files(spark, tree, named_set="images_exact").count() == 6
-    plan = images._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
     row = images.filter(F.contains("path", F.lit("UP+PER"))).first()
     assert (row.rel_path, row.category, row.stem, row.ext) == ("benign/deep/UP+PER 50%.PNG", "benign/deep", "UP+PER 50%", ".PNG")
     assert read_files(spark, tree).filter(F.length("content") != F.col("length")).count() == 0
@@ -73,8 +72,8 @@ def test_decoding(spark, tree):
     assert set(got) == {r.rel_path for r in list_files(spark, tree, named_set="images").collect()}
     assert got["normal/broken.png"].height == -1
     assert got["normal/gray.png"].n_channels == 1 and got["normal/alpha.png"].n_channels == 4
-    info = image_info(images).filter("height > 0")
-    assert {(r.height, r.width) for r in info.collect()} == {(60, 48)}
+    known = info(list_files(spark, tree, named_set="images")).filter("height > 0")
+    assert {(r.format, r.height, r.width) for r in known.collect()} == {("png", 60, 48)}
     bands = rebuild(to_bands(images.filter("height > 0"), 20), 3)
     assert (bands[got["benign/a (1).png"].image_id] == disk(18)).all()
     assert (bands[got["normal/alpha.png"].image_id] == disk(14)[..., ::1]).all()
@@ -96,6 +95,7 @@ def test_segment_job(spark, tree, tmp_path):
     rows = {r.path.rsplit("/", 1)[1]: (r.ok, r.stage) for r in status.collect()}
     assert len(rows) == 7 and rows["broken.png"] == (False, "decode")
     assert sum(ok for ok, _ in rows.values()) == 6
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
     assert {tuple(r) for r in status_summary(status).collect()} == {("write", True, 6), ("decode", False, 1)}
     assert spark.read.parquet(f"{target}/originals").count() == 7
     artifacts = spark.read.parquet(f"{target}/artifacts")
@@ -103,7 +103,7 @@ def test_segment_job(spark, tree, tmp_path):
     assert len(kinds) == 4 and set(kinds.values()) == {18}  # six images of three bands
     written = {r.rel_path: r for r in read_images(spark, f"{target}/files", "images").collect()}
     assert len(written) == 24
-    original = written["benign/deep/UP+PER 50%_original.png"]
+    original = written["benign/deep/UP+PER 50%_original.PNG.png"]
     assert bytes(original.data) == disk(15).tobytes()
     mask = np.frombuffer(bytes(written["benign/a (1)_ground_truth_mask.png"].data), np.uint8).reshape(60, 48)
     assert (mask > 0).sum() == pytest.approx(np.pi * 18**2, rel=0.1)
@@ -115,6 +115,37 @@ def test_evaluate_job(spark, tree):
     row = jobs.evaluate_dataset(spark, tree).collect()
     assert len(row) == 1 and row[0].category == "benign" and row[0].iou > 0.9
     assert row[0].iou <= row[0].dice <= 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_hidden_and_empty_files_are_listed(spark, tmp_path):
+    (tmp_path / "t" / "_folder").mkdir(parents=True)
+    for name in ("ok.png", "_under.png", ".hid.png", "_folder/in.png"):
+        (tmp_path / "t" / name).write_bytes(encode_png(disk(18).tobytes(), 48, 60, 3))
+    (tmp_path / "t" / "empty.png").write_bytes(b"")
+    status = jobs.segment_dataset(spark, str(tmp_path / "t"), str(tmp_path / "out"))
+    got = {r.path.rsplit("/", 1)[1]: r.message for r in status.collect()}
+    assert got.pop("in.png") in ("written", "not a readable image of 1, 3 or 4 channels")
+    assert got == {"ok.png": "written", "_under.png": "hidden name", ".hid.png": "hidden name", "empty.png": "empty file"}
+
+
+def test_two_images_of_one_target_name_are_an_error(spark, tmp_path):
+    rows = [(i, "", "a.png", 0, 2, 2, 1, bytearray(4)) for i in (1, 2)]
+    df = spark.createDataFrame(rows, "image_id long, rel_dir string, name string, band int, width int, height int, n_channels int, content binary")
+    with pytest.raises(Exception, match="two images"):
+        write_png_tree(df, str(tmp_path / "out"))
+    write_png_tree(df.filter("image_id = 1"), str(tmp_path / "out"))
+    write_png_tree(df.filter("image_id = 2"), str(tmp_path / "out"))  # replaces the file
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")] == ["a.png"]
+
+
+def test_headers():
+    assert header(encode_png(bytes(6), 2, 1, 3)) == ("png", 1, 2, 3, 8)
+    assert header(b"BM" + bytes(16) + struct.pack("<ii", 7, -5) + struct.pack("<HH", 1, 24)) == ("bmp", 5, 7, 3, 8)
+    assert header(b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08\x00\x05\x00\x07\x03" + bytes(9)) == ("jpeg", 5, 7, 3, 8)
+    assert header(b"GIF89a\x07\x00\x05\x00") == ("gif", 5, 7, 3, 8)
+    assert header(b"nothing") == header(b"") == (None,) * 5
+    assert header(b"\xff\xd8\xff")[0] == "jpeg"
 
 
 def test_gray_and_resize_jobs(spark, tree, tmp_path):

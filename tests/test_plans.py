@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bandsaw.operators.bands import spread, to_bands, with_per_image
 from bandsaw.operators.components import with_choice
-from oracle.images import fixture_images
+from oracle.images import fixture_images, fixture_masks
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,6 +29,45 @@ def test_pixel_bytes_are_shuffled_once(spark):
     assert "Exchange" not in left[:first_scan]
 
 
+def test_scores_move_mask_bytes_once(spark):
+    """Truth and prediction meet on (image, band) without another exchange of their bytes."""
+    from bandsaw.operators.evaluate import _paired
+
+    truth = spread(to_bands(fixture_masks(spark, SF), 16, as_gray=True)).persist()
+    predicted = spread(to_bands(fixture_masks(spark, SF), 16, as_gray=True)).persist()
+    truth.count(), predicted.count()
+    text = plan(_paired(predicted, truth)).split("InMemoryRelation")
+    assert "SortMergeJoin" in text[0] and "Exchange" not in text[0].split("InMemoryTableScan")[0]
+    assert "BroadcastExchange" not in "".join(text)
+
+
+def test_resize_reads_its_input_once(spark):
+    from bandsaw.operators.resize import resize
+
+    text = plan(resize(to_bands(fixture_images(spark, SF), 16), 32, 32))
+    assert text.count("FileScan parquet") == 1
+
+
+def test_a_manifest_selects_files_before_they_are_read(spark, tmp_path):
+    from bandsaw.sources.images import read_images
+    from oracle.trees import write_tree
+
+    root = write_tree(spark, SF)
+    some = read_images(spark, root, names=["scan 1.png", "scan 3.png"])
+    assert {r.rel_path.rsplit("/", 1)[1] for r in some.select("rel_path").collect()} == {"scan 1.png", "scan 3.png"}
+    assert "Join" not in plan(some)
+
+
+def test_pixel_and_run_joins_do_not_broadcast(spark):
+    from bandsaw.operators import components
+    from bandsaw.operators.evaluate import pixel_pairs
+    from oracle.registry import bright_of, mask_pixels
+
+    masks = mask_pixels(spark, SF)
+    for df in (pixel_pairs(masks, masks), components.touching_runs(components.run_table(bright_of(spark, SF)))):
+        assert "BroadcastExchange" not in plan(df) and "SortMergeJoin" in plan(df)
+
+
 def test_fixture_reads_two_columns(spark):
     text = plan(fixture_images(spark, SF))
     assert "s_suppkey" in text and "s_acctbal" not in text and "s_name" not in text
