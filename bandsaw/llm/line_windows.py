@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bandsaw.operators.skew import lookup
+
 WINDOW = 3
 # Fixed value: the white space that is cut off a line's ends.
 BLANKS = " \t\r\f\v"
@@ -51,7 +53,7 @@ def later_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW) ->
     place = F.struct("key", "position", "same_text")
     # partial sums make one row per window and task, however frequent it is
     repeated = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
-    again = windows.join(repeated, ["w1", "w2"])
+    again = lookup(windows, repeated, ["w1", "w2"])
     return again.filter(~place.eqNullSafe(F.col("first"))).select("key", "same_text", "position")
 
 

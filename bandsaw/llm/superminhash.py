@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from bandsaw.llm.shards import saved
 from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 from bandsaw.operators.graph import star_components
+from bandsaw.operators.skew import lookup
 from bandsaw.session import shuffle_partitions
 
 SHINGLE = 5
@@ -211,7 +212,7 @@ def _open_members(members: DataFrame) -> DataFrame:
     """Members (bucket, node, label, main) of buckets with several labels; ``main`` is the label with the most members."""
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     several = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-    return members.join(several.filter("labels > 1").drop("labels"), "bucket")
+    return lookup(members, several.filter("labels > 1").drop("labels"), ["bucket"])
 
 
 def _meetings(open_: DataFrame, labelled: DataFrame, texts: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def _meetings(open_: DataFrame, labelled: DataFrame, texts: DataFrame) -> DataFr
         F.ceil((F.sum("n") + 1) / BLOCK_BYTES + F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"),
         F.ceil((F.sum(F.when(F.col("outsider"), F.col("n"))) + 1) / BLOCK_BYTES + F.count_if("outsider") / BLOCK_ROWS).cast("int").alias("probes"),
     )
-    rows = rows.join(sizes, "k")
+    rows = lookup(rows, sizes, ["k"])
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["k", "i", "j", "probe", "node", "label", "text"]
@@ -330,7 +331,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     nodes = table.filter("n_shingles > 0").groupBy("node").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
     postings = nodes.select("node", F.explode("bands").alias("bucket"))
     centres = postings.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = saved(postings.join(centres, "bucket"), "members")
+    members = saved(lookup(postings, centres, ["bucket"]), "members")
     first = members.filter("node <> centre").groupBy("node").agg(F.min("centre").alias("v"))
     tested = saved(_ordered(first.select(F.col("node").alias("u"), "v")), "pairs")
     # one text per node that has a partner

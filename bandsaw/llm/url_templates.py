@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandsaw.llm.shards import saved
+from bandsaw.operators.skew import lookup
 
 # The rules (host and path, verdict).
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -87,7 +88,7 @@ def templates(pages: DataFrame) -> DataFrame:
     total = branches.groupBy("host", "prefix", "depth").agg(
         F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"), F.count("*").alias("children")
     )
-    met = branches.join(total, ["host", "prefix", "depth"])
+    met = lookup(branches, total, ["host", "prefix", "depth"])
     l, b = F.col("labelled").cast("double"), F.col("bad").cast("double")
     rest_l, rest_b = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
     share = F.col("all_bad") / F.col("all_labelled")

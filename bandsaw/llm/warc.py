@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandsaw.llm.shards import create, new_folder, opened, saved
+from bandsaw.operators.skew import lookup
 from bandsaw.session import shuffle_partitions
 
 # The version line, the profile of identical payloads, and the ends of lines and heads.
@@ -73,7 +74,7 @@ def planned(pages: DataFrame, key: str, url: str, payload: str, least: int) -> D
     rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).alias("url"), body.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("n", F.octet_length("payload"))
     firsts = rows.filter(F.col("n") >= least).groupBy("digest").agg(F.min("page_id").alias("first"))
-    known = rows.join(firsts, "digest", "left")
+    known = lookup(rows, firsts, ["digest"], "left")
     again = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
     return known.select("page_id", "url", "payload", F.when(again, F.col("first")).alias("refers_to"), again.alias("is_revisit"))
 
@@ -250,7 +251,8 @@ def resolved(records: DataFrame) -> DataFrame:
     )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     own = responses.select(*columns, F.lit(None).cast("bigint").alias("refers_to"), "verified")
-    again = records.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(named, "refers_to_id", "left")
+    again = records.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
+    again = lookup(again, named, ["refers_to_id"], "left")
     agreed = F.col("verified") & F.coalesce(F.col("d") == F.col("declared_digest"), F.lit(False))
     return own.unionByName(
         again.select("page_id", F.col("b").alias("payload_bytes"), F.col("d").alias("payload_digest"), "record_type", "refers_to", agreed.alias("verified"))
