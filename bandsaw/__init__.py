@@ -1,8 +1,8 @@
 """bandsaw: image segmentation analytics as Spark DataFrame jobs.
 
-Images are cut into *bands* (a bounded number of full-width rows plus a halo).
-A band is the unit of work everywhere: no task ever needs a whole image, so a
-single very large image spreads over the cluster like many small ones.
+An image is decoded by one task and cut there into *bands* (a bounded number of
+full-width rows plus a halo). All later steps work band by band, so a large
+image spreads over the cluster from then on like many small ones.
 """
 
 import sys
