@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandsaw.llm.segment_bpe import SegmentTreeBpe, WordCache, pattern_class, read_ranks
-from bandsaw.llm.shards import kept_in_worker
+from bandsaw.llm.shards import frugal, kept_in_worker
 from bandsaw.llm.text import CharacterClasses, chunks, per_row
 
 LEAF = 64
@@ -228,7 +228,7 @@ def count_tokens(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFr
                 trees = counter.trees([t or "" for t in part.column(text).to_pylist()])
                 yield _with_trees(part, names, trees)
 
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(frugal(run), schema)
 
 
 def _bounded(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
@@ -279,9 +279,9 @@ def apply_edits(counted: DataFrame, ranks_path: str, edits: str = "edits", text:
                 replaced |= {"n_encoded": pa.array(encoded, pa.int64()), "n_edits": pa.array([len(e) for e in lists], pa.int64())}
                 yield _with_trees(part, names, trees, replaced)
 
-    return counted.mapInArrow(run, schema) if counted.columns == [*names, "n_tokens", "leaves"] else counted.select(
+    return counted.mapInArrow(frugal(run), schema) if counted.columns == [*names, "n_tokens", "leaves"] else counted.select(
         *[F.col(f"`{c}`") for c in names], "n_tokens", "leaves"
-    ).mapInArrow(run, schema)
+    ).mapInArrow(frugal(run), schema)
 
 
 def edit_log(docs: DataFrame) -> DataFrame:

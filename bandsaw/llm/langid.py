@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandsaw.llm.segment_bpe import pattern_class
+from bandsaw.llm.shards import frugal
 from bandsaw.llm.text import LETTER, CharacterClasses, chunks, joined, lowered, mix
 
 FEATURES = 1 << 12
@@ -137,7 +138,7 @@ def _labelled_counts(labelled: DataFrame, text: str, lang: str) -> DataFrame:
                 [pa.array([name] * some.size, pa.string()), pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))], ["lang", "feature", "n"]
             )
 
-    return labelled.mapInArrow(run, "lang string, feature int, n bigint")
+    return labelled.mapInArrow(frugal(run), "lang string, feature int, n bigint")
 
 
 def _bounded(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
             [pa.array(i), pa.array(b), *(pa.array(x.ravel()) for x in out)], ["language", "bit", "n", "n_right", "size"]
         )
 
-    trials = rows.mapInArrow(run, "language bigint, bit bigint, n double, n_right double, size double")
+    trials = rows.mapInArrow(frugal(run), "language bigint, bit bigint, n double, n_right double, size double")
     table = trials.groupBy("language", "bit").agg(F.sum("n").alias("n"), F.sum("n_right").alias("n_right"), F.sum("size").alias("size")).toPandas()
     n, right, size = (np.zeros(code.shape) for _ in range(3))
     where = table["language"].to_numpy(), table["bit"].to_numpy()
@@ -231,7 +232,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", least_marg
                 columns = [pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(close)]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *columns], [*names, *made])
 
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(frugal(run), schema)
 
 
 def held_out(key: str = "doc_id"):

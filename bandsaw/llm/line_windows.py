@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bandsaw.llm.shards import frugal
 from bandsaw.operators.skew import lookup
 
 WINDOW = 3
@@ -96,7 +97,7 @@ def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", wind
             counts = [pa.array([d[k] for d in done], pa.int32()) for k in (1, 2)]
             yield pa.RecordBatch.from_arrays([*columns, *counts], [*names, "n_lines", "n_removed"])
 
-    return with_marks.mapInArrow(run, schema)
+    return with_marks.mapInArrow(frugal(run), schema)
 
 
 #: DuckDB text for the digest of ``drop_repeated`` over ``documents``.

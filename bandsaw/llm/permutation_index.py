@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandsaw.llm.shards import saved
+from bandsaw.llm.shards import frugal, saved
 
 PIVOTS = 256
 SAMPLE = 2048  # vectors from which the pivots are taken
@@ -56,7 +56,7 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
             ids = [sorted(set(x))[: k + 1] for x in held.values()]
             yield pa.RecordBatch.from_arrays([column.take(pa.array(list(example.values()), pa.int64())), pa.array(ids, pa.list_(pa.int64()))], ["v", "ids"])
 
-    some = rows.mapInArrow(run, "v array<double>, ids array<bigint>")
+    some = rows.mapInArrow(frugal(run), "v array<double>, ids array<bigint>")
     merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)
     return some.groupBy("v").agg(merged.alias("ids"))
 
@@ -168,7 +168,7 @@ def search(
                 found = _searched(ids, block_vectors, np.array([q[0] for q in query_ids], np.int64), queries, held.value, k, min(prefix, len(held.value)), reranked)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
-    found = meetings.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    found = meetings.mapInArrow(frugal(run), "query_id bigint, vec_id bigint, score double")
     # a query row that repeats with another vector keeps the better score of a candidate
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

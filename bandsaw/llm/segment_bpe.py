@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandsaw.llm.shards import kept_in_worker
+from bandsaw.llm.shards import frugal, kept_in_worker
 from bandsaw.llm.text import LETTER, NUMBER, OTHER, SPACE, CharacterClasses, chunks, joined, mix, pretokens, per_row, rows_of, segment_hashes
 
 NONE = np.int64(1) << 60
 CELLS = 1 << 19
 # Words whose ids a task keeps; beyond it starts anew. Results do not depend on it.
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 19
 
 
 class PairTable:
@@ -238,7 +238,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                 columns = [part.column(c) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, list_column(flat, count, pa.int32())], [*kept, ids])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(frugal(run), schema)
 
 
 def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -270,4 +270,4 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "d
                 out = pa.compute.if_else(valid, out, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], out], [*kept, decoded])
 
-    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(frugal(run), schema)

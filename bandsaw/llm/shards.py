@@ -11,7 +11,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +52,29 @@ def saved(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function that gives freed memory back to the system when the task ends.
+
+    Python workers stay for the next task, and several stand by while a plan has
+    several Python steps; what their allocators hold back adds up.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+
+            import pyarrow
+
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def kept_in_worker(key: str, make: Callable[[], Any]) -> Any:
     """The object ``make`` gives, made once in a Python worker, which runs many tasks."""
     holder = sys.modules.setdefault("bandsaw_worker", types.ModuleType("bandsaw_worker"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsaw.llm.shards import saved
+from bandsaw.llm.shards import frugal, saved
 from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 from bandsaw.operators.graph import star_components
 from bandsaw.operators.skew import lookup
@@ -149,7 +149,7 @@ def signed(docs: DataFrame, key: str, text: str, k: int, size: int = SIZE, rows:
                 columns.append(pa.ListArray.from_arrays(pa.array(lists), pa.array(made.ravel())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("same_text"), F.col(text).alias("text")).mapInArrow(run, SIGNED)
+    return docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("same_text"), F.col(text).alias("text")).mapInArrow(frugal(run), SIGNED)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
@@ -169,7 +169,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: tuple[int, int])
                 linked = pa.array(share[1] * met >= share[0] * (n + m - met))
                 yield part.select(["u", "v"]).filter(linked)
 
-    return both.mapInArrow(run, "u bigint, v bigint")
+    return both.mapInArrow(frugal(run), "u bigint, v bigint")
 
 
 def local_forests(edges: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def local_forests(edges: DataFrame) -> DataFrame:
         pairs = [p for p in pairs if p[0] != p[1]]
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
 
-    return edges.select("u", "v").mapInArrow(run, "u bigint, v bigint")
+    return edges.select("u", "v").mapInArrow(frugal(run), "u bigint, v bigint")
 
 
 def grouped(links: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def _probed(meetings: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    return ordered.mapInArrow(run, "u bigint, v bigint")
+    return ordered.mapInArrow(frugal(run), "u bigint, v bigint")
 
 
 def _key(rows: pa.RecordBatch, at: int) -> list:
@@ -379,4 +379,4 @@ def _one_text(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 one, _ = set_ids(*shingle_sets(part.column("text"), k))
                 yield part.filter(pa.array(one == part.column("node").to_numpy(zero_copy_only=False)))
 
-    return met.mapInArrow(run, "node bigint, text string").dropDuplicates(["node"])
+    return met.mapInArrow(frugal(run), "node bigint, text string").dropDuplicates(["node"])

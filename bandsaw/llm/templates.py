@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandsaw.llm.shards import saved
-from bandsaw.llm.text import CHUNK_BYTES, chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
+from bandsaw.llm.shards import frugal, saved
+from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 
 WINDOW = 8
 SHARE = 0.5  # of an item's windows that a document must hold
@@ -128,7 +128,7 @@ def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in WINDOWS.split(", ")]
         for batch in batches:
-            for part in chunks(batch, "text", CHUNK_BYTES // 2):
+            for part in chunks(batch, "text"):
                 words_of = Canonical(part.column("text"), units)
                 first, h = words_of.windows(window)
                 if held is not None:
@@ -145,7 +145,7 @@ def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None) ->
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, WINDOWS)
+    return rows.mapInArrow(frugal(run), WINDOWS)
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandsaw.llm.shards import create, new_folder, opened, saved
+from bandsaw.llm.shards import create, frugal, new_folder, opened, saved
 from bandsaw.operators.skew import lookup
 from bandsaw.session import shuffle_partitions
 
@@ -113,7 +113,7 @@ def write_warc(
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], ["file", "records"])
 
-    return planned(pages, key, url, payload, least).mapInArrow(run, MANIFEST)
+    return planned(pages, key, url, payload, least).mapInArrow(frugal(run), MANIFEST)
 
 
 @dataclass
@@ -239,7 +239,7 @@ def read_warc(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
 
     # a number of its own: the few rows would else be gathered in one task
     parts = shuffle_partitions(manifest.sparkSession)
-    return manifest.select("file").repartition(parts, "file").mapInArrow(run, schema)
+    return manifest.select("file").repartition(parts, "file").mapInArrow(frugal(run), schema)
 
 
 def resolved(records: DataFrame) -> DataFrame:
