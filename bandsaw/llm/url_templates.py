@@ -104,11 +104,9 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     named = named.select("host", "path", "labelled", "bad", F.concat(F.lit("/"), F.array_join(F.col("s.s"), "/")).alias("template"))
     named = saved(named, "path-templates")
-    overall = named.agg(((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("overall"))
+    overall = F.lit(named.agg((F.sum("bad") + 1) / (F.sum("labelled") + 2)).first()[0]).cast("double")
     purity = named.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
-    purity = purity.join(F.broadcast(overall)).select(  # one row
-        "host", "template", F.when(F.col("l") > 0, (F.col("b") + PRIOR * F.col("overall")) / (F.col("l") + PRIOR)).alias("purity")
-    )
+    purity = purity.select("host", "template", F.when(F.col("l") > 0, (F.col("b") + PRIOR * overall) / (F.col("l") + PRIOR)).alias("purity"))
     return named.join(purity, ["host", "template"]).select("host", "path", "template", "purity")
 
 
