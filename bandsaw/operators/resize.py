@@ -7,14 +7,19 @@ own rows' share, so the result does not depend on how the image was cut.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil, pi, sin
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from bandsaw.operators.bands import (
     BANDS,
+    FLUSH_BYTES,
     GEOMETRY_NAMES,
     band_count,
     block,
@@ -24,6 +29,7 @@ from bandsaw.operators.bands import (
     with_per_image,
 )
 from bandsaw.operators.kernels import PerTask
+from bandsaw.session import shuffle_partitions
 
 BITS = 22
 
@@ -161,22 +167,49 @@ def _resize(sized: DataFrame, method: str, rows: int | None, channels: int, carr
                     out[name].append(value)
         return out
 
-    def join(pdf):
-        import pandas as pd
+    struct = T.StructType.fromDDL(BANDS + carried(carry))
+    arrow = to_arrow_schema(struct)
 
-        one = pdf.iloc[0]
-        height, width, part = int(one["height"]), int(one["width"]), int(one["part"])
-        n = band_count(height, width, rows, 0)
+    def band(row: dict, data: bytes) -> dict:
+        height, n, part = row["height"], band_count(row["height"], row["width"], rows, 0), row["part"]
         y0, y1 = part * height // n, (part + 1) * height // n
-        if one["whole"]:
-            data = one["data"]
-        else:
-            total = np.zeros((y1 - y0, width, channels), np.int64)
-            for first, held in zip(pdf["first"], pdf["data"], strict=True):
-                share = np.frombuffer(held, np.int64).reshape(-1, width, channels)
-                total[first - y0 : first - y0 + len(share)] += share
-            data = _rounded(total).tobytes()
-        values = [int(one["image_id"]), part, n, height, width, y0, y1, y0, y1, data, *[one[c] for c in carry]]
-        return pd.DataFrame([values], columns=[*GEOMETRY_NAMES, "data", *carry])
-
-    return map_rows(sized, pieces, piece).groupBy("image_id", "part").applyInPandas(join, BANDS + carried(carry))
+        values = [row["image_id"], part, n, height, row["width"], y0, y1, y0, y1, data, *[row[c] for c in carry]]
+        return dict(zip(struct.names, values, strict=True))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces in order of (image, part): final ones pass, sums of a part are added up."""
+        done: list[dict] = []
+        size = 0
+        open_ = total = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if open_ and (row["image_id"], row["part"]) != (open_["image_id"], open_["part"]):
+                    done.append(band(open_, _rounded(total).tobytes()))
+                    open_ = None
+                if row["whole"]:
+                    done.append(band(row, row["data"]))
+                else:
+                    share = np.frombuffer(row["data"], np.int64).reshape(-1, row["width"], channels)
+                    if open_ is None:
+                        open_, total = row, np.zeros((_part_rows(row, rows)[1], row["width"], channels), np.int64)
+                    at = row["first"] - _part_rows(row, rows)[0]
+                    total[at : at + len(share)] += share
+                size += len(row["data"])
+                if size >= FLUSH_BYTES:
+                    yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                    done, size = [], 0
+        if open_:
+            done.append(band(open_, _rounded(total).tobytes()))
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=arrow)
+
+    parts = shuffle_partitions(sized.sparkSession)
+    placed = map_rows(sized, pieces, piece).repartition(parts, "image_id", "part").sortWithinPartitions("image_id", "part")
+    return placed.mapInArrow(merge, struct)
+
+
+def _part_rows(row: dict, rows: int | None) -> tuple[int, int]:
+    """(first row, number of rows) of a piece's target band."""
+    n = band_count(row["height"], row["width"], rows, 0)
+    first = row["part"] * row["height"] // n
+    return first, (row["part"] + 1) * row["height"] // n - first
