@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bandsaw.functions import paths
 from bandsaw.session import cut_lineage, qualified, shuffle_partitions
-from bandsaw.sources.store import opened, prefix
+from bandsaw.sources.store import opened, prefix, reachable
 
 MANIFEST = "old_name string, new_name string"
 LISTING = "path string, is_folder boolean, length bigint, modificationTime timestamp"
@@ -51,8 +51,11 @@ def read_files(spark: SparkSession, root: str, recursive: bool = True, named_set
 def list_files(spark: SparkSession, root: str, recursive: bool = True, named_set: str | None = None) -> DataFrame:
     """Path, time and length of every file, also of empty and hidden ones, which Spark's file sources leave out.
 
-    Tasks list folders, level by level; a folder is listed by one task.
+    Tasks list folders, level by level; a folder is listed by one task. A store
+    that only Spark can open is listed by Spark, without those files.
     """
+    if not reachable(qualified(spark, root)):
+        return read_files(spark, root, recursive, named_set).drop("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs

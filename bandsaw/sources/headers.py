@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandsaw.sources.store import opened
+from bandsaw.sources.store import opened, reachable
 
 HEAD_BYTES = 1 << 16  # a JPEG may hold metadata before its size
 # The decoder's limit on decoded bytes, channels per PNG colour type, and JPEG markers without a size.
@@ -53,7 +53,7 @@ def header(data: bytes) -> tuple[str | None, int | None, int | None, int | None,
 
 
 def with_headers(files: DataFrame) -> DataFrame:
-    """A listing (path, ...) with format, h_height, h_width, h_channels and bits."""
+    """A listing (path, ...) with format, h_height, h_width, h_channels and bits; null in stores that only Spark can open."""
     from pyspark.sql import types as T
 
     made = T.StructType.fromDDL(HEADER)
@@ -64,6 +64,9 @@ def with_headers(files: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for path in batch.column("path").to_pylist():
+                if not reachable(path):
+                    rows.append(header(b""))
+                    continue
                 store, name = opened(path)
                 with store.open_input_file(name) as source:
                     rows.append(header(source.read(HEAD_BYTES)))

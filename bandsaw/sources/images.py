@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bandsaw.functions import paths
 from bandsaw.sources.files import extension_glob
 from bandsaw.sources.headers import header
-from bandsaw.sources.store import opened
+from bandsaw.sources.store import opened, reachable
 
 MOST_NAMES = 10_000
 
@@ -28,7 +28,7 @@ def _is_deep(paths_: pd.Series) -> pd.Series:
     """Whether a gray file has more than 8 bits, of which the decoder keeps the low ones; null paths are not opened."""
 
     def deep(path: str | None) -> bool:
-        if path is None:
+        if path is None or not reachable(path):
             return False
         store, name = opened(path)
         with store.open_input_file(name) as source:

@@ -5,6 +5,14 @@ from __future__ import annotations
 from typing import Any
 
 
+# Schemes that tasks can open by themselves. Others are left to Spark's readers.
+REACHABLE = ("file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+
+
+def reachable(uri: str) -> bool:
+    return uri.partition(":")[0] in REACHABLE
+
+
 def opened(uri: str) -> tuple[Any, str]:
     """(file system, path) of a file or folder; the path is not percent-encoded."""
     from pyarrow import fs
