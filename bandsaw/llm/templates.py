@@ -4,9 +4,10 @@ A word is what lies between white space, without signs at its ends, in lower
 case. ``window`` words in a row form a window; numbers, capitalised words within a
 sentence and units behind a number count as NUMBER, NAME and UNIT there. Windows
 of documents and items meet in a hash join. The values behind the placeholders
-must agree: along one alignment every value of the item stands for one value of
-the document and the other way round, so that a re-parameterised question counts
-and a text of the same form about other things does not.
+must agree: along one alignment a value of the item stands for one value of the
+document, so that a re-parameterised question counts. A value that stands for
+several takes the windows it is in out of the count, and no others; two values of
+the item may become the same one.
 
 Most windows of a corpus are no benchmark window. A bitmap of fixed size
 (``BITS`` bits, 4 MB) drops them inside the tasks, whatever the benchmark's size;
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bandsaw.llm.shards import frugal, saved
@@ -162,7 +163,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """(key, same_text, item_id, matched, windows, changed) of documents that hold a benchmark item.
 
     ``matched`` counts the item's distinct windows found with consistent slots, ``changed``
-    the values that differ. Items of fewer than ``window`` words match nothing;
+    the values that differ in them. Items of fewer than ``window`` words match nothing;
     null and empty texts hold nothing. Repeated rows count once; rows of one id
     with different texts are judged apart (``same_text``). Further columns are not read.
     """
@@ -177,18 +178,15 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     right = wanted.select("item_id", "h", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     met = found.join(right, "h").withColumn("shift", F.col("position") - F.col("item_position"))
     along = ["key", "same_text", "item_id", "windows", "shift"]
-    # rows without slots agree with everything
-    pairs = met.select(*along, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*along, "s.item_slots", "s.slots").distinct()
-    one_way = pairs.groupBy(*along, "item_slots").agg(F.count("*").alias("n"), F.sum((F.col("item_slots") != F.col("slots")).cast("int")).alias("changed"))
-    other_way = pairs.groupBy(*along, "slots").agg(F.count("*").alias("n"), F.lit(0).alias("changed"))
-    clash = one_way.select(*along, "n", "changed").unionByName(other_way.select(*along, "n", "changed"))
-    clash = clash.groupBy(*along).agg(F.max("n").alias("n"), F.sum("changed").alias("changed"))
-    places = met.select(*along, "item_position").distinct().groupBy(*along).agg(F.collect_set("item_position").alias("places"))
-    same = " AND ".join(f"p.{c} <=> q.{c}" for c in along)
-    ok = places.alias("p").join(clash.alias("q"), F.expr(same), "left").select(
-        *[F.col(f"p.{c}") for c in along], "places", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("changed", F.lit(0)).alias("changed")
-    )
-    whole = ok.filter("n = 1").groupBy("key", "same_text", "item_id", "windows").agg(
+    # a row per value, and one for a window without slots, which agrees with everything
+    values = met.select(*along, "item_position", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
+    values = values.select(*along, "item_position", "s.item_slots", "s.slots").distinct()
+    one = Window.partitionBy(*along, "item_slots")  # at most the item's windows
+    values = values.withColumn("clash", F.coalesce(F.min("slots").over(one) != F.max("slots").over(one), F.lit(False)))
+    differing = F.collect_set(F.when(F.col("item_slots") != F.col("slots"), F.col("item_slots"))).alias("differing")
+    agreeing = values.groupBy(*along, "item_position").agg(F.max("clash").alias("clash"), differing).filter("NOT clash")
+    aligned = agreeing.groupBy(*along).agg(F.collect_set("item_position").alias("places"), F.size(F.array_distinct(F.flatten(F.collect_list("differing")))).alias("changed"))
+    whole = aligned.groupBy("key", "same_text", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.min("changed").cast("int").alias("changed")
     )
     return whole.filter(F.col("matched") >= share * F.col("windows")).select("key", "same_text", "item_id", "matched", "windows", "changed")

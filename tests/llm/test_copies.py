@@ -182,6 +182,29 @@ def test_reparameterised_questions(spark):
     assert (2, 70) not in got
 
 
+def test_a_clash_costs_its_own_windows_only(spark):
+    """Near-verbatim copies, with one of several occurrences of a value changed, and values that become equal."""
+    rest = " the keeper counted every animal twice before the doors were closed and wrote the sums into a large book that nobody ever read again"
+    item = "They brought 7 goats and 9 sheep and then 7 more goats came over from the hills" + rest
+    apples = "A child holds 3 apples and 4 pears and gives 3 apples and then 4 pears to a friend who eats them all"
+    texts = [
+        item.replace("then 7", "then 8"),
+        item.replace("7", "5").replace("9", "5"),
+        apples.replace("3", "5").replace("4", "5"),
+        "Nothing like it" + rest[:40],
+        item,
+    ]
+    got = found(spark, texts, [(1, item), (2, apples)])
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (4, 1)}
+    words = [t.split() for t in (item, texts[0])]
+    grams = [[tuple(w[i : i + 8]) for i in range(len(w) - 7)] for w in words]
+    # all that match word for word but those that hold the clashing value
+    same = {a for a, b in zip(*grams, strict=True) if a == b and "7" not in a}
+    assert got[0, 1].matched == len(same) and got[0, 1].changed == 0
+    assert got[4, 1].matched == got[4, 1].windows == len(words[0]) - 7
+    assert got[2, 2].changed == 2 and got[2, 2].matched == got[2, 2].windows
+
+
 def test_leaks_of_odd_documents(spark, odd_documents):
     items = spark.createDataFrame([(1, " ".join(f"word{i % 977} of{i % 13}" for i in range(100, 140))), (None, "an item without an id that nothing holds at all, really")], "item_id bigint, text string")
     items = items.selectExpr("*", "'kept' AS doc_id", "'kept' AS h")
