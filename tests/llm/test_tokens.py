@@ -93,6 +93,21 @@ def test_id_files_of_odd_documents(spark, odd_documents):
     assert got == expected_files([(d.doc_id, d.text) for d in odd_documents.collect()])
 
 
+def test_added_tokens_get_their_ids(spark):
+    """Against the library in its default state."""
+    mark, draw = "<|endoftext|>", random.Random(9)
+    texts = [f"a{mark}b", mark, mark * 3, f" {mark} ", f"{mark}\n", "<|endoftext|", f"<|{mark}|>", f"it{mark}'s 12{mark}3  {mark}  x", "", None, "none"]
+    texts += ["".join(draw.choice([mark, *random_texts(1)]) for _ in range(draw.randint(0, 9))) for _ in range(200)]
+    tokenizer = Tokenizer.from_file(JSON)
+    start, want = 0, []
+    for key, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [tuple(r) for r in repair.tokenized(spark, docs, JSON, 2).orderBy("start").collect()] == want
+
+
 def test_repair_is_lossless_and_reads_parts():
     draw = np.random.default_rng(3)
     words = draw.integers(0, 900, (50, 6))
