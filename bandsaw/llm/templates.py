@@ -109,6 +109,30 @@ class Canonical:
             h = mix(h * np.uint64(0x100000001B3) + self.canonical[whole + k])
         return whole, h
 
+    def literal(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of every window of ``size`` words, with the values of all words."""
+        n = self.values.size - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        whole = np.flatnonzero(self.row[:n] == self.row[size - 1 :])
+        h = np.full(whole.size, size, np.uint64)
+        for k in range(size):
+            h = mix(h * np.uint64(0x100000001B3) + self.values[whole + k])
+        return whole, h
+
+    def lacking(self, size: int, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(words, first word, hash) of the literal windows of texts of which ``first`` does not hold every window.
+
+        Texts of fewer than ``size`` words have one window of all their words.
+        """
+        held = np.bincount(self.row[first], minlength=self.count.size)
+        for n in range(1, size + 1):
+            wanted = self.count == n if n < size else held < self.count - size + 1
+            if wanted.any():
+                place, h = self.literal(n)
+                mine = wanted[self.row[place]]
+                yield n, place[mine], h[mine]
+
     def slots(self, first: np.ndarray, size: int) -> pa.Array:
         """The values behind the placeholders of each window, in order."""
         kinds = self.kind[first[:, None] + np.arange(size)]
@@ -118,33 +142,48 @@ class Canonical:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
 
 
-WINDOWS = "key bigint, same_text bigint, position int, h bigint, slots array<bigint>"
+# ``size`` is 0 for windows with placeholders, else the number of words of a literal window
+WINDOWS = "key bigint, same_text bigint, position int, h bigint, size int, slots array<bigint>"
+
 
+def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None, literal: list[int] | None = None) -> DataFrame:
+    """Windows of ``rows`` (key, same_text, text); with a bitmap, those whose bit is set.
 
-def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None) -> DataFrame:
-    """Windows of ``rows`` (key, same_text, text); with a bitmap, those whose bit is set."""
+    Literal windows are those that a text lacks (``Canonical.lacking``); with a bitmap,
+    all of the sizes ``literal``, each once per text.
+    """
     units = _unit_hashes()
     held = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
+    def passing(first: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bit = h >> np.uint64(64 - BITS)
+        found = held.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)
+        return first[found == 1], h[found == 1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in WINDOWS.split(", ")]
         for batch in batches:
             for part in chunks(batch, "text"):
                 words_of = Canonical(part.column("text"), units)
                 first, h = words_of.windows(window)
-                if held is not None:
-                    bit = h >> np.uint64(64 - BITS)
-                    found = held.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)
-                    first, h = first[found == 1], h[found == 1]
-                row = words_of.row[first]
-                columns = [
-                    part.column("key").take(pa.array(row)),
-                    part.column("same_text").take(pa.array(row)),
-                    pa.array((first - words_of.first[row]).astype(np.int32)),
-                    pa.array(h.view(np.int64)),
-                    words_of.slots(first, window),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                if held is None:
+                    found = [(0, first, h), *words_of.lacking(window, first)]
+                else:
+                    found = [(0, *passing(first, h)), *((n, *passing(*words_of.literal(n))) for n in literal or [])]
+                for size, first, h in found:
+                    if size and held is not None:
+                        once = np.unique(np.stack([words_of.row[first].astype(np.uint64), h]), axis=1, return_index=True)[1]
+                        first, h = first[once], h[once]
+                    row = words_of.row[first]
+                    columns = [
+                        part.column("key").take(pa.array(row)),
+                        part.column("same_text").take(pa.array(row)),
+                        pa.array((first - words_of.first[row]).astype(np.int32)),
+                        pa.array(h.view(np.int64)),
+                        pa.array(np.full(first.size, size, np.int32)),
+                        words_of.slots(first, window) if not size else pa.ListArray.from_arrays(pa.array(np.zeros(first.size + 1, np.int32)), pa.array([], pa.int64())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(frugal(run), WINDOWS)
 
@@ -163,21 +202,25 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """(key, same_text, item_id, matched, windows, changed) of documents that hold a benchmark item.
 
     ``matched`` counts the item's distinct windows found with consistent slots, ``changed``
-    the values that differ in them. Items of fewer than ``window`` words match nothing;
-    null and empty texts hold nothing. Repeated rows count once; rows of one id
+    the values that differ in them. An item of which windows are dropped, as more than
+    half of their words are placeholders, is looked for by the values of all its windows
+    too, and one of fewer than ``window`` words by one window of them all; either way
+    suffices. Null and empty texts hold nothing. Repeated rows count once; rows of one id
     with different texts are judged apart (``same_text``). Further columns are not read.
     """
     tests = items.select(F.col(item).cast("bigint").alias("key"), F.xxhash64(item_text).alias("same_text"), F.col(item_text).alias("text"))
     # a written table: read for the bitmap and for the join
-    each = template_windows(tests, window, None).groupBy("key", "h").agg(F.min_by(F.struct("position", "slots"), "position").alias("w"))
-    sizes = each.groupBy("key").agg(F.count("*").cast("int").alias("windows"))
-    counted = each.alias("e").join(sizes.alias("s"), F.expr("e.key <=> s.key"))
-    wanted = saved(counted.select(F.col("e.key").alias("item_id"), "h", "w.*", "windows"), "templates")
+    each = template_windows(tests, window, None).groupBy("key", "size", "h").agg(F.min_by(F.struct("position", "slots"), "position").alias("w"))
+    sizes = each.groupBy("key", "size").agg(F.count("*").cast("int").alias("windows"))
+    counted = each.alias("e").join(sizes.alias("s"), F.expr("e.key <=> s.key AND e.size = s.size"))
+    wanted = saved(counted.select(F.col("e.key").alias("item_id"), "e.size", "h", "w.*", "windows"), "templates")
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("same_text"), F.col(text).alias("text"))
-    found = template_windows(rows, window, _bitmap(wanted)).distinct()
-    right = wanted.select("item_id", "h", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
-    met = found.join(right, "h").withColumn("shift", F.col("position") - F.col("item_position"))
-    along = ["key", "same_text", "item_id", "windows", "shift"]
+    literal = sorted(r.size for r in wanted.filter("size > 0").select("size").distinct().collect())  # ``window`` sizes at most
+    found = template_windows(rows, window, _bitmap(wanted), literal).distinct()
+    right = wanted.select("item_id", "h", "size", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
+    # literal windows need no alignment
+    met = found.join(right, ["h", "size"]).withColumn("shift", F.when(F.col("size") == 0, F.col("position") - F.col("item_position")))
+    along = ["key", "same_text", "item_id", "size", "windows", "shift"]
     # a row per value, and one for a window without slots, which agrees with everything
     values = met.select(*along, "item_position", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
     values = values.select(*along, "item_position", "s.item_slots", "s.slots").distinct()
@@ -186,10 +229,12 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     differing = F.collect_set(F.when(F.col("item_slots") != F.col("slots"), F.col("item_slots"))).alias("differing")
     agreeing = values.groupBy(*along, "item_position").agg(F.max("clash").alias("clash"), differing).filter("NOT clash")
     aligned = agreeing.groupBy(*along).agg(F.collect_set("item_position").alias("places"), F.size(F.array_distinct(F.flatten(F.collect_list("differing")))).alias("changed"))
-    whole = aligned.groupBy("key", "same_text", "item_id", "windows").agg(
+    whole = aligned.groupBy("key", "same_text", "item_id", "size", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.min("changed").cast("int").alias("changed")
     )
-    return whole.filter(F.col("matched") >= share * F.col("windows")).select("key", "same_text", "item_id", "matched", "windows", "changed")
+    enough = whole.filter(F.col("matched") >= share * F.col("windows"))
+    best = enough.groupBy("key", "same_text", "item_id").agg(F.min_by(F.struct("matched", "windows", "changed"), "size").alias("b"))
+    return best.select("key", "same_text", "item_id", "b.*")
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

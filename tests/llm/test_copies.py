@@ -205,6 +205,32 @@ def test_a_clash_costs_its_own_windows_only(spark):
     assert got[2, 2].changed == 2 and got[2, 2].matched == got[2, 2].windows
 
 
+def test_items_without_template_windows(spark):
+    """Exact copies of short items and of items of numbers and names are found, against a plain search for runs of words."""
+    draw = random.Random(6)
+    items = [(1, "What is 7 times 8?"), (2, "12 + 30 = 42 and 17 - 9 = 8 or 5 * 6 = 30 or 81 / 9 = 9"), (3, "Which is larger: Oslo Bergen Trondheim Stavanger Drammen Tromso Bodo Molde Hamar"), (4, "yes"), (5, "??"), (6, "name the sea")]
+    texts = [f"Some words first, then {t} and others, which go on and on." for _, t in items if t != "??"]
+    texts += [texts[1].replace("42", "43").replace("17", "18").replace("30", "31").replace("81", "82").replace("5 *", "4 *"), texts[0].replace("8", "9"), "the sea name", "What is", " ".join(["yes yes"] * 50)]
+    texts += [" ".join(draw.choice(["7", "8", "times", "is", "What", "yes", "sea", "the", "name"]) for _ in range(12)) for _ in range(30)]
+
+    def plain(text):
+        return [x for w in text.split() if (x := re.sub(r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "", w).lower())]
+
+    def runs(text, n):
+        w = plain(text)
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    want = set()
+    for i, t in enumerate(texts):
+        for key, item in items:
+            n = min(8, len(plain(item)))
+            if n and 2 * len(runs(item, n) & runs(t, n)) >= len(runs(item, n)):
+                want.add((i, key))
+    got = found(spark, texts, items)
+    assert set(got) == want and {(0, 1), (1, 2), (2, 3), (3, 4), (4, 6)} <= want
+    assert (got[3, 4].matched, got[3, 4].windows, got[3, 4].changed) == (1, 1, 0)
+
+
 def test_leaks_of_odd_documents(spark, odd_documents):
     items = spark.createDataFrame([(1, " ".join(f"word{i % 977} of{i % 13}" for i in range(100, 140))), (None, "an item without an id that nothing holds at all, really")], "item_id bigint, text string")
     items = items.selectExpr("*", "'kept' AS doc_id", "'kept' AS h")
