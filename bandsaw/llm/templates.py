@@ -199,28 +199,28 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """(key, same_text, item_id, matched, windows, changed) of documents that hold a benchmark item.
+    """(key, same_text, item_id, item_same_text, matched, windows, changed) of documents that hold a benchmark item.
 
     ``matched`` counts the item's distinct windows found with consistent slots, ``changed``
     the values that differ in them. An item of which windows are dropped, as more than
     half of their words are placeholders, is looked for by the values of all its windows
     too, and one of fewer than ``window`` words by one window of them all; either way
     suffices. Null and empty texts hold nothing. Repeated rows count once; rows of one id
-    with different texts are judged apart (``same_text``). Further columns are not read.
+    with different texts are judged apart (``same_text``), items too (``item_same_text``). Further columns are not read.
     """
     tests = items.select(F.col(item).cast("bigint").alias("key"), F.xxhash64(item_text).alias("same_text"), F.col(item_text).alias("text"))
     # a written table: read for the bitmap and for the join
-    each = template_windows(tests, window, None).groupBy("key", "size", "h").agg(F.min_by(F.struct("position", "slots"), "position").alias("w"))
-    sizes = each.groupBy("key", "size").agg(F.count("*").cast("int").alias("windows"))
-    counted = each.alias("e").join(sizes.alias("s"), F.expr("e.key <=> s.key AND e.size = s.size"))
-    wanted = saved(counted.select(F.col("e.key").alias("item_id"), "e.size", "h", "w.*", "windows"), "templates")
+    each = template_windows(tests, window, None).groupBy("key", "same_text", "size", "h").agg(F.min_by(F.struct("position", "slots"), "position").alias("w"))
+    sizes = each.groupBy("key", "same_text", "size").agg(F.count("*").cast("int").alias("windows"))
+    counted = each.alias("e").join(sizes.alias("s"), F.expr("e.key <=> s.key AND e.same_text = s.same_text AND e.size = s.size"))
+    wanted = saved(counted.select(F.col("e.key").alias("item_id"), F.col("e.same_text").alias("item_same_text"), "e.size", "h", "w.*", "windows"), "templates")
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("same_text"), F.col(text).alias("text"))
     literal = sorted(r.size for r in wanted.filter("size > 0").select("size").distinct().collect())  # ``window`` sizes at most
     found = template_windows(rows, window, _bitmap(wanted), literal).distinct()
-    right = wanted.select("item_id", "h", "size", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
+    right = wanted.select("item_id", "item_same_text", "h", "size", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     # literal windows need no alignment
     met = found.join(right, ["h", "size"]).withColumn("shift", F.when(F.col("size") == 0, F.col("position") - F.col("item_position")))
-    along = ["key", "same_text", "item_id", "size", "windows", "shift"]
+    along = ["key", "same_text", "item_id", "item_same_text", "size", "windows", "shift"]
     # a row per value, and one for a window without slots, which agrees with everything
     values = met.select(*along, "item_position", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
     values = values.select(*along, "item_position", "s.item_slots", "s.slots").distinct()
@@ -229,12 +229,12 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     differing = F.collect_set(F.when(F.col("item_slots") != F.col("slots"), F.col("item_slots"))).alias("differing")
     agreeing = values.groupBy(*along, "item_position").agg(F.max("clash").alias("clash"), differing).filter("NOT clash")
     aligned = agreeing.groupBy(*along).agg(F.collect_set("item_position").alias("places"), F.size(F.array_distinct(F.flatten(F.collect_list("differing")))).alias("changed"))
-    whole = aligned.groupBy("key", "same_text", "item_id", "size", "windows").agg(
+    whole = aligned.groupBy("key", "same_text", "item_id", "item_same_text", "size", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.min("changed").cast("int").alias("changed")
     )
     enough = whole.filter(F.col("matched") >= share * F.col("windows"))
-    best = enough.groupBy("key", "same_text", "item_id").agg(F.min_by(F.struct("matched", "windows", "changed"), "size").alias("b"))
-    return best.select("key", "same_text", "item_id", "b.*")
+    best = enough.groupBy("key", "same_text", "item_id", "item_same_text").agg(F.min_by(F.struct("matched", "windows", "changed"), "size").alias("b"))
+    return best.select("key", "same_text", "item_id", "item_same_text", "b.*")
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -246,5 +246,5 @@ def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def leaked_items(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, windows, changed) per leak."""
+    """(doc_id, item_id, matched, windows, changed) per leak; a row for each text of an item's id that differs in them."""
     return leaks(docs, items).select(F.col("key").alias("doc_id"), "item_id", "matched", "windows", "changed").distinct()

@@ -231,6 +231,14 @@ def test_items_without_template_windows(spark):
     assert (got[3, 4].matched, got[3, 4].windows, got[3, 4].changed) == (1, 1, 0)
 
 
+def test_items_of_one_id_are_judged_apart(spark):
+    """Three texts under one id, or under none; a document that holds one of them whole is a leak."""
+    three = [" ".join(f"{c}{w}" for w in "abcdefghijklmnop") for c in "xyz"]
+    texts = ["before it " + three[1] + " behind it", "nothing of them is in here at all, not even in part"]
+    got = found(spark, texts, [(5, t) for t in three] + [(None, t) for t in three])
+    assert {k: (r.matched, r.windows) for k, r in got.items()} == {(0, 5): (9, 9), (0, None): (9, 9)}
+
+
 def test_leaks_of_odd_documents(spark, odd_documents):
     items = spark.createDataFrame([(1, " ".join(f"word{i % 977} of{i % 13}" for i in range(100, 140))), (None, "an item without an id that nothing holds at all, really")], "item_id bigint, text string")
     items = items.selectExpr("*", "'kept' AS doc_id", "'kept' AS h")
