@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandsaw.llm import edit_counts, langid, line_windows, permutation_index, repair, segment_bpe, superminhash, templates, url_templates, warc
+from bandsaw.llm import (
+    chat_parts, edit_counts, langid, line_windows, permutation_index, phrases, repair, segment_bpe, superminhash, templates, url_templates, warc,
+    whitening,
+)
 
 END_ID = 2
 
@@ -75,6 +78,18 @@ def op10_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_parts.digested(chat_parts.formatted(chat_parts.with_planted(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -88,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_templates,
         op9_warc,
         op10_segment_tree_bpe,
+        op11_whitening,
+        op12_misra_gries_phrases,
+        op13_chat_parts,
     ]
 }
 
@@ -95,4 +113,6 @@ ORACLE: dict[str, str] = {
     "op1_url_templates": url_templates.SQL,
     "op6_line_windows": line_windows.SQL,
     "op9_warc": warc.SQL,
+    "op12_misra_gries_phrases": phrases.SQL,
+    "op13_chat_parts": chat_parts.SQL,
 }

@@ -52,8 +52,8 @@ def test_pipeline_equals_plain_computation(spark, sf, documents, library):
 
 def test_names_and_columns():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and all(callable(f) for _, f in corpus_pipeline.STAGES)
-    assert not [name for name in queries.QUERIES if not re.fullmatch(r"op([1-9]|10)_\w+", name)]
-    assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert not [name for name in queries.QUERIES if not re.fullmatch(r"op([1-9]|1[0-3])_\w+", name)]
+    assert len(queries.QUERIES) == 13 and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
 def test_stages_on_odd_and_empty_tables(spark, odd_documents, sf):
