@@ -38,6 +38,7 @@ PARTITION_ENTRIES = 1 << 17  # entries of a summary that partitions are made for
 MOST_PARTITIONS = 1 << 16
 MOST_BITS = 29  # 64 MB
 LOW_BITS = 32
+HELD_ROWS = 1 << 20  # counts that a task holds before it passes them on
 
 # Bytes that end a piece, and bytes that part words within one.
 _PIECE_END = np.zeros(256, bool)
@@ -265,10 +266,36 @@ def marked(docs: DataFrame, threshold: int) -> Marks:
 # --- second pass: exact counts ----------------------------------------------------------------------------------
 
 
+def _added_up(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's chunks added up; at most ``HELD_ROWS`` rows and one chunk wait at a time."""
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+
+    def together() -> pa.Table:
+        whole = pa.Table.from_batches(waiting).group_by(["lang", "phrase", "words"]).aggregate([("count", "sum")])
+        return whole.rename_columns({"count_sum": "count"}).select(["lang", "phrase", "words", "count"]).combine_chunks()
+
+    for batch in tables:
+        waiting.append(batch)
+        held += batch.num_rows
+        if held > HELD_ROWS:
+            whole = together()
+            if whole.num_rows > HELD_ROWS // 2:
+                yield from whole.to_batches(1 << 16)
+                waiting, held = [], 0
+            else:
+                waiting, held = whole.to_batches(), whole.num_rows
+    if waiting:
+        yield from together().to_batches(1 << 16)
+
+
 def _counted(marks):
-    """(lang, phrase, words, count) of marked n-grams per chunk; the row without a phrase counts all words."""
+    """(lang, phrase, words, count) of the marked n-grams of a task; the row without a phrase counts all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _added_up(found(batches))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "phrase", "words", "count"]
         for w in _chunks(batches):
             n = w.number.size
