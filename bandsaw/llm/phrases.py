@@ -38,7 +38,7 @@ PARTITION_ENTRIES = 1 << 17  # entries of a summary that partitions are made for
 MOST_PARTITIONS = 1 << 16
 MOST_BITS = 29  # 64 MB
 LOW_BITS = 32
-HELD_ROWS = 1 << 20  # counts that a task holds before it passes them on
+HELD_ROWS = 1 << 19  # counts that wait before a task adds them up
 
 # Bytes that end a piece, and bytes that part words within one.
 _PIECE_END = np.zeros(256, bool)
@@ -238,7 +238,7 @@ class Marks:
     """The bitmap of survivors."""
 
     def __init__(self, sections: dict[int, bytes], n_bits: int, map_bits: int):
-        self.bits = max(map_bits, n_bits + 3)
+        self.n_bits, self.bits = n_bits, max(map_bits, n_bits + 3)
         size = 1 << (self.bits - n_bits - 3)
         self.held = np.zeros(size << n_bits, np.uint8)
         for p, section in sections.items():
@@ -249,6 +249,11 @@ class Marks:
         return (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def dealt_to(docs: DataFrame, n_bits: int) -> int:
+    """Over how many tasks the hash partitions go."""
+    return max(1, min(1 << n_bits, max(shuffle_partitions(docs.sparkSession), (1 << n_bits) // 4)))
+
+
 def marked(docs: DataFrame, threshold: int) -> Marks:
     """Fingerprints of all n-grams that may occur ``threshold`` times or more, found by summaries."""
     # words are parted by a byte at least: no text of b bytes has more than (b + 1) / 2, nor LONGEST times as many n-grams
@@ -257,82 +262,127 @@ def marked(docs: DataFrame, threshold: int) -> Marks:
     n_bits = max(3, min(MOST_PARTITIONS, -(-entries // PARTITION_ENTRIES) * 2 - 1).bit_length())
     map_bits = min(MOST_BITS, max(16, entries.bit_length() + 5))
     blocks = docs.mapInArrow(frugal(_blocks(n_bits)), "p int, kind int, mass bigint, keys binary, several binary")
-    tasks = max(1, min(1 << n_bits, max(shuffle_partitions(docs.sparkSession), (1 << n_bits) // 4)))
-    dealt = blocks.repartition(tasks, "p").sortWithinPartitions("p", "kind")
+    dealt = blocks.repartition(dealt_to(docs, n_bits), "p").sortWithinPartitions("p", "kind")
     sections = dealt.mapInArrow(frugal(_survivors(n_bits, map_bits, threshold)), "p int, bits binary").collect()
     return Marks({r.p: r.bits for r in sections}, n_bits, map_bits)
 
 
 # --- second pass: exact counts ----------------------------------------------------------------------------------
 
+COUNTS = "lang string, phrase string, words int, count bigint"
+NAMES = ["lang", "phrase", "words", "count"]
 
-def _added_up(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's chunks added up; at most ``HELD_ROWS`` rows and one chunk wait at a time."""
+
+def _added_up(tables: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Counts added up by ``keys``; at most ``HELD_ROWS`` rows and one batch wait, unless more of them differ."""
     waiting: list[pa.RecordBatch] = []
-    held = 0
+    held, limit = 0, HELD_ROWS
 
     def together() -> pa.Table:
-        whole = pa.Table.from_batches(waiting).group_by(["lang", "phrase", "words"]).aggregate([("count", "sum")])
-        return whole.rename_columns({"count_sum": "count"}).select(["lang", "phrase", "words", "count"]).combine_chunks()
+        whole = pa.Table.from_batches(waiting).group_by(keys).aggregate([("count", "sum")])
+        return whole.rename_columns({"count_sum": "count"}).select([*keys, "count"])
 
     for batch in tables:
         waiting.append(batch)
         held += batch.num_rows
-        if held > HELD_ROWS:
+        if held > limit:
             whole = together()
-            if whole.num_rows > HELD_ROWS // 2:
-                yield from whole.to_batches(1 << 16)
-                waiting, held = [], 0
-            else:
-                waiting, held = whole.to_batches(), whole.num_rows
+            waiting, held = whole.to_batches(), whole.num_rows
+            limit = max(HELD_ROWS, 2 * held)
     if waiting:
-        yield from together().to_batches(1 << 16)
+        yield together()
 
 
-def _counted(marks):
-    """(lang, phrase, words, count) of the marked n-grams of a task; the row without a phrase counts all words."""
+def _counted(marks, n_bits: int):
+    """One row per hash partition and task: its marked n-grams and their counts; partition -1 counts all words by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _added_up(found(batches))
+        for whole in _added_up(found(batches), ["p", *NAMES[:-1]]):
+            whole = whole.sort_by("p").combine_chunks()
+            p = whole.column("p").to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+            offsets = pa.array(np.append(first, p.size).astype(np.int32))
+            for i in range(first.size):  # a row of its own each, as a block may be large
+                block = whole.slice(offsets[i].as_py(), offsets[i + 1].as_py() - offsets[i].as_py())
+                lists = [pa.ListArray.from_arrays(pa.array([0, block.num_rows], pa.int32()), block.column(c).combine_chunks()) for c in NAMES]
+                yield pa.RecordBatch.from_arrays([pa.array([int(p[first[i]])], pa.int32()), *lists], ["p", *NAMES])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "phrase", "words", "count"]
+        def rows(p: np.ndarray, lang: pa.Array, phrase: pa.Array, words: int, count: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(p.astype(np.int32)), lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(p.size, words, np.int32)), pa.array(count, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["p", *NAMES])
+
         for w in _chunks(batches):
             n = w.number.size
             if not n:
                 continue
             totals = np.bincount(w.language, minlength=len(w.languages))
-            yield pa.RecordBatch.from_arrays([w.languages.cast(pa.string()), pa.nulls(totals.size, pa.string()), pa.array(np.zeros(totals.size, np.int32)), pa.array(totals, pa.int64())], names)
+            yield rows(np.full(totals.size, -1), w.languages, pa.nulls(totals.size, pa.string()), 0, totals)
             number, strings, langs = w.language, None, w.languages
-            before = np.ones(n, bool)  # the n-gram of one word less is counted here
+            before = np.ones(n, bool)  # the n-gram of one word less is counted at this place
             for k, prints in enumerate(w.fingerprints()):
                 here = np.zeros(n, bool)
                 here[: prints.size] = (w.reach[: prints.size] >= k) & marks.value(prints)
-                if k:
-                    here[: n - 1] &= after[1:]  # noqa: F821
                 here &= before
+                if k:
+                    here[:-1] &= before[1:]
                 at = np.flatnonzero(here)
                 if not at.size:
                     break
                 code = number[at] << 32 | w.number[at + k]
-                distinct, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
+                distinct, index, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
                 prefix, last = pa.array(distinct >> 32), w.distinct.take(pa.array(distinct & 0xFFFFFFFF))
                 langs = langs.take(prefix)
                 strings = last if strings is None else pc.binary_join_element_wise(strings.take(prefix), last, pa.scalar(" ", pa.large_string()))
-                yield pa.RecordBatch.from_arrays([langs.cast(pa.string()), strings.cast(pa.string()), pa.array(np.full(counts.size, k + 1, np.int32)), pa.array(counts, pa.int64())], names)
+                yield rows((prints[at[index]] >> np.uint64(64 - n_bits)).astype(np.int64), langs, strings, k + 1, counts)
                 number = np.zeros(n, np.int64)
                 number[at] = inverse
-                before, after = here, here
+                before = here
+
+    return run
+
+
+def _exact(threshold: int):
+    """The counts of each hash partition, added up; what is below ``threshold`` goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                p = batch.column("p")[i].as_py()
+                if waiting and p != at:
+                    yield from added(waiting)
+                    waiting = []
+                at = p
+                block = pa.RecordBatch.from_arrays([batch.column(c).slice(i, 1).flatten() for c in NAMES], NAMES)
+                waiting.append(block)
+                if sum(x.num_rows for x in waiting[1:]) > max(HELD_ROWS, waiting[0].num_rows):
+                    waiting = [_one(waiting)]
+        if waiting:
+            yield from added(waiting)
+
+    def added(blocks: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = _one(blocks)
+        keep = pc.or_(pc.equal(whole.column("words"), 0), pc.greater_equal(whole.column("count"), threshold))
+        yield whole.filter(keep)
+
+    def _one(blocks: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = next(_added_up(iter(blocks), NAMES[:-1])).combine_chunks()
+        return whole.to_batches()[0] if whole.num_rows else blocks[0].slice(0, 0)
 
     return run
 
 
 def counted(docs: DataFrame, threshold: int) -> DataFrame:
     """(lang, phrase, words, f): exact counts of all n-grams with f >= threshold, and a row without a phrase with n per language."""
-    held = docs.sparkSession.sparkContext.broadcast(marked(docs, threshold))
-    found = docs.mapInArrow(frugal(_counted(held)), "lang string, phrase string, words int, count bigint")
-    whole = found.groupBy("lang", "phrase", "words").agg(F.sum("count").alias("f"))
-    return whole.filter((F.col("words") == 0) | (F.col("f") >= threshold))
+    marks = marked(docs, threshold)
+    held = docs.sparkSession.sparkContext.broadcast(marks)
+    schema = "p int, " + ", ".join(f"{n} array<{t}>" for n, t in (c.split() for c in COUNTS.split(", ")))
+    found = docs.mapInArrow(frugal(_counted(held, marks.n_bits)), schema)
+    tasks = dealt_to(docs, marks.n_bits)
+    whole = found.repartition(tasks, "p").sortWithinPartitions("p").mapInArrow(frugal(_exact(threshold)), COUNTS)
+    return whole.withColumnRenamed("count", "f")
 
 
 # --- scores -----------------------------------------------------------------------------------------------------

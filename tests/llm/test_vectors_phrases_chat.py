@@ -147,8 +147,9 @@ def plain_collocations(rows, threshold, top=2000):
     return sorted((lang, i + 1, p.decode(), -a, left, right, n, -s) for lang, best in out.items() for i, (s, a, p, left, right, n) in enumerate(sorted(best)[:top]))
 
 
-@pytest.mark.parametrize("threshold", [1, 3, 40])
-def test_phrases_equal_plain_counts(spark, documents, odd_documents, threshold):
+@pytest.mark.parametrize("threshold, held", [(1, 1 << 19), (3, 700), (40, 50)])
+def test_phrases_equal_plain_counts(spark, documents, odd_documents, threshold, held, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD_ROWS", held)
     rows = [(d.lang, d.text) for d in documents.limit(60).collect()]
     draw = random.Random(threshold)
     # words that overlap with themselves, signs between words, other white space, upper case, long words
