@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandsaw.llm.shards import frugal, kept_in_worker
-from bandsaw.llm.text import LETTER, NUMBER, OTHER, SPACE, CharacterClasses, chunks, joined, mix, pretokens, per_row, rows_of, segment_hashes
+from bandsaw.llm.text import LETTER, NUMBER, OTHER, SEPARATOR, SPACE, CharacterClasses, chunks, joined, mix, pretokens, rows_of
 
 NONE = np.int64(1) << 60
 CELLS = 1 << 19
 # Words whose ids a task keeps; beyond it starts anew. Results do not depend on it.
 KEPT_WORDS = 1 << 19
+KEPT_BYTES = 32 << 20  # of their texts
 
 
 class PairTable:
@@ -168,35 +169,40 @@ class WordCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # ascending
-        self.index = np.zeros(0, np.int64)
+        self.index: dict[bytes, int] = {}
+        self.held_bytes = 0
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
-        flat, count = self.encode([buffer[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-        first = self.flat.size + np.cumsum(count) - count
-        index = self.count.size + np.arange(count.size)
+    def _learn(self, words: list[bytes]) -> None:
+        flat, count = self.encode(words)
+        self.index.update(zip(words, range(self.count.size, self.count.size + len(words)), strict=True))
+        self.held_bytes += sum(map(len, words))
+        self.first = np.concatenate([self.first, self.flat.size + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
         self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
-        merged = np.concatenate([self.keys, keys])
-        order = np.argsort(merged, kind="stable")
-        self.keys, self.index = merged[order], np.concatenate([self.index, index])[order]
 
     def lookup(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(word of each pre-token, its start, its end, row of each, row starts) of a chunk of texts."""
+        """(word of each pre-token, its start, its end, row of each, row starts) of a chunk of texts.
+
+        Pre-tokens are told apart by their bytes, in Arrow's dictionary within the chunk and in Python's between chunks.
+        """
         buffer, row_starts, _ = joined(column)
         starts, ends = pretokens(buffer, self.classes(buffer))
-        keys, example, which = np.unique(segment_hashes(buffer, starts, ends), return_index=True, return_inverse=True)
-        if self.keys.size + keys.size > self.kept:
+        # pre-tokens cover all but the separators
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        data = np.ascontiguousarray(buffer[buffer != SEPARATOR])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), starts.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.index) + len(distinct) > self.kept or self.held_bytes > KEPT_BYTES:
             self._clear()
-        near = np.minimum(np.searchsorted(self.keys, keys), max(0, self.keys.size - 1))
-        new = self.keys[near] != keys if self.keys.size else np.ones(keys.size, bool)
-        if new.any():
-            self._learn(buffer, starts[example[new]], ends[example[new]], keys[new])
-        word = self.index[np.searchsorted(self.keys, keys)] if keys.size else np.zeros(0, np.int64)
-        return word[which], starts, ends, rows_of(starts, row_starts), row_starts
+        new = [w for w in distinct if w not in self.index]
+        if new:
+            self._learn(new)
+        word = np.array([self.index[w] for w in distinct], np.int64)
+        which = coded.indices.to_numpy()
+        return word[which] if distinct else word, starts, ends, rows_of(starts, row_starts), row_starts
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text)."""

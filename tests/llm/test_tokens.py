@@ -47,6 +47,29 @@ def test_a_full_cache_starts_anew(library):
         assert small.ids(pa.array([text]))[0].tolist() == library.encode_ordinary(text)
 
 
+def swapped_words(least=256, most=4096):
+    """Pairs of words of doubled and swapped letters, which polynomials of their bytes do not tell apart."""
+    a, b = "a", "b"
+    while len(a) < most:
+        a, b = a + b, b + a
+        if len(a) >= least:
+            yield a, b
+
+
+def test_swapped_words_stay_apart(spark, cache, library):
+    texts = [w for pair in swapped_words() for w in pair]
+    flat, count = cache.ids(pa.array(texts))
+    for text, ids in zip(texts, np.split(flat, np.cumsum(count)[:-1]), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in segment_bpe.decode(segment_bpe.encode(docs, RANKS), RANKS).collect():
+        assert r.ids == library.encode_ordinary(r.text) and bytes(r.decoded).decode() == r.text
+    for r in edit_counts.count_tokens(docs, RANKS).collect():
+        assert r.n_tokens == len(library.encode_ordinary(r.text))
+    got = [tuple(r) for r in repair.tokenized(spark, docs, JSON, 2).orderBy("start").collect()]
+    assert got == expected_files(list(enumerate(texts)))
+
+
 def test_encode_and_decode(spark, odd_documents, library):
     rows = segment_bpe.decode(segment_bpe.encode(odd_documents, RANKS), RANKS).collect()
     assert len(rows) == 12
@@ -74,7 +97,6 @@ def test_op10_query(spark, sf, library, documents):
 
 def expected_files(rows):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     start, out = 0, []
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
