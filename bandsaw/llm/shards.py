@@ -12,6 +12,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,24 @@ def saved(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``saved`` for tables that nothing reads after the block: they are deleted at its end."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, kind: str) -> DataFrame:
+        paths.append(new_folder(spark, kind))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task function that gives freed memory back to the system when the task ends.
 

@@ -6,12 +6,12 @@ j-th slot gets a value in [j, j + 1). Stage j is done for all elements of a chun
 at once, and a text is ready when no slot holds j + 1 or more, which later stages
 could lower. Bands of ``ROWS`` slots make buckets.
 
-Equal sets are one node. In a bucket members are first compared with its smallest
-node, then those that stay apart from the largest group with one of that group. What
-is still apart is checked against all members of other groups in blocks: a task
-holds an inverted index of one block of full sets and probes it with a block of
-outsiders, so that no link between two members of a bucket is lost while pairs
-never become rows.
+Equal sets (by two hashes) are one node. In a bucket members are first compared with its
+smallest node, then those that stay apart from the largest group with one of that group. What
+is still apart is dealt to blocks, groups that share buckets side by side, and two
+blocks meet if they share a bucket: a task holds an inverted index of their full sets and
+probes it with the outsiders, so that no link between two members of a bucket is lost,
+pairs never become rows, and a text is sent once for each block that its own must meet.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsaw.llm.shards import frugal, saved
+from bandsaw.llm.shards import frugal, passing, saved
 from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 from bandsaw.operators.graph import star_components
 from bandsaw.operators.skew import lookup
@@ -36,6 +36,7 @@ ROWS = 4
 EXTRA_ROUNDS = 1
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2048  # about, of a block of members or of outsiders
 PIECE_ROWS, PIECE_BYTES = 2048, 8 << 20
+FOREST_NODES = 1 << 20
 ROW_BITS = 14
 ELEMENT_BITS = np.uint64(64 - ROW_BITS)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -186,14 +187,20 @@ def local_forests(edges: DataFrame) -> DataFrame:
                 parent[x], x = top, parent[x]
             return top
 
+        def forest() -> pa.RecordBatch:
+            pairs = [(x, root(x)) for x in list(parent)]
+            pairs = [p for p in pairs if p[0] != p[1]]
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
+
         for batch in batches:
             for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
                 a, b = root(u), root(v)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        pairs = [(x, root(x)) for x in list(parent)]
-        pairs = [p for p in pairs if p[0] != p[1]]
-        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
+            if len(parent) > FOREST_NODES:  # a forest of what was read so far; the next one begins anew
+                yield forest()
+                parent.clear()
+        yield forest()
 
     return edges.select("u", "v").mapInArrow(frugal(run), "u bigint, v bigint")
 
@@ -215,35 +222,42 @@ def _open_members(members: DataFrame) -> DataFrame:
     return lookup(members, several.filter("labels > 1").drop("labels"), ["bucket"])
 
 
-def _meetings(open_: DataFrame, labelled: DataFrame, texts: DataFrame) -> DataFrame:
-    """(k, i, j, probe, node, label, text): blocks of the outsiders of group ``k`` and blocks of all it must be checked against.
+def _meetings(open_: DataFrame, texts: DataFrame, keep) -> DataFrame:
+    """(i, j, b, probe, node, label, text): the open members of blocks that must meet; ``b`` is the row's own of both.
 
-    An outsider of ``k`` is a node of another label in a bucket whose main label is
-    ``k``. Of two members of a bucket with different labels one at least is an
-    outsider of the main label, and the other is one too or of that label.
+    Of two members of a bucket with different labels one at least is an outsider, a
+    ``probe``: its label is not the bucket's main one. Labels that share buckets
+    form a union; its small labels are dealt whole to blocks of the union, large ones to blocks of their own.
+    """
+    outside = F.max(F.col("label") != F.col("main")).alias("probe")
+    nodes = open_.groupBy("node", "label").agg(outside).join(texts.select("node", "n"), "node")
+    unions = grouped(open_.filter("label <> main").select(F.col("main").alias("u"), F.col("label").alias("v")).distinct())
+    blocks = F.ceil((F.sum("n") + 1) / BLOCK_BYTES + F.count("*") / BLOCK_ROWS).cast("int")
+    sizes = nodes.groupBy("label").agg(blocks.alias("blocks"), F.sum("n").alias("n"), F.count("*").alias("rows"))
+    sizes = sizes.join(unions.withColumnsRenamed({"label": "union", "node": "label"}), "label")
+    shared = sizes.filter("blocks = 1").groupBy("union").agg(F.ceil((F.sum("n") + 1) / BLOCK_BYTES + F.sum("rows") / BLOCK_ROWS).cast("int").alias("shared"))
+    sizes = sizes.join(shared, "union", "left").select("label", "union", "blocks", "shared")
+    own = F.xxhash64(F.lit(1), F.col("label"), F.pmod(F.xxhash64("node"), F.col("blocks")))
+    common = F.xxhash64(F.lit(2), F.col("union"), F.pmod(F.xxhash64("label"), F.col("shared")))
+    placed = lookup(nodes, sizes, ["label"]).select("node", "label", "probe", F.when(F.col("blocks") > 1, own).otherwise(common).alias("b"))
+    placed = keep(placed, "placed")
+    members = open_.select("bucket", "node", F.col("label") != F.col("main")).toDF("bucket", "node", "outside").join(placed.select("node", "b"), "node")
+    members = members.groupBy("bucket", "b").agg(F.max("outside").alias("outside"))
+    met = members.filter("outside").select("bucket", F.col("b").alias("x")).join(members.select("bucket", F.col("b").alias("y")), "bucket")
+    met = met.select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).distinct()
+    both = met.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("b"))
+    rows = placed.join(texts.select("node", "text"), "node").join(both, "b")
+    return rows.select("i", "j", "b", "probe", "node", "label", "text")
+
+
+def _linked(probe: np.ndarray, member: np.ndarray, sets: list[np.ndarray], node: np.ndarray, label: np.ndarray, block: np.ndarray, share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links of each probe to members of other labels, one for every label, by an inverted index of the members.
+
+    Where two blocks meet, a probe is compared with the other block; where a block meets itself, with all of it.
     """
-    outside = open_.filter("label <> main").select(F.col("main").alias("k"), "node", "label").distinct()
-    groups = outside.select("k").distinct()
-    inside = labelled.join(groups, F.col("label") == F.col("k")).select("k", "node", "label")
-    rows = outside.withColumn("outsider", F.lit(True)).unionByName(inside.withColumn("outsider", F.lit(False)))
-    rows = saved(rows.join(texts, "node").withColumn("n", F.octet_length("text")), "meeting")
-    sizes = rows.groupBy("k").agg(
-        F.ceil((F.sum("n") + 1) / BLOCK_BYTES + F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"),
-        F.ceil((F.sum(F.when(F.col("outsider"), F.col("n"))) + 1) / BLOCK_BYTES + F.count_if("outsider") / BLOCK_ROWS).cast("int").alias("probes"),
-    )
-    rows = lookup(rows, sizes, ["k"])
-    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["k", "i", "j", "probe", "node", "label", "text"]
-    held = rows.withColumn("j", place("blocks")).withColumn("i", spread("probes")).withColumn("probe", F.lit(False))
-    asked = rows.filter("outsider").withColumn("i", place("probes")).withColumn("j", spread("blocks")).withColumn("probe", F.lit(True))
-    return held.select(*columns).unionByName(asked.select(*columns))
-
-
-def _linked(probe: np.ndarray, member: np.ndarray, sets: list[np.ndarray], node: np.ndarray, label: np.ndarray, share: tuple[int, int]) -> list[tuple[int, int]]:
-    """Links of each probe to members of other labels, one for every label, by an inverted index of the members."""
     if not probe.size or not member.size:
         return []
+    apart = np.unique(block[member]).size > 1
     element = np.concatenate([sets[m] for m in member])
     size = np.array([sets[m].size for m in member])
     owner = np.repeat(np.arange(member.size), size)
@@ -255,7 +269,10 @@ def _linked(probe: np.ndarray, member: np.ndarray, sets: list[np.ndarray], node:
         n = np.searchsorted(element, sets[p], side="right") - low
         found = owner[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
         met = np.bincount(found, minlength=member.size)
-        near = np.flatnonzero((share[1] * met >= share[0] * (size + sets[p].size - met)) & (label[member] != label[p]))
+        other = label[member] != label[p]
+        if apart:
+            other &= block[member] != block[p]
+        near = np.flatnonzero((share[1] * met >= share[0] * (size + sets[p].size - met)) & other)
         for one in {int(label[member[q]]): int(member[q]) for q in near.tolist()}.values():
             out.append((int(node[p]), int(node[one])))
     return out
@@ -264,18 +281,18 @@ def _linked(probe: np.ndarray, member: np.ndarray, sets: list[np.ndarray], node:
 def _probed(meetings: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
     """The links (u, v) found in the meetings."""
     parts = shuffle_partitions(meetings.sparkSession)
-    ordered = meetings.repartition(parts, "k", "i", "j").sortWithinPartitions("k", "i", "j")
+    ordered = meetings.repartition(parts, "i", "j").sortWithinPartitions("i", "j")
 
     def solve(piece: pa.Table) -> pa.RecordBatch:
         keys, count = shingle_sets(piece.column("text").combine_chunks(), k)
         element = keys & ((np.uint64(1) << ELEMENT_BITS) - np.uint64(1))
         sets = np.split(element, np.cumsum(count)[:-1])
-        node, label, probe = (piece.column(c).to_numpy() for c in ("node", "label", "probe"))
+        node, label, probe, block = (piece.column(c).to_numpy() for c in ("node", "label", "probe", "b"))
         out: list[tuple[int, int]] = []
         edges = _edges(piece)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             rows = np.arange(a, b)
-            out += _linked(rows[probe[a:b]], rows[~probe[a:b]], sets, node, label, share)
+            out += _linked(rows[probe[a:b]], rows, sets, node, label, block, share)
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +316,7 @@ def _probed(meetings: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
 
 def _key(rows: pa.RecordBatch, at: int) -> list:
     at = at % rows.num_rows
-    return [rows.column(c)[at].as_py() for c in ("k", "i", "j")]
+    return [rows.column(c)[at].as_py() for c in ("i", "j")]
 
 
 def _edges(rows: pa.RecordBatch | pa.Table) -> list[int]:
@@ -309,7 +326,7 @@ def _edges(rows: pa.RecordBatch | pa.Table) -> list[int]:
         return [0]
     new = np.zeros(n, bool)
     new[0] = True
-    for c in ("k", "i", "j"):
+    for c in ("i", "j"):
         values = rows.column(c).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(c).to_numpy()
         new[1:] |= values[1:] != values[:-1]
     return [*np.flatnonzero(new).tolist(), n]
@@ -327,56 +344,66 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int
     alike; a null id is no smallest id unless its whole component has none. An
     empty table gives an empty one. Further columns are not read.
     """
+    spark = docs.sparkSession
     table = saved(signed(docs, key, text, k, size, rows), "signed")
-    nodes = table.filter("n_shingles > 0").groupBy("node").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
+    sets = table.filter("n_shingles > 0").groupBy("node", "check").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
+    # a node is a number that no other set has
+    sets = saved(sets.select("node", "check", "least", "bands", F.monotonically_increasing_id().alias("id")), "sets")
+    with passing(spark) as keep:
+        labels = _node_labels(docs, sets, key, text, k, share, keep)
+    rooted = sets.join(labels.withColumnRenamed("node", "id"), "id", "left").select("node", "check", "least", F.coalesce("label", "id").alias("label"))
+    smallest = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = rooted.join(smallest, "label").select("node", "check", "component_id")
+    return lookup(table.drop("bands"), named, ["node", "check"], "left").select(
+        "key", "same_text", "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
+    ).withColumn("kept", F.col("key").eqNullSafe(F.col("component_id")))
+
+
+def _node_labels(docs: DataFrame, sets: DataFrame, key: str, text: str, k: int, share: tuple[int, int], keep) -> DataFrame:
+    """(node, label) of the nodes with links: all comparisons."""
+    nodes = sets.select(F.col("id").alias("node"), "bands")
     postings = nodes.select("node", F.explode("bands").alias("bucket"))
     centres = postings.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = saved(lookup(postings, centres, ["bucket"]), "members")
+    members = keep(lookup(postings, centres, ["bucket"]), "members")
     first = members.filter("node <> centre").groupBy("node").agg(F.min("centre").alias("v"))
-    tested = saved(_ordered(first.select(F.col("node").alias("u"), "v")), "pairs")
+    tested = keep(_ordered(first.select(F.col("node").alias("u"), "v")), "pairs")
     # one text per node that has a partner
-    wanted = members.select("node").distinct().join(table.select("key", "node"), "node").groupBy("node").agg(F.min("key").alias("key"))
+    wanted = members.select("node").distinct().join(sets.selectExpr("id AS node", "least AS key", "node AS one", "check AS two"), "node")
     chosen = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    texts = saved(_one_text(chosen, wanted, k), "texts")
+    texts = keep(_one_text(chosen, wanted, k).withColumn("n", F.octet_length("text")), "texts")
     members = members.select("bucket", "node")
-    links = saved(verified(tested, texts, k, share), "links")
+    links = keep(verified(tested, texts, k, share), "links")
     labels = grouped(links)
     for _ in range(EXTRA_ROUNDS):
-        open_ = saved(_open_members(_labelled(members, labels)), "open")
+        open_ = keep(_open_members(_labelled(members, labels)), "open")
         # the member that shares most open buckets is nearest to the others
         degree = open_.groupBy("node").agg(F.count("*").alias("degree"))
         mains = open_.filter("label = main").join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("v"))
-        more = _ordered(open_.filter("label <> main").join(mains, "bucket").select(F.col("node").alias("u"), "v"))
-        more = saved(more.join(tested, ["u", "v"], "left_anti"), "pairs")
+        more = lookup(open_.filter("label <> main"), mains, ["bucket"]).groupBy(F.col("node").alias("u"), "v").agg(F.count("*").alias("n"))
+        more = more.join(tested.select("u", "v").unionByName(tested.select(F.col("v").alias("u"), F.col("u").alias("v"))), ["u", "v"], "left_anti")
+        more = keep(_ordered(more.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))), "pairs")
         tested = tested.unionByName(more)
-        links = links.unionByName(saved(verified(more, texts, k, share), "links"))
+        links = links.unionByName(keep(verified(more, texts, k, share), "links"))
         labels = grouped(links)
-    labelled = _labelled(members, labels)
-    open_ = saved(_open_members(labelled), "open")
-    meetings = _meetings(open_, labelled.select("node", "label").distinct(), texts)
-    links = links.unionByName(saved(_probed(meetings, k, share), "links"))
-    labels = grouped(links)
-    rooted = nodes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    smallest = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "label").select("node", "component_id")
-    return table.join(named, "node", "left").select(
-        "key", "same_text", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
-    ).withColumn("kept", F.col("key").eqNullSafe(F.col("component_id")))
+    open_ = keep(_open_members(_labelled(members, labels)), "open")
+    links = links.unionByName(keep(_probed(_meetings(open_, texts, keep), k, share), "links"))
+    return grouped(links)
 
 
 def _one_text(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(node, text) with one text for each node of ``wanted``.
 
     Rows meet on the id. Of ids with several texts the set decides: the text's own
-    hash is computed again and compared.
+    hashes are computed again and compared.
     """
-    met = docs.alias("d").join(wanted.alias("w"), F.expr("d.key <=> w.key")).select("node", "text")
+    met = docs.alias("d").join(wanted.alias("w"), F.expr("d.key <=> w.key")).select("node", "one", "two", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch, "text"):
-                one, _ = set_ids(*shingle_sets(part.column("text"), k))
-                yield part.filter(pa.array(one == part.column("node").to_numpy(zero_copy_only=False)))
+                mine = set_ids(*shingle_sets(part.column("text"), k))
+                same = [a == part.column(c).to_numpy(zero_copy_only=False) for a, c in zip(mine, ("one", "two"), strict=True)]
+                yield part.filter(pa.array(same[0] & same[1])).select(["node", "text"])
 
     return met.mapInArrow(frugal(run), "node bigint, text string").dropDuplicates(["node"])

@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from bandsaw.llm import line_windows, queries, superminhash, templates
 from oracle.check import connect, difference
@@ -270,3 +271,49 @@ def test_op8_query_finds_every_passage(spark, documents, sf):
 def test_kinds_of_words(text, kinds):
     words = templates.Canonical(pa.array([text]), templates._unit_hashes())
     assert words.kind.tolist() == kinds
+
+
+def test_texts_are_sent_few_times(spark, monkeypatch):
+    """Near copies that fall apart, beside other texts: what blocks exchange stays within twice the input."""
+    draw = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [draw.choice(vocabulary) for _ in range(120)]
+    rows = []
+    for i in range(3000):
+        copy = list(base)
+        for _ in range(draw.choice([1, 2, 3, 4])):
+            copy[draw.randrange(120)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+        rows.append((10_000 + i, " ".join(draw.choice(vocabulary) for _ in range(120))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    sent = []
+
+    def measured(meetings, k, share):
+        sent.append(meetings.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+        return probed(meetings, k, share)
+
+    probed = superminhash._probed
+    monkeypatch.setattr(superminhash, "_probed", measured)
+    got = superminhash.components(docs, k=5).collect()
+    assert len(got) == 6000 and 3000 < sum(r.kept for r in got) < 5500
+    assert sent[0] <= 2 * sum(len(t) for _, t in rows)
+
+
+def test_swapped_words_are_no_copies(spark):
+    """Texts of one word each, doubled and swapped, share nothing."""
+    a, b = "a", "b"
+    rows = []
+    while len(a) < 4096:
+        a, b = a + b, b + a
+        rows += [(len(rows), a), (len(rows) + 1, b)] if len(a) >= 1024 else []
+    got = superminhash.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(rows) == 6 and all(r.kept and r.n_shingles == 1 for r in got)
+
+
+def test_two_hashes_tell_sets_apart(spark, monkeypatch):
+    """Sets whose first hashes agree stay nodes of their own."""
+    real = superminhash.set_ids
+    monkeypatch.setattr(superminhash, "set_ids", lambda keys, count: (real(keys, count)[0] * 0, real(keys, count)[1]))
+    rows = [(i, f"text number {i} of its own with words {i * i} and more {i + 7}") for i in range(12)] + [(20, "text number 3 of its own with words 9 and more 10")]
+    got = {r.key: r for r in superminhash.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[20].component_id == 3 and sum(r.kept for r in got.values()) == 12
