@@ -27,7 +27,7 @@ from bandsaw.llm.shards import frugal, passing, saved
 from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, segment_hashes, words
 from bandsaw.operators.graph import star_components
 from bandsaw.operators.skew import lookup
-from bandsaw.session import shuffle_partitions
+from bandsaw.session import cut_lineage, shuffle_partitions
 
 SHINGLE = 5
 SHARE = (4, 5)  # a link needs SHARE[1] * intersection >= SHARE[0] * union
@@ -37,6 +37,7 @@ EXTRA_ROUNDS = 1
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2048  # about, of a block of members or of outsiders
 PIECE_ROWS, PIECE_BYTES = 2048, 8 << 20
 FOREST_NODES = 1 << 20
+LOCAL_LINKS = FOREST_NODES // 4  # a forest of so many edges is one small task; results do not depend on it
 ROW_BITS = 14
 ELEMENT_BITS = np.uint64(64 - ROW_BITS)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -173,8 +174,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: tuple[int, int])
     return both.mapInArrow(frugal(run), "u bigint, v bigint")
 
 
-def local_forests(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) as (node, smallest node of its tree) by union-find in each task; the components stay the same."""
+def local_forests(edges: DataFrame, roots: bool = False) -> DataFrame:
+    """Edges (u, v) as (node, smallest node of its tree) by union-find in each task; the components stay the same.
+
+    With ``roots`` the smallest nodes have rows too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -189,7 +193,7 @@ def local_forests(edges: DataFrame) -> DataFrame:
 
         def forest() -> pa.RecordBatch:
             pairs = [(x, root(x)) for x in list(parent)]
-            pairs = [p for p in pairs if p[0] != p[1]]
+            pairs = pairs if roots else [p for p in pairs if p[0] != p[1]]
             return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
 
         for batch in batches:
@@ -206,9 +210,15 @@ def local_forests(edges: DataFrame) -> DataFrame:
 
 
 def grouped(links: DataFrame) -> DataFrame:
-    """(node, label) of all nodes of ``links``; the label is the smallest node of the component."""
-    forest = local_forests(links).withColumn("graph", F.lit(0))
-    return star_components(forest, "graph").select("node", F.col("root").alias("label"))
+    """(node, label) of all nodes of ``links``; the label is the smallest node of the component.
+
+    The forests of all tasks are joined by one more union-find if they have at most
+    ``LOCAL_LINKS`` edges together, and by star contraction, in rounds of joins, if they have more.
+    """
+    forest = cut_lineage(local_forests(links))
+    if forest.count() <= LOCAL_LINKS:
+        return cut_lineage(local_forests(forest.coalesce(1), roots=True)).toDF("node", "label")
+    return star_components(forest.withColumn("graph", F.lit(0)), "graph").select("node", F.col("root").alias("label"))
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:

@@ -83,13 +83,15 @@ def test_chains_and_a_large_group(spark):
     compare(superminhash.components(df).collect(), rows, 5)
 
 
-def test_a_wide_group(spark, monkeypatch):
+@pytest.mark.parametrize("local_links", [0, 1 << 18])
+def test_a_wide_group(spark, monkeypatch, local_links):
     """Copies of one text with ever more changes: many are near each other, many near none; in several small blocks."""
     draw = random.Random(4)
     base = [f"b{i}" for i in range(150)]
     rows = [(i, " ".join(w if draw.random() > i % 40 / 500 else f"x{draw.randint(0, 99)}" for w in base)) for i in range(240)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
     monkeypatch.setattr(superminhash, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(superminhash, "LOCAL_LINKS", local_links)
     got = superminhash.components(df, k=4).collect()
     compare(got, rows, 4)
     assert len({r.component_id for r in got}) > 20
