@@ -35,11 +35,14 @@ FLUSH_ROWS = 1 << 19
 FLUSH_BYTES = 1 << 26
 
 
-def map_rows(df: DataFrame, fn: Callable[[dict], dict | None], schema: str) -> DataFrame:
+def map_rows(
+    df: DataFrame, fn: Callable[[dict], dict | None], schema: str, failed: Callable[[dict, Exception], dict | None] | None = None
+) -> DataFrame:
     """Arrow map: ``fn`` turns one input row into equally long output columns.
 
     Output is gathered into record batches and flushed by size, so a task holds
-    one input batch and one bounded output batch.
+    one input batch and one bounded output batch. For a row that makes ``fn`` raise, ``failed``
+    gives the output, so that an error is data; without it, and when memory runs out, the task fails.
     """
     struct = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
@@ -68,7 +71,13 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict | None], schema: str) -> D
             names = batch.schema.names
             lists = columns or {n: batch.column(i).to_pylist() for i, n in enumerate(names)}
             for i in range(batch.num_rows):
-                out = fn({n: lists[n][i] for n in names})
+                row = {n: lists[n][i] for n in names}
+                try:
+                    out = fn(row)
+                except Exception as reason:
+                    if failed is None or isinstance(reason, MemoryError):
+                        raise
+                    out = failed(row, reason)
                 if out is None:
                     continue
                 held.append(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +39,7 @@ from bandsaw.operators.components import (
 from bandsaw.operators.kernels import dilate5, erode5, gaussian5, gray, lab_histogram, lab_labels, lab_to_bgr
 from bandsaw.operators.neighborhood import threshold
 from bandsaw.session import cached
+from bandsaw.sources.images import decoded
 
 ROI_LEVEL = 127
 SELECTED_LEVEL = 1
@@ -49,12 +52,6 @@ def valid(images: DataFrame) -> DataFrame:
     return images.filter(decoded())
 
 
-def decoded():
-    size = F.col("height").cast("long") * F.col("width") * F.col("n_channels")
-    known = F.col("n_channels").isin(1, 3, 4)
-    return (F.col("height") > 0) & (F.col("width") > 0) & known & (F.length("data") == size)
-
-
 def roi_bands(bands: DataFrame, holes: DataFrame | None) -> DataFrame:
     """Keep the pixels inside the filled outline of everything brighter than the level."""
 
@@ -84,15 +81,73 @@ def _prepare(row: dict, preprocess: bool) -> tuple[dict, np.ndarray, np.ndarray]
     return out, a[out["e0"] - row["e0"] : out["e1"] - row["e0"]], blurred
 
 
-def _lab_colours(bands: DataFrame, preprocess: bool) -> DataFrame:
+# Called in the tasks with a stage and the row of a band before the stage's work; what it raises fails the image.
+Inspect = Callable[[str, dict], None]
+ERRORS = "image_id bigint, stage string, message string"
+ERROR_KIND = "error"
+
+
+class StageFailed(Exception):
+    """A stage could not do its work on one image."""
+
+    def __init__(self, stage: str, reason: Exception):
+        super().__init__(stage, f"{type(reason).__name__}: {reason}")
+        self.stage, self.message = self.args
+
+
+@contextmanager
+def _at(stage: str, row: dict, inspect: Inspect | None) -> Iterator[None]:
+    try:
+        if inspect:
+            inspect(stage, row)
+        yield
+    except MemoryError:
+        raise
+    except Exception as reason:
+        raise StageFailed(stage, reason) from reason
+
+
+def _reason(error: Exception) -> tuple[str, str]:
+    return (error.stage, error.message) if isinstance(error, StageFailed) else ("write", f"{type(error).__name__}: {error}")
+
+
+def _lab_colours(bands: DataFrame, preprocess: bool, inspect: Inspect | None = None, failed=None) -> DataFrame:
     """L*a*b* histogram per image of the pixels to cluster."""
+    rows = bands.select(*GEOMETRY_NAMES, "data", "roi_holes")
+    return cluster.summed(map_rows(rows, _counting(preprocess, inspect), cluster.COLOURS, failed))
 
+
+def _counting(preprocess: bool, inspect: Inspect | None) -> Callable[[dict], dict]:
     def count(row: dict) -> dict:
-        out, _, pixels = _prepare(row, preprocess)
-        values, w = lab_histogram(trim(out, pixels))
+        with _at("preprocess", row, inspect):
+            out, _, pixels = _prepare(row, preprocess)
+            values, w = lab_histogram(trim(out, pixels))
         return cluster.colour_columns(row["image_id"], *values.T, w)
 
-    return cluster.summed(map_rows(bands.select(*GEOMETRY_NAMES, "data", "roi_holes"), count, cluster.COLOURS))
+    return count
+
+
+def _uncounted(row: dict, reason: Exception) -> dict:
+    """What stands for an image that fails: a colour -1 of no weight."""
+    return cluster.colour_columns(row["image_id"], [-1], [-1], [-1], [0])
+
+
+def _split_failures(bands: DataFrame, colours: DataFrame, preprocess: bool, inspect: Inspect | None) -> tuple[DataFrame, DataFrame | None]:
+    """(colours of the images that could be prepared, errors of the others). The reasons are found by preparing those again."""
+    bad = colours.filter("c0 < 0").select("image_id").distinct()
+    if bad.isEmpty():
+        return colours, None
+    count = _counting(preprocess, inspect)
+
+    def explain(row: dict) -> dict | None:
+        try:
+            count(row)
+        except StageFailed as reason:
+            return {"image_id": [row["image_id"]], "stage": [reason.stage], "message": [reason.message]}
+        return None
+
+    again = bands.select(*GEOMETRY_NAMES, "data", "roi_holes").join(bad, "image_id", "left_semi")
+    return colours.filter("c0 >= 0").join(bad, "image_id", "left_anti"), cached(map_rows(again, explain, ERRORS))
 
 
 def lab_colours(bands: DataFrame, preprocess: bool = True) -> DataFrame:
@@ -108,11 +163,13 @@ def _centres(row: dict, k: int) -> np.ndarray:
     return np.array([np.inf if v is None else v for v in values]).reshape(k, 3)
 
 
-def _select(row: dict, preprocess: bool, k: int) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+def _select(row: dict, preprocess: bool, k: int, inspect: Inspect | None = None) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
     """Geometry, original pixels, labels, and the pixels of the chosen cluster."""
-    out, pixels, prepared = _prepare(row, preprocess)
-    labels = lab_labels(prepared, _centres(row, k))
-    return out, pixels, labels, pixels * (labels == row["best"])[..., None]
+    with _at("preprocess", row, None):
+        out, pixels, prepared = _prepare(row, preprocess)
+    with _at("cluster", row, inspect):
+        labels = lab_labels(prepared, _centres(row, k))
+        return out, pixels, labels, pixels * (labels == row["best"])[..., None]
 
 
 def clean_mask(mask: np.ndarray, top: bool, bottom: bool) -> np.ndarray:
@@ -180,6 +237,9 @@ class Segmentation:
     ``masks``    the cleaned masks alone, as bands
     ``centres``  image_id, k{i}_{j}, converged, best
     ``done``     image_id, height, width, bands of the images that were segmented
+    ``errors``   image_id, stage, message of the images that failed before their result was made
+
+    Bands whose result failed have a ``stage`` and a ``message`` and no pixels.
     """
 
     bands: DataFrame
@@ -187,9 +247,10 @@ class Segmentation:
     centres: DataFrame
     done: DataFrame
     held: list[DataFrame]
+    errors: DataFrame
 
     def artifacts(self) -> DataFrame:
-        """Four rows per band, one per kind."""
+        """Four rows per band, one per kind; a band that failed has one of the kind ``error``."""
         return artifact_rows(self.bands)
 
     def release(self) -> None:
@@ -205,13 +266,29 @@ def artifact_rows(bands: DataFrame) -> DataFrame:
         for kind, c, n in columns
     ]
     rest = ["image_id", "band", "bands", "height", "width", "y0", "y1", *[c for c in CARRY if c in bands.columns]]
-    return bands.select(*rest, F.explode(F.array(*kinds)).alias("a")).select(*rest, "a.*")
+    made = F.array(*kinds)
+    if "message" in bands.columns:
+        told = F.concat_ws("\n", "stage", "message").cast("binary")
+        made = F.when(F.col("message").isNull(), made).otherwise(F.array(F.struct(F.lit(ERROR_KIND).alias("kind"), F.lit(0).alias("n_channels"), told.alias("content"))))
+    return bands.select(*rest, F.explode(made).alias("a")).select(*rest, "a.*")
+
+
+def errors_in(artifacts: DataFrame) -> DataFrame:
+    """(image_id, stage, message) from the rows of the kind ``error``, one per image."""
+    told = F.split(F.decode("content", "UTF-8"), "\n", 2)
+    rows = artifacts.filter(F.col("kind") == ERROR_KIND).select("image_id", told[0].alias("stage"), told[1].alias("message"))
+    return rows.groupBy("image_id").agg(F.min(F.struct("stage", "message")).alias("e")).select("image_id", "e.*")
 
 
-def segment(
-    images: DataFrame,
+def segment(images: DataFrame, band_rows: int | None = None, **options) -> Segmentation:
+    """Segment every image of ``images`` (image_id, height, width, n_channels, data); options as for ``segment_bands``."""
+    carry = tuple(c for c in CARRY if c in images.columns)
+    return segment_bands(to_bands(valid(images), band_rows, carry=carry), **options)
+
+
+def segment_bands(
+    cut: DataFrame,
     k: int = 3,
-    band_rows: int | None = None,
     preprocess: bool = True,
     cluster_index: int | None = None,
     as_bgr: bool = False,
@@ -219,8 +296,9 @@ def segment(
     n_init: int = 20,
     max_iter: int = 300,
     partitions: int | None = None,
+    inspect: Inspect | None = None,
 ) -> Segmentation:
-    """Segment every image of ``images`` (image_id, height, width, n_channels, data).
+    """Segment images that are cut into bands; rows with a ``message`` tell of files that could not be decoded.
 
     Pixel bytes are shuffled once, on (image, band), and kept; everything that
     follows reads those bands where they are. Only small tables move: hole lists
@@ -228,55 +306,86 @@ def segment(
     interest, blur and colour conversion run once for the histogram and once
     more for the result, which is cheaper than storing them. ``segmented`` holds
     truncated centres in L*a*b*, or converted back with ``as_bgr``.
+
+    An image that makes a step raise does not stop the others: it is in ``errors``
+    or, where its result was to be made, a row with ``message``. ``inspect`` may refuse images: it is
+    called with the stages preprocess, cluster, postprocess and write, and a row's geometry and data.
     """
-    carry = tuple(c for c in CARRY if c in images.columns)
-    cut = to_bands(valid(images), band_rows, carry=carry)
-    held = cached(spread(cut, partitions))
+    carry = tuple(c for c in CARRY if c in cut.columns)
+    kept = cached(spread(cut, partitions))
+    held, errors = kept, cut.sparkSession.createDataFrame([], ERRORS)
+    if "message" in cut.columns:
+        held = kept.filter("band >= 0").drop("message")
+        errors = errors.unionByName(kept.filter("band < 0").select("image_id", F.lit("decode").alias("stage"), "message"))
     seams = has_seams(held)
     roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if seams and preprocess else None
     bands = with_choice(held, roi_holes, "roi_holes")
-    colours = cached(_lab_colours(bands, preprocess))
-    centres = cluster.with_best(cluster.kmeans(colours, k, max_iter, n_init), k)
+    colours = cached(_lab_colours(bands, preprocess, inspect, _uncounted))
+    prepared, unprepared = _split_failures(bands, colours, preprocess, inspect)
+    if unprepared is not None:
+        errors = errors.unionByName(unprepared.dropDuplicates(["image_id"]))
+    centres = cluster.with_best(cluster.kmeans(prepared, k, max_iter, n_init), k)
     if cluster_index is not None:
         centres = centres.withColumn("best", F.lit(cluster_index))
     centres = cached(centres)
     placed = with_per_image(bands, centres.drop("converged"))
 
     def close(row: dict) -> dict:
-        out, _, _, selected = _select(row, preprocess, k)
-        out, mask = _closed(out, selected)
-        return geometry(out) | {"data": [mask.tobytes()]}
+        out, _, _, selected = _select(row, preprocess, k, inspect)
+        with _at("postprocess", row, inspect):
+            out, mask = _closed(out, selected)
+        return geometry(out) | {"data": [mask.tobytes()], "message": [None]}
+
+    def unclosed(row: dict, reason: Exception) -> dict:
+        return geometry(row) | {"data": [b""], "message": [str(reason)]}
 
     holes = large = closed = None
     if seams:
-        closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS), partitions)
-        closed = cached(closed)
+        closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS + ", message string", unclosed), partitions)
+        whole = cached(closed)
+        closed = whole.filter("message IS NULL").drop("message")
+        bad = whole.filter("message IS NOT NULL").select("image_id").distinct()
+        if not bad.isEmpty():  # their other bands have no result either
+            closed = closed.join(bad, "image_id", "left_anti")
         holes, large = _across_seams(closed, min_area)
 
     def finish(row: dict) -> dict:
-        out, pixels, labels, selected = _select(row, preprocess, k)
+        out, pixels, labels, selected = _select(row, preprocess, k, inspect)
         painted = np.floor(_centres(row, k)).clip(0, 255).astype(np.uint8)[trim(out, labels)]
         if as_bgr:
             painted = lab_to_bgr(painted)
-        narrow, closed = _closed(out, selected)
-        return geometry(row, e0=row["y0"], e1=row["y1"]) | {
-            "original": [trim(out, pixels).tobytes()],
-            "segmented": [painted.tobytes()],
-            "selected": [trim(out, selected).tobytes()],
-            "mask": [_final(narrow, closed, min_area).tobytes()],
-            **{c: [row[c]] for c in carry},
-        }
+        with _at("postprocess", row, inspect):
+            narrow, closed = _closed(out, selected)
+            mask = _final(narrow, closed, min_area)
+        with _at("write", row, inspect):
+            return geometry(row, e0=row["y0"], e1=row["y1"]) | {
+                "original": [trim(out, pixels).tobytes()],
+                "segmented": [painted.tobytes()],
+                "selected": [trim(out, selected).tobytes()],
+                "mask": [mask.tobytes()],
+                "stage": [None],
+                "message": [None],
+                **{c: [row[c]] for c in carry},
+            }
+
+    def unfinished(row: dict, reason: Exception) -> dict:
+        stage, message = _reason(reason)
+        nothing = dict.fromkeys(("original", "segmented", "selected", "mask"), [None])
+        return geometry(row, e0=row["y0"], e1=row["y1"]) | nothing | {"stage": [stage], "message": [message], **{c: [row[c]] for c in carry}}
 
     def finish_mask(row: dict) -> dict:
-        narrow, closed = _closed(*_select(row, preprocess, k)[::3])
-        mask = _final(narrow, closed, min_area)
+        out, _, _, selected = _select(row, preprocess, k, inspect)
+        with _at("postprocess", row, inspect):
+            narrow, closed = _closed(out, selected)
+            mask = _final(narrow, closed, min_area)
         return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()]}
 
-    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary" + carried(carry)
-    result = map_rows(_with_seams(placed, holes, large), finish, schema)
-    masks = map_rows(_with_seams(placed.filter("bands = 1"), None, None), finish_mask, BANDS)
-    kept = [held, colours, centres]
+    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary, stage string, message string" + carried(carry)
+    result = map_rows(_with_seams(placed, holes, large), finish, schema, unfinished)
+    masks = map_rows(_with_seams(placed.filter("bands = 1"), None, None), finish_mask, BANDS, lambda row, reason: None)
+    released = [kept, colours, centres]
     if closed is not None:
         masks = masks.unionByName(_finish(closed, holes, large, min_area))
-        kept.append(closed)
-    return Segmentation(result, masks, centres, held.filter("band = 0").select("image_id", "height", "width", "bands"), kept)
+        released.append(whole)
+    done = held.filter("band = 0").select("image_id", "height", "width", "bands")
+    return Segmentation(result, masks, centres, done, released, errors)

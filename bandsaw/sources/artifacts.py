@@ -17,19 +17,26 @@ def written_images(artifacts: DataFrame, kinds: int) -> DataFrame:
     return per_kind.groupBy("image_id").agg((F.count_if(F.col("n") == F.col("bands")) == kinds).alias("whole"))
 
 
-def status_of(files: DataFrame, written: DataFrame) -> DataFrame:
+def status_of(files: DataFrame, written: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One row per file: path, ok, stage, message. Failures are data, not exceptions.
 
-    ``written`` is what ``written_images`` found in the result. Files without a
-    result are looked at again, at their first bytes, to tell why.
+    ``written`` is what ``written_images`` found in the result, ``errors`` (image_id, stage, message)
+    what steps told. Other files without a result are looked at again, at their first
+    bytes, to tell why.
     """
     marked = files.withColumn("image_id", F.xxhash64("rel_path")).join(written, "image_id", "left")
+    if errors is None:
+        marked = marked.withColumns({"stage": F.lit(None).cast("string"), "message": F.lit(None).cast("string")})
+    else:
+        marked = marked.join(errors.groupBy("image_id").agg(F.min(F.struct("stage", "message")).alias("e")).select("image_id", "e.*"), "image_id", "left")
+    told = marked.filter("stage IS NOT NULL").select("path", F.lit(False).alias("ok"), "stage", "message")
+    marked = marked.filter("stage IS NULL")
     done = marked.filter("whole").select("path", F.lit(True).alias("ok"), F.lit("write").alias("stage"), F.lit("written").alias("message"))
     cut = marked.filter("NOT whole").select("path", F.lit(False).alias("ok"), F.lit("write").alias("stage"), F.lit("results are missing").alias("message"))
     failed = with_headers(marked.filter("whole IS NULL").select("path", "length"))
     message = F.coalesce(problem(), F.lit("not a readable image of 1, 3 or 4 channels"))
     failed = failed.select("path", F.lit(False).alias("ok"), F.lit("decode").alias("stage"), message.alias("message"))
-    return done.unionByName(cut).unionByName(failed)
+    return told.unionByName(done).unionByName(cut).unionByName(failed)
 
 
 def status_summary(status: DataFrame) -> DataFrame:

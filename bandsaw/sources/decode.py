@@ -22,7 +22,7 @@ from bandsaw.functions import paths
 from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, HALO, band_count, carried
 from bandsaw.operators.kernels import gray
 from bandsaw.session import shuffle_partitions
-from bandsaw.sources.headers import PNG_CHANNELS
+from bandsaw.sources.headers import PNG_CHANNELS, header
 from bandsaw.sources.png import SIGNATURE
 from bandsaw.sources.store import opened
 
@@ -220,9 +220,16 @@ class BmpRows:
 
 
 def image_rows(source) -> PngRows | BmpRows:
-    start = source.read(2)
+    start = source.read(64)
     source.seek(0)
-    return BmpRows(source) if start == b"BM" else PngRows(source)
+    if not start:
+        raise ValueError("empty file")
+    if start[:2] == b"BM":
+        return BmpRows(source)
+    if start[:8] == SIGNATURE:
+        return PngRows(source)
+    other = header(start)[0]
+    raise ValueError(f"named as another format than {other}" if other else "no known image format")
 
 
 def cut_bands(image: PngRows | BmpRows, rows: int | None, halo: int, as_gray: bool) -> Iterator[dict]:

@@ -18,9 +18,9 @@ LISTING = "path string, is_folder boolean, length bigint, modificationTime times
 MOST_BYTES = 2**31 - 16
 
 
-def extension_glob(named_set: str) -> str:
+def extension_glob(named_set: str, but: tuple[str, ...] = ()) -> str:
     """Glob for the source, so that other files are not even listed as input."""
-    words = paths.EXTENSIONS[named_set]
+    words = [w for w in paths.EXTENSIONS[named_set] if w not in but]
     if named_set not in paths.CASE_SENSITIVE:
         words = ["".join(f"[{c}{c.upper()}]" for c in w) for w in words]
     return "*.{" + ",".join(words) + "}"

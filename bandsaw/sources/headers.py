@@ -18,6 +18,7 @@ HEAD_BYTES = 1 << 16  # a JPEG may hold metadata before its size
 DECODER_BYTES = 1_000_000_000
 PNG_CHANNELS = {0: 1, 2: 3, 3: 3, 4: 2, 6: 4}
 JPEG_NO_SIZE = {0xC4, 0xC8, 0xCC}
+TOO_LARGE = "too large to decode"
 HEADER = "format string, h_height int, h_width int, h_channels int, bits int"
 
 
@@ -77,15 +78,19 @@ def with_headers(files: DataFrame) -> DataFrame:
 
 
 def problem() -> Column:
-    """Why a file of ``with_headers`` cannot be decoded as it should, or null."""
+    """Why a file of ``with_headers`` cannot be decoded as it should, or null.
+
+    Size and depth matter to formats that are decoded whole.
+    """
     size = F.col("h_height").cast("bigint") * F.col("h_width") * F.col("h_channels")
     name = F.element_at(F.split("path", "/"), -1)
+    whole = ~F.col("format").isin("png", "bmp")
     return (
         F.when(F.col("length") == 0, F.lit("empty file"))
         .when(F.col("format").isNull(), F.lit("no known image format"))
         .when(name.rlike("^[_.]"), F.lit("hidden name"))
-        .when(size >= DECODER_BYTES, F.lit("too large to decode"))
-        .when((F.col("bits") > 8) & (F.col("h_channels") == 1), F.lit("more than 8 bits of gray"))
+        .when(whole & (size >= DECODER_BYTES), F.lit(TOO_LARGE))
+        .when(whole & (F.col("bits") > 8) & (F.col("h_channels") == 1), F.lit("more than 8 bits of gray"))
     )
 
 

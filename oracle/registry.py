@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from bandsaw.functions import paths, scores
 from bandsaw.functions import pixels as px
 from bandsaw.operators import cluster, components, evaluate, naming, neighborhood, resize
-from bandsaw.operators.bands import from_pixels, map_rows, recut, to_bands, to_pixels
+from bandsaw.operators.bands import block, from_pixels, map_rows, recut, to_bands, to_pixels, trim
 from bandsaw.plans import jobs
 from bandsaw.plans.segment import artifact_rows, lab_colours, postprocess, region_of_interest, segment
 from bandsaw.session import cut_lineage
 from bandsaw.sources import headers
 from bandsaw.sources.artifacts import ingest_images, read_table, status_summary, write_artifacts
+from bandsaw.sources.decode import decode_bands
 from bandsaw.sources.files import append_manifest, list_files, read_manifest
 from bandsaw.sources.images import read_images
 from oracle import sql as O
@@ -829,9 +830,9 @@ def same_stem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "status_stages",
     """SELECT concat(CASE WHEN i % 7 = 4 THEN '_' ELSE '' END, 'scan ', i, CASE WHEN i % 7 = 5 THEN '.jpg' ELSE '.png' END) AS name,
-i % 7 IN (0, 5) AS ok, CASE WHEN i % 7 IN (0, 5) THEN 'write' ELSE 'decode' END AS stage,
-CASE i % 7 WHEN 0 THEN 'written' WHEN 5 THEN 'written' WHEN 1 THEN 'more than 8 bits of gray' WHEN 2 THEN 'not a readable image of 1, 3 or 4 channels'
-WHEN 3 THEN 'empty file' WHEN 4 THEN 'hidden name' ELSE 'too large to decode' END AS message FROM (SELECT s_suppkey AS i FROM supplier)""",
+i % 7 IN (0, 1, 5) AS ok, CASE WHEN i % 7 IN (0, 1, 5) THEN 'write' ELSE 'decode' END AS stage,
+CASE i % 7 WHEN 2 THEN 'the file ends early' WHEN 3 THEN 'empty file' WHEN 4 THEN 'hidden name' WHEN 6 THEN 'a PNG without pixels' ELSE 'written' END AS message
+FROM (SELECT s_suppkey AS i FROM supplier)""",
 )
 def status_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One status row for every file of a tree with files of seven sorts."""
@@ -839,6 +840,64 @@ def status_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select(paths.file_name(F.col("path")).alias("name"), "ok", "stage", "message")
 
 
+@register(
+    "status_five_stages",
+    """SELECT stage, stage IS NULL AS ok, coalesce(message, 'written') AS message, count(*) AS n FROM (
+  SELECT CASE WHEN image_id % 10 = 0 THEN 'decode' WHEN t % 7 < 4 THEN ['preprocess', 'cluster', 'postprocess', 'write'][CAST(t % 7 AS INT) + 1] END AS stage,
+    CASE WHEN image_id % 10 = 0 THEN 'the file ends early' WHEN t % 7 < 4
+      THEN concat('ValueError: refused at ', ['preprocess', 'cluster', 'postprocess', 'write'][CAST(t % 7 AS INT) + 1]) END AS message
+  FROM (SELECT image_id, sum(b + g + r) AS t FROM px GROUP BY image_id)) GROUP BY ALL""",
+)
+def status_five_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segmentation job where images fail at every stage: cut files at decoding, others by a rule on their pixels."""
+
+    def inspect(stage: str, row: dict) -> None:
+        import numpy as np
+
+        stages = ("preprocess", "cluster", "postprocess", "write")
+        total = int(np.frombuffer(row["data"], np.uint8).sum()) % 7
+        if total < 4 and stages[total] == stage:
+            raise ValueError(f"refused at {stage}")
+
+    status = jobs.segment_dataset(spark, trees.write_damaged_tree(spark, sf_dir), trees.new_folder(spark), inspect=inspect)
+    told = F.when(~F.col("ok"), F.col("stage")).alias("stage")
+    return status.select(told, "ok", "message").groupBy("stage", "ok", "message").agg(F.count("*").alias("n"))
+
+
+@register(
+    "evaluate_status",
+    """SELECT 'score' AS stage, scored AS ok, CASE WHEN scored THEN 'scored' ELSE 'no mask' END AS message, CAST(sum(1 + CAST(scored AS INT)) AS BIGINT) AS n
+FROM (SELECT DISTINCT image_id % 7 <> 0 AS scored, image_id FROM px) GROUP BY ALL""",
+)
+def evaluate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every image and every mask of a labelled tree: scored, or why not."""
+    target = trees.new_folder(spark)
+    jobs.evaluate_dataset(spark, trees.write_labelled_tree(spark, sf_dir), target=target)
+    return spark.read.parquet(f"{target}/status").groupBy("stage", "ok", "message").agg(F.count("*").alias("n"))
+
+
+@register(
+    "decoded_rows",
+    """SELECT concat('scan ', image_id, ending) AS name, 4 AS bands, CAST(CASE ending WHEN '.png' THEN sum(b + g + r) ELSE 3 * sum(m) END AS BIGINT) AS total,
+CAST(CASE ending WHEN '.png' THEN sum(y * (b + 2 * g + 3 * r)) ELSE 6 * sum(y * m) END AS BIGINT) AS by_row
+FROM px, (VALUES ('.png'), ('.bmp')) AS e(ending) GROUP BY image_id, ending""",
+)
+def decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG and BMP files decoded on the rows of a listing, in bands of 16 rows with a halo."""
+    files = list_files(spark, trees.write_twin_tree(spark, sf_dir)).withColumn("image_id", F.xxhash64("rel_path"))
+
+    def total(row: dict) -> dict:
+        import numpy as np
+
+        core = trim(row, block(row)).astype(np.int64)
+        by_row = (core @ np.array([1, 2, 3])).sum(axis=1) @ np.arange(row["y0"], row["y1"])
+        return {"name": [row["rel_path"]], "bands": [row["bands"]], "total": [int(core.sum())], "by_row": [int(by_row)]}
+
+    cut = decode_bands(files, rows=16, carry=("rel_path",)).filter("message IS NULL")
+    sums = map_rows(cut, total, "name string, bands int, total bigint, by_row bigint")
+    return sums.groupBy("name", "bands").agg(F.sum("total").alias("total"), F.sum("by_row").alias("by_row"))
+
+
 @register("originals", f"SELECT concat('scan ', image_id, '.png') AS name, '' AS category, image_id % 10 <> 0 AS whole FROM (SELECT DISTINCT image_id FROM px)")
 def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input files as they are, readable or not, in the job's table of originals."""
