@@ -40,12 +40,15 @@ def _with_parts(files: DataFrame, root: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, root: str, recursive: bool = True, named_set: str | None = None) -> DataFrame:
-    """Path, time, length and content of every file, read by the executors."""
+    """Path, time, length and content of every file, read by the executors; content that does not fit a row is null."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if named_set:
         reader = reader.option("pathGlobFilter", extension_glob(named_set))
-    # files that do not fit a row are not even opened
-    return _with_parts(reader.load(root).filter(F.col("length") <= MOST_BYTES), root)
+    files = reader.load(root)
+    held, large = files.filter(F.col("length") <= MOST_BYTES), files.filter(F.col("length") > MOST_BYTES)
+    if not large.isEmpty():  # told by the listing; no content is read
+        held = held.unionByName(large.withColumn("content", F.lit(None).cast("binary")))
+    return _with_parts(held, root)
 
 
 def list_files(spark: SparkSession, root: str, recursive: bool = True, named_set: str | None = None) -> DataFrame:

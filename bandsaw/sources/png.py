@@ -1,25 +1,29 @@
-"""PNG files as a Spark sink: ``df.write.format("png_tree").save(root)``.
+"""PNG files as a Spark sink, committed in two phases.
 
 Rows are bands (image_id, rel_dir, name, width, height, n_channels, band, content).
 Each file is streamed by one task, band after band, so a task never holds an image.
-A file is written under a hidden temporary name and takes its own name, in place of
-an older file, when it is whole, so that a repeated or speculative task leaves a
-whole file. Two images of one name are an error.
+Tasks write drafts into a folder of their own beside the tree, and a table, which Spark
+commits as a whole, says which drafts count: those of lost, repeated and speculative tasks do not.
+Only then drafts take their names, and files of the tree's previous run that this one has not written
+go. Until then the tree is as it was, whatever fails. Two images of one name are an error.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from bandsaw.session import qualified
-from bandsaw.sources.store import opened
+from bandsaw.session import qualified, shuffle_partitions
+from bandsaw.sources.store import create_folder, exists, opened, remove, rename
+
+ROWS = 10_000  # files whose names a task holds
 
 # The PNG signature and the colour type per channel count.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -48,85 +52,128 @@ def encode_png(content: bytes, width: int, height: int, channels: int) -> bytes:
     return png_head(width, height, channels) + _chunk(b"IDAT", body) + _chunk(b"IEND", b"")
 
 
-@dataclass
-class FilesWritten(WriterCommitMessage):
-    count: int
-
+MANIFEST = "rel string, draft string"
 
-class PngTreeWriter(DataSourceWriter):
-    def __init__(self, root: str):
-        self.root = root
 
-    def write(self, iterator):
-        import uuid
+def _drafting(folder: str):
+    """Task function: streams files to drafts below ``folder`` and gives a row for each, when it is whole."""
 
-        from pyarrow import fs
-
-        store, base = opened(self.root)
-        token = uuid.uuid4().hex
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+        store, base = opened(folder)
         sink = packer = current = draft = None
-        count = 0
 
-        def close() -> None:
+        def closed() -> tuple[str, str]:
             sink.write(_chunk(b"IDAT", packer.flush()) + _chunk(b"IEND", b""))
             sink.close()
-            target = current[0]
-            if store.get_file_info(target).type != fs.FileType.NotFound:
-                store.delete_file(target)  # some stores do not rename onto a file
-            store.move(draft, target)
+            return current[0], draft
 
         try:
-            for row in iterator:
-                folder = f"{base}/{row.rel_dir}" if row.rel_dir else base
-                wanted = (f"{folder}/{row.name}", row.image_id)
-                if wanted != current:
-                    if current:
-                        if current[0] == wanted[0]:
-                            raise ValueError(f"two images are to be written to {current[0]}")
-                        close()
-                        draft = None
-                    store.create_dir(folder, recursive=True)
-                    current, packer = wanted, zlib.compressobj(6)
-                    draft = f"{folder}/.{row.name}.{token}"
-                    sink = store.open_output_stream(draft)
-                    sink.write(png_head(row.width, row.height, row.n_channels))
-                    count += 1
-                body = packer.compress(png_lines(row.content, row.width, row.n_channels))
-                if body:
-                    sink.write(_chunk(b"IDAT", body))
+            for batch in batches:
+                for row in batch.to_pylist():
+                    rel = f"{row['rel_dir']}/{row['name']}" if row["rel_dir"] else row["name"]
+                    if (rel, row["image_id"]) != current:
+                        if current:
+                            if current[0] == rel:
+                                raise ValueError(f"two images are to be written to {rel}")
+                            yield closed()
+                        current, packer, draft = (rel, row["image_id"]), zlib.compressobj(6), f"{uuid.uuid4().hex}.png"
+                        store.create_dir(base, recursive=True)
+                        sink = store.open_output_stream(f"{base}/{draft}")
+                        sink.write(png_head(row["width"], row["height"], row["n_channels"]))
+                    body = packer.compress(png_lines(row["content"], row["width"], row["n_channels"]))
+                    if body:
+                        sink.write(_chunk(b"IDAT", body))
             if current:
-                close()
-                draft = None
+                yield closed()
         finally:
-            if draft:  # the task failed: its unfinished file goes
+            if sink and not sink.closed:
                 sink.close()
-                if store.get_file_info(draft).type != fs.FileType.NotFound:
-                    store.delete_file(draft)
-        return FilesWritten(count)
 
-    def abort(self, messages):
-        """Nothing is left to remove: failed tasks remove their drafts, finished files are whole."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, str]] = []
+        for one in files(batches):
+            held.append(one)
+            if len(held) >= ROWS:
+                yield _rows(held)
+                held = []
+        if held:
+            yield _rows(held)
+
+    return run
+
+
+def _rows(held: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], pa.string()) for i in (0, 1)], ["rel", "draft"])
+
+
+def _publishing(drafts: str, root: str):
+    """Task function: drafts take their names; what an earlier attempt has moved stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        (store, source), (_, base) = opened(drafts), opened(root)
+        for batch in batches:
+            for rel, draft in zip(batch.column("rel").to_pylist(), batch.column("draft").to_pylist(), strict=True):
+                target = f"{base}/{rel}"
+                if store.get_file_info(f"{source}/{draft}").type == fs.FileType.NotFound:
+                    if store.get_file_info(target).type == fs.FileType.NotFound:
+                        raise FileNotFoundError(f"neither {rel} nor its draft is there")
+                    continue
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                if store.get_file_info(target).type != fs.FileType.NotFound:
+                    store.delete_file(target)  # some stores do not rename onto a file
+                store.move(f"{source}/{draft}", target)
+            yield batch
+
+    return run
+
+
+def _removing(root: str):
+    """Task function: deletes files of the tree that are still there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = opened(root)
+        for batch in batches:
+            for rel in batch.column("rel").to_pylist():
+                if store.get_file_info(f"{base}/{rel}").type != fs.FileType.NotFound:
+                    store.delete_file(f"{base}/{rel}")
+            yield batch
 
+    return run
 
-class PngTree(DataSource):
-    @classmethod
-    def name(cls):
-        return "png_tree"
 
-    def writer(self, schema, overwrite):
-        return PngTreeWriter(self.options["path"])
+def _done(df: DataFrame) -> None:
+    df.write.format("noop").mode("overwrite").save()
 
 
 def write_png_tree(rows: DataFrame, root: str) -> None:
-    """Write band rows as PNG files below ``root``, keeping each file's directory.
+    """Write band rows as PNG files below ``root``, in place of what an earlier call has written there.
 
-    The file name and directory are the sort key; a file's bands stay together. A
-    ``root`` without a scheme lies in the session's default file system.
+    Other files of the tree stay, unless a new one has their name. A file's bands stay together: they are
+    sorted by directory, name, image and band. ``{root}.manifest`` lists the files of the last run.
+    A ``root`` without a scheme lies in the session's default file system.
     """
     spark = rows.sparkSession
-    spark.dataSource.register(PngTree)
+    root = qualified(spark, root).rstrip("/")
+    token = uuid.uuid4().hex
+    drafts, manifest, known = f"{root}.drafts-{token}", f"{root}.manifest-{token}", f"{root}.manifest"
     columns = ["image_id", "rel_dir", "name", "band", "width", "height", "n_channels", "content"]
     # by file, not by directory: one directory may hold most files
     placed = rows.select(*columns).repartition(F.col("rel_dir"), F.col("name"))
     ordered = placed.sortWithinPartitions("rel_dir", "name", "image_id", "band")
-    ordered.write.format("png_tree").mode("append").save(qualified(spark, root))
+    create_folder(spark, root)
+    try:
+        ordered.mapInArrow(_drafting(drafts), MANIFEST).write.parquet(manifest)
+        made = spark.read.schema(MANIFEST).parquet(manifest)
+        _done(made.repartition(shuffle_partitions(spark), "rel").mapInArrow(_publishing(drafts, root), MANIFEST))
+        if exists(spark, known):
+            gone = spark.read.schema(MANIFEST).parquet(known).join(made, "rel", "left_anti")
+            _done(gone.mapInArrow(_removing(root), MANIFEST))
+            remove(spark, known)
+        rename(spark, manifest, known)
+    finally:
+        remove(spark, drafts)
+        remove(spark, manifest)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 
 # Schemes that tasks can open by themselves. Others are left to Spark's readers.
 REACHABLE = ("file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
@@ -33,3 +35,30 @@ def prefix(uri: str) -> str:
         return "file:"
     scheme, _, rest = uri.partition("://")
     return f"{scheme}://{rest.partition('/')[0]}" if scheme in ("hdfs", "viewfs") else f"{scheme}://"
+
+
+def _hadoop(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, uri: str) -> bool:
+    store, path = _hadoop(spark, uri)
+    return store.exists(path)
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    """Delete a file or a folder with all in it, if it is there."""
+    store, path = _hadoop(spark, uri)
+    store.delete(path, True)
+
+
+def rename(spark: SparkSession, uri: str, other: str) -> None:
+    store, path = _hadoop(spark, uri)
+    if not store.rename(path, _hadoop(spark, other)[1]):
+        raise OSError(f"{uri} could not be renamed to {other}")
+
+
+def create_folder(spark: SparkSession, uri: str) -> None:
+    store, path = _hadoop(spark, uri)
+    store.mkdirs(path)

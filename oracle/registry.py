@@ -19,6 +19,7 @@ from bandsaw.sources.artifacts import ingest_images, read_table, status_summary,
 from bandsaw.sources.decode import decode_bands
 from bandsaw.sources.files import append_manifest, list_files, read_manifest
 from bandsaw.sources.images import read_images
+from bandsaw.sources.png import write_png_tree
 from oracle import sql as O
 from oracle import trees
 from oracle.images import SIDE, category_of, fixture_images, fixture_masks
@@ -898,6 +899,41 @@ def decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.groupBy("name", "bands").agg(F.sum("total").alias("total"), F.sum("by_row").alias("by_row"))
 
 
+@register(
+    "rerun_files",
+    "SELECT concat('scan ', image_id, '.png') AS name, CAST(sum(255 - b + 255 - g + 255 - r) AS BIGINT) AS total FROM px WHERE image_id % 3 <> 0 GROUP BY image_id",
+)
+def rerun_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree is written, again by a job that fails, and again for fewer images with other pixels: what the last run wrote is there."""
+    root = trees.new_folder(spark)
+    rows = trees.file_rows(fixture_images(spark, sf_dir))
+    names = rows.columns
+    write_png_tree(rows, root)
+
+    def spoiled(row: dict) -> dict:
+        if row["image_id"] % 5 == 1:
+            raise ValueError("this job fails")
+        return {n: [row[n]] for n in names}
+
+    try:
+        write_png_tree(map_rows(rows, spoiled, trees.TREE), root)
+    except Exception as reason:
+        if "this job fails" not in str(reason):
+            raise
+    else:
+        raise AssertionError("the job should have failed")
+    if list_files(spark, root).count() != rows.count():
+        raise AssertionError("a failed job has changed the tree")
+
+    def inverted(row: dict) -> dict:
+        import numpy as np
+
+        return {n: [row[n]] for n in names} | {"content": [(255 - np.frombuffer(row["content"], np.uint8)).tobytes()]}
+
+    write_png_tree(map_rows(rows.filter("image_id % 3 <> 0"), inverted, trees.TREE), root)
+    return file_totals(spark, root)
+
+
 @register("originals", f"SELECT concat('scan ', image_id, '.png') AS name, '' AS category, image_id % 10 <> 0 AS whole FROM (SELECT DISTINCT image_id FROM px)")
 def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input files as they are, readable or not, in the job's table of originals."""

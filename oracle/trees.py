@@ -23,7 +23,7 @@ def new_folder(spark: SparkSession) -> str:
     return qualified(spark, f"{shared_dir(spark).rstrip('/')}/bandsaw-{uuid.uuid4().hex}")
 
 
-def _file_rows(images: DataFrame, suffix: str) -> DataFrame:
+def file_rows(images: DataFrame, suffix: str = "") -> DataFrame:
     return images.select(
         "image_id",
         category_of().alias("rel_dir"),
@@ -39,7 +39,7 @@ def _file_rows(images: DataFrame, suffix: str) -> DataFrame:
 def write_tree(spark: SparkSession, sf_dir: str) -> str:
     """``{category}/scan {id}.png`` for every image."""
     root = new_folder(spark)
-    write_png_tree(_file_rows(fixture_images(spark, sf_dir), ""), root)
+    write_png_tree(file_rows(fixture_images(spark, sf_dir), ""), root)
     return root
 
 
@@ -47,7 +47,7 @@ def write_labelled_tree(spark: SparkSession, sf_dir: str) -> str:
     """The same with ``_mask`` files; every seventh image has none."""
     root = new_folder(spark)
     masks = fixture_masks(spark, sf_dir).filter("image_id % 7 <> 0")
-    rows = _file_rows(fixture_images(spark, sf_dir), "").unionByName(_file_rows(masks, "_mask"))
+    rows = file_rows(fixture_images(spark, sf_dir), "").unionByName(file_rows(masks, "_mask"))
     write_png_tree(rows, root)
     return root
 

@@ -210,3 +210,62 @@ def test_relative_paths_of_uris(spark):
     df = spark.createDataFrame([("hdfs://h:9000/data/set/a/x.jpg",), ("file:/data/set/a/x.jpg",)], "p string")
     for root in ("/data/set", "/data/set//", "hdfs://h:9000/data/set/"):
         assert {r[0] for r in df.select(paths.relative_path(F.col("p"), root)).collect()} == {"a/x.jpg"}
+
+
+def test_a_tree_is_committed_as_a_whole(spark, tmp_path):
+    import os
+
+    schema = "image_id bigint, rel_dir string, name string, band int, width int, height int, n_channels int, content binary"
+    rows = lambda names, value: spark.createDataFrame([(i, f"d{i % 3}", n, 0, 2, 2, 1, bytearray([value] * 4)) for i, n in enumerate(names)], schema).repartition(5)
+    root = tmp_path / "tree"
+
+    def files():
+        return {os.path.relpath(os.path.join(d, n), root): (root / d / n).read_bytes() for d, _, names in os.walk(root) for n in names}
+
+    write_png_tree(rows([f"a{i}.png" for i in range(9)], 7), str(root))
+    (root / "d0" / "other.png").write_bytes(b"kept")
+    before = files()
+    assert len(before) == 10
+    # nine images, two of one name: some drafts are whole when the job fails
+    with pytest.raises(Exception, match="two images"):
+        bad = rows([f"a{i}.png" for i in range(9)], 9).unionByName(rows(["a0.png"], 9).withColumn("image_id", F.lit(77).cast("bigint")))
+        write_png_tree(bad, str(root))
+    assert files() == before
+    assert sorted(os.listdir(tmp_path)) == ["tree", "tree.manifest"]
+    write_png_tree(rows([f"a{i}.png" for i in range(4)], 8), str(root))
+    after = files()
+    assert set(after) == {"d0/a0.png", "d1/a1.png", "d2/a2.png", "d0/a3.png", "d0/other.png"}
+    assert after["d0/a0.png"] != before["d0/a0.png"] and after["d0/other.png"] == b"kept"
+    write_png_tree(rows([], 8), str(root))
+    assert set(files()) == {"d0/other.png"}
+
+
+def test_errors_of_steps_are_data(spark, tree, tmp_path):
+    """Images of one and of several bands fail at each stage; the others have their results."""
+    target = str(tmp_path / "steps")
+
+    def inspect(stage, row):
+        if stage == ("preprocess", "cluster", "postprocess", "write", "none")[row["image_id"] % 5]:
+            raise RuntimeError(f"no {stage}")
+
+    for rows in (None, 20):
+        status = {r.path.rsplit("/", 1)[1]: r for r in jobs.segment_dataset(spark, tree, target, as_files=True, band_rows=rows, inspect=inspect).collect()}
+        assert len(status) == 7
+        failed = {n: r for n, r in status.items() if not r.ok}
+        assert failed.pop("broken.png").stage == "decode" and failed
+        for r in failed.values():
+            assert r.message == f"RuntimeError: no {r.stage}"
+        ok = [n for n, r in status.items() if r.ok]
+        files = {r.stem for r in list_files(spark, f"{target}/files", named_set="images").collect()}
+        assert len(files) == 4 * len(ok)
+
+
+def test_files_beyond_a_row_are_listed_without_content(spark, tmp_path):
+    root = tmp_path / "large"
+    root.mkdir()
+    (root / "small.bmp").write_bytes(b"BM")
+    with open(root / "large.bmp", "wb") as sink:
+        sink.truncate(2**31)  # takes no disk
+    table = ingest_images(spark, str(root), str(tmp_path / "table"))
+    got = {r.stem: (r.length, r.content) for r in table.collect()}
+    assert got == {"small": (2, bytearray(b"BM")), "large": (2**31, None)}
