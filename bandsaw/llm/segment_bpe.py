@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandsaw.llm.shards import frugal, kept_in_worker
-from bandsaw.llm.text import LETTER, NUMBER, OTHER, SEPARATOR, SPACE, CharacterClasses, chunks, joined, mix, pretokens, rows_of
+from bandsaw.llm.text import LETTER, NUMBER, OTHER, SEPARATOR, SPACE, CharacterClasses, chunks, joined, mix, pretokens, rows_of, segment_hashes
 
 NONE = np.int64(1) << 60
 CELLS = 1 << 19
@@ -169,40 +169,74 @@ class WordCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.held_bytes = 0
+        self.keys = np.zeros(0, np.uint64)  # ascending
+        self.index = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
+        # the words' bytes, one after the other
+        self.text = np.zeros(0, np.uint8)
+        self.begin = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of ``words``, which are held from now on."""
         flat, count = self.encode(words)
-        self.index.update(zip(words, range(self.count.size, self.count.size + len(words)), strict=True))
-        self.held_bytes += sum(map(len, words))
+        index = self.count.size + np.arange(count.size)
+        size = np.array([len(w) for w in words], np.int64)
         self.first = np.concatenate([self.first, self.flat.size + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
+        self.begin = np.concatenate([self.begin, self.text.size + np.cumsum(size) - size])
+        self.count, self.size = np.concatenate([self.count, count]), np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
+        return index
 
     def lookup(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(word of each pre-token, its start, its end, row of each, row starts) of a chunk of texts.
 
-        Pre-tokens are told apart by their bytes, in Arrow's dictionary within the chunk and in Python's between chunks.
+        Hashes find equal pre-tokens, their bytes are compared; where two differ, the chunk is learned anew by its bytes.
         """
         buffer, row_starts, _ = joined(column)
         starts, ends = pretokens(buffer, self.classes(buffer))
-        # pre-tokens cover all but the separators
-        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        data = np.ascontiguousarray(buffer[buffer != SEPARATOR])
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), starts.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > self.kept or self.held_bytes > KEPT_BYTES:
+        if self.count.size > self.kept or self.text.size > KEPT_BYTES:
             self._clear()
-        new = [w for w in distinct if w not in self.index]
-        if new:
-            self._learn(new)
-        word = np.array([self.index[w] for w in distinct], np.int64)
-        which = coded.indices.to_numpy()
-        return word[which] if distinct else word, starts, ends, rows_of(starts, row_starts), row_starts
+        word = self._by_hash(buffer, starts, ends) if starts.size else np.zeros(0, np.int64)
+        if word is None:
+            offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+            data = np.ascontiguousarray(buffer[buffer != SEPARATOR])
+            coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), starts.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+            word = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        return word, starts, ends, rows_of(starts, row_starts), row_starts
+
+    def _by_hash(self, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """The word of each pre-token, or None if two of one hash differ, in the chunk or from what is held."""
+        keys, example, which = np.unique(segment_hashes(buffer, starts, ends), return_index=True, return_inverse=True)
+        lengths, same = ends - starts, example[which]
+        if (lengths != lengths[same]).any():
+            return None
+        # pre-tokens cover all but the separators
+        place = np.flatnonzero(buffer != SEPARATOR)
+        if (buffer[place] != buffer[place + np.repeat(starts[same] - starts, lengths)]).any():
+            return None
+        near = np.minimum(np.searchsorted(self.keys, keys), max(0, self.keys.size - 1))
+        new = self.keys[near] != keys if self.keys.size else np.ones(keys.size, bool)
+        word = np.empty(keys.size, np.int64)
+        if not new.all():
+            known, mine = self.index[near[~new]], example[~new]
+            size = self.size[known]
+            if (size != lengths[mine]).any():
+                return None
+            within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            if (self.text[np.repeat(self.begin[known], size) + within] != buffer[np.repeat(starts[mine], size) + within]).any():
+                return None
+            word[~new] = known
+        if new.any():
+            mine = example[new]
+            word[new] = self._learn([buffer[a:b].tobytes() for a, b in zip(starts[mine].tolist(), ends[mine].tolist(), strict=True)])
+            merged = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(merged, kind="stable")
+            self.keys, self.index = merged[order], np.concatenate([self.index, word[new]])[order]
+        return word[which]
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text)."""

@@ -70,6 +70,19 @@ def test_swapped_words_stay_apart(spark, cache, library):
     assert got == expected_files(list(enumerate(texts)))
 
 
+def test_words_of_one_hash_stay_apart(library, monkeypatch):
+    """Hashes of two bits: nearly all words meet others, in their chunk and among those that are held."""
+    real = segment_bpe.segment_hashes
+    texts = random_texts(300)
+    for mask in (3, 0x3FF):
+        monkeypatch.setattr(segment_bpe, "segment_hashes", lambda *args: real(*args) & np.uint64(mask))
+        cache = segment_bpe.WordCache(CharacterClasses(segment_bpe.pattern_class), segment_bpe.SegmentTreeBpe(segment_bpe.read_ranks(RANKS)))
+        for part in (texts[:1], texts[1:2], texts[2:40], texts[40:]):
+            flat, count = cache.ids(pa.array(part))
+            for text, ids in zip(part, np.split(flat, np.cumsum(count)[:-1]), strict=True):
+                assert ids.tolist() == library.encode_ordinary(text)
+
+
 def test_encode_and_decode(spark, odd_documents, library):
     rows = segment_bpe.decode(segment_bpe.encode(odd_documents, RANKS), RANKS).collect()
     assert len(rows) == 12
