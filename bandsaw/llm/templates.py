@@ -6,8 +6,8 @@ sentence and units behind a number count as NUMBER, NAME and UNIT there. Windows
 of documents and items meet in a hash join. The values behind the placeholders
 must agree: along one alignment a value of the item stands for one value of the
 document, so that a re-parameterised question counts. A value that stands for
-several takes the windows it is in out of the count, and no others; two values of
-the item may become the same one.
+several takes the windows it is in out of the count, but none that is the same word
+for word; two values of the item may become the same one.
 
 Most windows of a corpus are no benchmark window. A bitmap of fixed size
 (``BITS`` bits, 4 MB) drops them inside the tasks, whatever the benchmark's size;
@@ -28,6 +28,7 @@ from bandsaw.llm.text import chunks, joined, lowered, mix, per_row, rows_of, seg
 
 WINDOW = 8
 SHARE = 0.5  # of an item's windows that a document must hold
+SHORT_SHARE = 0.5  # of a document's words that an item of fewer words than a window must be, to have the document removed
 BITS = 25
 
 # Units, in lower case.
@@ -142,8 +143,8 @@ class Canonical:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
 
 
-# ``size`` is 0 for windows with placeholders, else the number of words of a literal window
-WINDOWS = "key bigint, same_text bigint, position int, h bigint, size int, slots array<bigint>"
+# ``words`` is the number of the text's words; ``size`` is 0 for windows with placeholders, else the number of words of a literal window
+WINDOWS = "key bigint, same_text bigint, words int, position int, h bigint, size int, slots array<bigint>"
 
 
 def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None, literal: list[int] | None = None) -> DataFrame:
@@ -178,6 +179,7 @@ def template_windows(rows: DataFrame, window: int, bitmap: np.ndarray | None, li
                     columns = [
                         part.column("key").take(pa.array(row)),
                         part.column("same_text").take(pa.array(row)),
+                        pa.array(words_of.count[row].astype(np.int32)),
                         pa.array((first - words_of.first[row]).astype(np.int32)),
                         pa.array(h.view(np.int64)),
                         pa.array(np.full(first.size, size, np.int32)),
@@ -199,13 +201,13 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """(key, same_text, item_id, item_same_text, matched, windows, changed) of documents that hold a benchmark item.
+    """(key, same_text, item_id, item_same_text, matched, windows, changed, covers) of documents that hold a benchmark item.
 
     ``matched`` counts the item's distinct windows found with consistent slots, ``changed``
     the values that differ in them. An item of which windows are dropped, as more than
     half of their words are placeholders, is looked for by the values of all its windows
     too, and one of fewer than ``window`` words by one window of them all; either way
-    suffices. Null and empty texts hold nothing. Repeated rows count once; rows of one id
+    suffices. For the latter ``covers`` is the item's share of the document's words, else null. Null and empty texts hold nothing. Repeated rows count once; rows of one id
     with different texts are judged apart (``same_text``), items too (``item_same_text``). Further columns are not read.
     """
     tests = items.select(F.col(item).cast("bigint").alias("key"), F.xxhash64(item_text).alias("same_text"), F.col(item_text).alias("text"))
@@ -220,31 +222,39 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     right = wanted.select("item_id", "item_same_text", "h", "size", "windows", F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     # literal windows need no alignment
     met = found.join(right, ["h", "size"]).withColumn("shift", F.when(F.col("size") == 0, F.col("position") - F.col("item_position")))
-    along = ["key", "same_text", "item_id", "item_same_text", "size", "windows", "shift"]
+    pair = ["key", "same_text", "words", "item_id", "item_same_text", "size", "windows"]
+    along = [*pair, "shift"]
     # a row per value, and one for a window without slots, which agrees with everything
     values = met.select(*along, "item_position", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
     values = values.select(*along, "item_position", "s.item_slots", "s.slots").distinct()
     one = Window.partitionBy(*along, "item_slots")  # at most the item's windows
     values = values.withColumn("clash", F.coalesce(F.min("slots").over(one) != F.max("slots").over(one), F.lit(False)))
     differing = F.collect_set(F.when(F.col("item_slots") != F.col("slots"), F.col("item_slots"))).alias("differing")
-    agreeing = values.groupBy(*along, "item_position").agg(F.max("clash").alias("clash"), differing).filter("NOT clash")
+    same = F.min(F.col("item_slots").isNull() | (F.col("item_slots") == F.col("slots"))).alias("same")
+    agreeing = values.groupBy(*along, "item_position").agg(F.max("clash").alias("clash"), same, differing).filter("same OR NOT clash")
     aligned = agreeing.groupBy(*along).agg(F.collect_set("item_position").alias("places"), F.size(F.array_distinct(F.flatten(F.collect_list("differing")))).alias("changed"))
-    whole = aligned.groupBy("key", "same_text", "item_id", "item_same_text", "size", "windows").agg(
+    whole = aligned.groupBy(*pair).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.min("changed").cast("int").alias("changed")
     )
     enough = whole.filter(F.col("matched") >= share * F.col("windows"))
-    best = enough.groupBy("key", "same_text", "item_id", "item_same_text").agg(F.min_by(F.struct("matched", "windows", "changed"), "size").alias("b"))
+    covers = F.when((F.col("size") > 0) & (F.col("size") < window), F.col("size") / F.col("words")).alias("covers")
+    best = enough.groupBy("key", "same_text", "item_id", "item_same_text").agg(F.min_by(F.struct("matched", "windows", "changed", covers), "size").alias("b"))
     return best.select("key", "same_text", "item_id", "item_same_text", "b.*")
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold an item."""
-    bad = leaks(docs, items, key, text, **options).select("key", "same_text").distinct()
-    tagged = docs.withColumn("__key", F.col(key).cast("bigint")).withColumn("__same_text", F.xxhash64(text))
-    hit = F.expr("t.__key <=> b.key AND t.__same_text = b.same_text")
-    return tagged.alias("t").join(bad.alias("b"), hit, "left_anti").drop("__key", "__same_text")
+    """``docs`` without the rows that hold an item.
+
+    An item of fewer words than a window is an everyday phrase more often than a leak: it
+    counts if it is ``SHORT_SHARE`` of the document's words at least. Null and empty
+    texts, repeated rows and all columns of the rows that stay are kept; no items, no change.
+    """
+    found = leaks(docs, items, key, text, **options)
+    bad = found.filter(F.col("covers").isNull() | (F.col("covers") >= SHORT_SHARE)).select("key", "same_text").distinct()
+    hit = F.col(f"t.`{key}`").cast("bigint").eqNullSafe(F.col("b.key")) & (F.xxhash64(F.col(f"t.`{text}`")) == F.col("b.same_text"))
+    return docs.alias("t").join(bad.alias("b"), hit, "left_anti")
 
 
 def leaked_items(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, windows, changed) per leak; a row for each text of an item's id that differs in them."""
-    return leaks(docs, items).select(F.col("key").alias("doc_id"), "item_id", "matched", "windows", "changed").distinct()
+    """(doc_id, item_id, matched, windows, changed, covers) per leak; a row for each text of an item's id that differs in them."""
+    return leaks(docs, items).select(F.col("key").alias("doc_id"), "item_id", "matched", "windows", "changed", "covers").distinct()

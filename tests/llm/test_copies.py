@@ -173,16 +173,16 @@ def test_reparameterised_questions(spark):
     texts = [
         before + QUESTION + behind,
         before + QUESTION.replace("120", "450").replace("Boston", "Denver").replace("30", "45") + behind,
-        before + QUESTION.replace("for Boston", "for Denver") + behind,  # one name becomes two
+        before + QUESTION.replace("for Boston", "for Denver") + behind,  # one name becomes two, all else is the same
         before + " ".join(QUESTION.split()[:7]) + behind,
         before + QUESTION.upper() + behind,
         QUESTION.replace(" ", "\n\t "),
         "5 6 7 8 9 10 11 12 13 14 15 16 17 18",
     ]
     got = found(spark, texts, [(70, QUESTION), (71, "too short to tell"), (72, None), (73, ""), (74, "1 2 3 4 5 6 7 8 9 10 11")])
-    assert {k for k in got if k[0] not in (2, 4)} == {(0, 70), (1, 70), (5, 70)}
+    assert {k for k in got if k[0] != 4} == {(0, 70), (1, 70), (2, 70), (5, 70)}
     assert got[0, 70].changed == 0 and got[1, 70].changed >= 3
-    assert (2, 70) not in got
+    assert got[2, 70].changed == 0 and got[2, 70].matched < got[2, 70].windows
 
 
 def test_a_clash_costs_its_own_windows_only(spark):
@@ -201,8 +201,8 @@ def test_a_clash_costs_its_own_windows_only(spark):
     assert set(got) == {(0, 1), (1, 1), (2, 2), (4, 1)}
     words = [t.split() for t in (item, texts[0])]
     grams = [[tuple(w[i : i + 8]) for i in range(len(w) - 7)] for w in words]
-    # all that match word for word but those that hold the clashing value
-    same = {a for a, b in zip(*grams, strict=True) if a == b and "7" not in a}
+    # all that match word for word, those that hold the clashing value too
+    same = {a for a, b in zip(*grams, strict=True) if a == b}
     assert got[0, 1].matched == len(same) and got[0, 1].changed == 0
     assert got[4, 1].matched == got[4, 1].windows == len(words[0]) - 7
     assert got[2, 2].changed == 2 and got[2, 2].matched == got[2, 2].windows
@@ -234,6 +234,19 @@ def test_items_without_template_windows(spark):
     assert (got[3, 4].matched, got[3, 4].windows, got[3, 4].changed) == (1, 1, 0)
 
 
+def test_short_items_do_not_remove_documents_that_say_them(spark):
+    texts = ["I said yes to all of it", "Yes!", "yes, yes", "What is 7 times 8?", "She asked: what is 7 times 8? Nobody knew, and they went home", None, ""]
+    rows = [(i, t, "kept", "kept", "kept") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __key string, __same_text string, key string")
+    items = spark.createDataFrame([(1, "yes"), (2, "What is 7 times 8?")], "item_id bigint, text string")
+    covers = {(r.key, r.item_id): r.covers for r in templates.leaks(docs, items).collect()}
+    assert covers == {(0, 1): 1 / 7, (1, 1): 1.0, (2, 1): 0.5, (3, 2): 1.0, (4, 2): 5 / 13}
+    got = templates.clean(docs, items)
+    assert got.columns == docs.columns
+    assert sorted(got.collect(), key=lambda r: r.doc_id) == [r for r in docs.collect() if r.doc_id in (0, 4, 5, 6)]
+    assert templates.clean(docs, items.limit(0)).count() == len(texts)
+
+
 def test_items_of_one_id_are_judged_apart(spark):
     """Three texts under one id, or under none; a document that holds one of them whole is a leak."""
     three = [" ".join(f"{c}{w}" for w in "abcdefghijklmnop") for c in "xyz"]
