@@ -144,7 +144,7 @@ def templates(pages: DataFrame) -> DataFrame:
     overall = F.lit(named.agg((F.sum("bad") + 1) / (F.sum("labelled") + 2)).first()[0]).cast("double")
     purity = named.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
     purity = purity.select("host", "template", F.when(F.col("l") > 0, (F.col("b") + PRIOR * overall) / (F.col("l") + PRIOR)).alias("purity"))
-    return named.join(purity, ["host", "template"]).select("host", "path", "template", "purity")
+    return lookup(named, purity, ["host", "template"]).select("host", "path", "template", "purity")
 
 
 def judged(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]] = RULES, key: str = "page_id", url: str = "url") -> DataFrame:
@@ -158,7 +158,7 @@ def judged(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]] = R
     known = labels.groupBy("key").agg(F.max("bad").alias("bad")).filter("key IS NOT NULL")
     rows = parsed(pages.select(F.col(key).alias("key"), F.col(url).alias("url"))).drop("url")
     rows = rows.join(known, "key", "left")
-    found = rows.join(templates(rows), ["host", "path"])
+    found = lookup(rows, templates(rows), ["host", "path"])
     verdicts = F.create_map(*[F.lit(x) for rule in rules for x in rule]) if rules else F.lit(None).cast("map<string,string>")
     rule = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
