@@ -112,6 +112,12 @@ def png_prefixed(path: Column, kind: str) -> Column:
     return F.when(F.endswith(name, F.lit(".png")), name).otherwise(F.concat(name, F.lit(".png")))
 
 
+def kept_prefixed(path: Column, kind: str) -> Column:
+    """``{kind}_{name}``, followed by ``.png`` unless files of its extension can be written."""
+    name = prefixed(path, kind)
+    return F.when(F.lower(name).rlike(r"\.(png|bmp|jpg|jpeg)$"), name).otherwise(F.concat(name, F.lit(".png")))
+
+
 def prefixed(path: Column, kind: str) -> Column:
     """``{kind}_{name}``"""
     return F.concat(F.lit(kind + "_"), file_name(path))

@@ -125,12 +125,13 @@ def _unread(cut: DataFrame) -> DataFrame:
     return cut.filter("band < 0").select("image_id", F.lit("decode").alias("stage"), "message")
 
 
-def _named(bands: DataFrame, kind: str, channels: int, prefix: str) -> DataFrame:
+def _named(bands: DataFrame, kind: str, channels: int, prefix: str, keep_format: bool = False) -> DataFrame:
+    naming_rule = paths.kept_prefixed if keep_format else paths.png_prefixed
     return bands.drop("e0", "e1").withColumnRenamed("data", "content").withColumns(
         {
             "kind": F.lit(kind),
             "n_channels": F.lit(channels),
-            "name": paths.png_prefixed(F.col("rel_path"), prefix),
+            "name": naming_rule(F.col("rel_path"), prefix),
         }
     )
 
@@ -145,10 +146,12 @@ def resize_dataset(
     manifest: DataFrame | None = None,
     named_set: str | None = "images",
     as_files: bool = False,
+    keep_format: bool = False,
 ) -> DataFrame:
     """Resize a tree of images, or only the files that a manifest names; gives the table.
 
-    A manifest selects rows of the listing, before any file is opened.
+    A manifest selects rows of the listing, before any file is opened. With ``keep_format``
+    PNG, BMP and JPEG files stay what they are (JPEG at quality 95); all others become PNG.
     """
     named_set = named_set or "images"
     with keeping():
@@ -157,4 +160,4 @@ def resize_dataset(
             files = cut_lineage(naming.in_manifest(files, manifest))
         cut = cached(read_bands(spark, source, _identified(files), named_set, halo=0, carry=CARRY))
         bands = resize(cut.filter("band >= 0").drop("message"), height, width, method, carry=CARRY)
-        return _finish(spark, _named(bands, "resized", 3, "resized"), files, target, as_files, 1, _unread(cut))
+        return _finish(spark, _named(bands, "resized", 3, "resized", keep_format), files, target, as_files, 1, _unread(cut))

@@ -23,7 +23,7 @@ from bandsaw.operators.bands import BANDS, GEOMETRY_NAMES, HALO, band_count, car
 from bandsaw.operators.kernels import gray
 from bandsaw.session import shuffle_partitions
 from bandsaw.sources.headers import PNG_CHANNELS, header
-from bandsaw.sources.png import SIGNATURE
+from bandsaw.sources.formats import SIGNATURE
 from bandsaw.sources.store import opened
 
 EXTENSIONS = ("png", "bmp")

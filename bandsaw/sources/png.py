@@ -1,7 +1,8 @@
-"""PNG files as a Spark sink, committed in two phases.
+"""Image files as a Spark sink, committed in two phases.
 
 Rows are bands (image_id, rel_dir, name, width, height, n_channels, band, content).
-Each file is streamed by one task, band after band, so a task never holds an image.
+Each file is streamed by one task, band after band, so a task never holds an image. Its format is
+that of its name's extension: PNG, BMP or JPEG, else PNG.
 Tasks write drafts into a folder of their own beside the tree, and a table, which Spark
 commits as a whole, says which drafts count: those of lost, repeated and speculative tasks do not.
 Only then drafts take their names, and files of the tree's previous run that this one has not written
@@ -10,48 +11,19 @@ go. Until then the tree is as it was, whatever fails. Two images of one name are
 
 from __future__ import annotations
 
-import struct
 import uuid
-import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandsaw.session import qualified, shuffle_partitions
+from bandsaw.sources.formats import encoder_of
 from bandsaw.sources.store import create_folder, exists, opened, remove, rename
 
 ROWS = 10_000  # files whose names a task holds
 
-# The PNG signature and the colour type per channel count.
-SIGNATURE = b"\x89PNG\r\n\x1a\n"
-COLOUR_TYPE = {1: 0, 3: 2}
-
-
-def _chunk(kind: bytes, body: bytes) -> bytes:
-    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-
-
-def png_head(width: int, height: int, channels: int) -> bytes:
-    return SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, COLOUR_TYPE[channels], 0, 0, 0))
-
-
-def png_lines(content: bytes, width: int, channels: int) -> bytes:
-    """Scanlines with their filter byte; B, G, R becomes R, G, B."""
-    a = np.frombuffer(content, np.uint8).reshape(-1, width, channels)[..., ::-1]
-    lines = np.zeros((a.shape[0], 1 + width * channels), np.uint8)
-    lines[:, 1:] = a.reshape(a.shape[0], -1)
-    return lines.tobytes()
-
-
-def encode_png(content: bytes, width: int, height: int, channels: int) -> bytes:
-    """A whole PNG from one block of pixels."""
-    body = zlib.compress(png_lines(content, width, channels), 6)
-    return png_head(width, height, channels) + _chunk(b"IDAT", body) + _chunk(b"IEND", b"")
-
-
 MANIFEST = "rel string, draft string"
 
 
@@ -60,10 +32,10 @@ def _drafting(folder: str):
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
         store, base = opened(folder)
-        sink = packer = current = draft = None
+        sink = encoder = current = draft = None
 
         def closed() -> tuple[str, str]:
-            sink.write(_chunk(b"IDAT", packer.flush()) + _chunk(b"IEND", b""))
+            sink.write(encoder.end())
             sink.close()
             return current[0], draft
 
@@ -76,13 +48,12 @@ def _drafting(folder: str):
                             if current[0] == rel:
                                 raise ValueError(f"two images are to be written to {rel}")
                             yield closed()
-                        current, packer, draft = (rel, row["image_id"]), zlib.compressobj(6), f"{uuid.uuid4().hex}.png"
+                        current, draft = (rel, row["image_id"]), uuid.uuid4().hex
+                        encoder = encoder_of(row["name"])(row["width"], row["height"], row["n_channels"])
                         store.create_dir(base, recursive=True)
                         sink = store.open_output_stream(f"{base}/{draft}")
-                        sink.write(png_head(row["width"], row["height"], row["n_channels"]))
-                    body = packer.compress(png_lines(row["content"], row["width"], row["n_channels"]))
-                    if body:
-                        sink.write(_chunk(b"IDAT", body))
+                        sink.write(encoder.head)
+                    sink.write(encoder.rows(row["content"]))
             if current:
                 yield closed()
         finally:
@@ -150,7 +121,7 @@ def _done(df: DataFrame) -> None:
 
 
 def write_png_tree(rows: DataFrame, root: str) -> None:
-    """Write band rows as PNG files below ``root``, in place of what an earlier call has written there.
+    """Write band rows as image files (PNG unless the name says BMP or JPEG) below ``root``, in place of what an earlier call has written there.
 
     Other files of the tree stay, unless a new one has their name. A file's bands stay together: they are
     sorted by directory, name, image and band. ``{root}.manifest`` lists the files of the last run.

@@ -899,6 +899,37 @@ def decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.groupBy("name", "bands").agg(F.sum("total").alias("total"), F.sum("by_row").alias("by_row"))
 
 
+ENDINGS = "CASE image_id % 4 WHEN 0 THEN '.png' WHEN 1 THEN '.bmp' WHEN 2 THEN '.jpg' ELSE '.jpeg' END"
+
+
+@register(
+    "kept_formats",
+    f"""SELECT concat('resized_scan ', image_id, {ENDINGS}) AS name, 32 AS height, 32 AS width, true AS near,
+CASE WHEN image_id % 4 < 2 THEN CAST(sum(b + g + r) AS BIGINT) ELSE -1 END AS total FROM rz_job_px GROUP BY image_id""",
+)
+def kept_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG, BMP and JPEG files are resized and keep their format; near: within three values of the drawn image's resized pixels, on average; total: of the lossless ones."""
+    source, target = trees.new_folder(spark), trees.new_folder(spark)
+    drawn = fixture_images(spark, sf_dir)
+    rows = trees.file_rows(drawn).withColumn("name", F.concat(F.lit("scan "), F.col("image_id").cast("string"), F.expr(ENDINGS)))
+    write_png_tree(rows, source)
+    jobs.resize_dataset(spark, source, target, 32, 32, as_files=True, keep_format=True)
+    exact = resize.resize(to_bands(drawn), 32, 32).select("image_id", F.col("data").alias("wanted"))
+    made = read_images(spark, f"{target}/files").withColumn("name", paths.file_name(F.col("rel_path"))).drop("image_id")
+    made = made.withColumn("image_id", F.regexp_extract("name", r" (\d+)\.", 1).cast("bigint"))
+
+    def compared(row: dict) -> dict:
+        import numpy as np
+
+        a, b = (np.frombuffer(row[c], np.uint8).astype(int) for c in ("data", "wanted"))
+        whole = row["name"].endswith((".png", ".bmp"))
+        out = {"name": row["name"], "height": row["height"], "width": row["width"], "near": bool(np.abs(a - b).mean() <= 3)}
+        return {k: [v] for k, v in (out | {"total": int(a.sum()) if whole else -1}).items()}
+
+    pairs = made.join(exact, "image_id").select("name", "height", "width", "data", "wanted")
+    return map_rows(pairs, compared, "name string, height int, width int, near boolean, total bigint")
+
+
 @register(
     "rerun_files",
     "SELECT concat('scan ', image_id, '.png') AS name, CAST(sum(255 - b + 255 - g + 255 - r) AS BIGINT) AS total FROM px WHERE image_id % 3 <> 0 GROUP BY image_id",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from bandsaw.operators.bands import map_rows
 from bandsaw.session import qualified, shared_dir
-from bandsaw.sources.png import SIGNATURE, encode_png, write_png_tree
+from bandsaw.sources.formats import SIGNATURE, encode_png
+from bandsaw.sources.png import write_png_tree
 from bandsaw.sources.store import opened
 from oracle.images import category_of, fixture_images, fixture_masks
 

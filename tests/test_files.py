@@ -13,7 +13,8 @@ from bandsaw.sources.artifacts import ingest_images, status_summary
 from bandsaw.sources.files import append_manifest, list_files, read_files, read_manifest
 from bandsaw.sources.headers import header, info
 from bandsaw.sources.images import read_images, read_labelled
-from bandsaw.sources.png import encode_png, write_png_tree
+from bandsaw.sources.formats import encode_png
+from bandsaw.sources.png import write_png_tree
 from tests.helpers import rebuild
 
 RNG = np.random.default_rng(3)
