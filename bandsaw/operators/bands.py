@@ -159,14 +159,20 @@ def to_bands(
     halo: int = HALO,
     as_gray: bool = False,
     carry: tuple[str, ...] = (),
+    several: bool | None = None,
 ) -> DataFrame:
     """Cut images into bands where they are decoded, without any shuffle.
 
     Channels are normalised on the way: gray is replicated to B, G, R and alpha
     is dropped. ``as_gray`` gives one channel instead (mask files). ``carry``
     names string columns of ``images`` to repeat on every band, which saves a
-    join of pixel data later.
+    join of pixel data later. ``several`` keeps only the images that are cut into
+    several bands, or only the others; their pixels alone go to the cutting.
     """
+    if several is not None:
+        per_band = F.lit(rows) if rows else F.greatest(F.lit(64), F.floor(F.lit(PIXEL_BUDGET) / F.col("width")))
+        more = F.col("height") >= 2 * per_band
+        images = images.filter(more if several else ~more)
 
     def cut(row: dict) -> dict:
         channels = row["n_channels"]

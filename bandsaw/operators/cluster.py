@@ -40,6 +40,7 @@ MOST_CLUSTERS = 256
 ROUNDS_PER_JOB = 2
 # An image with at most this many colours is one small group.
 LOCAL_COLOURS = 1 << 16
+STARTS_AT_ONCE = 1 << 21  # values of all starts that one image clusters side by side
 # Modulus and multipliers of the repeatable draw for k-means++.
 DRAW_MODULUS, DRAW_FACTOR, DRAW_FOLD = 2147483647, 48271, 65521
 
@@ -272,58 +273,100 @@ def kmeans_rounds(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: i
     return best
 
 
-def _cluster_one(packed: np.ndarray, w: np.ndarray, k: int, max_iter: int, n_init: int, seed: int):
-    """The same clustering for the colours of one image, all starts side by side."""
-    order = np.argsort(packed)
-    packed, w = packed[order], w[order]
-    colours = np.stack([packed >> 16, (packed >> 8) & 255, packed & 255]).astype(float)
-    n = packed.size
-    spots = np.arange(n) if n < k else np.arange(k) * (n - 1) // max(k - 1, 1)
-    centres = np.full((n_init, k, 3), np.nan)
-    centres[0, : spots.size] = colours[:, spots].T
-    start = np.arange(1, n_init)[:, None]
-    weight = np.broadcast_to(w.astype(float), (n_init - 1, n))
-
-    def distance(points: np.ndarray) -> np.ndarray:
-        # points (..., 3) against all colours -> (..., n)
-        d = [(colours[j] - points[..., j, None]) ** 2 for j in range(3)]
-        return d[0] + d[1] + d[2]
-
-    for i in range(k if n_init > 1 else 0):
+def _race_starts(packed: np.ndarray, colours: np.ndarray, w: np.ndarray, k: int, start: np.ndarray, seed: int) -> np.ndarray:
+    """k-means++ centres of the given starts; missing ones are NaN."""
+    centres = np.full((start.size, k, 3), np.nan)
+    nearest_so_far = np.full((start.size, packed.size), np.inf)
+    weight = np.broadcast_to(w.astype(float), nearest_so_far.shape)
+    for i in range(k):
         if i:
-            nearest_so_far = np.nanmin(distance(centres[1:, :i]), axis=1)
+            np.fmin(nearest_so_far, _distances(colours, centres[:, i - 1]), out=nearest_so_far)
             weight = w * nearest_so_far
         with np.errstate(divide="ignore"):
-            race = np.where(weight > 0, _draw(packed, start, i, seed) / weight, np.inf)
+            race = np.where(weight > 0, _draw(packed, start[:, None], i, seed) / weight, np.inf)
         found = race.argmin(axis=1)
         some = np.isfinite(race.min(axis=1))
-        centres[1:, i] = np.where(some[:, None], colours[:, found].T, np.nan)
+        centres[:, i] = np.where(some[:, None], colours[:, found].T, np.nan)
+    return centres
 
+
+def _distances(colours: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances of points (..., 3) to all colours (3, n)."""
+    d = [(colours[j] - points[..., j, None]) ** 2 for j in range(3)]
+    return d[0] + d[1] + d[2]
+
+
+def _assigned(colours: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Nearest centre per start and colour, one centre after the other; missing centres lose."""
+    least = np.full((len(centres), colours.shape[1]), np.inf)
+    label = np.zeros(least.shape, np.int64)
+    for i in range(centres.shape[1]):
+        d = _distances(colours, centres[:, i])
+        closer = d < least
+        label[closer] = i
+        np.copyto(least, d, where=closer)
+    return label
+
+
+def _cluster_starts(packed: np.ndarray, w: np.ndarray, k: int, max_iter: int, start: np.ndarray, seed: int):
+    """The best of some starts, side by side: (gain, centres, converged)."""
+    colours = np.stack([packed >> 16, (packed >> 8) & 255, packed & 255]).astype(float)
+    n, n_init = packed.size, start.size
+    centres = np.full((n_init, k, 3), np.nan)
+    drawn = start > 0
+    if drawn.any():
+        centres[drawn] = _race_starts(packed, colours, w, k, start[drawn], seed)
+    if not drawn.all():
+        spots = np.arange(n) if n < k else np.arange(k) * (n - 1) // max(k - 1, 1)
+        centres[~drawn, : spots.size] = colours[:, spots].T
     offset = np.arange(n_init)[:, None] * k
+    many = np.tile(w, n_init)
+    heavy = [np.tile(w * c, n_init) for c in colours]
+
+    def totals() -> tuple[np.ndarray, np.ndarray]:
+        cell = (_assigned(colours, centres) + offset).ravel()
+        size = np.bincount(cell, many, n_init * k)
+        return size, np.stack([np.bincount(cell, h, n_init * k) for h in heavy], axis=-1)
+
     converged = np.zeros(n_init, np.bool_)
     for _ in range(max_iter):
-        d = np.nan_to_num(distance(centres), nan=np.inf, posinf=np.inf)
-        cell = (d.argmin(axis=1) + offset).ravel()
-        size = np.bincount(cell, np.tile(w, n_init), n_init * k)
-        total = np.stack([np.bincount(cell, np.tile(w * c, n_init), n_init * k) for c in colours], axis=-1)
+        size, total = totals()
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = np.where(size[:, None] > 0, total / size[:, None], centres.reshape(-1, 3))
         mean = mean.reshape(centres.shape)
-        same = (mean == centres) | (np.isnan(mean) & np.isnan(centres))
-        converged = same.all(axis=(1, 2))
+        converged = ((mean == centres) | (np.isnan(mean) & np.isnan(centres))).all(axis=(1, 2))
         centres = mean
         if converged.all():
             break
-    d = np.nan_to_num(distance(centres), nan=np.inf, posinf=np.inf)
-    cell = (d.argmin(axis=1) + offset).ravel()
-    size = np.bincount(cell, np.tile(w, n_init), n_init * k).astype(np.int64).reshape(n_init, k).tolist()
-    total = np.stack([np.bincount(cell, np.tile(w * c, n_init), n_init * k) for c in colours], axis=-1)
+    size, total = totals()
+    size = size.astype(np.int64).reshape(n_init, k).tolist()
     total = total.astype(np.int64).reshape(n_init, k, 3).tolist()
     gain = [sum(1024 * s * s // m for m, t in zip(*x, strict=True) if m for s in t) for x in zip(size, total, strict=True)]
     best = gain.index(max(gain))
-    rows = centres[best]
-    rows = rows[np.lexsort(rows.T[::-1])]  # missing centres sort last
-    return rows, bool(converged[best])
+    return gain[best], centres[best], bool(converged[best])
+
+
+def cluster_colours(packed: np.ndarray, w: np.ndarray, k: int = 3, max_iter: int = 300, n_init: int = 20, seed: int = 42) -> tuple[np.ndarray, bool]:
+    """The same clustering for the distinct colours of one image: (centres by value, missing ones NaN; converged).
+
+    As many starts go side by side as ``STARTS_AT_ONCE`` values allow, so that memory grows with the colours alone.
+    """
+    order = np.argsort(packed)
+    packed, w = packed[order], w[order]
+    together = max(1, STARTS_AT_ONCE // max(packed.size, 1))
+    best = None
+    for a in range(0, n_init, together):
+        found = _cluster_starts(packed, w, k, max_iter, np.arange(a, min(a + together, n_init)), seed)
+        if best is None or found[0] > best[0]:
+            best = found
+    rows = best[1]
+    return rows[np.lexsort(rows.T[::-1])], best[2]  # missing centres sort last
+
+
+def best_of(centres: np.ndarray) -> int:
+    """``with_best`` for the centres of one image."""
+    mean = (centres[:, 0] + centres[:, 1] + centres[:, 2]) / 3.0
+    return int(np.where(np.isnan(mean), -1.0, mean).argmax())
 
 
 def kmeans_groups(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: int = 20, seed: int = 42) -> DataFrame:
@@ -331,7 +374,7 @@ def kmeans_groups(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: i
     names = [n for i in range(k) for n in _names(i)]
 
     def cluster(row: dict) -> dict:
-        centres, converged = _cluster_one(np.array(row["packed"]), np.array(row["w"]), k, max_iter, n_init, seed)
+        centres, converged = cluster_colours(np.array(row["packed"]), np.array(row["w"]), k, max_iter, n_init, seed)
         values = [None if np.isnan(v) else float(v) for v in centres.ravel()]
         return {"image_id": [row["image_id"]]} | {n: [v] for n, v in zip(names, values)} | {"converged": [converged]}
 
@@ -344,6 +387,11 @@ def kmeans_groups(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: i
     return map_rows(packed, cluster, schema)
 
 
+def check_clusters(k: int) -> None:
+    if not 2 <= k <= MOST_CLUSTERS:
+        raise ValueError(f"k must be 2 to {MOST_CLUSTERS}")
+
+
 def kmeans(
     colours: DataFrame,
     k: int = 3,
@@ -353,8 +401,7 @@ def kmeans(
     local_colours: int = LOCAL_COLOURS,
 ) -> DataFrame:
     """Centres of every image, one row per image: image_id, k{i}_{j}, converged."""
-    if not 2 <= k <= MOST_CLUSTERS:
-        raise ValueError(f"k must be 2 to {MOST_CLUSTERS}")
+    check_clusters(k)
     sizes = colours.groupBy("image_id").agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > local_colours).select("image_id")
     settings = (k, max_iter, n_init, seed)

@@ -59,8 +59,8 @@ def segment_dataset(
     with keeping():
         ingest_images(spark, source, f"{target}/originals", named_set)
         files = list_files(spark, source, named_set=named_set)
-        cut = read_bands(spark, source, _identified(files), named_set, rows=band_rows, carry=CARRY)
-        result = segment_bands(cut, **options)
+        cut = [read_bands(spark, source, _identified(files), named_set, rows=band_rows, carry=CARRY, several=several) for several in (False, True)]
+        result = segment_bands(*cut, **options)
         _finish(spark, result.artifacts(), files, target, as_files, len(KINDS), result.errors)
     return spark.read.parquet(f"{target}/status")
 
@@ -78,13 +78,14 @@ def evaluate_dataset(
     image_files = _identified(files.filter(~is_mask))
     mask_files = files.filter(is_mask).withColumn("image_id", F.xxhash64(mask_owner("rel_path")))
     with keeping():
-        result = segment_bands(read_bands(spark, source, image_files, named_set, only="images", rows=band_rows), **options)
+        cut = [read_bands(spark, source, image_files, named_set, only="images", rows=band_rows, several=several) for several in (False, True)]
+        result = segment_bands(*cut, **options)
         truth = cached(read_bands(spark, source, mask_files, named_set, only="masks", rows=band_rows, as_gray=True))
         whole = truth.filter("band >= 0").drop("message")
         # a row per image, computed while the caches are there
         scored = cut_lineage(score(confusion_of_masks(result.masks, whole, band_rows, result.done)))
         unread = truth.filter("band < 0").select("image_id", "message")
-        errors, unread = cut_lineage(result.errors), cut_lineage(unread)
+        errors, unread = cut_lineage(result.errors.unionByName(result.unmasked)), cut_lineage(unread)
     scored = scored.join(image_files.select("image_id", "category"), "image_id")
     if target:
         scored.write.mode("overwrite").parquet(f"{target}/scores")

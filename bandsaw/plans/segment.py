@@ -90,8 +90,8 @@ ERROR_KIND = "error"
 class StageFailed(Exception):
     """A stage could not do its work on one image."""
 
-    def __init__(self, stage: str, reason: Exception):
-        super().__init__(stage, f"{type(reason).__name__}: {reason}")
+    def __init__(self, stage: str, reason: Exception | None = None, message: str | None = None):
+        super().__init__(stage, message if reason is None else f"{type(reason).__name__}: {reason}")
         self.stage, self.message = self.args
 
 
@@ -172,6 +172,46 @@ def _select(row: dict, preprocess: bool, k: int, inspect: Inspect | None = None)
         return out, pixels, labels, pixels * (labels == row["best"])[..., None]
 
 
+@dataclass(frozen=True)
+class _Clustering:
+    """How the images of one band are clustered in the task that decodes them."""
+
+    k: int
+    preprocess: bool
+    cluster_index: int | None
+    n_init: int
+    max_iter: int
+    inspect: Inspect | None
+
+    def centres(self, row: dict) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, bool, int]:
+        """Geometry, original and prepared pixels, centres (missing ones NaN), whether they converged, the chosen one."""
+        if row.get("message") is not None:
+            raise StageFailed("decode", message=row["message"])
+        with _at("preprocess", row, self.inspect):
+            out, pixels, prepared = _prepare({**row, "roi_holes": None}, self.preprocess)
+            values, w = lab_histogram(trim(out, prepared))
+        with _at("cluster", row, self.inspect):
+            values = values.astype(np.int64)
+            packed, same = np.unique(values[:, 0] << 16 | values[:, 1] << 8 | values[:, 2], return_inverse=True)
+            weights = np.bincount(same, w, packed.size).astype(np.int64)
+            centres, converged = cluster.cluster_colours(packed, weights, self.k, self.max_iter, self.n_init)
+            best = cluster.best_of(centres) if self.cluster_index is None else self.cluster_index
+        return out, pixels, prepared, centres, converged, best
+
+    def select(self, row: dict) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What ``_select`` gives, and the centres, missing ones infinite."""
+        out, pixels, prepared, centres, _, best = self.centres(row)
+        with _at("cluster", row, None):
+            centres = np.where(np.isnan(centres), np.inf, centres)
+            labels = lab_labels(prepared, centres)
+            return out, pixels, labels, pixels * (labels == best)[..., None], centres
+
+    def centre_row(self, row: dict) -> dict:
+        _, _, _, centres, converged, best = self.centres(row)
+        values = {f"k{i}_{j}": [None if np.isnan(v) else float(v)] for (i, j), v in np.ndenumerate(centres)}
+        return {"image_id": [row["image_id"]]} | values | {"converged": [converged], "best": [best]}
+
+
 def clean_mask(mask: np.ndarray, top: bool, bottom: bool) -> np.ndarray:
     """Opening, then closing, of a 0/255 mask; uses eight halo rows."""
     for step in (erode5, dilate5, dilate5, erode5):
@@ -234,12 +274,15 @@ class Segmentation:
 
     ``bands``    geometry (core rows), original, segmented, selected, mask, and
                  the category and rel_path of the image where it has them
-    ``masks``    the cleaned masks alone, as bands
-    ``centres``  image_id, k{i}_{j}, converged, best
-    ``done``     image_id, height, width, bands of the images that were segmented
-    ``errors``   image_id, stage, message of the images that failed before their result was made
-
-    Bands whose result failed have a ``stage`` and a ``message`` and no pixels.
+    ``masks``    the cleaned masks alone, as bands, spread by (image, band) and kept once something reads them
+    ``centres``  image_id, k{i}_{j}, converged, best; made again when read, for images of one band
+    ``done``     image_id, height, width, bands of the images that have a mask
+    ``errors``   image_id, stage, message of the images of several bands that failed before their result was made,
+                 and of files without a readable header
+    ``unmasked`` image_id, stage, message of the images of one band that have no mask
+
+    Bands whose result failed have a ``stage`` and a ``message`` and no pixels; so have files of one
+    band with damaged pixels.
     """
 
     bands: DataFrame
@@ -248,6 +291,7 @@ class Segmentation:
     done: DataFrame
     held: list[DataFrame]
     errors: DataFrame
+    unmasked: DataFrame
 
     def artifacts(self) -> DataFrame:
         """Four rows per band, one per kind; a band that failed has one of the kind ``error``."""
@@ -283,11 +327,13 @@ def errors_in(artifacts: DataFrame) -> DataFrame:
 def segment(images: DataFrame, band_rows: int | None = None, **options) -> Segmentation:
     """Segment every image of ``images`` (image_id, height, width, n_channels, data); options as for ``segment_bands``."""
     carry = tuple(c for c in CARRY if c in images.columns)
-    return segment_bands(to_bands(valid(images), band_rows, carry=carry), **options)
+    whole, parts = (to_bands(valid(images), band_rows, carry=carry, several=several) for several in (False, True))
+    return segment_bands(whole, parts, **options)
 
 
 def segment_bands(
-    cut: DataFrame,
+    whole: DataFrame,
+    parts: DataFrame,
     k: int = 3,
     preprocess: bool = True,
     cluster_index: int | None = None,
@@ -298,65 +344,36 @@ def segment_bands(
     partitions: int | None = None,
     inspect: Inspect | None = None,
 ) -> Segmentation:
-    """Segment images that are cut into bands; rows with a ``message`` tell of files that could not be decoded.
+    """Segment images of one band (``whole``) and bands of images of several (``parts``), of the same columns;
+    rows with a ``message`` tell of files that could not be decoded.
 
-    Pixel bytes are shuffled once, on (image, band), and kept; everything that
-    follows reads those bands where they are. Only small tables move: hole lists
-    of images with several bands, colour histograms and centres. Region of
-    interest, blur and colour conversion run once for the histogram and once
-    more for the result, which is cheaper than storing them. ``segmented`` holds
-    truncated centres in L*a*b*, or converted back with ``as_bgr``.
+    An image of one band is bounded, so everything happens in the task that decodes it, k-means included: its
+    pixels are neither shuffled nor kept. Bands of larger images are shuffled once, on (image, band),
+    and kept; everything that follows reads them where they are. Only small tables move: hole lists,
+    colour histograms and centres. Region of interest, blur and colour conversion run once for the
+    histogram and once more for the result, which is cheaper than storing them. Both ways give the same
+    results. ``segmented`` holds truncated centres in L*a*b*, or converted back with ``as_bgr``.
 
     An image that makes a step raise does not stop the others: it is in ``errors``
     or, where its result was to be made, a row with ``message``. ``inspect`` may refuse images: it is
     called with the stages preprocess, cluster, postprocess and write, and a row's geometry and data.
     """
-    carry = tuple(c for c in CARRY if c in cut.columns)
-    kept = cached(spread(cut, partitions))
-    held, errors = kept, cut.sparkSession.createDataFrame([], ERRORS)
-    if "message" in cut.columns:
-        held = kept.filter("band >= 0").drop("message")
-        errors = errors.unionByName(kept.filter("band < 0").select("image_id", F.lit("decode").alias("stage"), "message"))
-    seams = has_seams(held)
-    roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if seams and preprocess else None
-    bands = with_choice(held, roi_holes, "roi_holes")
-    colours = cached(_lab_colours(bands, preprocess, inspect, _uncounted))
-    prepared, unprepared = _split_failures(bands, colours, preprocess, inspect)
-    if unprepared is not None:
-        errors = errors.unionByName(unprepared.dropDuplicates(["image_id"]))
-    centres = cluster.with_best(cluster.kmeans(prepared, k, max_iter, n_init), k)
-    if cluster_index is not None:
-        centres = centres.withColumn("best", F.lit(cluster_index))
-    centres = cached(centres)
-    placed = with_per_image(bands, centres.drop("converged"))
+    cluster.check_clusters(k)
+    carry = tuple(c for c in CARRY if c in whole.columns)
+    way = _Clustering(k, preprocess, cluster_index, n_init, max_iter, inspect)
+    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary, stage string, message string" + carried(carry)
+    mask_schema = BANDS + ", stage string, message string"
 
-    def close(row: dict) -> dict:
-        out, _, _, selected = _select(row, preprocess, k, inspect)
+    def mask_of(row: dict, out: dict, selected: np.ndarray) -> np.ndarray:
         with _at("postprocess", row, inspect):
-            out, mask = _closed(out, selected)
-        return geometry(out) | {"data": [mask.tobytes()], "message": [None]}
-
-    def unclosed(row: dict, reason: Exception) -> dict:
-        return geometry(row) | {"data": [b""], "message": [str(reason)]}
-
-    holes = large = closed = None
-    if seams:
-        closed = spread(map_rows(placed.filter("bands > 1"), close, BANDS + ", message string", unclosed), partitions)
-        whole = cached(closed)
-        closed = whole.filter("message IS NULL").drop("message")
-        bad = whole.filter("message IS NOT NULL").select("image_id").distinct()
-        if not bad.isEmpty():  # their other bands have no result either
-            closed = closed.join(bad, "image_id", "left_anti")
-        holes, large = _across_seams(closed, min_area)
+            narrow, closed = _closed(out, selected)
+            return _final(narrow, closed, min_area)
 
-    def finish(row: dict) -> dict:
-        out, pixels, labels, selected = _select(row, preprocess, k, inspect)
-        painted = np.floor(_centres(row, k)).clip(0, 255).astype(np.uint8)[trim(out, labels)]
+    def results(row: dict, out: dict, pixels: np.ndarray, labels: np.ndarray, selected: np.ndarray, centres: np.ndarray) -> dict:
+        painted = np.floor(centres).clip(0, 255).astype(np.uint8)[trim(out, labels)]
         if as_bgr:
             painted = lab_to_bgr(painted)
-        with _at("postprocess", row, inspect):
-            narrow, closed = _closed(out, selected)
-            mask = _final(narrow, closed, min_area)
+        mask = mask_of(row, out, selected)
         with _at("write", row, inspect):
             return geometry(row, e0=row["y0"], e1=row["y1"]) | {
                 "original": [trim(out, pixels).tobytes()],
@@ -368,24 +385,97 @@ def segment_bands(
                 **{c: [row[c]] for c in carry},
             }
 
-    def unfinished(row: dict, reason: Exception) -> dict:
+    def failed(row: dict, reason: Exception) -> dict:
         stage, message = _reason(reason)
         nothing = dict.fromkeys(("original", "segmented", "selected", "mask"), [None])
         return geometry(row, e0=row["y0"], e1=row["y1"]) | nothing | {"stage": [stage], "message": [message], **{c: [row[c]] for c in carry}}
 
-    def finish_mask(row: dict) -> dict:
+    def unlisted(row: dict) -> dict:
+        return {**row, "holes": None, "large": None}
+
+    def finish_whole(row: dict) -> dict:
+        row = unlisted(row)
+        return results(row, *way.select(row))
+
+    def mask_whole(row: dict) -> dict:
+        row = unlisted(row)
+        out, _, _, selected, _ = way.select(row)
+        mask = mask_of(row, out, selected)
+        return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()], "stage": [None], "message": [None]}
+
+    def unmasked(row: dict, reason: Exception) -> dict:
+        stage, message = _reason(reason)
+        return geometry(row) | {"data": [None], "stage": [stage], "message": [message]}
+
+    result = map_rows(whole, finish_whole, schema, failed)
+    masks = map_rows(whole, mask_whole, mask_schema, unmasked)
+    names = ", ".join(f"k{i}_{j} double" for i in range(k) for j in range(3))
+    centres = map_rows(whole, way.centre_row, f"image_id bigint, {names}, converged boolean, best int", lambda row, reason: None)
+
+    kept = cached(spread(parts, partitions))
+    errors = whole.sparkSession.createDataFrame([], ERRORS)
+    released = [kept]
+    if kept.count():
+        large_images = _segment_parts(kept, way, min_area, partitions, results, failed, schema)
+        result = result.unionByName(large_images.bands)
+        nothing = F.lit(None).cast("string")
+        masks = masks.unionByName(large_images.masks.withColumns({"stage": nothing, "message": nothing}))
+        centres = centres.unionByName(large_images.centres)
+        errors = large_images.errors
+        released += large_images.held
+    masks = cached(spread(masks, partitions))
+    made, told = masks.filter("message IS NULL"), masks.filter("message IS NOT NULL")
+    done = made.filter("band = 0").select("image_id", "height", "width", "bands")
+    told = told.select("image_id", "stage", "message")
+    return Segmentation(result, made.drop("stage", "message"), centres, done, [*released, masks], errors, told)
+
+
+@dataclass
+class _Parts:
+    bands: DataFrame
+    masks: DataFrame
+    centres: DataFrame
+    held: list[DataFrame]
+    errors: DataFrame
+
+
+def _segment_parts(kept: DataFrame, way: _Clustering, min_area: float, partitions: int | None, results, failed, schema: str) -> _Parts:
+    """Segment the bands of images of several bands; ``kept`` is kept and spread."""
+    k, preprocess, inspect = way.k, way.preprocess, way.inspect
+    held, errors = kept, kept.sparkSession.createDataFrame([], ERRORS)
+    if "message" in kept.columns:
+        held = kept.filter("band >= 0").drop("message")
+        errors = errors.unionByName(kept.filter("band < 0").select("image_id", F.lit("decode").alias("stage"), "message"))
+    roi_holes = seam_holes(threshold(held, ROI_LEVEL)) if preprocess else None
+    bands = with_choice(held, roi_holes, "roi_holes")
+    colours = cached(_lab_colours(bands, preprocess, inspect, _uncounted))
+    prepared, unprepared = _split_failures(bands, colours, preprocess, inspect)
+    if unprepared is not None:
+        errors = errors.unionByName(unprepared.dropDuplicates(["image_id"]))
+    centres = cluster.with_best(cluster.kmeans(prepared, k, way.max_iter, way.n_init), k)
+    if way.cluster_index is not None:
+        centres = centres.withColumn("best", F.lit(way.cluster_index))
+    centres = cached(centres)
+    placed = with_per_image(bands, centres.drop("converged"))
+
+    def close(row: dict) -> dict:
         out, _, _, selected = _select(row, preprocess, k, inspect)
         with _at("postprocess", row, inspect):
-            narrow, closed = _closed(out, selected)
-            mask = _final(narrow, closed, min_area)
-        return geometry(row, e0=row["y0"], e1=row["y1"]) | {"data": [mask.tobytes()]}
+            out, mask = _closed(out, selected)
+        return geometry(out) | {"data": [mask.tobytes()], "message": [None]}
 
-    schema = GEOMETRY + ", original binary, segmented binary, selected binary, mask binary, stage string, message string" + carried(carry)
-    result = map_rows(_with_seams(placed, holes, large), finish, schema, unfinished)
-    masks = map_rows(_with_seams(placed.filter("bands = 1"), None, None), finish_mask, BANDS, lambda row, reason: None)
-    released = [kept, colours, centres]
-    if closed is not None:
-        masks = masks.unionByName(_finish(closed, holes, large, min_area))
-        released.append(whole)
-    done = held.filter("band = 0").select("image_id", "height", "width", "bands")
-    return Segmentation(result, masks, centres, done, released, errors)
+    def unclosed(row: dict, reason: Exception) -> dict:
+        return geometry(row) | {"data": [b""], "message": [str(reason)]}
+
+    whole = cached(spread(map_rows(placed, close, BANDS + ", message string", unclosed), partitions))
+    closed = whole.filter("message IS NULL").drop("message")
+    bad = whole.filter("message IS NOT NULL").select("image_id").distinct()
+    if not bad.isEmpty():  # their other bands have no result either
+        closed = closed.join(bad, "image_id", "left_anti")
+    holes, large = _across_seams(closed, min_area)
+
+    def finish(row: dict) -> dict:
+        return results(row, *_select(row, preprocess, k, inspect), _centres(row, k))
+
+    result = map_rows(_with_seams(placed, holes, large), finish, schema, failed)
+    return _Parts(result, _finish(closed, holes, large, min_area), centres, [colours, centres, whole], errors)

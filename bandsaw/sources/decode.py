@@ -258,13 +258,16 @@ def cut_bands(image: PngRows | BmpRows, rows: int | None, halo: int, as_gray: bo
 
 
 def decode_bands(
-    files: DataFrame, rows: int | None = None, halo: int = HALO, as_gray: bool = False, carry: tuple[str, ...] = ()
-) -> DataFrame:
+    files: DataFrame, rows: int | None = None, halo: int = HALO, as_gray: bool = False, carry: tuple[str, ...] = (),
+    several: bool | None = None,
+) -> DataFrame:
     """Bands of the files (image_id, path, length, and ``carry``), with ``message``.
 
     ``message`` is null but for files that cannot be decoded: they have one row, with
     ``band`` -1, no data and the reason. A file of several bands is read through once before, so that a
-    damaged one gives no band. Tasks get files of about ``TASK_BYTES``.
+    damaged one gives no band. Tasks get files of about ``TASK_BYTES``. ``several`` keeps only the images
+    that are cut into several bands and the files without a readable header, or only the others: what it
+    leaves out is read up to its header.
     """
     schema = T.StructType.fromDDL(BANDS + carried(carry) + ", message string")
     arrow = to_arrow_schema(schema)
@@ -272,8 +275,16 @@ def decode_bands(
     def bands_of(path: str) -> Iterator[dict]:
         store, name = opened(path)
         with store.open_input_file(name) as source:
-            image = image_rows(source)
-            if band_count(image.height, image.width, rows, halo) == 1:
+            try:
+                image = image_rows(source)
+            except (ValueError, zlib.error):
+                if several is False:  # told on the other side
+                    return
+                raise
+            more = band_count(image.height, image.width, rows, halo) > 1
+            if several is not None and more != several:
+                return
+            if not more:
                 yield from list(cut_bands(image, rows, halo, as_gray))
                 return
             image.check()

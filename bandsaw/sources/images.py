@@ -97,6 +97,7 @@ def read_bands(
     halo: int = HALO,
     as_gray: bool = False,
     carry: tuple[str, ...] = (),
+    several: bool | None = None,
 ) -> DataFrame:
     """Bands of the files of a listing (image_id, path, length, rel_path, category), with ``message`` for those that fail.
 
@@ -105,11 +106,12 @@ def read_bands(
     extensions, by name if the listing has at most ``MOST_NAMES`` of them, and its rows are joined to the
     listing. Such a file that would overrun the decoder is not given to it; more than
     ``MOST_NAMES`` of these are an error. A store that tasks cannot open is left to that source altogether.
+    ``several`` keeps only the images of several bands and files without a readable header, or only the others.
     """
     if reachable(qualified(spark, root)):
         by_row = files.filter(is_rowwise(F.col("path")))
         others, but = files.filter(~is_rowwise(F.col("path")) & paths.has_extension(F.col("path"), named_set)), EXTENSIONS
-        made = decode_bands(by_row, rows, halo, as_gray, carry)
+        made = decode_bands(by_row, rows, halo, as_gray, carry, several)
         if others.isEmpty() or not set(paths.EXTENSIONS[named_set]) - set(but):
             return made
         heads = with_headers(others.select("path", "length")).filter(problem() == TOO_LARGE).select("path")
@@ -122,7 +124,7 @@ def read_bands(
     names = named if len(named) <= MOST_NAMES else None
     images = read_images(spark, root, named_set, recursive, only, names, large, but)
     images = images.filter(decoded()).drop("image_id", "path")
-    cut = to_bands(images.withColumn("image_id", F.xxhash64("rel_path")), rows, halo, as_gray, carry)
+    cut = to_bands(images.withColumn("image_id", F.xxhash64("rel_path")), rows, halo, as_gray, carry, several)
     # the listing decides, and knows the id under which a file is wanted
     wanted = others.select(F.xxhash64("rel_path").alias("own_id"), "image_id").hint("shuffle_hash")
     cut = cut.withColumnRenamed("image_id", "own_id").join(wanted, "own_id").drop("own_id")
