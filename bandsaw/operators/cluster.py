@@ -193,14 +193,14 @@ def _cluster_sums(k: int) -> list[Column]:
 
 
 def _gain(k: int) -> Column:
-    """floor(1024 s^2 / w) summed over clusters and channels, in 64 bits: s = a w + b with b < w (below 3e9 pixels)."""
-    total = F.lit(0).cast("bigint")
+    """floor(1024 s^2 / w) summed over clusters and channels, in decimals: s = a w + b with b < w (below 1e17 pixels)."""
+    total = F.lit(0).cast("decimal(38,0)")
     for i in range(k):
         for j in range(3):
-            w, s = f"w{i}", f"s{i}_{j}"
+            w, s = (f"CAST({c} AS DECIMAL(38,0))" for c in (f"w{i}", f"s{i}_{j}"))
             a, b = f"({s} div {w})", f"({s} % {w})"
             term = f"1024 * ({a} * {a} * {w} + 2 * {a} * {b}) + 1024 * ({b} * {b} div {w}) + (1024 * ({b} * {b} % {w})) div {w}"
-            total = total + F.when(F.col(w) > 0, F.expr(term)).otherwise(F.lit(0))
+            total = (total + F.when(F.col(f"w{i}") > 0, F.expr(term)).otherwise(F.lit(0))).cast("decimal(38,0)")
     return total
 
 

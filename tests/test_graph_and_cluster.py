@@ -157,3 +157,24 @@ def test_graphs_on_both_sides_of_the_limit(spark):
     df = spark.createDataFrame(edges, "image_id long, u long, v long")
     for limit in (39, 40, 41):
         assert {tuple(r) for r in connected_components(df, local_edges=limit).collect()} == components_of(edges)
+
+
+def test_starts_in_groups_give_the_same_centres(monkeypatch):
+    """How many starts go side by side does not matter, nor do colours beyond the number of one group."""
+    rng = np.random.default_rng(3)
+    packed = np.unique(rng.integers(0, 1 << 24, 500))
+    w = rng.integers(1, 9, packed.size)
+    together = cluster.cluster_colours(packed, w, 4)
+    for at_once in (1, 3 * packed.size, 7 * packed.size):
+        monkeypatch.setattr(cluster, "STARTS_AT_ONCE", at_once)
+        centres, converged = cluster.cluster_colours(packed[::-1], w[::-1], 4)
+        assert (centres == together[0]).all() and converged == together[1]
+
+
+def test_gains_of_very_large_tables(spark):
+    """Sums beyond 64 bits, against Python's integers; a cluster without rows adds nothing."""
+    rows = [(10**13 + 7, 255 * 10**13 + 1, 3 * 10**12 + 5, 0), (5, 1, 2, 3), (10**9, 7, 10**10, 123456789)]
+    for w, *s in rows:
+        names = [f"{c} bigint" for i in range(2) for c in (f"w{i}", *[f"s{i}_{j}" for j in range(3)])]
+        df = spark.createDataFrame([(w, *s, None, None, None, None)], ", ".join(names))
+        assert int(df.select(cluster._gain(2)).first()[0]) == sum(1024 * x * x // w for x in s)

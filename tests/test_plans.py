@@ -71,3 +71,16 @@ def test_pixel_and_run_joins_do_not_broadcast(spark):
 def test_fixture_reads_two_columns(spark):
     text = plan(fixture_images(spark, SF))
     assert "s_suppkey" in text and "s_acctbal" not in text and "s_name" not in text
+
+
+def test_images_of_one_band_are_not_shuffled_or_kept(spark):
+    """Their pixels go from the decoding task to the result; centres need no exchange either."""
+    from bandsaw.plans.segment import segment
+
+    result = segment(fixture_images(spark, SF))
+    for df in (result.bands, result.centres):
+        text = plan(df)
+        assert "InMemoryTableScan" not in text and "Join" not in text
+        # only the keys of the drawings are dealt out, before they are drawn
+        assert re.findall(r"Exchange (\w+)\((\w+)", text) == [("hashpartitioning", "s_suppkey")]
+    result.release()
