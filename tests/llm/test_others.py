@@ -6,9 +6,11 @@ import hashlib
 import io
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
+import regex
 
 from bandsaw.llm import langid, permutation_index, queries, url_templates, warc
 from bandsaw.llm.shards import new_folder, saved
@@ -296,3 +298,75 @@ def test_reader_frames_and_verifies():
     with pytest.raises(ValueError):
         list(warc.SequentialReader(io.BytesIO(gzip.compress(b"HTTP/1.1 200 OK\r\n\r\n"))))
     assert list(warc.SequentialReader(io.BytesIO(b""))) == []
+
+
+def plain_grams(text):
+    """Counts of hashed byte 2- and 3-grams, letter by letter."""
+    data, letters = bytearray(), []
+    for c in text:
+        is_letter = regex.match(r"\p{L}", c) is not None
+        if is_letter or (letters and letters[-1]):
+            part = (c.lower() if c.isascii() else c).encode() if is_letter else b" "
+            data += part
+            letters += [is_letter] * len(part)
+    data += b" "
+    letters.append(False)
+    counts = {}
+    for size in (2, 3):
+        for i in range(len(data) - size + 1):
+            if letters[i] or letters[i + size - 1]:
+                gram = 0
+                for byte in data[i : i + size]:
+                    gram = gram * 257 + byte
+                slot = ((gram + size) * 2654435761 % 2**32) >> 20
+                counts[slot] = counts.get(slot, 0) + 1
+    return counts, any(letters)
+
+
+def test_op3_against_a_plain_rendering(spark, sf):
+    """Counts, weights of the bits, trust and loss, written out; every document of the table."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    grams = {d.doc_id: plain_grams(d.text or "") for d in docs}
+    learned = [d for d in docs if d.lang is not None and zlib.crc32(str(d.doc_id).encode()) % 5]
+    languages = sorted({d.lang for d in learned})
+    code = langid.codewords(len(languages))
+    n_bits = code.shape[1]
+    ones = [{} for _ in range(n_bits)]
+    zeros = [{} for _ in range(n_bits)]
+    for d in learned:
+        for b in range(n_bits):
+            side = (ones if code[languages.index(d.lang)][b] else zeros)[b]
+            for slot, n in grams[d.doc_id][0].items():
+                side[slot] = side.get(slot, 0) + n
+    totals = [[sum(x.values()) + langid.SMOOTHING * langid.FEATURES for x in side] for side in (ones, zeros)]
+
+    def margin(counts, b):
+        said = 0.0
+        for slot, n in counts.items():
+            p, q = ((side[b].get(slot, 0) + langid.SMOOTHING) / total[b] for side, total in zip((ones, zeros), totals, strict=True))
+            said += n * (math.log(p) - math.log(q))
+        return said / max(1, sum(counts.values()))
+
+    margins = {i: [margin(counts, b) for b in range(n_bits)] for i, (counts, _) in grams.items()}
+    tried = [d for d in learned if grams[d.doc_id][1]]
+    scale = [sum(abs(margins[d.doc_id][b]) for d in tried) / len(tried) for b in range(n_bits)]
+    trust = []
+    for i, name in enumerate(languages):
+        mine = [margins[d.doc_id] for d in tried if d.lang == name]
+        right = [max(0.01, sum((m[b] > 0) == (code[i][b] == 1) for m in mine) / len(mine)) for b in range(n_bits)]
+        trust.append([r / sum(right) for r in right])
+    got = {r.doc_id: r for r in queries.op3_error_correcting_codes(spark, sf).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        row = got[d.doc_id]
+        assert row.held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+        if not grams[d.doc_id][1]:
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        losses = []
+        for i, name in enumerate(languages):
+            agreed = [margins[d.doc_id][b] / scale[b] * (1 if code[i][b] else -1) for b in range(n_bits)]
+            losses.append((sum(t * math.exp(-2 * min(4, max(-4, a))) for t, a in zip(trust[i], agreed, strict=True)), name))
+        (first, name), (second, _) = sorted(losses)[:2]
+        assert row.score == pytest.approx(second / (first + second), abs=2e-4)
+        assert row.lang_pred == name or second - first < 1e-4 * second
