@@ -231,8 +231,10 @@ def map_block(
     return map_rows(bands.select(*GEOMETRY_NAMES, "data", *carry), step, BANDS + carried(carry))
 
 
-def to_pixels(bands: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), column: str = "data") -> DataFrame:
-    """One row per core pixel."""
+def to_pixels(
+    bands: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), column: str = "data", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per core pixel. ``carry`` names string columns to repeat, which saves a join of pixel rows later."""
 
     def explode(row: dict) -> dict:
         core = trim(row, block(row, column)).reshape(-1, len(channels))
@@ -241,10 +243,10 @@ def to_pixels(bands: DataFrame, channels: tuple[str, ...] = ("b", "g", "r"), col
             "image_id": np.full(rows * width, row["image_id"], np.int64),
             "y": np.repeat(np.arange(row["y0"], row["y1"], dtype=np.int32), width),
             "x": np.tile(np.arange(width, dtype=np.int32), rows),
-        } | {name: core[:, i].astype(np.int32) for i, name in enumerate(channels)}
+        } | {name: core[:, i].astype(np.int32) for i, name in enumerate(channels)} | {c: [row[c]] * (rows * width) for c in carry}
 
-    schema = "image_id bigint, y int, x int, " + ", ".join(f"{c} int" for c in channels)
-    return map_rows(bands.select(*GEOMETRY_NAMES, column), explode, schema)
+    schema = "image_id bigint, y int, x int, " + ", ".join(f"{c} int" for c in channels) + carried(carry)
+    return map_rows(bands.select(*GEOMETRY_NAMES, column, *carry), explode, schema)
 
 
 def _band_of(y: Column, height: Column, n: Column) -> Column:

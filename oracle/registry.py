@@ -710,9 +710,11 @@ FILE_NAME = f"concat({O.CATEGORY}, '/scan ', image_id, '.png')"
 def png_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All images written as PNG files, read back and decoded by the image source."""
     root = trees.write_tree(spark, sf_dir)
-    pixels = to_pixels(to_bands(read_images(spark, root), ROWS))
-    names = list_files(spark, root).select(F.xxhash64("rel_path").alias("image_id"), "rel_path")
-    return pixels.join(names, "image_id").drop("image_id")
+    # names meet the files, not their pixels, whose number no estimate sees
+    names = list_files(spark, root).select(F.xxhash64("rel_path").alias("image_id"), "rel_path").hint("shuffle_hash")
+    images = read_images(spark, root).drop("rel_path").join(names, "image_id")
+    pixels = to_pixels(to_bands(images, ROWS, carry=("rel_path",)), carry=("rel_path",))
+    return pixels.drop("image_id")
 
 
 @register(

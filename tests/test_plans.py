@@ -84,3 +84,12 @@ def test_images_of_one_band_are_not_shuffled_or_kept(spark):
         # only the keys of the drawings are dealt out, before they are drawn
         assert re.findall(r"Exchange (\w+)\((\w+)", text) == [("hashpartitioning", "s_suppkey")]
     result.release()
+
+
+def test_names_of_decoded_files_meet_no_pixel_rows(spark):
+    """The size of decoded pixels is unknown to the optimizer: joined as rows, they were broadcast."""
+    from oracle.registry import QUERIES
+
+    text = plan(QUERIES["png_roundtrip"](spark, SF))
+    assert "Broadcast" not in text
+    assert "MapInArrow" not in text.split("ShuffledHashJoin")[1]
