@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from bandsaw.operators.kernels import gray
-from bandsaw.session import shuffle_partitions
+from bandsaw.session import bounded_batches, shuffle_partitions
 
 GEOMETRY = "image_id bigint, band int, bands int, height int, width int, y0 int, y1 int, e0 int, e1 int"
 GEOMETRY_NAMES = [f.split()[0] for f in GEOMETRY.split(", ")]
@@ -31,8 +31,17 @@ KEY = ["image_id", "band"]
 # ROI blur (2) + opening and closing (2 x 4) + two rows that neighbours share afterwards.
 HALO = 12
 PIXEL_BUDGET = 1 << 20
-FLUSH_ROWS = 1 << 19
-FLUSH_BYTES = 1 << 26
+# What a task gathers before it hands a record batch on.
+FLUSH_ROWS = 1 << 16
+FLUSH_BYTES = 1 << 22
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of record batches; one at a time becomes Python values."""
+    for batch in batches:
+        names, columns = batch.schema.names, batch.columns
+        for i in range(batch.num_rows):
+            yield {n: c[i].as_py() for n, c in zip(names, columns, strict=True)}
 
 
 def map_rows(
@@ -41,7 +50,7 @@ def map_rows(
     """Arrow map: ``fn`` turns one input row into equally long output columns.
 
     Output is gathered into record batches and flushed by size, so a task holds
-    one input batch and one bounded output batch. For a row that makes ``fn`` raise, ``failed``
+    an input batch (``bounded_batches``), the values of one row and one bounded output batch. For a row that makes ``fn`` raise, ``failed``
     gives the output, so that an error is data; without it, and when memory runs out, the task fails.
     """
     struct = T.StructType.fromDDL(schema)
@@ -66,29 +75,25 @@ def map_rows(
                 [column([h[f.name] for h in held], f.type) for f in arrow], schema=arrow
             )
 
-        for batch in batches:
-            columns = batch.to_pydict() if batch.num_rows == 1 else None
-            names = batch.schema.names
-            lists = columns or {n: batch.column(i).to_pylist() for i, n in enumerate(names)}
-            for i in range(batch.num_rows):
-                row = {n: lists[n][i] for n in names}
-                try:
-                    out = fn(row)
-                except Exception as reason:
-                    if failed is None or isinstance(reason, MemoryError):
-                        raise
-                    out = failed(row, reason)
-                if out is None:
-                    continue
-                held.append(out)
-                rows += len(next(iter(out.values())))
-                held_bytes += sum(size(v) for v in out.values())
-                if rows >= FLUSH_ROWS or held_bytes >= FLUSH_BYTES:
-                    yield flush()
-                    held, rows, held_bytes = [], 0, 0
+        for row in rows_of(batches):
+            try:
+                out = fn(row)
+            except Exception as reason:
+                if failed is None or isinstance(reason, MemoryError):
+                    raise
+                out = failed(row, reason)
+            if out is None:
+                continue
+            held.append(out)
+            rows += len(next(iter(out.values())))
+            held_bytes += sum(size(v) for v in out.values())
+            if rows >= FLUSH_ROWS or held_bytes >= FLUSH_BYTES:
+                yield flush()
+                held, rows, held_bytes = [], 0, 0
         if held:
             yield flush()
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, struct)
 
 

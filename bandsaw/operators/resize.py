@@ -25,6 +25,7 @@ from bandsaw.operators.bands import (
     block,
     carried,
     map_rows,
+    rows_of,
     trim,
     with_per_image,
 )
@@ -181,23 +182,22 @@ def _resize(sized: DataFrame, method: str, rows: int | None, channels: int, carr
         done: list[dict] = []
         size = 0
         open_ = total = None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if open_ and (row["image_id"], row["part"]) != (open_["image_id"], open_["part"]):
-                    done.append(band(open_, _rounded(total).tobytes()))
-                    open_ = None
-                if row["whole"]:
-                    done.append(band(row, row["data"]))
-                else:
-                    share = np.frombuffer(row["data"], np.int64).reshape(-1, row["width"], channels)
-                    if open_ is None:
-                        open_, total = row, np.zeros((_part_rows(row, rows)[1], row["width"], channels), np.int64)
-                    at = row["first"] - _part_rows(row, rows)[0]
-                    total[at : at + len(share)] += share
-                size += len(row["data"])
-                if size >= FLUSH_BYTES:
-                    yield pa.RecordBatch.from_pylist(done, schema=arrow)
-                    done, size = [], 0
+        for row in rows_of(batches):
+            if open_ and (row["image_id"], row["part"]) != (open_["image_id"], open_["part"]):
+                done.append(band(open_, _rounded(total).tobytes()))
+                open_ = None
+            if row["whole"]:
+                done.append(band(row, row["data"]))
+            else:
+                share = np.frombuffer(row["data"], np.int64).reshape(-1, row["width"], channels)
+                if open_ is None:
+                    open_, total = row, np.zeros((_part_rows(row, rows)[1], row["width"], channels), np.int64)
+                at = row["first"] - _part_rows(row, rows)[0]
+                total[at : at + len(share)] += share
+            size += len(row["data"])
+            if size >= FLUSH_BYTES:
+                yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                done, size = [], 0
         if open_:
             done.append(band(open_, _rounded(total).tobytes()))
         if done:

@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _SCOPES: list[list[DataFrame]] = []
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 1 << 22
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +41,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(chosen) if chosen else 2 * spark.sparkContext.defaultParallelism
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_BYTES`` go to the Python workers, unless the session has a setting of its own.
+
+    A chain of maps has a worker for each, four tasks run in an executor, and each worker holds two
+    batches; Spark's default of 64 MB takes gigabytes then.
+    """
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
+
 @contextmanager
 def keeping() -> Iterator[list[DataFrame]]:
     """Release what operators keep in caches when the block ends."""

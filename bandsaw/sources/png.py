@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandsaw.session import qualified, shuffle_partitions
+from bandsaw.operators.bands import rows_of
+from bandsaw.session import bounded_batches, qualified, shuffle_partitions
 from bandsaw.sources.formats import encoder_of
 from bandsaw.sources.store import create_folder, exists, opened, remove, rename
 
@@ -40,20 +41,19 @@ def _drafting(folder: str):
             return current[0], draft
 
         try:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    rel = f"{row['rel_dir']}/{row['name']}" if row["rel_dir"] else row["name"]
-                    if (rel, row["image_id"]) != current:
-                        if current:
-                            if current[0] == rel:
-                                raise ValueError(f"two images are to be written to {rel}")
-                            yield closed()
-                        current, draft = (rel, row["image_id"]), uuid.uuid4().hex
-                        encoder = encoder_of(row["name"])(row["width"], row["height"], row["n_channels"])
-                        store.create_dir(base, recursive=True)
-                        sink = store.open_output_stream(f"{base}/{draft}")
-                        sink.write(encoder.head)
-                    sink.write(encoder.rows(row["content"]))
+            for row in rows_of(batches):
+                rel = f"{row['rel_dir']}/{row['name']}" if row["rel_dir"] else row["name"]
+                if (rel, row["image_id"]) != current:
+                    if current:
+                        if current[0] == rel:
+                            raise ValueError(f"two images are to be written to {rel}")
+                        yield closed()
+                    current, draft = (rel, row["image_id"]), uuid.uuid4().hex
+                    encoder = encoder_of(row["name"])(row["width"], row["height"], row["n_channels"])
+                    store.create_dir(base, recursive=True)
+                    sink = store.open_output_stream(f"{base}/{draft}")
+                    sink.write(encoder.head)
+                sink.write(encoder.rows(row["content"]))
             if current:
                 yield closed()
         finally:
@@ -136,6 +136,7 @@ def write_png_tree(rows: DataFrame, root: str) -> None:
     placed = rows.select(*columns).repartition(F.col("rel_dir"), F.col("name"))
     ordered = placed.sortWithinPartitions("rel_dir", "name", "image_id", "band")
     create_folder(spark, root)
+    bounded_batches(spark)
     try:
         ordered.mapInArrow(_drafting(drafts), MANIFEST).write.parquet(manifest)
         made = spark.read.schema(MANIFEST).parquet(manifest)

@@ -93,3 +93,19 @@ def test_names_of_decoded_files_meet_no_pixel_rows(spark):
     text = plan(QUERIES["png_roundtrip"](spark, SF))
     assert "Broadcast" not in text
     assert "MapInArrow" not in text.split("ShuffledHashJoin")[1]
+
+
+def test_workers_get_small_batches(spark):
+    """40 images of a megabyte each: no map is handed more than a few at once."""
+    import pyarrow as pa
+
+    from bandsaw.operators.bands import map_rows
+    from bandsaw.session import BATCH_BYTES
+
+    made = map_rows(spark.range(0, 40, 1, 1), lambda row: {"data": [bytes(1 << 20)]}, "data binary")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    assert max(r.n for r in made.mapInArrow(sizes, "n bigint").collect()) <= 2 * BATCH_BYTES
