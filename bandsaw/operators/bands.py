@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,6 +27,7 @@ GEOMETRY = "image_id bigint, band int, bands int, height int, width int, y0 int,
 GEOMETRY_NAMES = [f.split()[0] for f in GEOMETRY.split(", ")]
 BANDS = GEOMETRY + ", data binary"
 KEY = ["image_id", "band"]
+PIECES = "image_id bigint, band int, height int, width int, place binary, data binary"
 
 # ROI blur (2) + opening and closing (2 x 4) + two rows that neighbours share afterwards.
 HALO = 12
@@ -254,8 +255,95 @@ def to_pixels(
     return map_rows(bands.select(*GEOMETRY_NAMES, column, *carry), explode, schema)
 
 
-def _band_of(y: Column, height: Column, n: Column) -> Column:
-    return F.floor(((y + 1).cast("long") * n - 1) / height).cast("int")
+def _packing(channels: list[str], rows: int, halo: int):
+    """Task function: the pixels that a record batch holds of a band become one piece, their places and their values."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(PIECES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            image, height, width, y, x = (
+                batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("image_id", "height", "width", "y", "x")
+            )
+            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in channels], axis=-1).astype(np.uint8)
+            n = np.maximum(1, height // rows)
+            lowest = ((np.maximum(y - halo, 0) + 1) * n - 1) // height
+            highest = ((np.minimum(y + halo, height - 1) + 1) * n - 1) // height
+            copies = highest - lowest + 1
+            of = np.repeat(np.arange(y.size), copies)
+            band = lowest[of] + np.arange(of.size) - np.repeat(np.cumsum(copies) - copies, copies)
+            order = np.lexsort((band, image[of]))
+            of, band = of[order], band[order]
+            place = (y[of] - np.maximum(0, band * height[of] // n[of] - halo)) * width[of] + x[of]
+            first = np.flatnonzero(np.r_[True, (np.diff(image[of]) != 0) | (np.diff(band) != 0)])
+            head = of[first]
+            edge = np.r_[first, of.size]
+            columns = [
+                pa.array(image[head]), pa.array(band[first].astype(np.int32)), pa.array(height[head].astype(np.int32)),
+                pa.array(width[head].astype(np.int32)), _binaries(place.astype(np.int32), edge), _binaries(values[of], edge),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return run
+
+
+def _binaries(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """The rows of ``values`` between each two edges as one binary value."""
+    flat = np.ascontiguousarray(values)
+    offsets = (edge * (flat.nbytes // len(flat))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+def _held(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls as one array of ``kind``, and where each value starts and the last ends."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(kind) if kind is np.uint8 else data.copy().view(kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
+
+
+def _unpacking(n_channels: int, rows: int, halo: int):
+    """Task function: pieces in order of (image, band) become bands; pixels that no row gives are zero."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(BANDS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[dict] = []
+        size, open_, pixels = 0, None, None
+
+        def closed() -> dict:
+            image_id, band, height, width, n, y0, y1, e0, e1 = open_
+            values = [image_id, band, n, height, width, y0, y1, e0, e1, pixels.tobytes()]
+            return dict(zip(arrow.names, values, strict=True))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c).to_numpy() for c in ("image_id", "band", "height", "width")]
+            place, at = _held(batch.column("place"), np.int32)
+            data, _ = _held(batch.column("data"), np.uint8)
+            data = data.reshape(-1, n_channels)
+            first = np.flatnonzero(np.r_[True, (np.diff(keys[0]) != 0) | (np.diff(keys[1]) != 0)])
+            for i, j in zip(first, np.r_[first[1:], batch.num_rows]):
+                image_id, band, height, width = (int(k[i]) for k in keys)
+                if open_ is None or open_[:2] != (image_id, band):
+                    if open_:
+                        done.append(closed())
+                        size += pixels.size
+                    n = max(1, height // rows)
+                    y0, y1 = band * height // n, (band + 1) * height // n
+                    e0, e1 = max(0, y0 - halo), min(height, y1 + halo)
+                    open_ = (image_id, band, height, width, n, y0, y1, e0, e1)
+                    pixels = np.zeros(((e1 - e0) * width, n_channels), np.uint8)
+                pixels[place[at[i] : at[j]]] = data[at[i] : at[j]]
+                if size >= FLUSH_BYTES:
+                    yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                    done, size = [], 0
+        if open_:
+            done.append(closed())
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=arrow)
+
+    return run
 
 
 def from_pixels(
@@ -263,31 +351,17 @@ def from_pixels(
 ) -> DataFrame:
     """Bands from pixel rows (image_id, height, width, y, x, channels).
 
-    Pixels near a seam go to both bands; each group is one band.
+    Pixels near a seam go to both bands. Tasks pack the pixels of a record batch by band before they
+    are shuffled, a few bytes per pixel, and bands are put together from pieces in order.
     """
     rows = rows or 64
     if rows < halo:
         raise ValueError(f"bands of {rows} rows cannot have a halo of {halo}")
-    n = F.greatest(F.lit(1), F.floor(F.col("height") / rows).cast("int"))
-    sized = pixels.withColumn("bands", n)
-    lowest = _band_of(F.greatest(F.col("y") - halo, F.lit(0)), F.col("height"), F.col("bands"))
-    highest = _band_of(F.least(F.col("y") + halo, F.col("height") - 1), F.col("height"), F.col("bands"))
-    placed = sized.withColumn("band", F.explode(F.sequence(lowest, highest)))
+    bounded_batches(pixels.sparkSession)
     names = list(channels)
-
-    def pack(pdf):
-        import pandas as pd
-
-        one = pdf.iloc[0]
-        height, width, n_bands, band = (int(one[c]) for c in ("height", "width", "bands", "band"))
-        y0, y1 = band * height // n_bands, (band + 1) * height // n_bands
-        e0, e1 = max(0, y0 - halo), min(height, y1 + halo)
-        a = np.zeros((e1 - e0, width, len(names)), np.uint8)
-        a[pdf["y"].to_numpy() - e0, pdf["x"].to_numpy()] = pdf[names].to_numpy()
-        values = [int(one["image_id"]), band, n_bands, height, width, y0, y1, e0, e1, a.tobytes()]
-        return pd.DataFrame([values], columns=[*GEOMETRY_NAMES, "data"])
-
-    return placed.groupBy(*KEY).applyInPandas(pack, BANDS)
+    pieces = pixels.select("image_id", "height", "width", "y", "x", *names).mapInArrow(_packing(names, rows, halo), PIECES)
+    placed = pieces.repartition(shuffle_partitions(pixels.sparkSession), *KEY).sortWithinPartitions(*KEY)
+    return placed.mapInArrow(_unpacking(len(names), rows, halo), BANDS)
 
 
 def recut(bands: DataFrame, rows: int | None = None, halo: int = HALO) -> DataFrame:
@@ -316,10 +390,8 @@ def recut(bands: DataFrame, rows: int | None = None, halo: int = HALO) -> DataFr
                     out[name].append(value)
         return out
 
-    def join(pdf):
-        pdf = pdf.sort_values("start")
-        one = pdf.iloc[:1][GEOMETRY_NAMES].copy()
-        one["data"] = [b"".join(pdf["data"])]
-        return one
-
-    return map_rows(bands.select(*GEOMETRY_NAMES, "data"), send, piece).groupBy(*KEY).applyInPandas(join, BANDS)
+    pieces = map_rows(bands.select(*GEOMETRY_NAMES, "data"), send, piece)
+    joined = F.expr("listagg(data) WITHIN GROUP (ORDER BY start)").alias("data")
+    rest = [n for n in GEOMETRY_NAMES if n not in KEY]
+    made = pieces.groupBy(*KEY).agg(*[F.first(n).alias(n) for n in rest], joined)
+    return made.select(*GEOMETRY_NAMES, "data")

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bandsaw.operators import components, neighborhood, resize
 from bandsaw.operators.bands import from_pixels, recut, to_bands, to_pixels
@@ -41,6 +42,22 @@ def test_recut_and_pixels_round_trip(spark):
     assert all((back[i] == a).all() for i, a in enumerate(COLOUR))
 
 
+def test_bands_are_put_together_without_pandas_groups(spark):
+    """Pixels in any order, in small record batches; a pixel that no row gives is zero."""
+    images = image_table(spark, COLOUR)
+    sized = to_pixels(to_bands(images, 12, 3)).join(images.select("image_id", "height", "width"), "image_id")
+    some = sized.filter("NOT (image_id = 0 AND y = 17 AND x = 4)").repartition(7, "x").sortWithinPartitions(F.xxhash64("image_id", "y", "x"))
+    again = recut(from_pixels(some, rows=14, halo=2), 13, 5)
+    assert "Pandas" not in again._jdf.queryExecution().executedPlan().toString()
+    back = rebuild(again, 3)
+    wanted = [a.copy() for a in COLOUR]
+    wanted[0][17, 4] = 0
+    assert all((back[i] == a).all() for i, a in enumerate(wanted))
+    one = to_pixels(to_bands(image_table(spark, [COLOUR[1][..., 0]]), 12, as_gray=True), ("v",))
+    flat = from_pixels(one.selectExpr("*", "37 AS height", "33 AS width"), ("v",), 12, 4)
+    assert (rebuild(flat)[0] == COLOUR[1][..., 0]).all()
+
+
 def test_missing_halo_is_an_error(spark):
     bands = to_bands(image_table(spark, COLOUR), 12, 1)
     with pytest.raises(Exception, match="halo rows"):
