@@ -805,14 +805,17 @@ def resize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Name and sum of values of every image file below ``root``."""
+    """Name and sum of values of every image file below ``root``, PNG or BMP; gray counts once. A file that cannot be decoded has 0."""
     def total(row: dict) -> dict:
         import numpy as np
 
-        return {"name": [row["name"]], "total": [int(np.frombuffer(row["data"], np.uint8).sum())]}
+        value = int(trim(row, block(row)).sum(dtype=np.int64)) if row["message"] is None else 0
+        return {"rel_path": [row["rel_path"]], "total": [value // 3 if row["channels"] == "1" else value]}
 
-    images = read_images(spark, root).select(paths.file_name(F.col("rel_path")).alias("name"), "data")
-    return map_rows(images, total, "name string, total bigint")
+    files = headers.with_headers(list_files(spark, root, named_set="images")).withColumn("image_id", F.xxhash64("rel_path"))
+    files = files.withColumn("channels", F.col("h_channels").cast("string"))
+    sums = map_rows(decode_bands(files, halo=0, carry=("rel_path", "channels")), total, "rel_path string, total bigint")
+    return sums.groupBy("rel_path").agg(F.sum("total").alias("total")).select(paths.file_name(F.col("rel_path")).alias("name"), "total")
 
 
 @register(

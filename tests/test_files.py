@@ -270,3 +270,25 @@ def test_files_beyond_a_row_are_listed_without_content(spark, tmp_path):
     table = ingest_images(spark, str(root), str(tmp_path / "table"))
     got = {r.stem: (r.length, r.content) for r in table.collect()}
     assert got == {"small": (2, bytearray(b"BM")), "large": (2**31, None)}
+
+
+def test_totals_are_read_in_few_tasks(spark):
+    """Spark's image source opened 32 small files a task and decoded them there; gray counts once, damaged files have 0."""
+    from oracle import trees
+    from oracle.images import fixture_images, fixture_masks
+    from oracle.registry import file_totals
+
+    sf = "/root/testdata/sf0.001"
+    totals = file_totals(spark, trees.write_twin_tree(spark, sf))
+    assert "FileScan image" not in totals._jdf.queryExecution().executedPlan().toString()
+    got = {r.name: r.total for r in totals.collect()}
+    for row in fixture_images(spark, sf).collect():
+        assert got[f"scan {row.image_id}.png"] == sum(row.data)
+    for row in fixture_masks(spark, sf).collect():
+        assert got[f"scan {row.image_id}.bmp"] == 3 * sum(row.data)
+    masks = trees.new_folder(spark)
+    write_png_tree(trees.file_rows(fixture_masks(spark, sf)), masks)
+    gray = {r.name: r.total for r in file_totals(spark, masks).collect()}
+    assert gray == {f"scan {r.image_id}.png": sum(r.data) for r in fixture_masks(spark, sf).collect()}
+    damaged = {r.name: r.total for r in file_totals(spark, trees.write_damaged_tree(spark, sf)).collect()}
+    assert all((total == 0) == (int(name[5:-4]) % 10 == 0) for name, total in damaged.items())
