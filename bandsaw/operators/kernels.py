@@ -8,6 +8,8 @@ operator returns that many rows less on that side.
 
 from __future__ import annotations
 
+from functools import cache, lru_cache
+
 import numpy as np
 
 # 8-bit gray weights for B, G, R (15-bit fixed point).
@@ -24,6 +26,7 @@ def gray(bgr: np.ndarray) -> np.ndarray:
     return ((GRAY_B * b + GRAY_G * g + GRAY_R * r + 16384) >> 15).astype(np.uint8)
 
 
+@cache
 def _linear_light() -> np.ndarray:
     scale = [v / 255.0 for v in range(256)]
     return np.array([((c + 0.055) / 1.055) ** 2.4 if c > 0.04045 else c / 12.92 for c in scale])
@@ -126,17 +129,25 @@ def lab_labels(bgr: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argmin(np.stack(distance), axis=0).astype(np.uint8)[where].reshape(bgr.shape[:2])
 
 
+@lru_cache(maxsize=64)
+def _reflected(n: int, before: int, after: int) -> np.ndarray:
+    """Index of each row or column of a reflected frame."""
+    return np.pad(np.arange(n), (before, after), mode="reflect")
+
+
 def gaussian5(block: np.ndarray, top: bool, bottom: bool) -> np.ndarray:
     """5x5 Gaussian blur, reflected frame, one rounding at the end."""
-    pad = [(2 if top else 0, 2 if bottom else 0), (2, 2), (0, 0)]
-    a = np.pad(block, pad, mode="reflect").astype(np.uint16)
+    rows = _reflected(block.shape[0], 2 if top else 0, 2 if bottom else 0)
+    a = block[rows[:, None], _reflected(block.shape[1], 2, 2)].astype(np.uint16)
     h = a[:, :-4] + a[:, 4:] + 4 * (a[:, 1:-3] + a[:, 3:-1]) + 6 * a[:, 2:-2]
     v = h[:-4] + h[4:] + 4 * (h[1:-3] + h[3:-1]) + 6 * h[2:-2]
     return ((v + 128) >> 8).astype(np.uint8)
 
 
 def _box5(mask: np.ndarray, pick, neutral: int, top: bool, bottom: bool) -> np.ndarray:
-    a = np.pad(mask, [(2 if top else 0, 2 if bottom else 0), (2, 2)], constant_values=neutral)
+    above, below = 2 if top else 0, 2 if bottom else 0
+    a = np.full((mask.shape[0] + above + below, mask.shape[1] + 4), neutral, mask.dtype)
+    a[above : above + mask.shape[0], 2:-2] = mask
     h = pick(pick(a[:, :-4], a[:, 4:]), pick(pick(a[:, 1:-3], a[:, 3:-1]), a[:, 2:-2]))
     return pick(pick(h[:-4], h[4:]), pick(pick(h[1:-3], h[3:-1]), h[2:-2]))
 

@@ -93,3 +93,10 @@ def test_histogram_counts_every_pixel(shape):
     c0, c1, c2, w = K.histogram(a)
     values, counts = np.unique(a.reshape(-1, 3), axis=0, return_counts=True)
     assert (np.stack([c0, c1, c2], axis=1) == values).all() and (w == counts).all()
+
+
+def test_fixed_tables_are_made_once():
+    from bandsaw.operators import kernels
+
+    assert kernels._linear_light() is kernels._linear_light()
+    assert kernels._reflected(9, 2, 0) is kernels._reflected(9, 2, 0)
