@@ -33,8 +33,8 @@ PIECES = "image_id bigint, band int, height int, width int, place binary, data b
 HALO = 12
 PIXEL_BUDGET = 1 << 20
 # What a task gathers before it hands a record batch on.
-FLUSH_ROWS = 1 << 16
-FLUSH_BYTES = 1 << 22
+FLUSH_ROWS = 1 << 14
+FLUSH_BYTES = 1 << 20
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SCOPES: list[list[DataFrame]] = []
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -109,3 +109,18 @@ def test_workers_get_small_batches(spark):
             yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
 
     assert max(r.n for r in made.mapInArrow(sizes, "n bigint").collect()) <= 2 * BATCH_BYTES
+
+
+def test_workers_get_batches_of_a_megabyte(spark):
+    """8,192 images of 12 kilobytes: what a chain of maps holds in each worker stays near a megabyte."""
+    import pyarrow as pa
+
+    from bandsaw.operators.bands import map_rows
+
+    made = map_rows(spark.range(0, 8192, 1, 1), lambda row: {"data": [bytes(12 << 10)]}, "data binary")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    assert max(r.n for r in made.mapInArrow(sizes, "n bigint").collect()) <= 5 << 18
