@@ -35,6 +35,8 @@ PIXEL_BUDGET = 1 << 20
 # What a task gathers before it hands a record batch on.
 FLUSH_ROWS = 1 << 14
 FLUSH_BYTES = 1 << 20
+# What a Python object takes besides its content: an empty array, a list of one number.
+OBJECT_BYTES = 128
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -50,7 +52,7 @@ def map_rows(
 ) -> DataFrame:
     """Arrow map: ``fn`` turns one input row into equally long output columns.
 
-    Output is gathered into record batches and flushed by size, so a task holds
+    Output is gathered into record batches and flushed by what it takes as Python objects, so a task holds
     an input batch (``bounded_batches``), the values of one row and one bounded output batch. For a row that makes ``fn`` raise, ``failed``
     gives the output, so that an error is data; without it, and when memory runs out, the task fails.
     """
@@ -64,8 +66,13 @@ def map_rows(
 
     def size(value) -> int:
         if isinstance(value, np.ndarray):
-            return value.nbytes
-        return sum(len(v) if isinstance(v, (bytes, np.ndarray)) else 8 for v in value)
+            return value.nbytes + OBJECT_BYTES
+        return OBJECT_BYTES + sum(content(v) for v in value)
+
+    def content(v) -> int:
+        if isinstance(v, np.ndarray):
+            return v.nbytes + OBJECT_BYTES
+        return len(v) if isinstance(v, (bytes, str)) else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []

@@ -124,3 +124,24 @@ def test_workers_get_batches_of_a_megabyte(spark):
             yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
 
     assert max(r.n for r in made.mapInArrow(sizes, "n bigint").collect()) <= 5 << 18
+
+
+def test_maps_hold_a_megabyte_of_small_arrays(spark):
+    """12 arrays of one number take a kilobyte and a half in the worker, though their content is 96 bytes."""
+    import weakref
+
+    import numpy as np
+
+    from bandsaw.operators.bands import map_rows
+
+    names, alive = [f"n{i}" for i in range(12)], {"n": 0}
+
+    def small(row: dict) -> dict:
+        alive["n"] += 1
+        out = {name: np.array([alive["n"]]) for name in names}
+        weakref.finalize(out["n0"], lambda: alive.update(n=alive["n"] - 1))
+        return out
+
+    made = map_rows(spark.range(0, 20_000, 1, 1), small, ", ".join(f"{name} bigint" for name in names))
+    held = [r.n0 for r in made.collect()]
+    assert len(held) == 20_000 and max(held) <= 1024
