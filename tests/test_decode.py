@@ -156,3 +156,27 @@ def test_a_large_file_is_never_held(tmp_path):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert seen == h and peak < 60 << 20
+
+
+def test_rows_of_damaged_files_are_handed_on(spark, tmp_path):
+    """5,000 damaged files in one task: their rows, which hold no pixels, do not wait for its end."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.png").write_bytes(b"\x89PNG\r\n\x1a\n")
+    schema = T.StructType.fromDDL(decode.BANDS + ", message string")
+    files = pa.RecordBatch.from_pydict({"image_id": list(range(5000)), "path": [f"file:{tmp_path}/a.png"] * 5000})
+    taken = []
+
+    def given():
+        for at in range(0, 5000, 100):
+            taken.append(at)
+            yield files.slice(at, 100)
+
+    made, first = [], None
+    for batch in decode._decoding(schema, None, decode.HALO, False, (), True)(given()):
+        first = first or len(taken) * 100
+        made += batch.to_pylist()
+    assert first <= 1100
+    assert [m["image_id"] for m in made] == list(range(5000))
+    assert all(m["band"] == -1 and m["data"] is None and m["message"] for m in made)
