@@ -5,7 +5,12 @@ to blocks of about ``BLOCK`` by a hash of their id; each block posts its vectors
 one inverted file per pivot. A query reads the files of its own nearest pivots,
 adds up the footrule distance (a pivot that a prefix lacks counts as place
 ``PREFIX``), and reranks the ``RERANKED`` share of the block that is nearest in
-footrule by exact cosine. A query's best of all blocks meet in one small group.
+footrule by exact cosine.
+
+A task holds the blocks of one lane, ``HELD`` bytes of vectors at most or one block,
+and the queries pass by in the order of its rows. So a vector is sent to one lane, a
+query once to each, and a task hands on the best of its lane alone. A query's best of
+all lanes meet in one small group.
 
 Equal vectors are one entry with the ``k + 1`` smallest of their ids: no further
 copy can be among the k nearest of any query, as ties go to the smaller id.
@@ -21,13 +26,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandsaw.llm.shards import frugal, saved
+from bandsaw.session import shuffle_partitions
 
 PIVOTS = 256
 SAMPLE = 2048  # vectors from which the pivots are taken
 PREFIX = 128
 BLOCK = 4096
-QUERIES = 1024  # queries of one row of the query side
+QUERIES = 1024  # queries that a task takes at once
 RERANKED = 0.25
+HELD = 1 << 25  # bytes of the vectors of a lane's blocks
+NEARLY = 1e-9  # more than cosines of one pair differ by the order of their sums
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -61,56 +69,75 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
     return some.groupBy("v").agg(merged.alias("ids"))
 
 
-def _matrix(data: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(data, np.float64).reshape(-1, width)
-
-
 def _prefixes(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """Nearest pivots of each vector, nearest first; ties to the smaller pivot number."""
-    near = unit @ pivots.T
+    near = np.einsum("ij,kj->ik", unit, pivots)  # each sum alone: what stands beside a vector does not matter
     return np.argsort(-near, axis=1, kind="stable")[:, :prefix]
 
 
 class PivotFiles:
-    """Inverted files of one block: per pivot the entries that hold it in their prefix, and its place there."""
+    """Inverted files of one block: per pivot its place in the prefix of every entry, ``prefix`` where an entry lacks it."""
 
     def __init__(self, prefixes: np.ndarray, n_pivots: int):
         n, self.prefix = prefixes.shape
-        order = np.argsort(prefixes.ravel(), kind="stable")
-        entry, place = order // self.prefix, order % self.prefix
-        bounds = np.searchsorted(prefixes.ravel()[order], np.arange(n_pivots + 1))
-        self.files = [(entry[a:b], place[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        self.n = n
+        kind = np.int16 if self.prefix**2 < 1 << 15 else np.int32
+        self.files = np.full((n_pivots, n), self.prefix, kind)
+        self.files[prefixes, np.arange(n)[:, None]] = np.arange(self.prefix, dtype=kind)
 
     def footrule(self, query: np.ndarray) -> np.ndarray:
-        """Distance of every entry to the query's prefix; entries of no file keep the greatest."""
-        total = np.full(self.n, int((self.prefix - np.arange(query.size)).sum()), np.int64)
-        for place, pivot in enumerate(query.tolist()):
-            entries, places = self.files[pivot]
-            total[entries] += np.abs(places - place) - (self.prefix - place)
-        return total
-
-
-def _searched(block_ids: list[list[int]], block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, k: int, prefix: int, reranked: float) -> tuple[list, list, list]:
-    """Best k of one block for each query: (query ids, vector ids, scores)."""
-    length = np.sqrt(np.einsum("ij,ij->i", block, block))
-    query_length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-    files = PivotFiles(_prefixes(block / length[:, None], pivots, prefix), len(pivots))
-    wanted = _prefixes(queries / query_length[:, None], pivots, prefix)
-    take = min(len(block), max(8 * (k + 1), int(np.ceil(reranked * len(block)))))
+        """Distance of every entry to the query's prefix."""
+        away = self.files[query]
+        away -= np.arange(query.size, dtype=away.dtype)[:, None]
+        np.abs(away, out=away)
+        return np.add.reduce(away, axis=0, dtype=away.dtype)
+
+
+class Block:
+    """Entries in order of their smallest id, so that ties go to it, and their inverted files."""
+
+    def __init__(self, ids: list[list[int]], vectors: np.ndarray, pivots: np.ndarray, prefix: int):
+        self.ids, self.vectors = ids, vectors
+        self.length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        self.files = PivotFiles(_prefixes(vectors / self.length[:, None], pivots, prefix), len(pivots))
+        self.order = np.arange(len(ids))
+
+    def nearest(self, query_ids: list[int], queries: np.ndarray, length: np.ndarray, wanted: np.ndarray, k: int, reranked: float) -> Iterator[list[tuple[float, int]]]:
+        """For each query its best k entries, as (-score, id) in order."""
+        n, most = len(self.ids), 4 * (k + 1)
+        take = min(n, max(2 * most, int(np.ceil(reranked * n))))
+        about = queries @ self.vectors.T
+        for i, own in enumerate(query_ids):
+            near = self.order
+            if take < n:
+                ranked = self.files.footrule(wanted[i]) * np.int64(n) + self.order
+                near = np.flatnonzero(ranked <= np.partition(ranked, take - 1)[take - 1])
+            if near.size > most:
+                # all that may be among the best by the exact sums, which are taken of these alone
+                cosine = about[i, near] / (self.length[near] * length[i])
+                near = near[~(cosine < np.partition(cosine, near.size - most)[near.size - most] - NEARLY)]
+            score = np.einsum("ij,j->i", self.vectors[near], queries[i]) / (self.length[near] * length[i])
+            best = np.argsort(-score, kind="stable")[:most] if near.size > most else range(near.size)
+            yield sorted((-float(score[j]), v) for j in best for v in self.ids[near[j]] if v != own)[:k]
+
+
+def _searched(blocks: list[Block], query_ids: list[int], queries: np.ndarray, pivots: np.ndarray, k: int, prefix: int, reranked: float) -> tuple[list, list, list]:
+    """Best k of some blocks for each query: (query ids, vector ids, scores)."""
+    length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+    wanted = _prefixes(queries / length[:, None], pivots, prefix)
+    found: list[list[tuple[float, int]]] = [[] for _ in query_ids]
+    for block in blocks:
+        for one, best_here in zip(found, block.nearest(query_ids, queries, length, wanted, k, reranked), strict=True):
+            one.extend(best_here)
     out: tuple[list, list, list] = ([], [], [])
-    for i, own in enumerate(query_ids.tolist()):
-        # entries stand in order of their smallest id, so that ties go to it
-        ranked = files.footrule(wanted[i]) * len(block) + np.arange(len(block))
-        near = np.argpartition(ranked, take - 1)[:take] if take < len(block) else np.arange(len(block))
-        near.sort()
-        score = np.einsum("ij,j->i", block[near], queries[i]) / (length[near] * query_length[i])
-        best = near[np.argsort(-score, kind="stable")[: 4 * (k + 1)]] if near.size > 4 * (k + 1) else near
-        value = dict(zip(near.tolist(), score.tolist(), strict=True))
-        found = sorted((-value[e], v) for e in best.tolist() for v in block_ids[e] if v != own)[:k]
-        out[0].extend([own] * len(found))
-        out[1].extend(v for _, v in found)
-        out[2].extend(-s for s, _ in found)
+    for own, one in zip(query_ids, found, strict=True):
+        best: dict[int, float] = {}  # an id that repeats with another vector keeps the better score
+        for least, v in sorted(one):
+            best.setdefault(v, -least)
+            if len(best) == k:
+                break
+        out[0].extend([own] * len(best))
+        out[1].extend(best)
+        out[2].extend(best.values())
     return out
 
 
@@ -142,33 +169,50 @@ def search(
     chosen = np.array(sample[:pivots])
     held = spark.sparkContext.broadcast(chosen / np.sqrt((chosen**2).sum(axis=1))[:, None])
 
-    def pack():
-        """Rows of a group as one row: ids in order, and the vectors one after the other."""
-        return F.sort_array(F.collect_list(F.struct(first.alias("f"), "ids", "v"))).alias("rows")
-
-    base = entries.withColumn("block", F.pmod(F.xxhash64(first), F.lit(blocks)).cast("int")).groupBy("block").agg(pack())
+    columns = [first.alias("first"), "ids", "v"]
     asked = rows.filter(is_query(F.col("vec_id"))).select(F.array("vec_id").alias("ids"), "v").distinct()
-    n_query_blocks = max(1, -(-asked.count() // QUERIES))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64(first, F.lit(1)), F.lit(n_query_blocks)).cast("int"))
-    asked = asked.groupBy("part").agg(pack()).select("part", F.col("rows").alias("queries"))
-    sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    # one row per (block, query part), each of bounded size
-    meetings = sent.join(base, "block").repartition(max(1, min(blocks * n_query_blocks, 100_000)), "block", "part")
-
-    def unpacked(column: pa.Array, i: int) -> tuple[list[list[int]], np.ndarray]:
-        rows_ = column.slice(i, 1).flatten()
-        ids = rows_.field("ids").to_pylist()
-        return ids, rows_.field("v").flatten().to_numpy().reshape(-1, width)
+    tasks = max(shuffle_partitions(spark), 2 * spark.sparkContext.defaultParallelism)
+    lanes = max(1, -(-blocks // max(1, HELD // (block * width * 8))), min(blocks, tasks))
+    # few lanes are repeated for parts of the queries, so that all cores have work
+    parts = max(1, min(-(-tasks // lanes), -(-asked.count() // QUERIES)))
+
+    def numbers(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    placed = entries.withColumn("block", F.pmod(F.xxhash64(first), F.lit(blocks)).cast("int"))
+    placed = placed.withColumn("lane", F.col("block") % lanes).withColumn("part", numbers(parts))
+    placed = placed.select((F.col("lane") * parts + F.col("part")).alias("unit"), (F.col("block") - blocks).alias("turn"), *columns)
+    part = F.pmod(F.xxhash64(first, F.lit(1)), F.lit(parts)).cast("int")
+    asked = asked.withColumn("lane", numbers(lanes)).select((F.col("lane") * parts + part).alias("unit"), F.lit(0).alias("turn"), *columns)
+    # in each partition the blocks of a lane, one after the other, then queries
+    met = placed.unionByName(asked).repartitionById(lanes * parts, F.col("unit")).sortWithinPartitions("turn", "first", "ids", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = min(prefix, len(held.value))
+        made: list[Block] = []
+        open_: list[tuple[list, np.ndarray]] = []  # pieces of the block whose rows come
+        now = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids, block_vectors = unpacked(batch.column("rows"), i)
-                query_ids, queries = unpacked(batch.column("queries"), i)
-                found = _searched(ids, block_vectors, np.array([q[0] for q in query_ids], np.int64), queries, held.value, k, min(prefix, len(held.value)), reranked)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
-
-    found = meetings.mapInArrow(frugal(run), "query_id bigint, vec_id bigint, score double")
+            turns = batch.column("turn").to_numpy()
+            edges = np.r_[0, np.flatnonzero(np.diff(turns)) + 1, len(turns)].tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                if open_ and turns[a] != now:
+                    made.append(Block([x for ids, _ in open_ for x in ids], np.concatenate([v for _, v in open_]), held.value, size))
+                    open_ = []
+                now = turns[a]
+                step = b - a if now < 0 else QUERIES
+                for c in range(a, b, step):
+                    piece = batch.slice(c, min(step, b - c))
+                    ids, vectors = piece.column("ids").to_pylist(), piece.column("v").flatten().to_numpy().reshape(-1, width)
+                    if now < 0:
+                        open_.append((ids, vectors))
+                    elif made:
+                        found = _searched(made, [x[0] for x in ids], vectors, held.value, k, size, reranked)
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
+
+    found = met.select("turn", "ids", "v").mapInArrow(frugal(run), "query_id bigint, vec_id bigint, score double")
     # a query row that repeats with another vector keeps the better score of a candidate
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -257,6 +257,46 @@ def test_vectors_with_ties_and_gaps(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in two] == [(100, 1, 201)]
 
 
+def shuffled_bytes(df):
+    """Bytes of rows that each shuffle of a finished query took, as Spark counted them."""
+    sizes = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            sizes.append(node.metrics().apply("dataSize").value())
+        inner = node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan() if name.endswith("QueryStage") else None
+        if inner is not None:
+            walk(inner)
+        below = node.children()
+        for i in range(below.size()):
+            walk(below.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sizes
+
+
+def test_op7_sends_a_query_to_lanes_and_not_to_every_block(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(6000, 4)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    settings = dict(pivots=16, prefix=8, block=64)
+    found = permutation_index.search(df, lambda i: i % 2 == 0, **settings)
+    best = sorted(map(tuple, found.collect()))
+    assert len(best) == 3000 * 5
+    tasks = max(8, 2 * spark.sparkContext.defaultParallelism)
+    assert max(shuffled_bytes(found)) < 150 * (6000 + tasks * 3000)  # 94 blocks
+    # neither the number of lanes nor how queries are cut shows in the result
+    for held, queries_at_once in ((1, 100), (1 << 13, 7)):
+        monkeypatch.setattr(permutation_index, "HELD", held)
+        monkeypatch.setattr(permutation_index, "QUERIES", queries_at_once)
+        some = permutation_index.search(df, lambda i: i % 50 == 0, **settings).collect()
+        assert sorted(map(tuple, some)) == [r for r in best if r[0] % 50 == 0]
+    exact = permutation_index.search(df, lambda i: i % 50 == 0, reranked=1.0, **settings).collect()
+    want = {(q, rank, v) for q, near in plain_neighbours(rows).items() for rank, (v, _) in enumerate(near, 1)}
+    assert {(r.query_id, r.rank, r.vec_id) for r in exact} == want
+
+
 def test_archives_of_odd_pages(spark):
     rows = [(1, "http://a/\r\nX: y", "same"), (2, None, "same"), (3, "u", None), (4, "u", ""), (5, "u", "é" * 40_000), (1, "u", "same"), (None, "u", "same"), (None, "u", "own"), (9, "u", "a\r\n\r\nb")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "'kept' AS payload", "'kept' AS digest", "'kept' AS first")
