@@ -7,8 +7,8 @@ pixels, and an image never has more than 2^24 of them, however large it is.
 ``centres`` has one row per image with the columns k{i}_{j} for centre i and
 channel j (null where an image has fewer colours than clusters), ordered by
 value. Images with few colours are clustered in one group each; images with
-more go through joins and aggregates, round by round. Both ways follow the same
-rules and give the same centres:
+more go through joins and aggregates, round by round, in which centres move and
+colours stay. Both ways follow the same rules and give the same centres:
 
 * start 0 takes evenly spaced distinct colours, further starts are k-means++;
 * a colour goes to the nearest centre, on ties to the lower index;
@@ -22,6 +22,8 @@ rules and give the same centres:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -30,12 +32,15 @@ from pyspark.sql.window import Window
 
 from bandsaw.operators.bands import GEOMETRY_NAMES, block, map_rows, trim
 from bandsaw.operators.kernels import histogram
+from bandsaw.operators.skew import lookup
 from bandsaw.session import cut_lineage, shuffle_partitions
 
 CHANNELS = ("c0", "c1", "c2")
 COLOURS = "image_id bigint, c0 int, c1 int, c2 int, w bigint"
-SLOT_COLOURS = 1 << 13  # colours of the largest image that share a slot, about
+SLOT_COLOURS = 1 << 13  # colours of an image that share a slot, about
 MOST_SLOTS = 1024
+PART_COLOURS = 1 << 18  # colours of a partition of the rounds, about
+SENT_IMAGES = 1 << 18  # numbers of slots that are sent to all tasks
 MOST_CLUSTERS = 256
 ROUNDS_PER_JOB = 2
 # An image with at most this many colours is one small group.
@@ -106,6 +111,23 @@ def _quantile_start(colours: DataFrame, k: int) -> DataFrame:
     return found.groupBy("image_id").agg(*pick).withColumn("start", F.lit(0))
 
 
+def _quantile_start_of_few(colours: DataFrame, k: int) -> DataFrame:
+    """``_quantile_start`` for images of one slot: their few colours stand in order in one partition."""
+    image = Window.partitionBy("image_id")
+    ranked = colours.select(
+        "image_id",
+        *CHANNELS,
+        (F.row_number().over(image.orderBy(*CHANNELS)) - 1).alias("at"),
+        F.count("*").over(image).alias("total"),
+    )
+    pick = []
+    for i in range(k):
+        position = F.floor(F.lit(i) * (F.col("total") - 1) / F.lit(max(k - 1, 1)))
+        here = F.col("at") == F.when(F.col("total") < k, F.lit(i)).otherwise(position)
+        pick += [F.max(F.when(here, F.col(c).cast("double"))).alias(name) for c, name in zip(CHANNELS, _names(i))]
+    return ranked.groupBy("image_id").agg(*pick).withColumn("start", F.lit(0))
+
+
 def _draw(packed, start, i, seed: int):
     """Repeatable draw in (0, 1); written so that columns and arrays both work."""
     h = ((packed + (start * MOST_CLUSTERS + i) * 16777216) * DRAW_FACTOR + seed) % DRAW_MODULUS
@@ -120,29 +142,29 @@ def _packed() -> Column:
     return F.when(inside, packed).otherwise(F.raise_error(F.lit("channels must be 0 to 255")).cast("bigint"))
 
 
-def _plus_plus_starts(slotted: DataFrame, k: int, starts: int, seed: int, slots: int) -> DataFrame:
+def _plus_plus_starts(held: Layout, k: int, starts: int, seed: int) -> DataFrame:
     """k-means++ for starts 1..``starts`` of every image, one aggregate per centre.
 
     The weighted draw is a race, the smallest ``u / weight`` wins (among many
     colours, as likely as its weight), so it needs only a partial aggregate and no
-    window over an image, and no logarithm, which libraries round differently.
+    window over an image's colours, and no logarithm, which libraries round differently.
+    Colours come to the centres, which stand in order of (image, start), so that
+    the repeated colours are neither shuffled nor sorted.
     """
-    rows = slotted.withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(starts))))
-    rows = rows.withColumn("packed", _packed())
-    centres = None
+    colours = held.colours.withColumn("packed", _packed())
+    centres = held.colours.select("image_id").distinct().withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(starts))))
     for i in range(k):
-        if centres is None:
-            placed, weight, have = rows, F.col("w").cast("double"), []
-        else:
-            have = [n for j in range(i) for n in _names(j)]
-            placed = rows.join(_at_slots(centres, slots), ["image_id", "start", "slot"])
-            weight = F.col("w") * F.least(*[_distance(j) for j in range(i)], F.lit(float("inf")))
-        u = _draw(F.col("packed"), F.col("start").cast("long"), F.lit(i), seed)
-        placed = placed.withColumn("weight", weight).withColumn("race", u / F.nullif("weight", F.lit(0.0)))
-        ranked = F.when(F.col("race").isNotNull(), F.struct("race", "packed"))
-        pick = F.min_by("packed", ranked).alias("pick")
-        grouped = placed.groupBy("image_id", "start").agg(pick, *[F.max(n).alias(n) for n in have])
-        parts = [F.shiftright("pick", 16), F.shiftright("pick", 8).bitwiseAND(255), F.col("pick").bitwiseAND(255)]
+        have = [n for j in range(i) for n in _names(j)]
+        weight = F.col("w") * F.least(*[_distance(j) for j in range(i)], F.lit(float("inf"))) if i else F.col("w").cast("double")
+        u = _draw(F.col("packed"), F.col("number").cast("long"), F.lit(i), seed)
+        placed = held.in_order(centres, colours).withColumn("weight", weight).withColumn("race", u / F.nullif("weight", F.lit(0.0)))
+        first = F.min(F.when(F.col("race").isNotNull(), F.struct("race", "packed"))).alias("first")
+        kept = [F.max(n).alias(n) for n in have]
+        grouped = placed.groupBy(*held.keys, "start").agg(first, *kept)
+        if held.slots is not None:
+            grouped = grouped.groupBy("image_id", "start").agg(F.min("first").alias("first"), *kept)
+        pick = F.col("first.packed")
+        parts = [F.shiftright(pick, 16), F.shiftright(pick, 8).bitwiseAND(255), pick.bitwiseAND(255)]
         new = [p.cast("double").alias(n) for p, n in zip(parts, _names(i))]
         centres = grouped.select("image_id", "start", *have, *new)
     return centres
@@ -178,8 +200,68 @@ def _slotted(colours: DataFrame, slots: int) -> DataFrame:
     return colours.withColumn("slot", slot).repartition(n, "image_id", "slot").sortWithinPartitions("image_id", "slot")
 
 
-def _at_slots(centres: DataFrame, slots: int) -> DataFrame:
-    return centres.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+def _at_slots(centres: DataFrame, slots: Column) -> DataFrame:
+    return centres.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1)))
+
+
+@dataclass
+class Layout:
+    """Colours as the rounds read them, kept in ``parts`` partitions.
+
+    Images of one slot are hashed over image_id, so that an image lies in one partition, in
+    order, and its centres with it. The others are hashed over (image, slot) and have ``slots``,
+    (image_id, slots).
+    """
+
+    colours: DataFrame
+    slots: DataFrame | None
+    parts: int
+
+    @property
+    def keys(self) -> list[str]:
+        return ["image_id"] if self.slots is None else ["image_id", "slot"]
+
+    def _spread(self, centres: DataFrame) -> DataFrame:
+        if self.slots is None:
+            return centres
+        return _at_slots(centres.join(self.slots, "image_id"), F.col("slots")).drop("slots")
+
+    def beside(self, centres: DataFrame) -> DataFrame:
+        """Colours beside the centres of their image, once for each start. The colours stay where they are."""
+        return self.colours.join(self._spread(centres).hint("merge"), self.keys)
+
+    def in_order(self, centres: DataFrame, colours: DataFrame) -> DataFrame:
+        """The same with the starts 1, 2, ... in order beside ``colours``, which are the kept ones with further columns.
+
+        ``number`` repeats the start; the window that counts it has the rows in its order, and the join leaves them so.
+        """
+        centres = self._spread(centres)
+        if self.slots is not None:
+            centres = centres.repartition(self.parts, *self.keys)
+        number = F.row_number().over(Window.partitionBy(*self.keys).orderBy("start"))
+        return centres.withColumn("number", number).join(colours.hint("shuffle_hash"), self.keys)
+
+
+def _layouts(colours: DataFrame) -> list[Layout]:
+    """One for images of one slot, one for the others, as far as there are any."""
+    sizes = cut_lineage(colours.groupBy("image_id").agg(F.count("*").alias("n")))
+    slots = F.least(F.lit(MOST_SLOTS), F.greatest(F.lit(1), F.floor(F.col("n") / SLOT_COLOURS))).cast("int")
+    sizes = sizes.select("image_id", "n", slots.alias("slots"))
+    several = F.col("slots") > 1
+    kinds = sizes.groupBy(several.alias("several")).agg(F.count("*").alias("images"), F.sum("n").alias("n")).collect()
+    found = []
+    for kind in sorted(kinds):
+        own, keys = colours, ["image_id"]
+        here = sizes.filter(several if kind.several else ~several).select("image_id", "slots")
+        if kind.several or len(kinds) > 1:
+            own = own.join(F.broadcast(here), "image_id") if kind.images <= SENT_IMAGES else lookup(own, here, ["image_id"])
+        if kind.several:
+            own = own.withColumn("slot", F.pmod(F.xxhash64(*CHANNELS), F.col("slots")).cast("int"))
+            keys = ["image_id", "slot"]
+        parts = max(shuffle_partitions(colours.sparkSession), -(-kind.n // PART_COLOURS))
+        own = own.select(*keys, *CHANNELS, "w").repartition(parts, *keys).sortWithinPartitions(*keys, *CHANNELS)
+        found.append(Layout(own.persist(StorageLevel.MEMORY_AND_DISK), here if kind.several else None, parts))
+    return found
 
 
 def _cluster_sums(k: int) -> list[Column]:
@@ -204,14 +286,13 @@ def _gain(k: int) -> Column:
     return total
 
 
-def _lloyd(slotted: DataFrame, centres: DataFrame, k: int, slots: int) -> DataFrame:
+def _lloyd(held: Layout, centres: DataFrame, k: int) -> DataFrame:
     """One round: assign, then average. An empty cluster keeps its centre.
 
     Sums are integers and are divided once, so the order of rows does not matter.
     """
     names = [n for i in range(k) for n in _names(i)]
-    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names), slots), ["image_id", "slot"])
-    placed = placed.withColumn("cluster", nearest(k))
+    placed = held.beside(centres.select("image_id", "start", *names)).withColumn("cluster", nearest(k))
     old = [F.max(n).alias(f"old_{n}") for n in names]
     grouped = placed.groupBy("image_id", "start").agg(*_cluster_sums(k), *old)
     new = [
@@ -226,14 +307,14 @@ def _lloyd(slotted: DataFrame, centres: DataFrame, k: int, slots: int) -> DataFr
     return moved.withColumn("converged", still).drop(*[f"old_{n}" for n in names])
 
 
-def _best_start(slotted: DataFrame, centres: DataFrame, k: int, slots: int) -> DataFrame:
+def _best_start(held: Layout, centres: DataFrame, k: int) -> DataFrame:
     """The start with the least within-cluster cost per image."""
-    names = [n for i in range(k) for n in _names(i)]
-    placed = slotted.join(_at_slots(centres.select("image_id", "start", *names), slots), ["image_id", "slot"])
-    sums = placed.withColumn("cluster", nearest(k)).groupBy("image_id", "start").agg(*_cluster_sums(k))
-    gains = sums.select("image_id", "start", _gain(k).alias("gain"))
-    best = gains.groupBy("image_id").agg(F.max_by("start", F.struct("gain", -F.col("start"))).alias("start"))
-    return centres.join(best, ["image_id", "start"])
+    own = [*[n for i in range(k) for n in _names(i)], "converged"]
+    placed = held.beside(centres.select("image_id", "start", *own)).withColumn("cluster", nearest(k))
+    sums = placed.groupBy("image_id", "start").agg(*_cluster_sums(k), *[F.max(n).alias(n) for n in own])
+    gains = sums.select("image_id", "start", F.struct(*own).alias("centres"), _gain(k).alias("gain"))
+    best = gains.groupBy("image_id").agg(F.max_by("centres", F.struct("gain", -F.col("start"))).alias("centres"))
+    return best.select("image_id", "centres.*")
 
 
 def _in_order(centres: DataFrame, k: int) -> DataFrame:
@@ -248,28 +329,48 @@ def _in_order(centres: DataFrame, k: int) -> DataFrame:
 def kmeans_rounds(colours: DataFrame, k: int = 3, max_iter: int = 300, n_init: int = 20, seed: int = 42) -> DataFrame:
     """K-means as rounds of join and aggregate, for images of any number of colours.
 
-    Images that have converged leave the loop.
+    Images that have converged leave the loop. What the rounds shuffle are centres and, for
+    images of several slots, sums; colours are dealt once.
     """
-    slots = _slots_for(colours)
-    slotted = _slotted(colours, slots).persist(StorageLevel.MEMORY_AND_DISK)
-    centres = _quantile_start(slotted, k)
+    mine = colours.storageLevel == StorageLevel.NONE
+    if mine:
+        colours = colours.persist(StorageLevel.MEMORY_AND_DISK)
+    layouts = _layouts(colours)
+    begun = [_starts(held, k, n_init, seed) for held in layouts]
+    if mine:
+        colours.unpersist()  # all are dealt
+    found = [_rounds(held, centres, k, max_iter) for held, centres in zip(layouts, begun, strict=True)]
+    if not found:
+        names = [n for i in range(k) for n in _names(i)]
+        schema = "image_id bigint, " + ", ".join(f"{n} double" for n in names) + ", converged boolean"
+        return colours.sparkSession.createDataFrame([], schema)
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _starts(held: Layout, k: int, n_init: int, seed: int) -> DataFrame:
+    """The first centres of every start."""
+    centres = _quantile_start_of_few(held.colours, k) if held.slots is None else _quantile_start(held.colours, k)
     if n_init > 1:
-        centres = centres.unionByName(_plus_plus_starts(slotted, k, n_init - 1, seed, slots))
-    active = cut_lineage(centres.withColumn("converged", F.lit(False)))
+        centres = centres.unionByName(_plus_plus_starts(held, k, n_init - 1, seed))
+    return cut_lineage(centres.withColumn("converged", F.lit(False)))
+
+
+def _rounds(held: Layout, active: DataFrame, k: int, max_iter: int) -> DataFrame:
+    """Rounds until all starts have converged, then the best start of every image."""
     finished = active.limit(0)
     done = 0
     while done < max_iter:
         steps = min(ROUNDS_PER_JOB, max_iter - done)
         for _ in range(steps):
-            active = _lloyd(slotted, active, k, slots)
+            active = _lloyd(held, active, k)
         done += steps
         active = cut_lineage(active)
         finished = finished.unionByName(active.filter("converged"))
         active = active.filter("NOT converged")
         if active.isEmpty():
             break
-    best = cut_lineage(_in_order(_best_start(slotted, finished.unionByName(active), k, slots), k))
-    slotted.unpersist()
+    best = cut_lineage(_in_order(_best_start(held, finished.unionByName(active), k), k))
+    held.colours.unpersist()
     return best
 
 
@@ -432,5 +533,5 @@ def label_colours(colours: DataFrame, centres: DataFrame, k: int = 3) -> DataFra
     """Cluster of every distinct colour."""
     names = [n for i in range(k) for n in _names(i)]
     slots = _slots_for(colours)
-    placed = _slotted(colours, slots).join(_at_slots(centres.select("image_id", *names), slots), ["image_id", "slot"])
+    placed = _slotted(colours, slots).join(_at_slots(centres.select("image_id", *names), F.lit(slots)), ["image_id", "slot"])
     return placed.select("image_id", *CHANNELS, "w", nearest(k).alias("cluster"))

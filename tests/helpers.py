@@ -90,3 +90,22 @@ def spiral(size):
                 m[top + 2, left : left + 2] = 1
         left, top, right, bottom = left + 2, top + 2, right - 2, bottom - 2
     return m
+
+
+def shuffled_bytes(df):
+    """Bytes of rows that each shuffle of a finished query took, as Spark counted them."""
+    sizes = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            sizes.append(node.metrics().apply("dataSize").value())
+        inner = node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan() if name.endswith("QueryStage") else None
+        if inner is not None:
+            walk(inner)
+        below = node.children()
+        for i in range(below.size()):
+            walk(below.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sizes

@@ -15,6 +15,7 @@ import regex
 from bandsaw.llm import langid, permutation_index, queries, url_templates, warc
 from bandsaw.llm.shards import new_folder, saved
 from oracle.check import connect
+from tests.helpers import shuffled_bytes
 
 
 def same_rows(mine, theirs):
@@ -257,25 +258,6 @@ def test_vectors_with_ties_and_gaps(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in two] == [(100, 1, 201)]
 
 
-def shuffled_bytes(df):
-    """Bytes of rows that each shuffle of a finished query took, as Spark counted them."""
-    sizes = []
-
-    def walk(node):
-        name = node.nodeName()
-        if name == "Exchange":
-            sizes.append(node.metrics().apply("dataSize").value())
-        inner = node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan() if name.endswith("QueryStage") else None
-        if inner is not None:
-            walk(inner)
-        below = node.children()
-        for i in range(below.size()):
-            walk(below.apply(i))
-
-    walk(df._jdf.queryExecution().executedPlan())
-    return sizes
-
-
 def test_op7_sends_a_query_to_lanes_and_not_to_every_block(spark, monkeypatch):
     draw = np.random.default_rng(4)
     rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(6000, 4)))]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from bandsaw.operators import cluster
 from bandsaw.operators.graph import connected_components, star_components
 from bandsaw.operators.skew import lookup, semi_join
+from tests.helpers import shuffled_bytes
 
 COLOURS = "image_id long, c0 int, c1 int, c2 int, w long"
 
@@ -78,6 +79,46 @@ def test_both_kmeans_ways_agree_and_are_good(spark):
     assert groups[7][:9] == (1.0, 2.0, 3.0, 9.0, 9.0, 9.0, None, None, None)
 
 
+@pytest.mark.parametrize("k", [2, 4])
+def test_rounds_over_slots_give_the_same_centres(spark, monkeypatch, k):
+    """Images of one slot, of several, and both in one table."""
+    df, rows = make_colours(spark)
+    df = df.unionAll(spark.createDataFrame([(8, i, i * i % 251, 7, 1 + i % 5) for i in range(60)], COLOURS)).persist()
+    want = {tuple(r) for r in cluster.kmeans_groups(df, k, n_init=4).collect()}
+    assert len(want) == 9
+    monkeypatch.setattr(cluster, "PART_COLOURS", 100)
+    for slot_colours, sent in ((40, 1 << 18), (40, 0), (1, 0)):
+        monkeypatch.setattr(cluster, "SLOT_COLOURS", slot_colours)
+        monkeypatch.setattr(cluster, "SENT_IMAGES", sent)
+        assert {tuple(r) for r in cluster.kmeans_rounds(df, k, n_init=4).collect()} == want
+    assert cluster.kmeans_rounds(df.limit(0), k).collect() == []
+    one_start = {tuple(r) for r in cluster.kmeans_groups(df, k, 2, 1).collect()}
+    assert {tuple(r) for r in cluster.kmeans_rounds(df, k, 2, 1).collect()} == one_start
+
+
+@pytest.mark.parametrize("slot_colours", [1 << 13, 100])
+def test_rounds_shuffle_centres_and_not_the_colours_of_every_start(spark, monkeypatch, slot_colours):
+    rng = np.random.default_rng(2)
+    rows = [(i, *map(int, p), 1) for i in range(20) for p in np.unique(rng.integers(0, 256, (300, 3)), axis=0)]
+    df = spark.createDataFrame(rows, COLOURS).persist()
+    df.count()
+    sizes, cut = [], cluster.cut_lineage
+
+    def counted(table):
+        out = cut(table)
+        sizes.append(sum(shuffled_bytes(table)))
+        return out
+
+    monkeypatch.setattr(cluster, "SLOT_COLOURS", slot_colours)
+    monkeypatch.setattr(cluster, "cut_lineage", counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are not small
+    try:
+        assert cluster.kmeans_rounds(df, max_iter=4).count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(sizes) < 19 * len(rows) * 24  # a row with the colour alone takes more
+
+
 @pytest.mark.parametrize("k", [2, 4])
 def test_other_cluster_counts(spark, k):
     df, _ = make_colours(spark)
