@@ -109,7 +109,7 @@ class Block:
         for i, own in enumerate(query_ids):
             near = self.order
             if take < n:
-                ranked = self.files.footrule(wanted[i]) * np.int64(n) + self.order
+                ranked = self.files.footrule(wanted[i]).astype(np.int64) * n + self.order
                 near = np.flatnonzero(ranked <= np.partition(ranked, take - 1)[take - 1])
             if near.size > most:
                 # all that may be among the best by the exact sums, which are taken of these alone
